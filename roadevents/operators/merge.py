@@ -70,14 +70,15 @@ def merge_upsert(
         batch = batch.withColumn(stamp_column, stamp)
     batch = batch.select(*columns)
 
-    # Rows without a complete key never match. Giving each its own join key spreads
-    # them over all tasks instead of hashing them to one.
+    # Rows without a complete key never match. A running number instead of the key's
+    # hash spreads them over all tasks instead of sending them to one.
     incomplete = _incomplete(keys)
-    spread = F.when(incomplete, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    key_hash = F.xxhash64(*keys)
+    spread = F.when(incomplete, F.monotonically_increasing_id()).otherwise(key_hash)
     probe = target.withColumn(_SPREAD, spread)
     lookup = batch.where(~incomplete).select(
         *[F.col(c).alias(f"_new_{c}") for c in columns],
-        F.lit(-1).cast("bigint").alias(f"_new_{_SPREAD}"),
+        key_hash.alias(f"_new_{_SPREAD}"),
         F.lit(True).alias(_HIT),
     )
     same_key = reduce(
@@ -99,11 +100,7 @@ def merge_upsert(
     )
     # Keys that matched are at most as many as the batch has, so the second join
     # never moves the target either when the batch is small.
-    matched = (
-        probe.select(*keys, _SPREAD)
-        .join(lookup, same_key, "left_semi")
-        .select(*keys)
-        .distinct()
-    )
+    complete = probe.where(~incomplete).select(*keys, _SPREAD)
+    matched = complete.join(lookup, same_key, "left_semi").select(*keys).distinct()
     added = batch.join(matched, list(keys), "left_anti").select(*columns)
     return refreshed.unionByName(added)

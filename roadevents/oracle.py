@@ -139,16 +139,45 @@ def _without(columns: str, sql: str) -> str:
     return f"SELECT * EXCLUDE ({columns}) FROM ({sql})"
 
 
+_SUMMARY = _sql(
+    """SELECT eventType, count(*) AS event_count,
+      round(count(*) * 100.0 / (SELECT count(*) FROM ev), 2)::double AS percentage
+    FROM ev GROUP BY eventType"""
+)
+
+_DQ = _sql(
+    """SELECT 'daily_event_count' AS model, t.* FROM daily, LATERAL (VALUES
+      ('event_date', 'not_null', null_dates),
+      ('event_count', 'not_null', null_counts),
+      ('event_count', 'accepted_range', outside)) AS t("column", test, failures)""",
+    """daily AS (
+      SELECT count(*) FILTER (event_date IS NULL) AS null_dates,
+        count(*) FILTER (event_count IS NULL) AS null_counts,
+        count(*) FILTER (event_count NOT BETWEEN 0 AND 1000) AS outside
+      FROM (SELECT startDate::date AS event_date, count(*) AS event_count
+        FROM ev GROUP BY 1))""",
+)
+
+
+def _two_polls(replaced: str) -> str:
+    """Even events as revised by the second poll, the others as first polled."""
+    return _sql(
+        f"""SELECT {_FIELDS} FROM (
+          SELECT * REPLACE ({replaced}, coordY::double AS coordY,
+            roadNo::bigint AS roadNo,
+            CASE WHEN event_id % 2 = 0 THEN concat_ws('/', eventType, '변경')
+              ELSE eventType END AS eventType)
+          FROM txt WHERE event_id % 2 = 0 OR event_id % 3 <> 0)""",
+        _TXT,
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "src_traffic_events": _sql("SELECT * FROM ev"),
     "stg_event_info": _sql(
         "SELECT eventType, eventDetailType, startDate, endDate, coordX, coordY FROM ev"
     ),
-    "event_type_summary": _sql(
-        """SELECT eventType, count(*) AS event_count,
-          round(count(*) * 100.0 / (SELECT count(*) FROM ev), 2)::double AS percentage
-        FROM ev GROUP BY eventType"""
-    ),
+    "event_type_summary": _SUMMARY,
     "traffic_by_road_type": _sql(
         """SELECT type AS road_type, count(*) AS total_events,
           count(DISTINCT roadName) AS total_roads,
@@ -298,27 +327,35 @@ ORACLE_SQL: dict[str, str] = {
     "stream_ingest": _sql(
         f"SELECT startDate::date AS ingestion_date, {_FIELDS} FROM sec", _SEC
     ),
-    "stream_upsert": _sql(
-        f"""SELECT {_FIELDS} FROM (
-          SELECT * REPLACE (
-            CASE WHEN event_id % 2 = 0 THEN concat_ws('/', eventType, '변경')
-              ELSE eventType END AS eventType,
-            CASE WHEN event_id % 2 = 0 THEN endDate ELSE '' END AS endDate,
-            coordX::double AS coordX, coordY::double AS coordY,
-            event_id + 2000000000 AS linkId, roadNo::bigint AS roadNo)
-          FROM txt WHERE event_id % 2 = 0 OR event_id % 3 <> 0)""",
-        _TXT,
+    "stream_upsert": _two_polls(
+        """coordX::double AS coordX, event_id + 2000000000 AS linkId,
+        CASE WHEN event_id % 2 = 0 THEN endDate ELSE '' END AS endDate"""
+    ),
+    "stream_latest": _two_polls(
+        """strptime(startDate, '%Y%m%d%H%M%S') AS startDate,
+        event_id::double AS coordX, linkId::bigint AS linkId,
+        CASE WHEN event_id % 2 = 0
+          THEN strptime(endDate, '%Y%m%d%H%M%S') END AS endDate"""
     ),
-    "dq_report": _sql(
-        """SELECT 'daily_event_count' AS model, t.* FROM daily, LATERAL (VALUES
-          ('event_date', 'not_null', null_dates),
-          ('event_count', 'not_null', null_counts),
-          ('event_count', 'accepted_range', outside)) AS t("column", test, failures)""",
-        """daily AS (
-          SELECT count(*) FILTER (event_date IS NULL) AS null_dates,
-            count(*) FILTER (event_count IS NULL) AS null_counts,
-            count(*) FILTER (event_count NOT BETWEEN 0 AND 1000) AS outside
-          FROM (SELECT startDate::date AS event_date, count(*) AS event_count
-            FROM ev GROUP BY 1))""",
+    "dq_report": _DQ,
+    "run_models": _DQ,
+    "materialized_table": _SUMMARY,
+    "one_pass_reports": _sql(
+        f"""SELECT model, count(*) AS "rows", sum(n)::bigint AS events FROM (
+          SELECT 'event_type_summary' AS model, count(*) AS n FROM ev GROUP BY eventType
+          UNION ALL
+          SELECT 'daily_event_count', count(*) FROM ev GROUP BY startDate::date
+          UNION ALL
+          SELECT 'hourly_event_heatmap', count(*) FROM ev
+          GROUP BY dayofweek(startDate), hour(startDate)
+          UNION ALL
+          SELECT 'weekday_event_count', count(*) FROM ev GROUP BY dayofweek(startDate)
+          UNION ALL
+          SELECT 'duration_buckets', count(*)
+          FROM (SELECT {_MINUTES} AS m FROM ev)
+          GROUP BY m < 30, m < 60, m < 120, m < 240, m < 1440
+          UNION ALL
+          SELECT 'event_type_duration_stats', count(*) FROM ev GROUP BY eventType)
+        GROUP BY model"""
     ),
 }

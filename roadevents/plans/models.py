@@ -16,6 +16,7 @@ from roadevents.operators.quality import (
     require_passing,
 )
 from roadevents.plans import marts
+from roadevents.plans.rollup import reports_in_one_pass
 from roadevents.sinks.tables import materialize
 
 
@@ -57,12 +58,22 @@ MODELS = {
 }
 
 
-def build_models(events: DataFrame, *, as_of: AsOf = None) -> dict[str, DataFrame]:
-    """Every model as an unevaluated DataFrame, in order of dependence."""
+def build_models(
+    events: DataFrame, *, as_of: AsOf = None, one_pass: bool = False
+) -> dict[str, DataFrame]:
+    """Every model as a DataFrame, in order of dependence.
+
+    ``one_pass=True`` reads the events once for all models that aggregate by type or
+    time, instead of once per model.
+    """
+    shared = reports_in_one_pass(events, as_of=as_of) if one_pass else {}
     built: dict[str, DataFrame] = {}
     for name, model in MODELS.items():
-        source = built[model.source] if model.source else events
-        built[name] = model.build(source, as_of=as_of)
+        if name in shared:
+            built[name] = shared[name]
+        else:
+            source = built[model.source] if model.source else events
+            built[name] = model.build(source, as_of=as_of)
     return built
 
 
@@ -77,15 +88,17 @@ def run_models(
     as_of: AsOf = None,
     kinds: dict[str, str] | None = None,
     strict: bool = True,
+    one_pass: bool = True,
 ) -> DataFrame:
     """Publishes all models, then tests them; ``strict`` raises if a test fails.
 
-    ``kinds`` overrides per model whether it becomes a ``"view"`` or a ``"table"``.
+    ``kinds`` overrides per model whether it becomes a ``"view"`` or a ``"table"``;
+    ``one_pass`` is that of ``build_models``.
     """
     kinds = kinds or {}
     published = {
         name: materialize(df, name, kinds.get(name, MODELS[name].kind))
-        for name, df in build_models(events, as_of=as_of).items()
+        for name, df in build_models(events, as_of=as_of, one_pass=one_pass).items()
     }
     outcome = report(published)
     return require_passing(outcome) if strict else outcome

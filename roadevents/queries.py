@@ -10,6 +10,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +22,14 @@ from roadevents.functions.text import stringify
 from roadevents.operators import dedup, merge
 from roadevents.operators.normalize import apply_null_markers, normalize, rejects
 from roadevents.plans import marts, models
+from roadevents.plans.rollup import reports_in_one_pass
 from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS
 from roadevents.session import shared_folder
 from roadevents.sinks import files, upsert
+from roadevents.sinks.tables import materialize
 from roadevents.sources import archives, csv_files, envelope, parquet_files, tables
 from roadevents.streaming import ingest
-from roadevents.streaming.upsert import stream_merge
+from roadevents.streaming.upsert import stream_merge, stream_rewrite_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -276,26 +279,67 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return fields_with(normalize(tables.table(spark, path)), "ingestion_date")
 
 
-def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    landing, path = shared_folder(spark, "polls"), shared_folder(spark, "upserted")
-    raw = as_text(traffic_events(spark, folder)).withColumn(
-        "linkId", (_id() + 2000000000).cast("string")
-    )
+def _land_two_polls(spark: SparkSession, raw: DataFrame) -> str:
+    """Open incidents first, then every second one again, revised and ended."""
+    landing = shared_folder(spark, "polls")
     still_open = raw.where(_id() % 3 != 0).withColumn("endDate", F.lit(""))
     for day, poll in (("2024-01-31", still_open), ("2024-02-01", _revised(raw))):
         poll = poll.withColumn("ingestion_date", F.lit(day).cast("date"))
         polls = _responses(poll, "ingestion_date")
         polls.write.mode("append").partitionBy("ingestion_date").text(landing)
+    return landing
+
+
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    raw = as_text(traffic_events(spark, folder)).withColumn(
+        "linkId", (_id() + 2000000000).cast("string")
+    )
+    landing, path = _land_two_polls(spark, raw), shared_folder(spark, "upserted")
     stream = ingest.landed_stream(spark, landing, one_per_line=True)
-    checkpoint = shared_folder(spark, "progress")
-    stream_merge(stream, path, checkpoint).awaitTermination()
+    stream_merge(stream, path, shared_folder(spark, "progress")).awaitTermination()
     return upsert.read_table(spark, path).drop("ingestion_timestamp")
 
 
+def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
+    raw = as_text(traffic_events(spark, folder)).withColumn("coordX", _id().cast("string"))
+    landing, path = _land_two_polls(spark, raw), shared_folder(spark, "latest")
+    stream = ingest.landed_stream(spark, landing, one_per_line=True)
+    stream_rewrite_latest(stream, path, shared_folder(spark, "progress")).awaitTermination()
+    return upsert.read_table(spark, path, upsert.CENTRAL_SCHEMA).drop("createdAt")
+
+
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return models.report(models.build_models(traffic_events(spark, folder), as_of=AS_OF))
 
 
+def run_models(spark: SparkSession, folder: str) -> DataFrame:
+    views = dict.fromkeys(models.MODELS, "view")
+    events = traffic_events(spark, folder)
+    return models.run_models(events, as_of=AS_OF, kinds=views, strict=False)
+
+
+def one_pass_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows and events each report of the shared pass accounts for."""
+    reports = reports_in_one_pass(traffic_events(spark, folder), as_of=AS_OF)
+    counted = {n: r for n, r in reports.items() if "event_count" in r.columns}
+    parts = [
+        report.agg(
+            F.lit(name).alias("model"),
+            F.count("*").alias("rows"),
+            F.sum("event_count").alias("events"),
+        )
+        for name, report in counted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def materialized_table(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "table")
+    name = f"event_type_summary_{path.rsplit('-', 1)[1]}"
+    summary = marts.event_type_summary(traffic_events(spark, folder))
+    return materialize(summary, name, "table", path=path)
+
+
 QUERIES: dict[str, Query] = {
     **{name: _mart(model.build) for name, model in models.MODELS.items()},
     "daily_event_count_capped": _mart(marts.daily_event_count, max_rows=5000),
@@ -321,5 +365,9 @@ QUERIES: dict[str, Query] = {
     "full_refresh": full_refresh,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
+    "stream_latest": stream_latest,
     "dq_report": dq_report,
+    "run_models": run_models,
+    "one_pass_reports": one_pass_reports,
+    "materialized_table": materialized_table,
 }

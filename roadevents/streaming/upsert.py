@@ -41,7 +41,7 @@ def stream_merge(
     return start_upsert(stream, checkpoint, apply_batch)
 
 
-def stream_latest(
+def stream_rewrite_latest(
     stream: DataFrame,
     table: str,
     checkpoint: str,

@@ -1,0 +1,103 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadevents.operators.normalize import apply_null_markers, normalize, rejects
+from roadevents.schema import EVENT_SCHEMA, NULL_MARKERS, TEXT_DATE_SCHEMA
+
+GOOD = {
+    "type": "국도", "startDate": "20251116083000", "coordX": "126.5", "coordY": "37.5",
+    "linkId": "9007199254740993", "roadNo": "110.0", "endDate": "20251116090000",
+}
+
+
+def test_types_and_values(raw):
+    typed = normalize(raw(GOOD))
+    assert [(f.name, f.dataType) for f in typed.schema] == [
+        (f.name, f.dataType) for f in EVENT_SCHEMA
+    ]
+    row = typed.first()
+    assert row.startDate == dt.datetime(2025, 11, 16, 8, 30)
+    assert (row.coordX, row.linkId, row.roadNo) == (126.5, 9007199254740993, 110)
+
+
+def test_text_dates(raw):
+    typed = normalize(raw({**GOOD, "startDate": "whatever", "endDate": ""}), dates="text")
+    assert [(f.name, f.dataType) for f in typed.schema] == [
+        (f.name, f.dataType) for f in TEXT_DATE_SCHEMA
+    ]
+    assert (typed.first().startDate, typed.first().endDate) == ("whatever", "")
+
+
+@pytest.mark.parametrize("blank", ["", "-", "nan", None])
+def test_missing_numbers_are_null_not_bad(raw, blank):
+    row = normalize(raw({**GOOD, "coordX": blank, "linkId": blank})).first()
+    assert row.coordX is None and row.linkId is None
+
+
+def test_markers_apply_to_text_only_when_given(raw):
+    frame = raw({**GOOD, "type": "-", "roadName": "NULL"})
+    assert normalize(frame).first().type == "-"
+    row = normalize(frame, null_markers=NULL_MARKERS).first()
+    assert row.type is None and row.roadName is None
+    assert apply_null_markers(frame, NULL_MARKERS).first().type is None
+
+
+@pytest.mark.parametrize(
+    "change, reason",
+    [
+        ({"coordX": "abc"}, "coordX"),
+        ({"linkId": "L1", "coordY": "x"}, "coordY,linkId"),
+        ({"startDate": "20251399000000"}, "startDate"),
+        ({"startDate": ""}, "startDate"),
+        ({"endDate": "-"}, "endDate"),
+    ],
+)
+def test_bad_rows(raw, change, reason):
+    frame = raw(GOOD, {**GOOD, **change})
+    assert normalize(frame).count() == 1
+    bad = rejects(frame).collect()
+    assert [r.reject_reason for r in bad] == [reason]
+    assert all(bad[0][k] == v for k, v in change.items())
+    with pytest.raises(Exception, match=f"bad record, fields: {reason}"):
+        normalize(frame, on_error="abort").collect()
+    with pytest.raises(Exception, match="bad record"):
+        normalize(frame, on_error="abort").select("type").collect()
+    with pytest.raises(Exception, match="bad record"):
+        normalize(frame, on_error="abort").count()
+
+
+def test_blank_end_is_open_and_null_start_passes(raw):
+    row = normalize(raw({**GOOD, "endDate": "", "startDate": None}), on_error="abort").first()
+    assert row.endDate is None and row.startDate is None
+
+
+def test_extra_columns_pass_and_corrupt_rows_are_rejected(raw):
+    frame = raw(GOOD, GOOD).withColumns(
+        {
+            "seq": F.monotonically_increasing_id(),
+            "_corrupt_record": F.when(F.rand(1) >= 0, "a,b"),
+        }
+    )
+    assert normalize(frame).count() == 0
+    assert {r.reject_reason for r in rejects(frame).collect()} == {"column_count"}
+    assert "seq" in normalize(frame.drop("_corrupt_record")).columns
+
+
+def test_good_and_bad_make_up_the_input(spark, raw):
+    frame = raw(*[{**GOOD, "coordX": "x" * (i % 3)} for i in range(30)])
+    assert normalize(frame).count() + rejects(frame).count() == 30
+
+
+def test_options_are_checked(raw):
+    with pytest.raises(ValueError):
+        normalize(raw(GOOD), on_error="skip")
+    with pytest.raises(ValueError):
+        normalize(raw(GOOD), dates="date")
+
+
+def test_filter_stays_above_the_conversions(raw):
+    plan = normalize(raw(GOOD))._jdf.queryExecution().optimizedPlan().toString()
+    condition = next(line for line in plan.splitlines() if "Filter" in line)
+    assert "try_cast" not in condition.lower()
