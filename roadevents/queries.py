@@ -146,7 +146,8 @@ def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def merge_table(spark: SparkSession, folder: str) -> DataFrame:
     target, batch = _merge_inputs(spark, folder)
     path = shared_folder(spark, "merge")
-    schema = EVENT_SCHEMA.add("ingestion_timestamp", T.TimestampNTZType())
+    stamp = T.StructField("ingestion_timestamp", T.TimestampNTZType())
+    schema = T.StructType([*EVENT_SCHEMA.fields, stamp])
     options = {"schema": schema, "unique_target": True}
     upsert.merge_into(target, path, stamp=_ntz("2024-01-31 00:00:00"), **options)
     upsert.merge_into(batch, path, stamp=_ntz(AS_OF), **options)

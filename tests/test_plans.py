@@ -1,0 +1,61 @@
+"""Shape of the physical plans the jobs rely on."""
+
+import pytest
+
+from roadevents.plans import marts, models
+from roadevents.plans.rollup import hourly_rollup
+from roadevents.schema import EVENT_SCHEMA
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stored") / "t")
+    spark.createDataFrame([], EVENT_SCHEMA).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("event_type_summary", {"eventType"}),
+        ("traffic_by_road_type", {"type", "startDate", "linkId", "roadName"}),
+        ("daily_event_count", {"startDate"}),
+        ("hourly_event_heatmap", {"startDate"}),
+        ("weekday_event_count", {"startDate"}),
+        ("duration_buckets", {"startDate", "endDate"}),
+        ("avg_duration_by_type", {"type", "eventType", "startDate", "endDate"}),
+        ("event_type_duration_stats", {"eventType", "startDate", "endDate"}),
+    ],
+)
+def test_only_used_columns_are_read_and_aggregation_starts_before_the_shuffle(stored, name, columns):
+    text = plan(models.MODELS[name].build(stored))
+    schema = text.split("ReadSchema: struct<")[1].split(">")[0]
+    assert {c.split(":")[0] for c in schema.split(",")} == columns
+    scan_side = text[text.rindex("Exchange") :]
+    assert "partial_count" in scan_side and "SinglePartition" not in scan_side
+
+
+def test_filters_reach_the_scan(stored):
+    assert "PushedFilters: [IsNotNull(type)]" in plan(marts.traffic_by_road_type(stored))
+    assert "PushedFilters: [IsNotNull(startDate)]" in plan(marts.hourly_event_heatmap(stored))
+
+
+def test_projections_do_not_shuffle(stored):
+    for mart in (marts.stg_event_info, marts.src_traffic_events, marts.event_durations):
+        assert "Exchange" not in plan(mart(stored))
+
+
+def test_no_python_in_marts(stored):
+    for name, frame in models.build_models(stored).items():
+        assert "Python" not in plan(frame) and "Arrow" not in plan(frame), name
+    assert plan(hourly_rollup(stored)).count("Exchange") == 1
+
+
+def test_distinct_counts_spread_a_large_road_type(stored):
+    exchanges = plan(marts.traffic_by_road_type(stored)).split("hashpartitioning(")[1:]
+    keys = [part.split(", ENSURE")[0] for part in exchanges]
+    assert any(all(k in key for k in ("linkId", "roadName", "gid")) for key in keys)
