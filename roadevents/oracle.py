@@ -159,6 +159,18 @@ _DQ = _sql(
 )
 
 
+def _text_dates(road_number: str) -> str:
+    """The dirty records whose numbers convert, with their dates as landed."""
+    return _clean(
+        f"""SELECT {_FIELDS} FROM (
+          SELECT dirty.* REPLACE (typed.coordX AS coordX, typed.coordY AS coordY,
+            typed.linkId AS linkId, {road_number} AS roadNo)
+          FROM dirty JOIN typed USING (event_id)
+          WHERE reject_reason IS NULL
+            OR NOT regexp_matches(reject_reason, 'coord|link'))"""
+    )
+
+
 def _two_polls(replaced: str) -> str:
     """Even events as revised by the second poll, the others as first polled."""
     return _sql(
@@ -172,6 +184,19 @@ def _two_polls(replaced: str) -> str:
     )
 
 
+_MERGED_POLLS = _two_polls(
+    """coordX::double AS coordX, event_id + 2000000000 AS linkId,
+    CASE WHEN event_id % 2 = 0 THEN endDate ELSE '' END AS endDate"""
+)
+
+_LATEST_POLLS = _two_polls(
+    """strptime(startDate, '%Y%m%d%H%M%S') AS startDate,
+    event_id::double AS coordX, linkId::bigint AS linkId,
+    CASE WHEN event_id % 2 = 0
+      THEN strptime(endDate, '%Y%m%d%H%M%S') END AS endDate"""
+)
+
+
 ORACLE_SQL: dict[str, str] = {
     "src_traffic_events": _sql("SELECT * FROM ev"),
     "stg_event_info": _sql(
@@ -291,14 +316,8 @@ ORACLE_SQL: dict[str, str] = {
     "csv_by_position": _sql(
         f"SELECT {_FIELDS}, date '2024-02-01' AS ingestion_date FROM sec", _SEC
     ),
-    "csv_by_name": _clean(
-        f"""SELECT {_FIELDS} FROM (
-          SELECT dirty.* REPLACE (typed.coordX AS coordX, typed.coordY AS coordY,
-            typed.linkId AS linkId, NULL::bigint AS roadNo)
-          FROM dirty JOIN typed USING (event_id)
-          WHERE reject_reason IS NULL
-            OR NOT regexp_matches(reject_reason, 'coord|link'))"""
-    ),
+    "csv_by_name": _text_dates("NULL::bigint"),
+    "load_append": _text_dates("typed.roadNo"),
     "csv_by_name_per_file": _sql(
         f"""SELECT {_FIELDS}, ingestion_date FROM (
           SELECT txt.* REPLACE (coordX::double AS coordX, coordY::double AS coordY,
@@ -327,16 +346,10 @@ ORACLE_SQL: dict[str, str] = {
     "stream_ingest": _sql(
         f"SELECT startDate::date AS ingestion_date, {_FIELDS} FROM sec", _SEC
     ),
-    "stream_upsert": _two_polls(
-        """coordX::double AS coordX, event_id + 2000000000 AS linkId,
-        CASE WHEN event_id % 2 = 0 THEN endDate ELSE '' END AS endDate"""
-    ),
-    "stream_latest": _two_polls(
-        """strptime(startDate, '%Y%m%d%H%M%S') AS startDate,
-        event_id::double AS coordX, linkId::bigint AS linkId,
-        CASE WHEN event_id % 2 = 0
-          THEN strptime(endDate, '%Y%m%d%H%M%S') END AS endDate"""
-    ),
+    "stream_upsert": _MERGED_POLLS,
+    "load_merge": _MERGED_POLLS,
+    "stream_latest": _LATEST_POLLS,
+    "load_snapshot": _LATEST_POLLS,
     "dq_report": _DQ,
     "run_models": _DQ,
     "materialized_table": _SUMMARY,

@@ -21,7 +21,7 @@ from roadevents.fixtures import AS_OF, as_text, dirty_text, fields_with, traffic
 from roadevents.functions.text import stringify
 from roadevents.operators import dedup, merge
 from roadevents.operators.normalize import apply_null_markers, normalize, rejects
-from roadevents.plans import marts, models
+from roadevents.plans import loads, marts, models
 from roadevents.plans.rollup import reports_in_one_pass
 from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS
 from roadevents.session import shared_folder
@@ -260,10 +260,8 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     landing, path = shared_folder(spark, "csv"), shared_folder(spark, "refresh")
     raw = fields_with(as_text(traffic_events(spark, folder)), "event_id")
     for day, rest in (("2024-01-31", 0), ("2024-02-01", 1)):
-        poll = raw.where(_id() % 2 == rest).drop("event_id")
-        files.land_csv(poll, landing, day)
-        landed = csv_files.csv_by_position(spark, landing).drop("ingestion_date")
-        files.full_refresh(landed, path)
+        files.land_csv(raw.where(_id() % 2 == rest).drop("event_id"), landing, day)
+        loads.refresh_raw(spark, landing, path)
     return tables.table(spark, path)
 
 
@@ -309,6 +307,38 @@ def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.read_table(spark, path, upsert.CENTRAL_SCHEMA).drop("createdAt")
 
 
+def load_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    raw = as_text(traffic_events(spark, folder)).withColumn("coordX", _id().cast("string"))
+    landing, path = shared_folder(spark, "csv"), shared_folder(spark, "central")
+    still_open = raw.where(_id() % 3 != 0).withColumn("endDate", F.lit(""))
+    for day, poll in (("2024-01-31", still_open), ("2024-02-01", _revised(raw))):
+        files.land_csv(fields_with(poll), landing, day, mode="append")
+        loads.load_snapshot(spark, loads.day_folder(landing, day), path, stamp=_at(day))
+    return upsert.read_table(spark, path, upsert.CENTRAL_SCHEMA).drop("createdAt")
+
+
+def load_append(spark: SparkSession, folder: str) -> DataFrame:
+    raw = dirty_text(traffic_events(spark, folder))
+    zone, path = shared_folder(spark, "zone"), shared_folder(spark, "append")
+    for day, rest in (("2024-01-31", 0), ("2024-02-01", 1)):
+        responses = shared_folder(spark, "json")
+        _responses(raw.where(_id() % 2 == rest)).write.text(responses)
+        loads.load_append(spark, responses, zone, path, day, one_per_line=True)
+    return tables.table(spark, path)
+
+
+def load_merge(spark: SparkSession, folder: str) -> DataFrame:
+    raw = as_text(traffic_events(spark, folder)).withColumn(
+        "linkId", (_id() + 2000000000).cast("string")
+    )
+    landing = _land_two_polls(spark, raw)
+    zone, path = shared_folder(spark, "zone"), shared_folder(spark, "merged")
+    for day in ("2024-01-31", "2024-02-01"):
+        responses = loads.day_folder(landing, day)
+        loads.load_merge(spark, responses, zone, path, day, one_per_line=True)
+    return upsert.read_table(spark, path).drop("ingestion_timestamp")
+
+
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return models.report(models.build_models(traffic_events(spark, folder), as_of=AS_OF))
 
@@ -367,6 +397,9 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
     "stream_latest": stream_latest,
+    "load_snapshot": load_snapshot,
+    "load_append": load_append,
+    "load_merge": load_merge,
     "dq_report": dq_report,
     "run_models": run_models,
     "one_pass_reports": one_pass_reports,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,9 +54,15 @@ def land_parquet(
     _by_day(df, day, mode).parquet(path)
 
 
-def land_deduplicated(df: DataFrame, path: str, day: dt.date | str) -> None:
-    """First record per key and its ``unique_id`` as Parquet, replacing the day."""
-    land_parquet(with_unique_id(dedup_first(df)).drop("seq"), path, day)
+def land_deduplicated(
+    df: DataFrame, path: str, day: dt.date | str, order: Sequence[str] = ("seq",)
+) -> None:
+    """First record per key and its ``unique_id`` as Parquet, replacing the day.
+
+    The ``order`` columns are not stored.
+    """
+    first = with_unique_id(dedup_first(df, order=order))
+    land_parquet(first.drop(*order), path, day)
 
 
 def create_if_absent(
