@@ -28,6 +28,10 @@ DURATION_BANDS = (
 LONGEST_BAND = "24시간 이상"
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def as_of_column(as_of: AsOf = None) -> Column:
     """The instant open incidents are measured to; now unless given."""
     if as_of is None:
@@ -37,15 +41,31 @@ def as_of_column(as_of: AsOf = None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+def second_number(ts: Column) -> Column:
+    """Whole wall-clock seconds since 1970-01-01, rounded down."""
+    # The direct function is much cheaper but rounds towards 1970.
+    fields = (
+        F.unix_date(F.to_date(ts)).cast("bigint") * 86400
+        + F.hour(ts) * 3600
+        + F.minute(ts) * 60
+        + F.second(ts)
+    )
+    return F.when(ts >= _epoch(), F.unix_timestamp(ts)).otherwise(fields)
+
+
 def minute_number(ts: Column) -> Column:
-    """Whole wall-clock minutes since 1970-01-01."""
-    days = F.unix_date(F.to_date(ts)).cast("bigint")
-    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    """Whole wall-clock minutes since 1970-01-01, rounded down."""
+    return F.floor(second_number(ts) / 60)
 
 
-def second_number(ts: Column) -> Column:
-    """Whole wall-clock seconds since 1970-01-01."""
-    return minute_number(ts) * 60 + F.second(ts)
+def hour_number(ts: Column) -> Column:
+    """Whole wall-clock hours since 1970-01-01, rounded down."""
+    return F.floor(second_number(ts) / 3600)
+
+
+def hour_of_number(number: Column) -> Column:
+    """The timestamp at which an hour number starts."""
+    return _epoch() + F.make_dt_interval(hours=number.cast("int"))
 
 
 def minutes_between(start: Column, end: Column) -> Column:
@@ -70,8 +90,7 @@ def absolute_seconds(start: Column, end: Column) -> Column:
 
 def hour_start(ts: Column) -> Column:
     """The timestamp truncated to its hour."""
-    midnight = F.to_date(ts).cast("timestamp_ntz")
-    return midnight + F.make_dt_interval(hours=F.hour(ts))
+    return hour_of_number(hour_number(ts))
 
 
 def weekday_label(day_number: Column) -> Column:

@@ -86,9 +86,10 @@ def hourly_event_heatmap(
     events: DataFrame, *, max_rows: int | None = None, **_
 ) -> DataFrame:
     """Events per weekday and hour. ``startDate`` may be a timestamp or digit text."""
-    starts = events.select("startDate").where(text.not_blank(F.col("startDate")))
-    starts = cap_rows(starts, max_rows, "startDate")
-    if dict(events.dtypes)["startDate"] == "string":
+    is_text = dict(events.dtypes)["startDate"] == "string"
+    present = text.not_blank(F.col("startDate")) if is_text else F.col("startDate").isNotNull()
+    starts = cap_rows(events.select("startDate").where(present), max_rows, "startDate")
+    if is_text:
         starts = starts.select(text.digits(F.col("startDate")).alias("digits"))
         date = text.leading_date(F.col("digits"))
         hour = text.leading_hour(F.col("digits"))
@@ -140,11 +141,12 @@ def avg_duration_by_hour(
     events: DataFrame, *, as_of: times.AsOf = None, **_
 ) -> DataFrame:
     """Mean minutes per hour of start."""
-    return (
-        events.groupBy(times.hour_start(F.col("startDate")).alias("hour_block"))
-        .agg(_average(_minutes(as_of)).alias("avg_duration_min"))
-        .orderBy(*ascending("hour_block"))
+    means = events.groupBy(times.hour_number(F.col("startDate")).alias("hour")).agg(
+        _average(_minutes(as_of)).alias("avg_duration_min")
     )
+    return means.select(
+        times.hour_of_number(F.col("hour")).alias("hour_block"), "avg_duration_min"
+    ).orderBy(*ascending("hour_block"))
 
 
 def avg_duration_hours_by_road_type(events: DataFrame, **_) -> DataFrame:

@@ -22,16 +22,14 @@ def hourly_rollup(events: DataFrame, *, as_of: times.AsOf = None) -> DataFrame:
     measured = events.select(
         "type",
         "eventType",
-        F.to_date(start).alias("day"),
-        F.hour(start).alias("hour"),
+        times.hour_number(start).alias("hour_number"),
         times.incident_minutes(start, end, as_of).alias("minutes"),
         times.absolute_seconds(start, end).alias("seconds"),
     )
-    return measured.groupBy(
+    grouped = measured.groupBy(
         "type",
         "eventType",
-        "day",
-        "hour",
+        "hour_number",
         times.duration_band(F.col("minutes")).alias("duration_range"),
     ).agg(
         F.count("*").alias("events"),
@@ -42,6 +40,8 @@ def hourly_rollup(events: DataFrame, *, as_of: times.AsOf = None) -> DataFrame:
         F.sum("seconds").alias("seconds"),
         F.count("seconds").alias("closed"),
     )
+    hour_block = times.hour_of_number(F.col("hour_number"))
+    return grouped.withColumn("hour_block", hour_block).drop("hour_number")
 
 
 def _events(name: str) -> Column:
@@ -55,13 +55,15 @@ def _mean_minutes() -> Column:
 
 def reports(rollup: DataFrame) -> dict[str, DataFrame]:
     """The reports by name, each equal to its function in ``marts``."""
+    rollup = rollup.withColumns(
+        {"day": F.to_date("hour_block"), "hour": F.hour("hour_block")}
+    )
     dated = rollup.where(F.col("day").isNotNull())
     weekday = F.dayofweek("day")
     per_event_type = rollup.groupBy("eventType").agg(_events("event_count"))
     total = F.sum("event_count").over(Window.partitionBy())
     share = F.round(F.col("event_count") * F.lit(100).cast("decimal(4,1)") / total, 2)
     hours = F.try_divide(F.sum("seconds"), F.sum("closed")) / 3600.0
-    midnight = F.col("day").cast("timestamp_ntz")
     return {
         "event_type_summary": per_event_type.withColumn(
             "percentage", share.cast("double")
@@ -86,9 +88,7 @@ def reports(rollup: DataFrame) -> dict[str, DataFrame]:
         "avg_duration_by_type": rollup.groupBy("type", "eventType")
         .agg(_events("total_cnt"), _mean_minutes())
         .orderBy(*descending("avg_duration_min"), *ascending("type", "eventType")),
-        "avg_duration_by_hour": rollup.groupBy(
-            (midnight + F.make_dt_interval(hours=F.col("hour"))).alias("hour_block")
-        )
+        "avg_duration_by_hour": rollup.groupBy("hour_block")
         .agg(_mean_minutes())
         .orderBy(*ascending("hour_block")),
         "avg_duration_hours_by_road_type": rollup.where(F.col("type").isNotNull())

@@ -90,7 +90,9 @@ def csv_by_name(
 
     ``headers="uniform"`` expects one header for all files and fails if a file's
     header differs, rather than shifting its columns. ``headers="per_file"`` reads
-    each file by its own header; a file is then one unit of work, streamed in blocks.
+    each file by its own header; a file, of up to 2 GB, is then one unit of work,
+    converted block by block, and rows with a wrong number of values are marked in
+    ``_corrupt_record``.
     """
     if headers == "uniform":
         df = (

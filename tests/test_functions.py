@@ -24,6 +24,7 @@ def ts(text_value):
         ("2023-12-31 23:59:59.999", "2024-01-01 00:00:00", 1, 1),
         ("2024-01-01 09:05:00", "2024-01-01 09:00:00", -5, -300),
         ("1969-12-31 23:59:30", "1970-01-01 00:00:30", 1, 60),
+        ("1969-12-31 23:58:59.5", "1969-12-31 23:59:00.5", 1, 1),
         ("2024-02-28 00:00:00", "2024-03-01 00:00:00", 2880, 172800),
     ],
 )
@@ -53,6 +54,8 @@ def test_time_functions_do_not_depend_on_the_session_zone(spark, zone):
     try:
         gap = ts("2024-03-10 02:30:15")  # does not exist in New York
         assert value(spark, times.hour_start(gap)) == dt.datetime(2024, 3, 10, 2)
+        before_epoch = times.hour_start(ts("1969-12-31 22:59:59.9"))
+        assert value(spark, before_epoch) == dt.datetime(1969, 12, 31, 22)
         hours = times.minutes_between(ts("2024-03-10 01:30:00"), ts("2024-03-10 03:30:00"))
         assert value(spark, hours) == 120
         assert value(spark, text.to_timestamp14(F.lit("20240310023015"))) == dt.datetime(
