@@ -6,13 +6,13 @@ a new folder in the cluster's shared area.
 
 from __future__ import annotations
 
-import csv
 import io
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.csv as pacsv
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -222,11 +222,8 @@ def zip_csv(spark: SparkSession, folder: str) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = io.StringIO()
-            writer = csv.writer(text)
-            writer.writerow(FIELDS)
-            writer.writerows(row.values() for row in batch.to_pylist())
-            packed = io.BytesIO()
+            text, packed = io.BytesIO(), io.BytesIO()
+            pacsv.write_csv(batch, text)
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("events.csv", text.getvalue())
                 archive.writestr("readme.txt", "not an entry to load")

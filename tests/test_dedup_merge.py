@@ -146,6 +146,31 @@ def test_rows_without_a_complete_key_are_spread_over_tasks(spark):
     assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 1300
 
 
+def test_a_target_key_with_most_rows_is_split(spark):
+    target = spark.range(0, 60000, 1, 8).selectExpr(
+        "if(id % 3 > 0, 'hot', string(id)) startDate", "1L linkId", "uuid() v"
+    )
+    batch = spark.range(0, 60000, 3, 8).selectExpr("string(id) startDate", "1L linkId", "'n' v")
+    batch = batch.union(spark.createDataFrame([("hot", 1, "n")], SCHEMA))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        merged = merge_upsert(target, batch)
+        assert {r.v for r in merged.collect()} == {"n"}
+        executed = merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == 60000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in executed
+
+
 def test_repeated_batch_keys_are_refused(spark):
     batch = spark.createDataFrame([("s", 1, "a"), ("s", 1, "b")], SCHEMA)
     with pytest.raises(ValueError, match="several rows"):

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,27 @@ def test_joined_key_and_stringify(spark):
     frame = spark.sql("select 1 a, cast(null as int) b, 1.5D c")
     assert text.stringify(frame).collect() == [("1", None, "1.5")]
     assert {t for _, t in text.stringify(frame).dtypes} == {"string"}
+
+
+def test_durations_of_random_pairs(spark):
+    random.seed(7)
+    low, high = dt.datetime(1960, 1, 1), dt.datetime(2040, 1, 1)
+    span = int((high - low).total_seconds() * 1e6)
+    pairs = [
+        tuple(low + dt.timedelta(microseconds=random.randrange(span)) for _ in "ab")
+        for _ in range(2000)
+    ]
+    start, end = F.col("start"), F.col("end")
+    rows = spark.createDataFrame(pairs, "start timestamp_ntz, end timestamp_ntz").select(
+        "start",
+        "end",
+        times.minutes_between(start, end).alias("minutes"),
+        times.seconds_between(start, end).alias("seconds"),
+        times.hour_start(start).alias("hour"),
+    )
+    for row in rows.collect():
+        clipped = [t.replace(second=0, microsecond=0) for t in (row.start, row.end)]
+        assert row.minutes == (clipped[1] - clipped[0]) / dt.timedelta(minutes=1)
+        clipped = [t.replace(microsecond=0) for t in (row.start, row.end)]
+        assert row.seconds == (clipped[1] - clipped[0]).total_seconds()
+        assert row.hour == row.start.replace(minute=0, second=0, microsecond=0)
