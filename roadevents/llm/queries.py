@@ -7,16 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadevents.llm.common import table
+from roadevents.llm.fingerprints import near_after_edit
 from roadevents.llm.language_id import identify_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return near_after_edit(table(spark, folder, "documents"))
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_held_out(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op8_language_id": op8_language_id,
 }
 
