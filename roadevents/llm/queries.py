@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadevents.llm import chat, licenses, sql
 from roadevents.llm.common import table
 from roadevents.llm.fingerprints import near_after_edit
+from roadevents.llm.packing import pack_documents
 from roadevents.llm.language_id import identify_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"))
+
+
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return near_after_edit(table(spark, folder, "documents"))
 
@@ -35,6 +40,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_language_id": op8_language_id,
