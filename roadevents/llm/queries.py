@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roadevents.llm import chat, licenses, sql
 from roadevents.llm.common import table
+from roadevents.llm.shards import materialise_documents
 from roadevents.llm.fingerprints import near_after_edit
+from roadevents.llm.decontaminate import contaminated
 from roadevents.llm.packing import pack_documents
 from roadevents.llm.language_id import identify_held_out
 
@@ -23,6 +25,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return near_after_edit(table(spark, folder, "documents"))
 
@@ -38,12 +44,18 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_held_out(table(spark, folder, "documents"))
 
 
+def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return materialise_documents(table(spark, folder, "documents")).manifest
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_language_id": op8_language_id,
+    "op10_token_shards": op10_token_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {
