@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadevents.llm import chat, licenses, sql
+from roadevents.llm import chat, hmm, licenses, sql
 from roadevents.llm.common import table
 from roadevents.llm.shards import materialise_documents
 from roadevents.llm.fingerprints import near_after_edit
 from roadevents.llm.decontaminate import contaminated
 from roadevents.llm.packing import pack_documents
-from roadevents.llm.language_id import identify_held_out
+from roadevents.llm.language_id import identify_held_out, is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,11 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_held_out(table(spark, folder, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return hmm.score(docs.withColumn("held_out", is_held_out(F.col("doc_id"), 5, 1)))
+
+
 def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return materialise_documents(table(spark, folder, "documents")).manifest
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_language_id": op8_language_id,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_token_shards": op10_token_shards,
 }
 
