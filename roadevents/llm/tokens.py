@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import re
+import struct
 
 import numpy as np
 import public_tokenizers
@@ -13,27 +15,63 @@ WORD_BPE = "word_bpe_49k.json"
 KEPT_WORDS = 400_000
 
 
+# Lower-case letters of ASCII and Latin-1, perhaps with a stop or comma after them: such a
+# word is one pre-token, or two, and no normaliser changes it.
+_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The visible character that byte-level models use for each byte above ASCII.
+
+    Bytes that are no visible Latin-1 characters take the code points from 256 on, after
+    the 33 control characters and the space and DEL among ASCII bytes.
+    """
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)}
+
+
 class Encoder:
     """Ids of a word-wise tokenizer, which never joins characters across white space.
 
     So the ids of a text are those of its parts between spaces and line ends, and each
-    part is encoded once while it stays in the cache.
+    part is encoded once while it stays in the cache. The tokenizer lower-cases; doing so
+    for A-Z beforehand makes for fewer parts.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = _byte_letters()
+        self.stops = {c: self._whole([c])[0] for c in ".,"} | {"": b""}
         self.known: dict[str, bytes] = {}
 
+    def _whole(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(own.ids, "<u4").tobytes() for own in found]
+
     def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, own in zip(part, found, strict=True):
-                self.known[word] = np.array(own.ids, "<u4").tobytes()
+        pieces, odd = self.tokenizer.model.tokenize, []
+        for word in new:
+            plain = _PLAIN.fullmatch(word)
+            if not plain:
+                odd.append(word)
+                continue
+            letters, stop = plain.groups()
+            if not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(self.letters)
+            ids = [p.id for p in pieces(letters)]
+            self.known[word] = struct.pack(f"<{len(ids)}I", *ids) + self.stops[stop]
+        for at in range(0, len(odd), 10_000):
+            part = odd[at : at + 10_000]
+            self.known.update(zip(part, self._whole(part), strict=True))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = []
+        for text in texts:
+            # Where a special token's spelling may stand, case matters.
+            if "<|" not in text:
+                text = text.encode().lower().decode()
+            split.append(text.replace("\n", " ").split(" "))
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
         words = set().union(*split) if split else set()

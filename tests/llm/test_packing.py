@@ -27,7 +27,8 @@ def test_ids_equal_the_tokenizers(tokenizer, spark):
     dice = random.Random(1)
     odd = "ab Éé́̀  \t\n\r\x1c\x85' 'sS'LLßΣς ½①²٣7<|endoftext|>İ​漢字🙂\x00"
     texts = ["".join(dice.choices(odd, k=dice.randint(0, 40))) for _ in range(3000)]
-    texts += ["<|endoftext|> a<|startoftext|>", "<|end oftext|>", "A  b", "don't 'll x'Re"]
+    texts += ["".join(dice.choices("abzßéüÿàö×÷ÉÜA.,", k=dice.randint(1, 12))) for _ in range(4000)]
+    texts += ["<|endoftext|> a<|startoftext|>", "<|ENDOFTEXT|>", "<|end oftext|>", "A  b", "don't 'll x'Re"]
     docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
     texts += [r["text"] for r in docs.select("text").collect()]
     found = encoder().ids(texts)
