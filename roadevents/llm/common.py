@@ -39,9 +39,36 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, no lineage."""
-    path = shared_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession, purpose).write(df, "table")
+
+
+class Scratch:
+    """Tables of intermediate data under one new path in the shared folder."""
+
+    # Shuffle files of a finished write are of no more use.
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.path = spark, shared_path(spark, purpose)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` computed once and read back."""
+        path, before = f"{self.path}/{name}", self.spark.conf.get(self.CLEANUP, None)
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(self.CLEANUP)
+            else:
+                self.spark.conf.set(self.CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Removes tables that nothing reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def steps(

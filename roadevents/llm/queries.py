@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadevents.llm import chat, hmm, licenses, sql
 from roadevents.llm.common import table
+from roadevents.llm.suffixes import dedup_report
 from roadevents.llm.shards import materialise_documents
 from roadevents.llm.fingerprints import near_after_edit
 from roadevents.llm.decontaminate import contaminated
@@ -30,6 +31,10 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_report(table(spark, folder, "documents"))
+
+
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return near_after_edit(table(spark, folder, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_language_id": op8_language_id,
