@@ -2,24 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from roadevents.llm.common import table, written
+from roadevents.llm.decontaminate import uncontaminated
 from roadevents.llm.language_id import UNKNOWN, identify, is_held_out, train
+from roadevents.llm.near_duplicates import near_duplicates
+from roadevents.llm.packing import pack_documents
+from roadevents.llm.suffixes import deduplicated
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents in no language: those without a letter or text."""
-    from pyspark.sql import functions as F
-
+    """Without documents in no language: those without text, or without a letter in it."""
     labelled = table(spark, sf_dir, "documents")
     profiles = train(labelled.where(~is_held_out(F.col("doc_id"))))
-    found = identify(docs, profiles, keep=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = identify(docs, profiles, keep=tuple(docs.columns), pred="__lang", score="__score")
+    return found.where(F.col("__lang") != UNKNOWN).select(*columns)
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group that links connect: that of the smallest doc_id.
+
+    Of equal rows one stays. Documents without words are linked with nothing and stay.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = found.select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    numbered = kept.withColumn("__copy", F.row_number().over(same))
+    return numbered.where(F.col("__copy") == 1).select(*columns)
+
+
+def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without what also starts earlier; texts of which nothing is left go."""
+    columns = {c: F.col(f"`{c}`") for c in docs.columns}
+    columns["text"] = F.when(F.col("text").isNotNull(), F.col("kept_text")).alias("text")
+    columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    found = deduplicated(docs, keep=tuple(docs.columns))
+    left = (F.size("spans") == 0) | (F.col("kept_text") != "")
+    return found.where(left).select(*columns.values())
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that cover a benchmark item."""
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as token sequences."""
+    return pack_documents(docs)
 
 
-STAGES = [("language_id", language)]
+STAGES = [
+    ("language_id", language),
+    ("near_duplicates", near_duplicate),
+    ("suffix_dedup", repeated_text),
+    ("decontamination", decontaminated),
+    ("packing", packed),
+]
 
+# Tokenisation and the profiles are out of SQL's reach.
 ORACLE_SQL = None
 
 

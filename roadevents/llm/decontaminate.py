@@ -92,37 +92,46 @@ class _Items:
         self.values, self.owner, self.start = value[order], owner[order], start[order]
 
 
+def _covering(words: np.ndarray, items: _Items, shortest: int, threshold: float):
+    """Each item that the document covers: its number and tiles."""
+    own = seeds(words, shortest)
+    low = np.searchsorted(items.values, own, "left")
+    hits = np.flatnonzero(items.values[np.minimum(low, len(items.values) - 1)] == own)
+    if not len(hits):
+        return
+    shared: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    high = np.searchsorted(items.values, own[hits], "right")
+    for j, a, b in zip(hits.tolist(), low[hits].tolist(), high.tolist(), strict=True):
+        for k in range(a, b):
+            shared[int(items.owner[k])].append((int(items.start[k]), j))
+    doc = words.tolist()
+    for owner, pairs in shared.items():
+        item = items.rows[owner][1]
+        # No tiling covers more of the item than its shared seeds do.
+        reach = np.zeros(len(item) + 1, np.int64)
+        for i in {i for i, _ in pairs}:
+            reach[i] += 1
+            reach[i + shortest] -= 1
+        if (np.cumsum(reach)[:-1] > 0).sum() < threshold * len(item):
+            continue
+        tiles = tile(item, doc, pairs, shortest)
+        if sum(n for _, _, n in tiles) >= threshold * len(item):
+            yield owner, tiles
+
+
 def _found(
-    batches: Iterator[pa.RecordBatch], items: _Items, shortest: int, threshold: float, arrow: pa.Schema
+    batches: Iterator[pa.RecordBatch],
+    items: _Items,
+    shortest: int,
+    threshold: float,
+    arrow: pa.Schema,
 ):
     for batch in steps(batches, "__text"):
         out: dict[str, list] = {name: [] for name in arrow.names}
-        texts = batch.column("__text").to_pylist()
-        for row, words in enumerate(word_ids(texts)):
-            own = seeds(words, shortest)
-            low = np.searchsorted(items.values, own, "left")
-            hits = np.flatnonzero(items.values[np.minimum(low, len(items.values) - 1)] == own)
-            if not len(hits):
-                continue
-            shared: dict[int, list[tuple[int, int]]] = defaultdict(list)
-            high = np.searchsorted(items.values, own[hits], "right")
-            for j, a, b in zip(hits.tolist(), low[hits].tolist(), high.tolist(), strict=True):
-                for k in range(a, b):
-                    shared[int(items.owner[k])].append((int(items.start[k]), j))
-            doc = words.tolist()
-            for owner, pairs in shared.items():
+        for row, words in enumerate(word_ids(batch.column("__text").to_pylist())):
+            for owner, tiles in _covering(words, items, shortest, threshold):
                 item_id, item = items.rows[owner]
-                # No tiling covers more of the item than its shared seeds do.
-                reach = np.zeros(len(item) + 1, np.int64)
-                for i in {i for i, _ in pairs}:
-                    reach[i] += 1
-                    reach[i + shortest] -= 1
-                if (np.cumsum(reach)[:-1] > 0).sum() < threshold * len(item):
-                    continue
-                tiles = tile(item, doc, pairs, shortest)
                 covered = sum(n for _, _, n in tiles)
-                if covered < threshold * len(item):
-                    continue
                 for name, column in zip(batch.schema.names[:-1], batch.columns, strict=False):
                     out[name].append(column[row].as_py())
                 out["item_id"].append(item_id)
@@ -185,3 +194,31 @@ def contaminated(
         )
         result = result.unionByName(part)
     return result
+
+
+def uncontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    shortest: int = SHORTEST,
+    threshold: float = THRESHOLD,
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that no item of the benchmark covers.
+
+    As ``contaminated`` decides; rows without text stay.
+    """
+
+    def clean(batches: Iterator[pa.RecordBatch], items: _Items):
+        for batch in steps(batches, text):
+            found = word_ids(batch.column(text).to_pylist())
+            free = [not any(_covering(w, items, shortest, threshold)) for w in found]
+            yield batch.filter(pa.array(free, pa.bool_()))
+
+    known = benchmark.select(F.col("item_id").cast("long"), "text").where(F.col("text").isNotNull())
+    for block in _blocks(known, block_words):
+        items = _Items(block, shortest)
+        if len(items.values):
+            shared = docs.sparkSession.sparkContext.broadcast(items)
+            docs = docs.mapInArrow(lambda b, shared=shared: clean(b, shared.value), docs.schema)
+    return docs

@@ -24,6 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadevents.llm.bitmaps import BitMap
 from roadevents.llm.common import Scratch, mix64, steps
 
 LENGTH = 100
@@ -32,9 +33,6 @@ BLOCK = 8
 # Window starts that one step looks at; place numbers take PLACE_BITS of an identifier.
 STARTS = 1 << 20
 PLACE_BITS = 24
-# Bits of the maps that tell tasks which buckets may have several members. A map only
-# spares work: what it lets through by chance is a bucket of one.
-MAP_BITS = 27
 
 BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
 MEMBER = "key bigint, id binary, doc_id bigint, doc_hash bigint, start bigint, n bigint"
@@ -78,36 +76,6 @@ def anchors(
     return tuple(np.concatenate(x) for x in (keys, places, first, last))
 
 
-def _slots(keys: np.ndarray) -> np.ndarray:
-    """A place in a map of 2 ** MAP_BITS bits."""
-    return (mix64(keys.view(np.uint64)) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-
-
-class _Map:
-    """The bits of a map as the tasks get it: at most 2 ** MAP_BITS of them."""
-
-    def __init__(self, keys: DataFrame):
-        def slots(batches: Iterator[pa.RecordBatch]):
-            for batch in batches:
-                # Bitmaps number the values from 1 on.
-                slot = _slots(batch.column(0).to_numpy()) + 1
-                yield pa.record_batch([pa.array(slot)], names=["slot"])
-
-        found = keys.mapInArrow(slots, "slot bigint")
-        parts = found.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
-        )
-        self.bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
-        for row in parts.toLocalIterator():
-            own = np.frombuffer(row["bits"], np.uint8)
-            at = (row["bucket"] - 1) * len(own)
-            self.bits[at : at + len(own)] = own
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        slots = _slots(keys)
-        return (self.bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
-
-
 def _spots(doc_id: int, doc_hash: int, places: np.ndarray) -> np.ndarray:
     """A number for each place of a document."""
     seed = mix64(np.array([doc_id, doc_hash], np.int64).view(np.uint64))
@@ -166,7 +134,7 @@ def _signed(value: np.uint64 | int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _members(batches: Iterator[pa.RecordBatch], repeated: _Map, schema: pa.Schema):
+def _members(batches: Iterator[pa.RecordBatch], repeated: BitMap, schema: pa.Schema):
     """The anchors in buckets of several, each with the run of its strings."""
     rows, digest = _Rows(schema), xxhash.xxh3_128_digest
     for doc_id, doc_hash, data, (keys, places, first, last) in _documents(batches):
@@ -191,7 +159,7 @@ CONTEXT = (
 )
 
 
-def _contexts(batches: Iterator[pa.RecordBatch], wanted: _Map, schema: pa.Schema):
+def _contexts(batches: Iterator[pa.RecordBatch], wanted: BitMap, schema: pa.Schema):
     """The bytes around the anchors whose runs must be split."""
     rows = _Rows(schema)
     for doc_id, doc_hash, data, (keys, places, first, last) in _documents(batches):
@@ -278,7 +246,7 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     broadcast = docs.sparkSession.sparkContext.broadcast
     rows = keyed(docs, text)
     keys = rows.mapInArrow(_keys, "key bigint").groupBy("key").count()
-    repeated = broadcast(_Map(keys.where("count > 1").select("key")))
+    repeated = broadcast(BitMap(keys.where("count > 1").select("key")))
 
     ddl = f"{MEMBER}, place bigint"
     arrow = _arrow(ddl)
@@ -294,7 +262,7 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
             )
             yield pa.record_batch([pa.array(own.view(np.int64))], names=["spot"])
 
-    wanted = broadcast(_Map(open_.select(*DOC, "place").mapInArrow(spots, "spot bigint")))
+    wanted = broadcast(BitMap(open_.select(*DOC, "place").mapInArrow(spots, "spot bigint")))
     ddl = CONTEXT.removeprefix("rep bigint, ")
     arrow_contexts = _arrow(ddl)
     contexts = rows.mapInArrow(lambda b: _contexts(b, wanted.value, arrow_contexts), ddl)
@@ -343,7 +311,11 @@ def removed(n_bytes: int, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def deduplicated(
     docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """Columns ``keep`` of every row, ``kept`` (binary) and ``spans``, what was removed.
+    """Columns ``keep`` of every row, what is kept of its bytes, and what was removed.
+
+    Three columns follow the kept ones: ``kept`` (binary), ``kept_text`` (the same as
+    text, without characters that were cut through) and ``spans``, the starts and ends of
+    the removed stretches.
 
     Every byte in a string of LENGTH bytes that also starts earlier goes: in a document of
     smaller doc_id, or earlier in the same. Rows of one doc_id rank by a hash of their
@@ -382,6 +354,7 @@ def deduplicated(
         [
             rows.schema["kept"],
             T.StructField("bytes", T.BinaryType()),
+            T.StructField("clean", T.StringType()),
             T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
         ]
     )
@@ -404,15 +377,17 @@ def deduplicated(
                 [
                     batch.column("kept"),
                     pa.array(texts, pa.binary()),
+                    pa.array([t.decode(errors="ignore") for t in texts], pa.string()),
                     pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                 ],
-                names=["kept", "bytes", "spans"],
+                names=["kept", "bytes", "clean", "spans"],
             )
 
     found = joined.mapInArrow(cut, out)
     return found.select(
         *[F.col(f"kept.c{i}").alias(c) for i, c in enumerate(keep)],
         F.col("bytes").alias("kept"),
+        F.col("clean").alias("kept_text"),
         "spans",
     )
 

@@ -86,6 +86,12 @@ def test_all_pairs(spark, block_words):
     b = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, doc_id long")
     got = dc.contaminated(d, b, block_words=block_words)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, expected(docs, items)))
+    hit = {(r[0], r[1]) for r in docs for x in expected([r], items)}
+    kept = dc.uncontaminated(d, b, block_words=block_words)
+    assert kept.columns == d.columns
+    left = sorted(repr(tuple(r)[:2]) for r in kept.collect())
+    assert left == sorted(repr(r) for r in docs if r not in hit)
+    assert dc.uncontaminated(d, b.limit(0)).count() == len(docs)
     assert dc.contaminated(d, b.limit(0)).count() == 0
     assert dc.contaminated(d.limit(0), b).count() == 0
     with pytest.raises(ValueError, match="clash"):
