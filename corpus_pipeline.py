@@ -39,10 +39,14 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what also starts earlier; texts of which nothing is left go."""
     columns = {c: F.col(f"`{c}`") for c in docs.columns}
-    columns["text"] = F.when(F.col("text").isNotNull(), F.col("kept_text")).alias("text")
-    columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    found = deduplicated(docs, keep=tuple(docs.columns))
-    left = (F.size("spans") == 0) | (F.col("kept_text") != "")
+    columns["text"] = F.when(~F.col("__null"), F.col("__text")).alias("text")
+    if "n_chars" in columns:
+        size = F.length(columns["text"]).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = size.alias("n_chars")
+    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
+    marked = docs.withColumn("__null", F.col("text").isNull())
+    found = deduplicated(marked, keep=(*rest, "__null"), names=("__kept", "__text", "__spans"))
+    left = (F.size("__spans") == 0) | (F.col("__text") != "")
     return found.where(left).select(*columns.values())
 
 

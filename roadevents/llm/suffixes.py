@@ -309,19 +309,24 @@ def removed(n_bytes: int, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def deduplicated(
-    docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    names: tuple[str, str, str] = ("kept", "kept_text", "spans"),
 ) -> DataFrame:
     """Columns ``keep`` of every row, what is kept of its bytes, and what was removed.
 
     Three columns follow the kept ones: ``kept`` (binary), ``kept_text`` (the same as
     text, without characters that were cut through) and ``spans``, the starts and ends of
-    the removed stretches.
+    the removed stretches. ``names`` gives them other names.
 
     Every byte in a string of LENGTH bytes that also starts earlier goes: in a document of
     smaller doc_id, or earlier in the same. Rows of one doc_id rank by a hash of their
     text; equal rows count as one document, so neither removes the other, and each is
     reported. A null doc_id ranks first. Null text is empty.
     """
+    if set(names) & set(keep):
+        raise ValueError("kept columns clash with the result's")
     runs = repeated_strings(docs, text)
     gathered = runs.groupBy(*DOC).agg(F.collect_list(F.array("start", "n")).alias("runs"))
     kept = [F.col(f"`{c}`") for c in keep]
@@ -386,9 +391,7 @@ def deduplicated(
     found = joined.mapInArrow(cut, out)
     return found.select(
         *[F.col(f"kept.c{i}").alias(c) for i, c in enumerate(keep)],
-        F.col("bytes").alias("kept"),
-        F.col("clean").alias("kept_text"),
-        "spans",
+        *[F.col(c).alias(n) for c, n in zip(("bytes", "clean", "spans"), names, strict=True)],
     )
 
 
