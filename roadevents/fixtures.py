@@ -22,7 +22,7 @@ def _choose(value: Column, choices: dict) -> Column:
     return F.coalesce(*picked)
 
 
-def traffic_events(spark: SparkSession, folder: str) -> DataFrame:
+def incident_events(spark: SparkSession, folder: str) -> DataFrame:
     """Typed incidents, one per source event, with ``event_id`` as an extra column."""
     source = spark.read.parquet(f"{folder}/events.parquet")
     user, number = F.col("user_id"), F.col("event_id")

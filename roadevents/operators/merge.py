@@ -47,6 +47,27 @@ def without_replayed(
     return batch.where(~incomplete).unionByName(fresh)
 
 
+def without_late(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    recency: Sequence[str],
+) -> DataFrame:
+    """The batch less its rows whose key the target holds in a more recent form.
+
+    ``recency`` are columns of both, compared in their order. Rows without a complete
+    key match nothing and stay.
+    """
+    incomplete = _incomplete(keys)
+    held = target.select(
+        *[F.col(k).alias(f"_held_{k}") for k in keys], F.struct(*recency).alias("_held")
+    )
+    same_key = reduce(and_, [F.col(k) == F.col(f"_held_{k}") for k in keys])
+    late = same_key & (F.col("_held") > F.struct(*recency))
+    fresh = batch.where(~incomplete).join(held, late, "left_anti")
+    return fresh.unionByName(batch.where(incomplete))
+
+
 def merge_upsert(
     target: DataFrame,
     batch: DataFrame,

@@ -1,8 +1,8 @@
-"""Sort orders and row caps with the warehouse's placing of nulls."""
+"""Sort orders with the warehouse's placing of nulls."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -14,10 +14,3 @@ def descending(*names: str) -> list[Column]:
 def ascending(*names: str) -> list[Column]:
     """Smallest first, nulls after everything."""
     return [F.asc_nulls_last(n) for n in names]
-
-
-def cap_rows(df: DataFrame, max_rows: int | None, *order: str) -> DataFrame:
-    """The first ``max_rows`` rows in the given order; all rows when it is None."""
-    if max_rows is None:
-        return df
-    return df.orderBy(*ascending(*order)).limit(max_rows)

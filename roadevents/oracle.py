@@ -77,6 +77,8 @@ _SEC = """sec AS (
   FROM ev
 )"""
 
+# The events of the second poll; with the first poll's (event_id % 3 <> 0) all are read.
+_AGAIN = "(event_id % 2 = 0 OR event_id % 3 = 0)"
 _REVISED = "concat_ws('/', eventType, '변경') AS eventType"
 _MINUTES = (
     "date_diff('minute', startDate, coalesce(endDate, timestamp '2024-02-01 00:00:00'))"
@@ -105,7 +107,7 @@ _SNAPSHOT = _sql(
         FROM nulled WHERE event_id % 3 <> 0
         UNION ALL
         SELECT * REPLACE ({_REVISED}), timestamp '2024-02-01 00:00:00'
-        FROM nulled WHERE event_id % 2 = 0))
+        FROM nulled WHERE {_AGAIN}))
     WHERE rn = 1""",
     """nulled AS (SELECT * REPLACE (
       CASE WHEN event_id % 10 <> 0 THEN coordX END AS coordX) FROM ev)""",
@@ -131,7 +133,7 @@ def _merge(target: str) -> str:
         """base AS (SELECT * REPLACE (
           CASE WHEN event_id % 13 <> 0 THEN linkId END AS linkId) FROM ev)""",
         f"t AS ({target})",
-        f"b AS (SELECT * REPLACE ({_REVISED}) FROM base WHERE event_id % 2 = 0)",
+        f"b AS (SELECT * REPLACE ({_REVISED}) FROM base WHERE {_AGAIN})",
     )
 
 
@@ -172,38 +174,82 @@ def _text_dates(road_number: str) -> str:
 
 
 def _two_polls(replaced: str) -> str:
-    """Even events as revised by the second poll, the others as first polled."""
+    """Events as revised by the second poll, those it leaves out as first polled."""
     return _sql(
         f"""SELECT {_FIELDS} FROM (
           SELECT * REPLACE ({replaced}, coordY::double AS coordY,
             roadNo::bigint AS roadNo,
-            CASE WHEN event_id % 2 = 0 THEN concat_ws('/', eventType, '변경')
+            CASE WHEN {_AGAIN} THEN concat_ws('/', eventType, '변경')
               ELSE eventType END AS eventType)
-          FROM txt WHERE event_id % 2 = 0 OR event_id % 3 <> 0)""",
+          FROM txt)""",
         _TXT,
     )
 
 
 _MERGED_POLLS = _two_polls(
-    """coordX::double AS coordX, event_id + 2000000000 AS linkId,
-    CASE WHEN event_id % 2 = 0 THEN endDate ELSE '' END AS endDate"""
+    f"""coordX::double AS coordX, event_id + 2000000000 AS linkId,
+    CASE WHEN {_AGAIN} THEN endDate ELSE '' END AS endDate"""
 )
 
 _LATEST_POLLS = _two_polls(
-    """strptime(startDate, '%Y%m%d%H%M%S') AS startDate,
+    f"""strptime(startDate, '%Y%m%d%H%M%S') AS startDate,
     event_id::double AS coordX, linkId::bigint AS linkId,
-    CASE WHEN event_id % 2 = 0
+    CASE WHEN {_AGAIN}
       THEN strptime(endDate, '%Y%m%d%H%M%S') END AS endDate"""
 )
 
 
+def _reports() -> str:
+    """The nine reports' values, from the events themselves."""
+    bands = """CASE WHEN m < 30 THEN '00~30분' WHEN m < 60 THEN '30~60분'
+      WHEN m < 120 THEN '1~2시간' WHEN m < 240 THEN '2~4시간'
+      WHEN m < 1440 THEN '4~24시간' ELSE '24시간 이상' END"""
+    mean = "round(sum(m)::double / count(m), 6)"
+    day, number = "startDate::date", "(dayofweek(startDate) + 1)::varchar"
+    label = "['일', '월', '화', '수', '목', '금', '토'][dayofweek(startDate) + 1]"
+    hours = "round(sum(s)::double / count(s) / 3600.0::double, 6)"
+    share = "round(count(*) * 100.0 / (SELECT count(*) FROM ev), 2)::double"
+    null = "NULL"
+    rows = [
+        ("event_type_summary", "e", "count(*)", null, null, null, share, "true"),
+        ("daily_event_count", f"coalesce({day}::varchar, '-')", "count(*)", null, null, null, null, "true"),
+        (
+            "hourly_event_heatmap", f"{label} || '|' || hour(startDate) || '|' || {number}",
+            "count(*)", null, null, null, null, "startDate IS NOT NULL",
+        ),
+        (
+            "weekday_event_count", f"strftime(startDate, '%a') || '|' || {number}",
+            "count(*)", null, null, null, null, "startDate IS NOT NULL",
+        ),
+        ("avg_duration_by_type", "t || '|' || e", "count(*)", mean, null, null, null, "true"),
+        (
+            "avg_duration_by_hour", "coalesce(date_trunc('hour', startDate)::varchar, '-')",
+            null, mean, null, null, null, "true",
+        ),
+        ("avg_duration_hours_by_road_type", "t", null, hours, null, null, null, "type IS NOT NULL"),
+        ("duration_buckets", bands, "count(*)", null, null, null, null, "true"),
+        ("event_type_duration_stats", "e", "count(*)", mean, "min(m)", "max(m)", null, "true"),
+    ]
+    parts = [
+        f"""SELECT '{name}' AS model, {key} AS key, {events}::bigint AS events,
+          {average}::double AS mean, {least}::bigint AS least, {most}::bigint AS most,
+          {part}::double AS share
+        FROM timed WHERE {where} GROUP BY {key}"""
+        for name, key, events, average, least, most, part, where in rows
+    ]
+    timed = f"""timed AS (
+      SELECT *, coalesce(type, '-') AS t, coalesce(eventType, '-') AS e, {_MINUTES} AS m,
+        abs(date_diff('second', startDate, endDate)) AS s FROM ev)"""
+    return _sql(" UNION ALL ".join(parts), timed)
+
+
 ORACLE_SQL: dict[str, str] = {
-    "src_traffic_events": _sql("SELECT * FROM ev"),
+    "src_events": _sql("SELECT * FROM ev"),
     "stg_event_info": _sql(
         "SELECT eventType, eventDetailType, startDate, endDate, coordX, coordY FROM ev"
     ),
     "event_type_summary": _SUMMARY,
-    "traffic_by_road_type": _sql(
+    "events_by_road_type": _sql(
         """SELECT type AS road_type, count(*) AS total_events,
           count(DISTINCT roadName) AS total_roads,
           count(DISTINCT startDate::date) AS active_days,
@@ -214,11 +260,6 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT startDate::date AS event_date, count(*) AS event_count
         FROM ev GROUP BY event_date"""
     ),
-    "daily_event_count_capped": _sql(
-        """SELECT startDate::date AS event_date, count(*) AS event_count
-        FROM (SELECT startDate FROM ev ORDER BY startDate LIMIT 5000)
-        GROUP BY event_date"""
-    ),
     "hourly_event_heatmap": _sql(
         """SELECT ['일', '월', '화', '수', '목', '금', '토'][weekday_order] AS weekday,
           hour, event_count, weekday_order
@@ -279,7 +320,7 @@ ORACLE_SQL: dict[str, str] = {
           nullif(linkId, 'NULL') AS linkId) FROM dirty"""
     ),
     "stringify": _sql(
-        """SELECT COLUMNS(* EXCLUDE (startDate, endDate))::varchar FROM ev"""
+        "SELECT COLUMNS(*)::varchar FROM ev"
     ),
     "dedup_first": _sql(
         """SELECT * EXCLUDE (rn) FROM (
@@ -330,7 +371,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "parquet_by_name": _sql(f"SELECT {_FIELDS} FROM sec", _SEC),
     "zip_csv": _sql(
-        f"""SELECT {_FIELDS}, 'events.zip' AS archive, 'events.csv' AS entry
+        f"""SELECT {_FIELDS}, 'zip' AS archive, 'events.csv' AS entry
         FROM sec""",
         _SEC,
     ),
@@ -340,7 +381,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "append_load": _sql(
         f"""SELECT * FROM ev WHERE event_id % 3 <> 0
-        UNION ALL SELECT * REPLACE ({_REVISED}) FROM ev WHERE event_id % 2 = 0"""
+        UNION ALL SELECT * REPLACE ({_REVISED}) FROM ev WHERE {_AGAIN}"""
     ),
     "full_refresh": _sql(f"SELECT {_FIELDS} FROM txt", _TXT),
     "stream_ingest": _sql(
@@ -353,22 +394,39 @@ ORACLE_SQL: dict[str, str] = {
     "dq_report": _DQ,
     "run_models": _DQ,
     "materialized_table": _SUMMARY,
-    "one_pass_reports": _sql(
-        f"""SELECT model, count(*) AS "rows", sum(n)::bigint AS events FROM (
-          SELECT 'event_type_summary' AS model, count(*) AS n FROM ev GROUP BY eventType
-          UNION ALL
-          SELECT 'daily_event_count', count(*) FROM ev GROUP BY startDate::date
-          UNION ALL
-          SELECT 'hourly_event_heatmap', count(*) FROM ev
-          GROUP BY dayofweek(startDate), hour(startDate)
-          UNION ALL
-          SELECT 'weekday_event_count', count(*) FROM ev GROUP BY dayofweek(startDate)
-          UNION ALL
-          SELECT 'duration_buckets', count(*)
-          FROM (SELECT {_MINUTES} AS m FROM ev)
-          GROUP BY m < 30, m < 60, m < 120, m < 240, m < 1440
-          UNION ALL
-          SELECT 'event_type_duration_stats', count(*) FROM ev GROUP BY eventType)
-        GROUP BY model"""
+    "one_pass_reports": _reports(),
+    "temporary_like": _sql("SELECT * FROM ev"),
+    "persistent_view": _sql(
+        "SELECT eventType, eventDetailType, startDate, endDate, coordX, coordY FROM ev"
+    ),
+    "load_archives": _sql(
+        f"SELECT {_FIELDS}, date '2024-02-01' AS ingestion_date FROM sec", _SEC
+    ),
+    "load_snapshot_bad_rows": _sql(
+        """SELECT startDate,
+          CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN linkId END AS linkId,
+          CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN ''
+            ELSE 'column_count' END AS reason
+        FROM sec""",
+        _SEC,
+    ),
+    "hourly_event_heatmap_text": _clean(
+        """SELECT ['일', '월', '화', '수', '목', '금', '토'][weekday_order] AS weekday,
+          hour, count(*) AS event_count, weekday_order
+        FROM (
+          SELECT (dayofweek(CASE WHEN length(d) >= 8
+              THEN try_strptime(d[1:8], '%Y%m%d') END) + 1)::int AS weekday_order,
+            CASE WHEN length(d) >= 10 THEN try_cast(d[9:10] AS int) END AS hour
+          FROM (
+            SELECT regexp_replace(s, '[^0-9]', '', 'g') AS d FROM (
+              SELECT CASE WHEN event_id % 41 = 0 THEN '  '
+                WHEN event_id % 43 = 0 THEN startDate[1:8]
+                WHEN event_id % 47 = 0
+                  THEN concat_ws('-', startDate[1:4], startDate[5:6], startDate[7:14])
+                WHEN event_id % 53 = 0 THEN startDate[1:8] || (event_id % 76 + 24)
+                ELSE startDate END AS s
+              FROM dirty)
+            WHERE s IS NOT NULL AND trim(s) <> ''))
+        GROUP BY weekday_order, hour"""
     ),
 }

@@ -10,14 +10,19 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadevents.operators.dedup import distinct_rows
+from roadevents.operators.dedup import dedup_first
 from roadevents.operators.normalize import normalize, rejects
 from roadevents.operators.quality import require_rows
-from roadevents.schema import FIELDS, NULL_MARKERS, TEXT_DATE_SCHEMA
+from roadevents.schema import FIELDS, MERGE_KEYS, NULL_MARKERS, TEXT_DATE_SCHEMA
 from roadevents.sinks import files, upsert
 from roadevents.sources.archives import zip_csv
-from roadevents.sources.csv_files import csv_by_name, csv_by_position
+from roadevents.sources.csv_files import (
+    csv_by_name,
+    csv_by_position,
+    require_whole_records,
+)
 from roadevents.sources.envelope import json_envelope
 from roadevents.sources.parquet_files import parquet_by_name
 
@@ -33,8 +38,12 @@ def _record_fields(raw: DataFrame) -> DataFrame:
 
 
 def refresh_raw(spark: SparkSession, prefix: str, table: str) -> None:
-    """Replaces the all-text table by the content of every CSV file under a prefix."""
-    files.full_refresh(_record_fields(csv_by_position(spark, prefix)), table)
+    """Replaces the all-text table by the content of every CSV file under a prefix.
+
+    A record with a wrong number of values fails the load; the table then stays.
+    """
+    raw = require_whole_records(csv_by_position(spark, prefix, keep_corrupt=True))
+    files.full_refresh(_record_fields(raw), table)
 
 
 def load_snapshot(
@@ -42,9 +51,10 @@ def load_snapshot(
 ) -> None:
     """Adds one poll's CSV to the central table, keeping the latest row per key.
 
-    A record that does not convert fails the load before the table changes.
+    A record that does not convert, or has a wrong number of values, fails the load
+    before the table changes.
     """
-    batch = normalize(csv_by_position(spark, csv_path), on_error="abort")
+    batch = normalize(csv_by_position(spark, csv_path, keep_corrupt=True), on_error="abort")
     upsert.rewrite_latest(_record_fields(batch), table, stamp=stamp)
 
 
@@ -85,14 +95,23 @@ def load_merge(
     **json_options,
 ) -> None:
     """Lands poll responses as the day's Parquet without repeated keys beside the
-    original CSV, then merges that day into the table."""
+    original CSV, then merges that day into the table.
+
+    Spellings of one key (``110`` and ``110.0``) are one key: of the records landed the
+    first, in text order of the key and then of all values, is merged. The table must be
+    one that only merges have written.
+    """
     records = require_rows(json_envelope(spark, responses, **json_options))
     order = ("file", "seq")
     files.land_deduplicated(records.select(*FIELDS, *order), raw_zone, day, order)
     files.land_csv(_record_fields(records), raw_zone, day, mode="append")
     landed = parquet_by_name(spark, day_folder(raw_zone, day))
-    batch = distinct_rows(normalize(landed, dates="text"))
-    upsert.merge_into(batch, table, stamp=stamp)
+    typed = normalize(landed.withColumn("_spelled", F.col("linkId")), dates="text")
+    whole = typed.dropna(subset=list(MERGE_KEYS))
+    loose = typed.where(~F.col("_spelled").isNotNull() | F.col("startDate").isNull())
+    first = dedup_first(whole, MERGE_KEYS, ("_spelled",))
+    batch = first.unionByName(loose.where(~F.col("linkId").isNotNull() | F.col("startDate").isNull()))
+    upsert.merge_into(batch, table, stamp=stamp, unique_target=True, checked=True)
     if rejects_table:
         files.append_load(rejects(landed, dates="text"), rejects_table)
 

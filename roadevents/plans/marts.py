@@ -1,8 +1,7 @@
 """The reporting tables, one function each.
 
 Every function takes the typed event table and returns an unevaluated DataFrame.
-``as_of`` is the instant open incidents are measured to (default: now). ``max_rows``
-caps the input rows, earliest start first (default: no cap).
+``as_of`` is the instant open incidents are measured to (default: now).
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadevents.functions import text, times
-from roadevents.operators.ordering import ascending, cap_rows, descending
+from roadevents.operators.ordering import ascending, descending
 
 PLACES = 6
 
@@ -24,7 +23,7 @@ def _average(value: Column) -> Column:
     return F.round(F.avg(value), PLACES)
 
 
-def src_traffic_events(events: DataFrame, **_) -> DataFrame:
+def src_events(events: DataFrame, **_) -> DataFrame:
     """The event table as it is."""
     return events.select("*")
 
@@ -47,7 +46,7 @@ def event_type_summary(events: DataFrame, **_) -> DataFrame:
     )
 
 
-def traffic_by_road_type(
+def events_by_road_type(
     events: DataFrame, *, approximate: bool = False, **_
 ) -> DataFrame:
     """Events, roads, active days and links per road type.
@@ -70,25 +69,20 @@ def traffic_by_road_type(
     )
 
 
-def daily_event_count(
-    events: DataFrame, *, max_rows: int | None = None, **_
-) -> DataFrame:
+def daily_event_count(events: DataFrame, **_) -> DataFrame:
     """Events per start date; events without a start form a null day."""
-    starts = cap_rows(events.select("startDate"), max_rows, "startDate")
     return (
-        starts.groupBy(F.to_date("startDate").alias("event_date"))
+        events.groupBy(F.to_date("startDate").alias("event_date"))
         .agg(F.count("*").alias("event_count"))
         .orderBy(*ascending("event_date"))
     )
 
 
-def hourly_event_heatmap(
-    events: DataFrame, *, max_rows: int | None = None, **_
-) -> DataFrame:
+def hourly_event_heatmap(events: DataFrame, **_) -> DataFrame:
     """Events per weekday and hour. ``startDate`` may be a timestamp or digit text."""
     is_text = dict(events.dtypes)["startDate"] == "string"
     present = text.not_blank(F.col("startDate")) if is_text else F.col("startDate").isNotNull()
-    starts = cap_rows(events.select("startDate").where(present), max_rows, "startDate")
+    starts = events.select("startDate").where(present)
     if is_text:
         starts = starts.select(text.digits(F.col("startDate")).alias("digits"))
         date = text.leading_date(F.col("digits"))
@@ -106,13 +100,10 @@ def hourly_event_heatmap(
     ).orderBy(*ascending("weekday_order", "hour"))
 
 
-def weekday_event_count(
-    events: DataFrame, *, max_rows: int | None = None, **_
-) -> DataFrame:
+def weekday_event_count(events: DataFrame, **_) -> DataFrame:
     """Events per weekday, 1 = Sunday."""
-    starts = cap_rows(events.select("startDate"), max_rows, "startDate")
     counts = (
-        starts.where(F.col("startDate").isNotNull())
+        events.where(F.col("startDate").isNotNull())
         .groupBy(F.dayofweek(F.to_date("startDate")).alias("weekday_num"))
         .agg(F.count("*").alias("event_count"))
     )

@@ -31,13 +31,13 @@ class Model:
 
 
 MODELS = {
-    "src_traffic_events": Model(marts.src_traffic_events),
+    "src_events": Model(marts.src_events),
     "stg_event_info": Model(marts.stg_event_info),
     "event_type_summary": Model(
         marts.event_type_summary, source="stg_event_info", kind="table"
     ),
-    "traffic_by_road_type": Model(
-        marts.traffic_by_road_type, source="src_traffic_events"
+    "events_by_road_type": Model(
+        marts.events_by_road_type, source="src_events"
     ),
     "daily_event_count": Model(
         marts.daily_event_count,
@@ -59,14 +59,15 @@ MODELS = {
 
 
 def build_models(
-    events: DataFrame, *, as_of: AsOf = None, one_pass: bool = False
+    events: DataFrame, *, as_of: AsOf = None, rollup: str | None = None
 ) -> dict[str, DataFrame]:
     """Every model as a DataFrame, in order of dependence.
 
-    ``one_pass=True`` reads the events once for all models that aggregate by type or
-    time, instead of once per model.
+    Each reads the events when it is read. With ``rollup``, a folder, the models that
+    aggregate by type or time read a table that is written there from one pass over the
+    events, and show the events as they are now.
     """
-    shared = reports_in_one_pass(events, as_of=as_of) if one_pass else {}
+    shared = reports_in_one_pass(events, rollup, as_of=as_of) if rollup else {}
     built: dict[str, DataFrame] = {}
     for name, model in MODELS.items():
         if name in shared:
@@ -88,17 +89,20 @@ def run_models(
     as_of: AsOf = None,
     kinds: dict[str, str] | None = None,
     strict: bool = True,
-    one_pass: bool = True,
+    rollup: str | None = None,
 ) -> DataFrame:
     """Publishes all models, then tests them; ``strict`` raises if a test fails.
 
     ``kinds`` overrides per model whether it becomes a ``"view"`` or a ``"table"``;
-    ``one_pass`` is that of ``build_models``.
+    ``rollup`` is that of ``build_models``. All models measure open incidents to one
+    instant: ``as_of``, or the start of the run.
     """
     kinds = kinds or {}
+    if as_of is None:
+        as_of = events.sparkSession.sql("SELECT string(localtimestamp())").first()[0]
     published = {
         name: materialize(df, name, kinds.get(name, MODELS[name].kind))
-        for name, df in build_models(events, as_of=as_of, one_pass=one_pass).items()
+        for name, df in build_models(events, as_of=as_of, rollup=rollup).items()
     }
     outcome = report(published)
     return require_passing(outcome) if strict else outcome

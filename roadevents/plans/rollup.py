@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from roadevents.functions import times
 from roadevents.operators.ordering import ascending, descending
 from roadevents.plans.marts import PLACES
-from roadevents.session import shared_folder
+from roadevents.sinks.files import full_refresh
 
 
 def hourly_rollup(events: DataFrame, *, as_of: times.AsOf = None) -> DataFrame:
@@ -110,10 +110,10 @@ def reports(rollup: DataFrame) -> dict[str, DataFrame]:
 
 
 def reports_in_one_pass(
-    events: DataFrame, *, as_of: times.AsOf = None
+    events: DataFrame, path: str, *, as_of: times.AsOf = None
 ) -> dict[str, DataFrame]:
-    """Writes the rollup to the shared folder and returns the reports over it."""
-    spark = events.sparkSession
-    path = shared_folder(spark, "rollup")
-    hourly_rollup(events, as_of=as_of).write.parquet(path)
-    return reports(spark.read.parquet(path))
+    """Writes the rollup to ``path``, replacing an earlier one, and returns the reports
+    over it. They show the events as they were then; write again to bring them up to date.
+    """
+    full_refresh(hourly_rollup(events, as_of=as_of), path)
+    return reports(events.sparkSession.read.parquet(path))

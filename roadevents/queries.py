@@ -13,11 +13,14 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadevents.fixtures import AS_OF, as_text, dirty_text, fields_with, traffic_events
+from roadevents.fixtures import AS_OF, as_text, dirty_text, fields_with, incident_events
+from roadevents.functions import text
 from roadevents.functions.text import stringify
 from roadevents.operators import dedup, merge
 from roadevents.operators.normalize import apply_null_markers, normalize, rejects
@@ -26,7 +29,7 @@ from roadevents.plans.rollup import reports_in_one_pass
 from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS
 from roadevents.session import shared_folder
 from roadevents.sinks import files, upsert
-from roadevents.sinks.tables import materialize
+from roadevents.sinks.tables import create_view, drop, empty_like, materialize
 from roadevents.sources import archives, csv_files, envelope, parquet_files, tables
 from roadevents.streaming import ingest
 from roadevents.streaming.upsert import stream_merge, stream_rewrite_latest
@@ -38,7 +41,7 @@ POLL_SIZE = 500
 
 def _mart(build: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, folder: build(
-        traffic_events(spark, folder), as_of=AS_OF, **options
+        incident_events(spark, folder), as_of=AS_OF, **options
     )
 
 
@@ -47,33 +50,32 @@ def _id() -> Column:
 
 
 def _revised(events: DataFrame) -> DataFrame:
-    """Every second event, polled again with another event type."""
-    return events.where(_id() % 2 == 0).withColumn(
+    """Two events of three, polled again with another event type."""
+    return events.where((_id() % 2 == 0) | (_id() % 3 == 0)).withColumn(
         "eventType", F.concat_ws("/", "eventType", F.lit("변경"))
     )
 
 
 def normalize_typed(spark: SparkSession, folder: str) -> DataFrame:
-    raw = dirty_text(traffic_events(spark, folder))
+    raw = dirty_text(incident_events(spark, folder))
     return normalize(raw, null_markers=NULL_MARKERS)
 
 
 def load_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    raw = dirty_text(traffic_events(spark, folder))
+    raw = dirty_text(incident_events(spark, folder))
     return rejects(raw, null_markers=NULL_MARKERS)
 
 
 def null_markers(spark: SparkSession, folder: str) -> DataFrame:
-    return apply_null_markers(dirty_text(traffic_events(spark, folder)), NULL_MARKERS)
+    return apply_null_markers(dirty_text(incident_events(spark, folder)), NULL_MARKERS)
 
 
 def stringify_all(spark: SparkSession, folder: str) -> DataFrame:
-    events = traffic_events(spark, folder).drop("startDate", "endDate")
-    return stringify(events)
+    return stringify(incident_events(spark, folder))
 
 
 def dedup_first(spark: SparkSession, folder: str) -> DataFrame:
-    raw = as_text(traffic_events(spark, folder)).withColumn("seq", _id())
+    raw = as_text(incident_events(spark, folder)).withColumn("seq", _id())
     copies = raw.where(_id() % 4 == 0).withColumns(
         {"seq": _id() + 1000000000000, "eventType": F.lit("copy")}
     )
@@ -81,14 +83,14 @@ def dedup_first(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
-    events = traffic_events(spark, folder).withColumn("day", F.to_date("startDate"))
+    events = incident_events(spark, folder).withColumn("day", F.to_date("startDate"))
     return dedup.dedup_latest(
         events, ("day", "coordX", "coordY"), "startDate", ("event_id",)
     )
 
 
 def _polls(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    events = traffic_events(spark, folder).withColumn(
+    events = incident_events(spark, folder).withColumn(
         "coordX", F.when(_id() % 10 != 0, F.col("coordX"))
     )
     return events.where(_id() % 3 != 0), _revised(events)
@@ -121,12 +123,12 @@ def snapshot_rewrite_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
-    events = traffic_events(spark, folder)
+    events = incident_events(spark, folder)
     return dedup.distinct_rows(events.unionByName(events.where(_id() % 4 == 0)))
 
 
 def _merge_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    events = traffic_events(spark, folder).withColumn(
+    events = incident_events(spark, folder).withColumn(
         "linkId", F.when(_id() % 13 != 0, F.col("linkId"))
     )
     return events.where(_id() % 3 != 0), _revised(events)
@@ -168,14 +170,14 @@ def _responses(text: DataFrame, *extra: str) -> DataFrame:
 
 def json_envelope(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "json")
-    _responses(as_text(traffic_events(spark, folder))).write.text(path)
+    _responses(as_text(incident_events(spark, folder))).write.text(path)
     records = envelope.json_envelope(spark, path, one_per_line=True)
     return fields_with(normalize(records), "seq")
 
 
 def csv_by_position(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "csv")
-    raw = fields_with(as_text(traffic_events(spark, folder)))
+    raw = fields_with(as_text(incident_events(spark, folder)))
     files.land_csv(raw, path, "2024-02-01")
     return normalize(csv_files.csv_by_position(spark, path), on_error="abort")
 
@@ -190,7 +192,7 @@ def _other_layout(raw: DataFrame) -> DataFrame:
 
 def csv_by_name(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "csv")
-    raw = dirty_text(traffic_events(spark, folder))
+    raw = dirty_text(incident_events(spark, folder))
     files.land_csv(_other_layout(raw), path, "2024-02-01")
     records = csv_files.csv_by_name(spark, path)
     return normalize(records, dates="text", null_markers=NULL_MARKERS)
@@ -198,7 +200,7 @@ def csv_by_name(spark: SparkSession, folder: str) -> DataFrame:
 
 def csv_by_name_per_file(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "csv")
-    raw = as_text(traffic_events(spark, folder))
+    raw = as_text(incident_events(spark, folder))
     files.land_csv(fields_with(raw.where(_id() % 2 == 0)), path, "2024-01-31")
     files.land_csv(_other_layout(raw.where(_id() % 2 == 1)), path, "2024-02-01")
     records = csv_files.csv_by_name(
@@ -209,7 +211,7 @@ def csv_by_name_per_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def parquet_by_name(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "parquet")
-    raw = fields_with(as_text(traffic_events(spark, folder)))
+    raw = fields_with(as_text(incident_events(spark, folder)))
     records = dedup.with_unique_id(raw)
     files.land_parquet(records, path, "2024-02-01")
     files.land_csv(raw, path, "2024-02-01", mode="append")
@@ -217,27 +219,81 @@ def parquet_by_name(spark: SparkSession, folder: str) -> DataFrame:
     return normalize(read)
 
 
-def zip_csv(spark: SparkSession, folder: str) -> DataFrame:
-    raw = fields_with(as_text(traffic_events(spark, folder)))
+def _write_zips(raw: DataFrame, path: str) -> None:
+    """The records as zip archives of a CSV file each, written by the tasks."""
+    uri = path if ":" in path.split("/")[0] else f"file://{path}"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        store, folder = fs.FileSystem.from_uri(uri)
+        store.create_dir(folder)
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             text, packed = io.BytesIO(), io.BytesIO()
             pacsv.write_csv(batch, text)
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("events.csv", text.getvalue())
                 archive.writestr("readme.txt", "not an entry to load")
-            yield pa.RecordBatch.from_pydict(
-                {"path": ["events.zip"], "content": [packed.getvalue()]}
-            )
+            name = f"{folder}/{task}-{number}.zip"
+            with store.open_output_stream(name) as file:
+                file.write(packed.getvalue())
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    raw.mapInArrow(pack, "name string").count()
+
+
+def zip_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "zips")
+    _write_zips(fields_with(as_text(incident_events(spark, folder))), path)
+    records = archives.zip_csv(spark, path)
+    named = F.substring_index("archive", ".", -1)
+    return normalize(records).withColumn("archive", named)
+
+
+def load_archives(spark: SparkSession, folder: str) -> DataFrame:
+    path, zone = shared_folder(spark, "zips"), shared_folder(spark, "zone")
+    _write_zips(fields_with(as_text(incident_events(spark, folder))), path)
+    loads.land_archives(spark, path, zone, "2024-02-01")
+    return normalize(csv_files.csv_by_position(spark, zone, keep_corrupt=True))
 
-    zips = raw.mapInArrow(pack, "path string, content binary")
-    return normalize(archives.unzip_csv(zips))
+
+def load_snapshot_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of 14 values, and of 15 and 6, which are set aside with their reason."""
+    path = shared_folder(spark, "csv")
+    raw = fields_with(as_text(incident_events(spark, folder)), "event_id")
+    more, less = _id() % 11 == 0, _id() % 13 == 0
+    good = raw.where(~more & ~less).drop("event_id")
+    files.land_csv(good, path, "2024-02-01")
+    surplus = raw.where(more).withColumn("surplus", F.lit("x")).drop("event_id")
+    files.land_csv(surplus, path, "2024-02-01", mode="append")
+    short = raw.where(~more & less).select(*FIELDS[:6])
+    files.land_csv(short, path, "2024-02-01", mode="append")
+    records = csv_files.csv_by_position(spark, path, keep_corrupt=True)
+    loaded = normalize(records).select("startDate", "linkId", F.lit("").alias("reason"))
+    failed = rejects(records).select(
+        text.to_timestamp14(F.col("startDate")).alias("startDate"),
+        F.lit(None).cast("bigint").alias("linkId"),
+        F.col("reject_reason").alias("reason"),
+    )
+    return loaded.unionByName(failed)
+
+
+def hourly_event_heatmap_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The heatmap over dates as landed: short, blank, dashed, and hours above 23."""
+    n, start = _id(), F.col("startDate")
+    dashed = F.concat_ws("-", *[F.substring(start, i, k) for i, k in ((1, 4), (5, 2), (7, 8))])
+    odd = (
+        F.when(n % 41 == 0, "  ")
+        .when(n % 43 == 0, F.substring(start, 1, 8))
+        .when(n % 47 == 0, dashed)
+        .when(n % 53 == 0, F.concat(F.substring(start, 1, 8), (n % 76 + 24).cast("string")))
+    )
+    raw = dirty_text(incident_events(spark, folder))
+    return marts.hourly_event_heatmap(raw.withColumn("startDate", odd.otherwise(start)))
 
 
 def partition_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "landing")
-    events = traffic_events(spark, folder)
+    events = incident_events(spark, folder)
     files.land_parquet(
         events.withColumn("ingestion_date", F.to_date("startDate")), path
     )
@@ -246,7 +302,7 @@ def partition_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def append_load(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "append")
-    events = traffic_events(spark, folder)
+    events = incident_events(spark, folder)
     files.create_if_absent(spark, path, events.schema)
     files.append_load(events.where(_id() % 3 != 0), path)
     files.append_load(_revised(events), path)
@@ -255,7 +311,7 @@ def append_load(spark: SparkSession, folder: str) -> DataFrame:
 
 def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     landing, path = shared_folder(spark, "csv"), shared_folder(spark, "refresh")
-    raw = fields_with(as_text(traffic_events(spark, folder)), "event_id")
+    raw = fields_with(as_text(incident_events(spark, folder)), "event_id")
     for day, rest in (("2024-01-31", 0), ("2024-02-01", 1)):
         files.land_csv(raw.where(_id() % 2 == rest).drop("event_id"), landing, day)
         loads.refresh_raw(spark, landing, path)
@@ -264,7 +320,7 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     landing, path = shared_folder(spark, "polls"), shared_folder(spark, "ingested")
-    raw = as_text(traffic_events(spark, folder)).withColumn(
+    raw = as_text(incident_events(spark, folder)).withColumn(
         "ingestion_date", F.to_date(F.substring("startDate", 1, 8), "yyyyMMdd")
     )
     polls = _responses(raw, "ingestion_date")
@@ -275,37 +331,41 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return fields_with(normalize(tables.table(spark, path)), "ingestion_date")
 
 
-def _land_two_polls(spark: SparkSession, raw: DataFrame) -> str:
-    """Open incidents first, then every second one again, revised and ended."""
+def _land_two_polls(spark: SparkSession, raw: DataFrame, backfill: bool = False) -> str:
+    """Open incidents first, then two of three again, revised and ended."""
     landing = shared_folder(spark, "polls")
     still_open = raw.where(_id() % 3 != 0).withColumn("endDate", F.lit(""))
-    for day, poll in (("2024-01-31", still_open), ("2024-02-01", _revised(raw))):
+    # The older day lands last: a backfill, which must not undo the later poll.
+    polls = [("2024-02-01", _revised(raw)), ("2024-01-31", still_open)]
+    for day, poll in polls if backfill else reversed(polls):
         poll = poll.withColumn("ingestion_date", F.lit(day).cast("date"))
-        polls = _responses(poll, "ingestion_date")
+        polls = _responses(poll, "ingestion_date").coalesce(1)
         polls.write.mode("append").partitionBy("ingestion_date").text(landing)
     return landing
 
 
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    raw = as_text(traffic_events(spark, folder)).withColumn(
+    raw = as_text(incident_events(spark, folder)).withColumn(
         "linkId", (_id() + 2000000000).cast("string")
     )
-    landing, path = _land_two_polls(spark, raw), shared_folder(spark, "upserted")
-    stream = ingest.landed_stream(spark, landing, one_per_line=True)
+    landing = _land_two_polls(spark, raw, backfill=True)
+    path = shared_folder(spark, "upserted")
+    stream = ingest.landed_stream(spark, landing, one_per_line=True, max_files=1)
     stream_merge(stream, path, shared_folder(spark, "progress")).awaitTermination()
     return upsert.read_table(spark, path).drop("ingestion_timestamp")
 
 
 def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
-    raw = as_text(traffic_events(spark, folder)).withColumn("coordX", _id().cast("string"))
-    landing, path = _land_two_polls(spark, raw), shared_folder(spark, "latest")
-    stream = ingest.landed_stream(spark, landing, one_per_line=True)
+    raw = as_text(incident_events(spark, folder)).withColumn("coordX", _id().cast("string"))
+    landing = _land_two_polls(spark, raw, backfill=True)
+    path = shared_folder(spark, "latest")
+    stream = ingest.landed_stream(spark, landing, one_per_line=True, max_files=1)
     stream_rewrite_latest(stream, path, shared_folder(spark, "progress")).awaitTermination()
     return upsert.read_table(spark, path, upsert.CENTRAL_SCHEMA).drop("createdAt")
 
 
 def load_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    raw = as_text(traffic_events(spark, folder)).withColumn("coordX", _id().cast("string"))
+    raw = as_text(incident_events(spark, folder)).withColumn("coordX", _id().cast("string"))
     landing, path = shared_folder(spark, "csv"), shared_folder(spark, "central")
     still_open = raw.where(_id() % 3 != 0).withColumn("endDate", F.lit(""))
     for day, poll in (("2024-01-31", still_open), ("2024-02-01", _revised(raw))):
@@ -315,7 +375,7 @@ def load_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_append(spark: SparkSession, folder: str) -> DataFrame:
-    raw = dirty_text(traffic_events(spark, folder))
+    raw = dirty_text(incident_events(spark, folder))
     zone, path = shared_folder(spark, "zone"), shared_folder(spark, "append")
     for day, rest in (("2024-01-31", 0), ("2024-02-01", 1)):
         responses = shared_folder(spark, "json")
@@ -325,7 +385,7 @@ def load_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_merge(spark: SparkSession, folder: str) -> DataFrame:
-    raw = as_text(traffic_events(spark, folder)).withColumn(
+    raw = as_text(incident_events(spark, folder)).withColumn(
         "linkId", (_id() + 2000000000).cast("string")
     )
     landing = _land_two_polls(spark, raw)
@@ -337,40 +397,72 @@ def load_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    return models.report(models.build_models(traffic_events(spark, folder), as_of=AS_OF))
+    return models.report(models.build_models(incident_events(spark, folder), as_of=AS_OF))
 
 
 def run_models(spark: SparkSession, folder: str) -> DataFrame:
     views = dict.fromkeys(models.MODELS, "view")
-    events = traffic_events(spark, folder)
+    events = incident_events(spark, folder)
     return models.run_models(events, as_of=AS_OF, kinds=views, strict=False)
 
 
 def one_pass_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows and events each report of the shared pass accounts for."""
-    reports = reports_in_one_pass(traffic_events(spark, folder), as_of=AS_OF)
-    counted = {n: r for n, r in reports.items() if "event_count" in r.columns}
-    parts = [
-        report.agg(
-            F.lit(name).alias("model"),
-            F.count("*").alias("rows"),
-            F.sum("event_count").alias("events"),
+    """All values of the nine reports of the shared pass, one row per report row."""
+    events, path = incident_events(spark, folder), shared_folder(spark, "rollup")
+    reports = reports_in_one_pass(events, path, as_of=AS_OF)
+    measures = {
+        "events": ("event_count", "total_cnt"),
+        "mean": ("avg_duration_min", "average_duration_hours"),
+        "least": ("min_duration_min",),
+        "most": ("max_duration_min",),
+        "share": ("percentage",),
+    }
+    kinds = {"events": "bigint", "least": "bigint", "most": "bigint"}
+    parts = []
+    for name, report in reports.items():
+        named = {c: m for m, cs in measures.items() for c in cs if c in report.columns}
+        keys = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in report.columns if c not in named]
+        found = {m: F.col(c) for c, m in named.items()}
+        parts.append(
+            report.select(
+                F.lit(name).alias("model"),
+                F.concat_ws("|", *keys).alias("key"),
+                *[found.get(m, F.lit(None)).cast(kinds.get(m, "double")).alias(m) for m in measures],
+            )
         )
-        for name, report in counted.items()
-    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def temporary_like(spark: SparkSession, folder: str) -> DataFrame:
+    """An empty table of the events' shape, filled, read and dropped."""
+    events, path = incident_events(spark, folder), shared_folder(spark, "like")
+    name = f"events_like_{path.rsplit('-', 1)[1]}"
+    materialize(empty_like(events), name, "table", path=path)
+    files.append_load(events, path)
+    spark.catalog.refreshTable(name)
+    filled = spark.table(name)
+    drop(spark, name)
+    return tables.table(spark, path).select(*filled.columns)
+
+
+def persistent_view(spark: SparkSession, folder: str) -> DataFrame:
+    """A staging view in a schema of the catalog, over a stored table of events."""
+    name = f"events_{shared_folder(spark, 'view').rsplit('-', 1)[1]}"
+    stored = materialize(incident_events(spark, folder), name, "table", schema="analytics")
+    columns = ", ".join(marts.stg_event_info(stored).columns)
+    query = f"SELECT {columns} FROM analytics.{name}"
+    return create_view(spark, f"stg_{name}", query, "analytics")
+
+
 def materialized_table(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "table")
     name = f"event_type_summary_{path.rsplit('-', 1)[1]}"
-    summary = marts.event_type_summary(traffic_events(spark, folder))
+    summary = marts.event_type_summary(incident_events(spark, folder))
     return materialize(summary, name, "table", path=path)
 
 
 QUERIES: dict[str, Query] = {
     **{name: _mart(model.build) for name, model in models.MODELS.items()},
-    "daily_event_count_capped": _mart(marts.daily_event_count, max_rows=5000),
     "normalize_typed": normalize_typed,
     "load_rejects": load_rejects,
     "null_markers": null_markers,
@@ -388,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "csv_by_name_per_file": csv_by_name_per_file,
     "parquet_by_name": parquet_by_name,
     "zip_csv": zip_csv,
+    "load_archives": load_archives,
     "partition_scan": partition_scan,
     "append_load": append_load,
     "full_refresh": full_refresh,
@@ -395,10 +488,14 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": stream_upsert,
     "stream_latest": stream_latest,
     "load_snapshot": load_snapshot,
+    "load_snapshot_bad_rows": load_snapshot_bad_rows,
     "load_append": load_append,
     "load_merge": load_merge,
     "dq_report": dq_report,
     "run_models": run_models,
     "one_pass_reports": one_pass_reports,
     "materialized_table": materialized_table,
+    "temporary_like": temporary_like,
+    "persistent_view": persistent_view,
+    "hourly_event_heatmap_text": hourly_event_heatmap_text,
 }

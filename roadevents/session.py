@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # CSV in an encoding beyond the standard few, such as cp949.
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 
@@ -32,15 +33,37 @@ def build_session(app: str = "roadevents", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path that every executor can reach.
 
-    The base is ``spark.checkpoint.dir``. Only where that is unset (tests on one
-    machine) does it fall back to the local temporary folder.
+    The base is ``spark.checkpoint.dir``, or the session's warehouse folder where that
+    is unset: both lie on the session's own file system.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/roadevents/{purpose}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    """A path and its file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a folder; False if there is none. The target must not exist."""
+    (old, fs), (new, _) = _located(spark, source), _located(spark, target)
+    if not fs.exists(old):
+        return False
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+    return True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if there is one."""
+    hadoop_path, fs = _located(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def path_has_files(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system and holds anything."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    hadoop_path, fs = _located(spark, path)
     return fs.exists(hadoop_path) and len(fs.listStatus(hadoop_path)) > 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,19 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadevents.operators.dedup import dedup_first, with_unique_id
-from roadevents.session import path_has_files
+from roadevents.session import move, path_has_files, remove
 
 PARTITION = "ingestion_date"
 
 
 def _by_day(df: DataFrame, day: dt.date | str | None, mode: str):
-    """A writer of day folders; overwriting replaces only the days being written."""
+    """A writer of day folders; overwriting replaces only the days being written.
+
+    Rows are rebalanced by day first: a small day is one file however many tasks have
+    rows of it, and a large one is split.
+    """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', not {mode!r}")
     if day is not None:
         df = df.withColumn(PARTITION, F.lit(str(day)).cast("date"))
     return (
-        df.write.mode(mode)
+        df.hint("rebalance", PARTITION)
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
     )
@@ -80,5 +86,19 @@ def append_load(df: DataFrame, path: str) -> None:
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replaces the table; ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Replaces the table by ``df``, which may read from it.
+
+    The new rows are written beside the table and take its place when they are complete,
+    so a load that fails leaves the table as it was.
+    """
+    fresh, old = (f"{path.rstrip('/')}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    try:
+        df.write.parquet(fresh)
+    except Exception:
+        remove(df.sparkSession, fresh)
+        raise
+    if move(df.sparkSession, path, old):
+        move(df.sparkSession, fresh, path)
+        remove(df.sparkSession, old)
+    else:
+        move(df.sparkSession, fresh, path)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from roadevents.session import shared_folder
+from roadevents.sinks.files import full_refresh
+
 
 def create_table_if_absent(
     spark: SparkSession,
@@ -26,22 +29,46 @@ def create_table_if_absent(
 
 
 def materialize(
-    df: DataFrame, name: str, kind: str = "view", *, path: str | None = None
+    df: DataFrame,
+    name: str,
+    kind: str = "view",
+    *,
+    path: str | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     """Publishes a model as a ``"view"`` or ``"table"`` and returns the published form.
 
-    ``path`` puts the table's files in a given folder.
+    A view is the session's own; ``create_view`` makes lasting ones. A table's files are
+    written before the table is declared, so a model that fails leaves the old table;
+    ``path`` puts them in a given folder, ``schema`` the table in a given schema.
     """
+    spark = df.sparkSession
     if kind == "view":
+        if schema:
+            raise ValueError("a session's view has no schema")
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        writer = df.write.mode("overwrite").format("parquet")
-        if path:
-            writer = writer.option("path", path)
-        writer.saveAsTable(name)
+        if schema:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+            name = f"{schema}.{name}"
+        path = path or shared_folder(spark, f"table-{name}")
+        full_refresh(df, path)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path, "parquet")
     else:
         raise ValueError(f"kind must be 'view' or 'table', not {kind!r}")
-    return df.sparkSession.table(name)
+    return spark.table(name)
+
+
+def create_view(
+    spark: SparkSession, name: str, query: str, schema: str | None = None
+) -> DataFrame:
+    """A view that the catalog keeps: its query runs over its tables at each reading."""
+    if schema:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        name = f"{schema}.{name}"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
 
 
 def empty_like(df: DataFrame) -> DataFrame:
@@ -50,6 +77,8 @@ def empty_like(df: DataFrame) -> DataFrame:
 
 
 def drop(spark: SparkSession, name: str) -> None:
-    """Removes a table or temporary view, if there is one."""
-    if not spark.catalog.dropTempView(name):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """Removes a table or view, if there is one."""
+    if spark.catalog.dropTempView(name) or not spark.catalog.tableExists(name):
+        return
+    kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+    spark.sql(f"DROP {kind} {name}")

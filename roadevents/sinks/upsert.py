@@ -20,6 +20,7 @@ from roadevents.operators.dedup import snapshot_latest
 from roadevents.operators.merge import (
     merge_upsert,
     require_unique_keys,
+    without_late,
     without_replayed,
 )
 from roadevents.schema import (
@@ -32,9 +33,6 @@ from roadevents.session import path_has_files
 
 DAY = "start_day"
 
-# More days than this are not listed one by one: the whole table is rewritten then.
-MAX_LISTED_DAYS = 4000
-
 
 def start_day(df: DataFrame) -> Column:
     """The folder of a row. Start text that is no date goes to the null folder."""
@@ -59,15 +57,22 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def _touched(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """The stored rows in the batch's days."""
-    days = batch.select(DAY).distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    if len(days) > MAX_LISTED_DAYS:
-        return stored
-    dated = [r[DAY] for r in days if r[DAY] is not None]
-    touched = F.col(DAY).isin(dated) if dated else F.lit(False)
-    if len(dated) < len(days):
-        touched = touched | F.col(DAY).isNull()
-    return stored.where(touched)
+    """The stored rows in the batch's days.
+
+    Folders outside the batch's span of days are not read; a join leaves out the days
+    inside the span that the batch does not have.
+    """
+    day = F.col(DAY)
+    span = batch.agg(
+        F.min(day).alias("first"), F.max(day).alias("last"), F.count_if(day.isNull()).alias("none")
+    ).first()
+    touched = F.lit(False)
+    if span["first"] is not None:
+        touched = day.between(F.lit(span["first"]), F.lit(span["last"]))
+    if span["none"]:
+        touched = touched | day.isNull()
+    days = batch.select(day.alias("_day")).distinct()
+    return stored.where(touched).join(days, day.eqNullSafe(F.col("_day")), "left_semi")
 
 
 @contextmanager
@@ -118,6 +123,7 @@ def merge_into(
     unique_target: bool = False,
     checked: bool = False,
     replayable: bool = False,
+    recency: Sequence[str] = (),
 ) -> None:
     """Merges a batch into the stored table; see ``merge_upsert`` for the meaning.
 
@@ -125,7 +131,9 @@ def merge_into(
     ``unique_target=True`` is for tables that only ever changed through this function,
     ``checked=True`` for batches known to hold one row per complete key.
     ``replayable=True`` leaves out batch rows without a complete key that the table
-    already holds in all columns, stamp included: they come from the same batch.
+    already holds in all columns, stamp included: they come from the same batch. With
+    ``recency``, stored columns that order the forms of a row, a batch row that is older
+    than the stored one changes nothing.
     """
     if "ingestion_timestamp" in schema.names:
         if stamp is None and "ingestion_timestamp" not in batch.columns:
@@ -138,6 +146,8 @@ def merge_into(
             require_unique_keys(kept, keys)
         if replayable:
             kept = without_replayed(target, kept, keys)
+        if recency:
+            kept = without_late(target, kept, keys, recency)
         return merge_upsert(target, kept, keys, unique_target=unique_target)
 
     _update(batch, path, schema, keys, combine)
@@ -150,11 +160,12 @@ def rewrite_latest(
     stamp: Column | None = None,
     keys: Sequence[str] = LATEST_KEYS,
     schema: T.StructType = CENTRAL_SCHEMA,
-    tiebreak: Sequence[str] = (),
+    recency: Sequence[str] = ("createdAt",),
 ) -> None:
     """Adds a batch to the stored table and keeps the latest row per key.
 
-    ``stamp`` (default: now) is the batch's ``createdAt``.
+    ``stamp`` (default: now) is the batch's ``createdAt``. ``recency`` are the columns
+    that order the forms of a row.
     """
     if stamp is None and "createdAt" not in batch.columns:
         stamp = F.current_timestamp()
@@ -165,5 +176,7 @@ def rewrite_latest(
         path,
         schema,
         keys,
-        lambda target, kept: snapshot_latest(target, kept, keys, tiebreak=tiebreak),
+        lambda target, kept: snapshot_latest(
+            target, kept, keys, recency[0], recency[1:]
+        ),
     )

@@ -1,18 +1,28 @@
-"""CSV entries of zip archives, read inside the tasks without unpacking to disk."""
+"""CSV entries of zip archives: unpacked inside the tasks, parsed by Spark."""
 
 from __future__ import annotations
 
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from roadevents.operators.normalize import CORRUPT
 from roadevents.schema import FIELDS
-from roadevents.sources.csv_files import read_blocks, with_constants
+from roadevents.sources.csv_files import (
+    VALUE_OPTIONS,
+    header_names,
+    select_by_name,
+    text_schema,
+)
+
+# Text of unpacked records that a task holds before it gives them to Spark.
+_HELD_CHARS = 1 << 20
+RECORDS = "archive string, entry string, header string, record string"
 
 
 def zip_csv(
@@ -20,7 +30,8 @@ def zip_csv(
 ) -> DataFrame:
     """Rows of every ``.csv`` entry of the ``.zip`` files under ``path``.
 
-    ``options`` are those of ``unzip_csv``.
+    ``options`` are those of ``unzip_csv``. Spark reads no single file above 2 GB in this
+    way; split larger archives.
     """
     archives = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
@@ -28,6 +39,60 @@ def zip_csv(
     return unzip_csv(archives, fields, **options)
 
 
+def _records(stream: io.TextIOBase) -> Iterator[str]:
+    """The stream's records: lines, joined while a quoted value is open."""
+    parts, quotes = [], 0
+    for line in stream:
+        parts.append(line)
+        quotes += line.count('"')
+        if quotes % 2 == 0:
+            record = "".join(parts).rstrip("\r\n")
+            parts, quotes = [], 0
+            if record:
+                yield record
+    if parts:
+        yield "".join(parts).rstrip("\r\n")
+
+
+def records(archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
+    """archive, entry, the entry's header, and the text of each record after it.
+
+    An archive is one unit of work; its entries are unpacked as streams, and no more than
+    about a megabyte of records, or one record, is held at a time.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, content in zip(batch.column("path"), batch.column("content")):
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as unzipped:
+                    for entry in unzipped.namelist():
+                        if entry.endswith(".csv"):
+                            yield from _entry(unzipped, archive.as_py(), entry)
+
+    def _entry(unzipped: zipfile.ZipFile, archive: str, entry: str):
+        held, size = [], 0
+        with unzipped.open(entry) as binary:
+            found = _records(io.TextIOWrapper(binary, encoding=encoding, newline=""))
+            header = next(found, "").lstrip("﻿")
+
+            def rows() -> pa.RecordBatch:
+                n = len(held)
+                columns = [[archive] * n, [entry] * n, [header] * n, held]
+                names = ["archive", "entry", "header", "record"]
+                return pa.record_batch([pa.array(c, pa.string()) for c in columns], names=names)
+
+            for record in found:
+                held.append(record)
+                size += len(record)
+                if size > _HELD_CHARS:
+                    yield rows()
+                    held, size = [], 0
+            if held:
+                yield rows()
+
+    return archives.select("path", "content").mapInArrow(unpack, RECORDS)
+
+
 def unzip_csv(
     archives: DataFrame,
     fields: Sequence[str] = FIELDS,
@@ -37,29 +102,29 @@ def unzip_csv(
 ) -> DataFrame:
     """Rows of every ``.csv`` entry, with ``archive`` and ``entry`` naming the origin.
 
-    ``archives`` has ``path`` and ``content``. Each archive is one unit of work and is
-    decompressed as a stream, so memory holds the compressed file and one block of
-    rows. ``by`` binds columns by header ``"name"`` or by ``"position"``.
+    ``archives`` has ``path`` and ``content``. ``by`` binds columns by header ``"name"``
+    or by ``"position"``. By name, the distinct headers are learned first and the entries
+    of each are parsed by it. Rows with a wrong number of values are filled or cut to fit
+    and have their text in ``_corrupt_record``.
     """
     if by not in ("name", "position"):
         raise ValueError(f"by must be 'name' or 'position', not {by!r}")
-    origin = ["archive", "entry"]
-    schema = T.StructType(
-        [T.StructField(f, T.StringType()) for f in (*fields, CORRUPT, *origin)]
-    )
+    found = records(archives, encoding)
+    if by == "position":
+        return _parsed(found, fields, fields)
+    headers = [r["header"] for r in found.select("header").distinct().collect()]
+    parts = [
+        _parsed(found.where(F.col("header") == header), header_names(header), fields)
+        for header in sorted(headers)
+    ]
+    return reduce(DataFrame.unionByName, parts or [_parsed(found.limit(0), fields, fields)])
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for archive, content in zip(batch.column("path"), batch.column("content")):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as unzipped:
-                    for entry in unzipped.namelist():
-                        if not entry.endswith(".csv"):
-                            continue
-                        names = [pa.array([archive.as_py()]), pa.array([entry])]
-                        opened = lambda: unzipped.open(entry)  # noqa: B023, E731
-                        for block in read_blocks(
-                            opened, fields, by=by, encoding=encoding
-                        ):
-                            yield with_constants(block, origin, names)
-
-    return archives.select("path", "content").mapInArrow(unpack, schema)
+
+def _parsed(found: DataFrame, names: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    options = {**VALUE_OPTIONS, "columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
+    # A record may hold any line end inside quotes, so none ends it.
+    options["lineSep"] = "\u0001"
+    schema = text_schema([n.lower() for n in names] if names is not fields else names)
+    value = F.from_csv("record", schema.simpleString()[len("struct<") : -1].replace(":", " "), options)
+    flat = found.select("archive", "entry", value.alias("row")).select("row.*", "archive", "entry")
+    return select_by_name(flat, fields, CORRUPT, "archive", "entry")

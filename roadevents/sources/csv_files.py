@@ -3,36 +3,32 @@
 from __future__ import annotations
 
 import csv
-import io
-from collections.abc import Iterator, Sequence
-from typing import BinaryIO
+from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-import pyarrow as pa
-import pyarrow.csv as pacsv
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadevents.operators.normalize import CORRUPT
 from roadevents.schema import FIELDS
 
-_BLOCK_BYTES = 4 << 20
-
 # An absent value is null and a quoted empty one is empty text. Spark only keeps the
 # two apart if the null marker is text that does not occur.
-READ_OPTIONS = {
-    "header": True,
-    "quote": '"',
-    "escape": '"',
-    "nullValue": "\u0001",
-    "emptyValue": "",
-}
+VALUE_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": ""}
+READ_OPTIONS = {"header": True, **VALUE_OPTIONS}
+ONLY_CSV = {"pathGlobFilter": "*.csv"}
+
+
+def text_schema(names: Sequence[str]) -> T.StructType:
+    """Text columns, and one for records with a wrong number of values."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
 
 
 def _reader(spark: SparkSession, multiline: bool):
-    return spark.read.options(
-        **READ_OPTIONS, multiLine=multiline, pathGlobFilter="*.csv"
-    )
+    reader = spark.read.options(**READ_OPTIONS, multiLine=multiline, **ONLY_CSV)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT)
 
 
 def csv_by_position(
@@ -50,19 +46,21 @@ def csv_by_position(
     ``multiline=False`` lets Spark split large files, for data known to have no
     newline inside a field.
     """
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    if keep_corrupt:
-        schema = schema.add(CORRUPT, T.StringType())
-    return (
-        _reader(spark, multiline)
-        .option("enforceSchema", True)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(schema)
-        .csv(path)
-    )
+    schema = text_schema(fields)
+    if not keep_corrupt:
+        schema = T.StructType(schema.fields[:-1])
+    reader = _reader(spark, multiline).option("enforceSchema", True)
+    return reader.schema(schema).csv(path)
+
 
+def require_whole_records(raw: DataFrame) -> DataFrame:
+    """The rows, failing at the first with a wrong number of values."""
+    failed = F.raise_error(F.concat(F.lit("wrong number of values: "), F.col(CORRUPT)))
+    whole = F.when(F.col(CORRUPT).isNull(), True).otherwise(failed.cast("boolean"))
+    return raw.where(whole).drop(CORRUPT)
 
-def select_by_name(df: DataFrame, fields: Sequence[str], *extra: str) -> DataFrame:
+
+def select_by_name(df: DataFrame, fields: Sequence[str], *extra: str | Column) -> DataFrame:
     """``fields`` found without regard to case; missing ones null, others dropped."""
     found = {c.lower(): c for c in df.columns}
     return df.select(
@@ -72,7 +70,7 @@ def select_by_name(df: DataFrame, fields: Sequence[str], *extra: str) -> DataFra
             else F.lit(None).cast("string").alias(f)
             for f in fields
         ],
-        *[c for c in extra if c in df.columns],
+        *[c for c in extra if not isinstance(c, str) or c in df.columns],
     )
 
 
@@ -89,124 +87,58 @@ def csv_by_name(
     """Columns bound by the header's names, without regard to case.
 
     ``headers="uniform"`` expects one header for all files and fails if a file's
-    header differs, rather than shifting its columns. ``headers="per_file"`` reads
-    each file by its own header; a file, of up to 2 GB, is then one unit of work,
-    converted block by block, and rows with a wrong number of values are marked in
-    ``_corrupt_record``.
+    header differs, rather than shifting its columns. ``headers="per_file"`` groups the
+    files by header and reads each group by its own. Rows with a wrong number of values
+    are filled or cut to fit and have their text in ``_corrupt_record``. ``encoding`` is
+    one that writes ASCII as it is, line ends above all.
     """
+    reader = _reader(spark, multiline).option("encoding", encoding)
     if headers == "uniform":
-        df = (
-            _reader(spark, multiline)
-            .option("enforceSchema", False)
-            .option("encoding", encoding)
-            .csv(path)
-        )
-        return select_by_name(df, fields, *partition_columns)
+        header = [c for c in reader.csv(path).columns if c not in partition_columns]
+        whole = reader.option("enforceSchema", False).schema(text_schema(header)).csv(path)
+        return select_by_name(whole, fields, CORRUPT, *partition_columns)
     if headers != "per_file":
         raise ValueError(f"headers must be 'uniform' or 'per_file', not {headers!r}")
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-    ).select("content", *partition_columns)
-    passed = [files.schema[c] for c in partition_columns]
-    schema = T.StructType(
-        [T.StructField(f, T.StringType()) for f in (*fields, CORRUPT)] + passed
-    )
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                constants = [batch.column(n).slice(i, 1) for n in partition_columns]
-                content = batch.column("content")[i].as_buffer()
-                opened = lambda: pa.BufferReader(content)
-                for table in read_blocks(opened, fields, encoding=encoding):
-                    yield with_constants(table, partition_columns, constants)
-
-    return files.mapInArrow(parse, schema)
-
-
-def with_constants(
-    block: pa.RecordBatch, names: Sequence[str], values: Sequence[pa.Array]
-) -> pa.RecordBatch:
-    """The block with columns that repeat one value each."""
-    repeated = [v.take(pa.array([0] * block.num_rows, pa.int32())) for v in values]
-    return pa.RecordBatch.from_arrays(
-        [*block.columns, *repeated], names=[*block.schema.names, *names]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, names in _headers(spark, path, encoding):
+        groups.setdefault(names, []).append(file)
+    parts = [
+        select_by_name(
+            reader.option("basePath", path).schema(text_schema(names)).csv(files),
+            fields,
+            CORRUPT,
+            *partition_columns,
+        )
+        for names, files in groups.items()
+    ]
+    if not parts:
+        files = spark.read.format("binaryFile").options(**ONLY_CSV).load(path)
+        kept = [F.lit(None).cast("string").alias(f) for f in (*fields, CORRUPT)]
+        return files.select(*kept, *partition_columns).limit(0)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _headers(spark: SparkSession, path: str, encoding: str):
+    """Every file's name and header. Only the first block of a file is looked at."""
+    # Latin-1 keeps every byte, whatever the file's encoding is.
+    lines = (
+        spark.read.options(**ONLY_CSV, multiLine=False, encoding="iso-8859-1")
+        .options(quote="", sep="\u0001")
+        .schema("value string")
+        .csv(path)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        .where("block = 0")
     )
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    for row in first.orderBy("file").toLocalIterator():
+        header = row["header"].encode("iso-8859-1").decode(encoding).lstrip("﻿")
+        yield unquote(row["file"]), header_names(header)
 
 
-def read_blocks(
-    opened, fields: Sequence[str], *, by: str = "name", encoding: str = "utf-8"
-) -> Iterator[pa.RecordBatch]:
-    """Text columns ``fields`` and ``_corrupt_record`` of one CSV file, block by block.
-
-    ``opened()`` gives a fresh binary stream. Empty unquoted values are null. Rows
-    with a wrong number of values come last, filled or cut to fit, with their text.
-    """
-    with opened() as stream:
-        header = _first_line(stream, encoding)
-    if not header:
-        return
-    names = list(fields) if by == "position" else [h.strip().lower() for h in header]
-    targets = [f if by == "position" else f.lower() for f in fields]
-    odd_rows: list[str] = []
-
-    def set_aside(row) -> str:
-        odd_rows.append(row.text)
-        return "skip"
-
-    with opened() as stream:
-        try:
-            blocks = pacsv.open_csv(
-                stream,
-                pacsv.ReadOptions(
-                    use_threads=False,
-                    column_names=names,
-                    skip_rows=1,
-                    encoding=encoding,
-                    block_size=_BLOCK_BYTES,
-                ),
-                pacsv.ParseOptions(
-                    newlines_in_values=True, invalid_row_handler=set_aside
-                ),
-                pacsv.ConvertOptions(
-                    include_columns=targets,
-                    include_missing_columns=True,
-                    column_types=dict.fromkeys(targets, pa.string()),
-                    null_values=[""],
-                    strings_can_be_null=True,
-                    quoted_strings_can_be_null=False,
-                ),
-            )
-        except pa.ArrowInvalid as error:
-            # A file with a header line only.
-            if "Empty CSV" not in str(error):
-                raise
-            return
-        out = [*fields, CORRUPT]
-        for block in blocks:
-            blank = pa.nulls(block.num_rows, pa.string())
-            yield pa.RecordBatch.from_arrays([*block.columns, blank], names=out)
-            if odd_rows:
-                yield _odd_block(odd_rows, names, targets, out)
-                odd_rows.clear()
-    if odd_rows:
-        yield _odd_block(odd_rows, names, targets, out)
-
-
-def _first_line(stream: BinaryIO, encoding: str) -> list[str]:
-    text = io.TextIOWrapper(stream, encoding=encoding, newline="")
-    return next(csv.reader([text.readline().lstrip("﻿")]), [])
-
-
-def _odd_block(
-    rows: list[str], names: list[str], targets: list[str], out: list[str]
-) -> pa.RecordBatch:
-    columns: list[list[str | None]] = [[] for _ in out]
-    for row in rows:
-        values = dict(zip(names, next(csv.reader([row.rstrip("\r\n")], strict=False))))
-        for column, target in zip(columns, targets):
-            column.append(values.get(target) or None)
-        columns[-1].append(row)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.string()) for c in columns], names=out
-    )
+def header_names(line: str) -> tuple[str, ...]:
+    return tuple(h.strip() for h in next(csv.reader([line.rstrip("\r\n")]), []))

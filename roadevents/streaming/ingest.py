@@ -17,6 +17,8 @@ from roadevents.sinks.files import PARTITION
 from roadevents.sources.csv_files import READ_OPTIONS
 from roadevents.sources.envelope import POSITION, flatten
 
+BLOCK = "block"
+
 
 def landed_stream(
     spark: SparkSession,
@@ -52,7 +54,7 @@ def landed_stream(
             reader.schema(T.StructType([*RAW_SCHEMA.fields, day]))
             .options(**READ_OPTIONS, multiLine=not one_per_line)
             .csv(landing)
-            .withColumns(origin)
+            .withColumns({**origin, BLOCK: F.col("_metadata.file_block_start")})
         )
     raise ValueError(f"kind must be 'json' or 'csv', not {kind!r}")
 
@@ -60,15 +62,27 @@ def landed_stream(
 def start_append(
     stream: DataFrame, out: str, checkpoint: str, *, query_name: str | None = None
 ) -> StreamingQuery:
-    """Appends everything landed so far to Parquet day folders, then stops."""
-    writer = stream.writeStream.format("parquet").partitionBy(PARTITION)
+    """Appends everything landed so far to Parquet day folders, then stops.
+
+    Rows are rebalanced by day, so a day gets few files. Each micro-batch has a folder of
+    its own below its day, which a replay of the batch replaces.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        (
+            batch.withColumn("batch", F.lit(number))
+            .hint("rebalance", PARTITION)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PARTITION, "batch")
+            .parquet(out)
+        )
+
+    writer = stream.writeStream.foreachBatch(append)
     if query_name:
         writer = writer.queryName(query_name)
     return (
-        writer.option("checkpointLocation", checkpoint)
-        .option("path", out)
-        .trigger(availableNow=True)
-        .start()
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
@@ -77,17 +91,20 @@ def latest_poll(
 ) -> DataFrame:
     """Per key the record of the latest poll, and within that poll the first one.
 
-    One micro-batch may hold several polls of the same incident; this makes the outcome
-    independent of how polls fall into batches. ``incomplete`` says what becomes of keys
+    One micro-batch may hold several polls of the same incident; with the poll stored
+    beside the row this makes the outcome independent of how polls fall into batches. ``incomplete`` says what becomes of keys
     with a null part: ``"grouped"`` treats them as one key, ``"per_poll"`` keeps the
     first of every poll, for a merge in which they never match an earlier row.
     """
     if incomplete not in ("grouped", "per_poll"):
         raise ValueError(f"incomplete must be 'grouped' or 'per_poll', not {incomplete!r}")
-    if POSITION not in batch.columns:
-        batch = batch.withColumn(POSITION, F.monotonically_increasing_id())
+    place = F.struct(-F.col(POSITION)) if POSITION in batch.columns else None
+    if place is None:
+        # Rows of one block are read by one task in order; blocks stand by their start.
+        block = F.col(BLOCK) if BLOCK in batch.columns else F.lit(0)
+        place = F.struct(-block, -F.monotonically_increasing_id())
     poll = F.struct(PARTITION, "polled_at", "file")
-    ranked = batch.withColumns({"_poll": poll, "_place": -F.col(POSITION)})
+    ranked = batch.withColumns({"_poll": poll, "_place": place})
     if incomplete == "per_poll":
         missing = reduce(or_, [F.col(k).isNull() for k in keys])
         ranked = ranked.withColumn("_own_poll", F.when(missing, F.col("_poll")))

@@ -94,3 +94,25 @@ def test_refresh_and_archives(spark, tmp_path, path):
     assert values(table, "type", "linkId") == [("국도", "1")]
     assert table.columns == list(FIELDS) and {t for _, t in table.dtypes} == {"string"}
     assert table.where(F.col("message").isNotNull()).count() == 0
+
+
+def test_spellings_of_one_key_are_one_key(spark, respond, tmp_path, path):
+    zone = str(tmp_path / "zone")
+    first = respond("a", item("110.0", message="b"), item("110", message="a"), item("7", message="c"))
+    loads.load_merge(spark, first, zone, path, DAY)
+    loads.load_merge(spark, respond("b", item("110.00", message="d")), zone, path, DAY)
+    assert values(upsert.read_table(spark, path), "linkId", "message") == [(110, "d"), (7, "c")]
+
+
+def test_loads_fail_on_a_wrong_number_of_values(spark, tmp_path, path):
+    header = ",".join(FIELDS)
+    (tmp_path / "good.csv").write_text(f"{header}\n{',' * 13}\n")
+    (tmp_path / "more.csv").write_text(f"{header}\n{',' * 14}\n")
+    (tmp_path / "less.csv").write_text(f"{header}\n{',' * 5}\n")
+    loads.refresh_raw(spark, str(tmp_path / "good.csv"), path)
+    for bad in ("more.csv", "less.csv"):
+        with pytest.raises(Exception, match="wrong number of values"):
+            loads.refresh_raw(spark, str(tmp_path / bad), path)
+        with pytest.raises(Exception, match="column_count"):
+            loads.load_snapshot(spark, str(tmp_path / bad), path + "-central")
+    assert spark.read.parquet(path).count() == 1

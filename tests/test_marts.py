@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from conftest import DATA
-from roadevents.fixtures import AS_OF, traffic_events
+from roadevents.fixtures import AS_OF, incident_events
 from roadevents.operators.quality import (
     AcceptedRange,
     NotNull,
@@ -12,6 +12,7 @@ from roadevents.operators.quality import (
     require_passing,
     require_rows,
 )
+from roadevents.sinks import files
 from roadevents.plans import marts, models
 from roadevents.plans.rollup import hourly_rollup, reports
 
@@ -29,7 +30,7 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def sample(spark):
-    return traffic_events(spark, f"{DATA}/sf0.001").cache()
+    return incident_events(spark, f"{DATA}/sf0.001").cache()
 
 
 def test_shares_sum_and_null_group(events):
@@ -47,8 +48,8 @@ def test_distinct_counts_ignore_nulls(events):
         at(type="x", roadName="r", linkId=1), at(type="x", roadName="r", linkId=2),
         {"type": "x"}, at(type=None),
     )
-    assert rows(marts.traffic_by_road_type(frame)) == [("x", 3, 1, 1, 2)]
-    assert rows(marts.traffic_by_road_type(frame, approximate=True)) == [("x", 3, 1, 1, 2)]
+    assert rows(marts.events_by_road_type(frame)) == [("x", 3, 1, 1, 2)]
+    assert rows(marts.events_by_road_type(frame, approximate=True)) == [("x", 3, 1, 1, 2)]
 
 
 def test_null_start(events):
@@ -84,16 +85,6 @@ def test_a_type_with_only_open_incidents_comes_first(events):
     assert rows(marts.avg_duration_hours_by_road_type(frame)) == [("open", None), ("closed", 1.0)]
 
 
-def test_row_cap_takes_the_earliest(events):
-    starts = [SUNDAY + dt.timedelta(days=d) for d in range(5)]
-    frame = events({"eventType": "no start"}, *[at(start=s) for s in reversed(starts)])
-    assert [r[0] for r in rows(marts.daily_event_count(frame, max_rows=2))] == [
-        s.date() for s in starts[:2]
-    ]
-    assert sum(r[2] for r in rows(marts.hourly_event_heatmap(frame, max_rows=3))) == 3
-    assert sum(r[2] for r in rows(marts.weekday_event_count(frame, max_rows=6))) == 5
-
-
 def test_totals_agree(sample):
     total = sample.count()
     summary = rows(marts.event_type_summary(sample))
@@ -136,11 +127,23 @@ def test_empty_batch_is_refused(spark):
 
 
 @pytest.mark.parametrize("one_pass", [True, False])
-def test_run_models(spark, sample, events, one_pass):
-    report = models.run_models(sample, as_of=AS_OF, one_pass=one_pass)
+def test_run_models(spark, sample, events, path, one_pass):
+    rollup = path if one_pass else None
+    report = models.run_models(sample, as_of=AS_OF, rollup=rollup)
     assert [r.failures for r in report.collect()] == [0, 0, 0]
     assert spark.table("event_type_summary").count() == 5
     assert {t.name for t in spark.catalog.listTables()} >= set(models.MODELS)
     with pytest.raises(ValueError, match="daily_event_count.event_date not_null: 1"):
-        models.run_models(events({"type": "x"}), as_of=AS_OF, one_pass=one_pass)
+        models.run_models(events({"type": "x"}), as_of=AS_OF, rollup=rollup)
     spark.sql("drop table event_type_summary")
+
+
+def test_views_follow_their_events(spark, events, path):
+    files.full_refresh(events(at(5)), path)
+    models.run_models(spark.read.parquet(path), kinds={"event_type_summary": "view"})
+    files.append_load(events(at(7)), path)
+    stored = spark.read.parquet(path)
+    models.run_models(stored, kinds={"event_type_summary": "view"})
+    assert spark.table("daily_event_count").first().event_count == 2
+    one_clock = spark.table("event_durations").select("duration_minutes")
+    assert one_clock.collect() == one_clock.collect()

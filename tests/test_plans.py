@@ -22,7 +22,7 @@ def plan(df):
     "name, columns",
     [
         ("event_type_summary", {"eventType"}),
-        ("traffic_by_road_type", {"type", "startDate", "linkId", "roadName"}),
+        ("events_by_road_type", {"type", "startDate", "linkId", "roadName"}),
         ("daily_event_count", {"startDate"}),
         ("hourly_event_heatmap", {"startDate"}),
         ("weekday_event_count", {"startDate"}),
@@ -40,12 +40,12 @@ def test_only_used_columns_are_read_and_aggregation_starts_before_the_shuffle(st
 
 
 def test_filters_reach_the_scan(stored):
-    assert "PushedFilters: [IsNotNull(type)]" in plan(marts.traffic_by_road_type(stored))
+    assert "PushedFilters: [IsNotNull(type)]" in plan(marts.events_by_road_type(stored))
     assert "PushedFilters: [IsNotNull(startDate)]" in plan(marts.hourly_event_heatmap(stored))
 
 
 def test_projections_do_not_shuffle(stored):
-    for mart in (marts.stg_event_info, marts.src_traffic_events, marts.event_durations):
+    for mart in (marts.stg_event_info, marts.src_events, marts.event_durations):
         assert "Exchange" not in plan(mart(stored))
 
 
@@ -56,6 +56,6 @@ def test_no_python_in_marts(stored):
 
 
 def test_distinct_counts_spread_a_large_road_type(stored):
-    exchanges = plan(marts.traffic_by_road_type(stored)).split("hashpartitioning(")[1:]
+    exchanges = plan(marts.events_by_road_type(stored)).split("hashpartitioning(")[1:]
     keys = [part.split(", ENSURE")[0] for part in exchanges]
     assert any(all(k in key for k in ("linkId", "roadName", "gid")) for key in keys)

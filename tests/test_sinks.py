@@ -140,13 +140,64 @@ def test_rewrite_latest(spark, events, path):
     assert {r.message for r in table.collect()} == {"new", "other", "late"}
 
 
-def test_many_days_fall_back_to_the_whole_table(spark, events, path, monkeypatch):
-    monkeypatch.setattr(upsert, "MAX_LISTED_DAYS", 1)
-    first = events(*[{"startDate": d, "linkId": 1, "message": "a"} for d in (T0, T1)])
-    upsert.merge_into(first, path, schema=EVENT_SCHEMA)
-    upsert.merge_into(first.withColumn("message", F.lit("b")), path, schema=EVENT_SCHEMA)
-    rows = upsert.read_table(spark, path, EVENT_SCHEMA).collect()
-    assert [r.message for r in rows] == ["b", "b"]
+def test_many_days_touch_only_their_folders(spark, path):
+    days = spark.range(4200).selectExpr(
+        "cast(date_add(date'2010-01-01', cast(id as int)) as timestamp_ntz) startDate",
+        "id linkId",
+        "'a' message",
+    )
+    upsert.merge_into(days, path, schema=days.schema)
+    before = data_files(path, "2010-01-03")
+    batch = days.where("linkId <> 2").withColumn("message", F.lit("b"))
+    upsert.merge_into(batch, path, schema=days.schema)
+    assert len(before) == 1 and data_files(path, "2010-01-03") == before
+    counts = upsert.read_table(spark, path, days.schema).groupBy("message").count().collect()
+    assert {(r["message"], r["count"]) for r in counts} == {("a", 1), ("b", 4199)}
+
+
+def test_a_refresh_that_fails_keeps_the_table(spark, path):
+    files.full_refresh(spark.sql("select 1 a"), path)
+    broken = spark.range(4).selectExpr("if(id = 3, raise_error('broken'), 2) a")
+    with pytest.raises(Exception, match="broken"):
+        files.full_refresh(broken.select(F.col("a").cast("int")), path)
+    assert [r.a for r in spark.read.parquet(path).collect()] == [1]
+    files.full_refresh(spark.read.parquet(path).selectExpr("a + 1 AS a"), path)
+    assert [r.a for r in spark.read.parquet(path).collect()] == [2]
+    assert not list(Path(path).parent.glob("*-new-*")) + list(Path(path).parent.glob("*-old-*"))
+
+
+def test_a_table_model_that_fails_keeps_the_table(spark, path):
+    tables.materialize(spark.range(2), "kept", "table", path=path)
+    broken = spark.range(4).selectExpr("if(id = 3, raise_error('broken'), id) id")
+    with pytest.raises(Exception, match="broken"):
+        tables.materialize(broken.select(F.col("id").cast("long")), "kept", "table", path=path)
+    assert spark.table("kept").count() == 2
+    tables.materialize(spark.range(5), "kept", "table", path=path)
+    assert spark.table("kept").count() == 5
+    tables.drop(spark, "kept")
+
+
+def test_a_day_is_one_file_however_many_tasks_write(spark, path):
+    frame = spark.range(0, 3000, 1, 8).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 30 as int)) ingestion_date", "id"
+    )
+    files.land_parquet(frame, path)
+    written = list(Path(path).glob("*/*.parquet"))
+    assert len({f.parent for f in written}) == len(written) == 30
+
+
+def test_persistent_view_follows_its_table(spark, path):
+    spark.sql("create database if not exists reports")
+    tables.materialize(spark.range(3), "numbers", "table", path=path, schema="reports")
+    view = tables.create_view(spark, "small", "select id from reports.numbers where id < 9", "reports")
+    assert view.count() == 3
+    spark.table("reports.numbers")
+    files.append_load(spark.range(3), path)
+    spark.catalog.refreshTable("reports.numbers")
+    assert spark.table("reports.small").count() == 6
+    tables.drop(spark, "reports.small")
+    tables.drop(spark, "reports.numbers")
+    assert not spark.catalog.tableExists("reports.small")
 
 
 def test_stored_tables_need_the_start_in_the_key(events, path):

@@ -100,13 +100,30 @@ def test_per_file_edge_cases(spark, tmp_path):
     assert [r.coordX for r in rows if not r.type] == ["5"]
 
 
-def test_per_file_reads_large_files_in_blocks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(csv_files, "_BLOCK_BYTES", 1024)
-    body = "\n".join(f"t{i},{i}" if i % 50 else f"t{i}" for i in range(5000))
-    folder = write(tmp_path, "a.csv", f"type,coordX\n{body}\n")
-    rows = csv_files.csv_by_name(spark, folder, headers="per_file").collect()
-    assert len(rows) == 5000 and len({r.type for r in rows}) == 5000
-    assert sum(r._corrupt_record is not None for r in rows) == 100
+def test_values_of_many_megabytes(spark, tmp_path):
+    large = "x" * 9_000_000 + "\n" + "y" * 100
+    folder = write(tmp_path, "a.csv", f'type,message\nA,"{large}"\nB,short\n')
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.write(tmp_path / "a.csv", "a.csv")
+    per_file = csv_files.csv_by_name(spark, folder, headers="per_file")
+    for df in (per_file, csv_files.csv_by_name(spark, folder), archives.zip_csv(spark, folder)):
+        found = {r.type: r.message for r in df.select("type", "message").collect()}
+        assert found == {"A": large, "B": "short"}
+
+
+def test_wrong_counts_are_marked_everywhere(spark, tmp_path):
+    text = "type,coordX\ngood,1\nshort\nlong,1,2\n"
+    folder = write(tmp_path, "a.csv", text)
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("a.csv", text)
+    for df in (
+        csv_files.csv_by_name(spark, folder),
+        csv_files.csv_by_name(spark, folder, headers="per_file"),
+        archives.zip_csv(spark, folder),
+        archives.zip_csv(spark, folder, ["type", "coordX"], by="position"),
+    ):
+        bad = {r.type: r._corrupt_record is not None for r in df.collect()}
+        assert bad == {"good": False, "short": True, "long": True}
 
 
 def test_per_file_encoding(spark, tmp_path):

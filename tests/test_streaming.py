@@ -137,3 +137,27 @@ def test_latest_poll_options(spark):
     assert sorted(r.v for r in kept.collect()) == ["a", "b"]
     with pytest.raises(ValueError):
         ingest.latest_poll(frame, incomplete="x")
+
+
+ORDERS = [(0, 1, 2), (1, 0, 2), (2, 1, 0)]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_late_polls_lose_however_batches_are_cut(spark, landing, path, max_files, order):
+    days = ["2024-02-01", "2024-02-02", "2024-02-03"]
+    folder = str(landing.folder)
+    merged, latest = path + "-merged", path + "-latest"
+    for place in order:
+        landing.poll(item(1, message=days[place]), item(place + 10, message="own"), day=days[place])
+        if max_files:
+            for start, table in ((stream_merge, merged), (stream_rewrite_latest, latest)):
+                stream = ingest.landed_stream(spark, folder, max_files=max_files)
+                run(start(stream, table, table + "-progress"))
+    if not max_files:
+        for start, table in ((stream_merge, merged), (stream_rewrite_latest, latest)):
+            run(start(ingest.landed_stream(spark, folder), table, table + "-progress"))
+    expected = [(1, "2024-02-03"), (10, "own"), (11, "own"), (12, "own")]
+    assert rows(upsert.read_table(spark, merged), "linkId", "message") == sorted(expected, key=repr)
+    table = upsert.read_table(spark, latest, CENTRAL_SCHEMA)
+    assert rows(table, "linkId", "message") == sorted(expected, key=repr)
