@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,19 +101,23 @@ def load_merge(
     original CSV, then merges that day into the table.
 
     Spellings of one key (``110`` and ``110.0``) are one key: of the records landed the
-    first, in text order of the key and then of all values, is merged. The table must be
+    first, in text order of the link, is merged. The table must be
     one that only merges have written.
     """
-    records = require_rows(json_envelope(spark, responses, **json_options))
     order = ("file", "seq")
-    files.land_deduplicated(records.select(*FIELDS, *order), raw_zone, day, order)
-    files.land_csv(_record_fields(records), raw_zone, day, mode="append")
+    records = json_envelope(spark, responses, **json_options).select(*FIELDS, *order)
+    # The responses are parsed once; a lost block is parsed again.
+    records.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        files.land_deduplicated(require_rows(records), raw_zone, day, order)
+        files.land_csv(_record_fields(records), raw_zone, day, mode="append")
+    finally:
+        records.unpersist()
     landed = parquet_by_name(spark, day_folder(raw_zone, day))
     typed = normalize(landed.withColumn("_spelled", F.col("linkId")), dates="text")
-    whole = typed.dropna(subset=list(MERGE_KEYS))
-    loose = typed.where(~F.col("_spelled").isNotNull() | F.col("startDate").isNull())
-    first = dedup_first(whole, MERGE_KEYS, ("_spelled",))
-    batch = first.unionByName(loose.where(~F.col("linkId").isNotNull() | F.col("startDate").isNull()))
+    incomplete = reduce(or_, [F.col(k).isNull() for k in MERGE_KEYS])
+    first = dedup_first(typed.where(~incomplete), MERGE_KEYS, ("_spelled",))
+    batch = first.unionByName(typed.where(incomplete))
     upsert.merge_into(batch, table, stamp=stamp, unique_target=True, checked=True)
     if rejects_table:
         files.append_load(rejects(landed, dates="text"), rejects_table)

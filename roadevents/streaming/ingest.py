@@ -92,9 +92,10 @@ def latest_poll(
     """Per key the record of the latest poll, and within that poll the first one.
 
     One micro-batch may hold several polls of the same incident; with the poll stored
-    beside the row this makes the outcome independent of how polls fall into batches. ``incomplete`` says what becomes of keys
-    with a null part: ``"grouped"`` treats them as one key, ``"per_poll"`` keeps the
-    first of every poll, for a merge in which they never match an earlier row.
+    beside the row this makes the outcome independent of how polls fall into batches.
+    ``incomplete`` says what becomes of keys with a null part: ``"grouped"`` treats them
+    as one key, ``"per_poll"`` keeps the first of every poll, for a merge in which they
+    never match an earlier row.
     """
     if incomplete not in ("grouped", "per_poll"):
         raise ValueError(f"incomplete must be 'grouped' or 'per_poll', not {incomplete!r}")
