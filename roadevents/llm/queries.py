@@ -79,5 +79,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": sql.license_scan(),
+    "op4_suffix_dedup": sql.SUFFIX_DEDUP,
+    "op6_near_duplicates": sql.NEAR_DUPLICATES,
     "op7_chat_formatting": sql.CHAT_FORMATTING,
 }

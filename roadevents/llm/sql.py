@@ -89,3 +89,58 @@ SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_cha
        sha256(loss) AS loss_sha256, formatted_chars
 FROM joined
 """
+
+# Strings of 100 bytes as 200 hexadecimal digits; a removed stretch is an island of
+# repeated starts no more than 100 bytes apart.
+SUFFIX_DEDUP = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT doc_id, md5_number(substr(h, 2 * s + 1, 200)) AS string, s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS s FROM docs)),
+ranked AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY string ORDER BY doc_id, s) AS n
+  FROM starts),
+marked AS (
+  SELECT doc_id, s, CASE WHEN s - lag(s) OVER w <= 100 THEN 0 ELSE 1 END AS turn
+  FROM ranked WHERE n > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY s)),
+islands AS (
+  SELECT doc_id, min(s) AS a, max(s) + 100 AS z
+  FROM (SELECT *, sum(turn) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM marked)
+  GROUP BY doc_id, island),
+gaps AS (
+  SELECT doc_id, coalesce(lag(z) OVER w, 0) AS a, a AS z
+  FROM islands WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL
+  SELECT doc_id, coalesce(max(z), 0), length(any_value(h)) // 2
+  FROM docs LEFT JOIN islands USING (doc_id) GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * gaps.a + 1, 2 * (gaps.z - gaps.a)), '' ORDER BY gaps.a) AS k
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id),
+sums AS (
+  SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM islands GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({LOW}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + least(5, len(w))], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+LEFT JOIN sizes USING (doc_id)
+"""

@@ -1,7 +1,6 @@
 """The pipeline's stages, one by one, against plain versions of each."""
 
 import numpy as np
-import pytest
 
 import corpus_pipeline as cp
 from conftest import DATA
@@ -51,7 +50,8 @@ def clean(rows, items):
         b = text.encode().lower().split()
         for own in items:
             a = own.encode().lower().split()
-            if len({tuple(a[i : i + 4]) for i in range(len(a) - 3)} & {tuple(b[i : i + 4]) for i in range(len(b) - 3)}) > 3:
+            runs = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (a, b)]
+            if len(runs[0] & runs[1]) > 3:
                 if sum(t[2] for t in slow_tiles(a, b, 4)) >= 0.5 * len(a):
                     return True
         return False
