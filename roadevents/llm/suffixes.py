@@ -43,9 +43,11 @@ def identifiers(data: np.ndarray, length: int) -> np.ndarray:
     found, k = BYTES[data], 1
     while k < length:
         later = found[k:]
-        found = mix64(found[:-k] * np.uint64(0x9E3779B97F4A7C15) + later)
+        found = found[:-k] * np.uint64(0x9E3779B97F4A7C15)
+        found += later
+        found ^= found >> np.uint64(29)
         k *= 2
-    return found
+    return found * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def anchors(
