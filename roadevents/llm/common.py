@@ -12,12 +12,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROW_GROUP_BYTES = 8 << 20
 # Text bytes that one step inside a task holds as numpy arrays.
 STEP_BYTES = 1 << 20
 
 
+# Rows that go to Python at once: they may hold whole texts, and both sides keep a batch.
+FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables. From here on the session sends few rows at once to Python."""
+    for key, value in FEW_ROWS.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -46,22 +53,24 @@ class Scratch:
     """Tables of intermediate data under one new path in the shared folder."""
 
     # Shuffle files of a finished write are of no more use.
-    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    SETTINGS = FEW_ROWS | {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark, self.path = spark, shared_path(spark, purpose)
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         """``df`` computed once and read back."""
-        path, before = f"{self.path}/{name}", self.spark.conf.get(self.CLEANUP, None)
-        self.spark.conf.set(self.CLEANUP, "true")
+        path, conf = f"{self.path}/{name}", self.spark.conf
+        before = {key: conf.get(key, None) for key in self.SETTINGS}
+        for key, value in self.SETTINGS.items():
+            conf.set(key, value)
         try:
-            df.write.parquet(path)
+            # Small row groups: a writer holds one of them in memory.
+            writer = df.write.option("parquet.block.size", ROW_GROUP_BYTES)
+            writer.parquet(path, compression=compression)
         finally:
-            if before is None:
-                self.spark.conf.unset(self.CLEANUP)
-            else:
-                self.spark.conf.set(self.CLEANUP, before)
+            for key, value in before.items():
+                conf.unset(key) if value is None else conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -4,7 +4,10 @@ A keyed Feistel network permutes the sequence numbers: four rounds over the smal
 even number of bits that holds them all, walked on until the value is a number again.
 The result is the sequence's slot. Shard ``s`` holds slots ``s * records`` and on, each
 as ``stride`` ids of fixed width, so slot and place in a file follow from each other and
-a reader resumes anywhere by arithmetic. Short sequences are padded.
+a reader resumes anywhere by arithmetic.
+
+Sequences are cut from the documents' ids one after another, with an end id after each
+document, so only the last sequence of a task is padded.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +24,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadevents.llm.common import mix64, shared_path, steps, written
+from roadevents.llm.common import Scratch, mix64, shared_path, steps
 from roadevents.llm.tokens import encoder
 
 STRIDE = 512
 RECORDS = 2048
-PAD = 49407
+# Shards are written in so many passes; what a pass shuffles is gone before the next.
+WAVES = 2
+END_ID = 49407
+PAD = 49406
 KEY = 20_240_607
 WIDTH = "<u2"
 
 MANIFEST = (
     "slot bigint, shard bigint, byte_offset bigint, sequence bigint, doc_id bigint, "
-    "piece int, n_tokens int, record_crc32 bigint"
+    "start bigint, n_tokens int, record_crc32 bigint"
 )
 
 
@@ -54,29 +61,44 @@ def permuted(numbers: np.ndarray, total: int, key: int = KEY) -> np.ndarray:
 def sequences(
     docs: DataFrame, text: str = "text", stride: int = STRIDE, tokenizer: str | None = None
 ) -> DataFrame:
-    """doc_id, piece, n_tokens and tokens (little-endian bytes): texts cut at ``stride``.
+    """The documents' ids, END_ID after each, cut at ``stride``: doc_id and start tell
+    which document a sequence begins in and at which of its ids; n_tokens and tokens
+    (little-endian bytes) follow.
 
-    Null and empty texts give one sequence without tokens, so that each document has a
-    place in the order.
+    Null and empty texts are an end id alone. A sequence does not go on in another task.
     """
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = stride * np.dtype(WIDTH).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]):
+        held, at = bytearray(), (None, 0)
         for batch in steps(batches):
-            out: dict[str, list] = {"doc_id": [], "piece": [], "n_tokens": [], "tokens": []}
+            out: list[tuple] = []
             found = encoder(tokenizer).ids(batch.column("text").to_pylist())
             for doc_id, own in zip(batch.column("doc_id").to_pylist(), found, strict=True):
-                for start in range(0, max(len(own), 1), stride):
-                    part = own[start : start + stride]
-                    out["doc_id"].append(doc_id)
-                    out["piece"].append(start // stride)
-                    out["n_tokens"].append(len(part))
-                    out["tokens"].append(narrowed(part))
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            arrays = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
-            yield pa.record_batch(arrays, names=list(out))
-
-    return rows.mapInArrow(run, "doc_id bigint, piece int, n_tokens int, tokens binary")
+                own = narrowed(np.append(own, np.uint32(END_ID)))
+                if not held:
+                    at = (doc_id, 0)
+                before = len(held)
+                held += own
+                while len(held) >= size:
+                    out.append((*at, stride, bytes(held[:size])))
+                    del held[:size]
+                    # The next one begins in this document, or with the one after it.
+                    used = size - before
+                    before = -used
+                    at = (doc_id, used // np.dtype(WIDTH).itemsize)
+            yield _batch(out)
+        if held:
+            yield _batch([(*at, len(held) // np.dtype(WIDTH).itemsize, bytes(held))])
+
+    return rows.mapInArrow(run, "doc_id bigint, start bigint, n_tokens int, tokens binary")
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names, types = ("doc_id", "start", "n_tokens", "tokens"), (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
 def narrowed(ids: np.ndarray) -> bytes:
@@ -141,7 +163,7 @@ def _write(
             file.write(record)
             checks.append(zlib.crc32(record))
             offsets.append(slot % records * size)
-        columns = {n: batch.column(n) for n in ("slot", "shard", "sequence", "doc_id", "piece", "n_tokens")}
+        columns = {n: batch.column(n) for n in ("slot", "shard", "sequence", "doc_id", "start", "n_tokens")}
         columns |= {"byte_offset": pa.array(offsets, pa.int64()), "record_crc32": pa.array(checks, pa.int64())}
         names = [c.split()[0] for c in MANIFEST.split(", ")]
         yield pa.record_batch([columns[n] for n in names], names=names)
@@ -156,15 +178,17 @@ def materialise(
     key: int = KEY,
     pad: int = PAD,
 ) -> Shards:
-    """Writes the sequences (doc_id, piece, n_tokens, tokens) to shards under ``path``.
+    """Writes the sequences (doc_id, start, n_tokens, tokens) to shards under ``path``.
 
     Sequences are first written to the shared folder, which fixes their numbers: by
     writing task, then by place in it. The driver learns one count per task. A task that
     is run again writes the same shards again. ``path`` is a URI that pyarrow opens on
     every executor. Equal rows each have a slot; without rows there is no shard.
     """
-    stored = rows.select("doc_id", "piece", "n_tokens", "tokens")
-    stored = written(stored.withColumn("at", F.monotonically_increasing_id()), "sequences")
+    stored = rows.select("doc_id", "start", "n_tokens", "tokens")
+    scratch = Scratch(rows.sparkSession, "sequences")
+    stored = stored.withColumn("at", F.monotonically_increasing_id())
+    stored = scratch.write(stored, "stored", "zstd")
     task, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
     counts = stored.groupBy(task.alias("task")).count().orderBy("task").collect()
     tasks = np.array([r["task"] for r in counts], np.int64)
@@ -176,23 +200,27 @@ def materialise(
             own = np.searchsorted(tasks, batch.column("task").to_numpy())
             number = before[own] + batch.column("place").to_numpy()
             slot = permuted(number, total, key)
-            columns = [batch.column(n) for n in ("doc_id", "piece", "n_tokens", "tokens")]
+            columns = [batch.column(n) for n in ("doc_id", "start", "n_tokens", "tokens")]
             columns += [pa.array(x, pa.int64()) for x in (number, slot, slot // records)]
             yield pa.record_batch(columns, names=names)
 
-    names = ["doc_id", "piece", "n_tokens", "tokens", "sequence", "slot", "shard"]
-    placed = stored.select("doc_id", "piece", "n_tokens", "tokens", task.alias("task"), place.alias("place"))
+    names = ["doc_id", "start", "n_tokens", "tokens", "sequence", "slot", "shard"]
+    placed = stored.select("doc_id", "start", "n_tokens", "tokens", task.alias("task"), place.alias("place"))
     placed = placed.mapInArrow(
         slots,
-        "doc_id bigint, piece int, n_tokens int, tokens binary, "
+        "doc_id bigint, start bigint, n_tokens int, tokens binary, "
         "sequence bigint, slot bigint, shard bigint",
     )
     store, folder = fs.FileSystem.from_uri(path)
     store.create_dir(folder)
-    shards = max(1, -(-total // records))
-    ordered = placed.repartition(shards, "shard").sortWithinPartitions("slot")
-    manifest = ordered.mapInArrow(lambda b: _write(b, path, stride, records, pad), MANIFEST)
-    return Shards(path, total, stride, records, written(manifest, "manifest"))
+    shards, parts = max(1, -(-total // records)), []
+    for wave in range(WAVES):
+        own = placed.where(F.col("shard") % WAVES == wave)
+        ordered = own.repartition(-(-shards // WAVES), "shard").sortWithinPartitions("slot")
+        done = ordered.mapInArrow(lambda b: _write(b, path, stride, records, pad), MANIFEST)
+        parts.append(scratch.write(done, f"manifest-{wave}"))
+    scratch.drop("stored")
+    return Shards(path, total, stride, records, reduce(DataFrame.unionByName, parts))
 
 
 def materialise_documents(docs: DataFrame, path: str | None = None, **options) -> Shards:

@@ -11,13 +11,13 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 WORD_BPE = "word_bpe_49k.json"
-# Words whose ids a worker keeps before it starts afresh.
+# Words after which a worker's cache is renewed; the one before is kept beside it.
 KEPT_WORDS = 400_000
 
 
-# Lower-case letters of ASCII and Latin-1, perhaps with a stop or comma after them: such a
-# word is one pre-token, or two, and no normaliser changes it.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
+# Letters of ASCII and Latin-1, perhaps with ASCII marks other than an apostrophe after
+# them: such a word is one pre-token, or two, and normalising only lower-cases it.
+_PLAIN = re.compile(r"([a-zÀ-ÖØ-Þß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -41,25 +41,33 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.stops = {c: self._whole([c])[0] for c in ".,"} | {"": b""}
+        self.marks = {"": b""}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(own.ids, "<u4").tobytes() for own in found]
 
+    def _spelled(self, letters: str) -> bytes:
+        letters = letters.lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        ids = [piece.id for piece in self.tokenizer.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, new: list[str]) -> None:
-        pieces, odd = self.tokenizer.model.tokenize, []
+        odd = []
         for word in new:
             plain = _PLAIN.fullmatch(word)
             if not plain:
                 odd.append(word)
                 continue
-            letters, stop = plain.groups()
-            if not letters.isascii():
-                letters = letters.encode().decode("latin-1").translate(self.letters)
-            ids = [p.id for p in pieces(letters)]
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids) + self.stops[stop]
+            letters, marks = plain.groups()
+            if marks not in self.marks:
+                self.marks[marks] = self._whole([marks])[0]
+            own = self.known.get(letters) or self.older.get(letters)
+            self.known[word] = (own or self._spelled(letters)) + self.marks[marks]
         for at in range(0, len(odd), 10_000):
             part = odd[at : at + 10_000]
             self.known.update(zip(part, self._whole(part), strict=True))
@@ -73,9 +81,13 @@ class Encoder:
                 text = text.encode().lower().decode()
             split.append(text.replace("\n", " ").split(" "))
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        words = set().union(*split) if split else set()
-        self._learn([w for w in words if w not in self.known])
+            # What is met again comes back from here; the rest goes with the next turn.
+            self.known, self.older = {}, self.known
+            self.marks = {"": b""}
+        new = set().union(*split).difference(self.known) if split else set()
+        back = self.older.keys() & new
+        self.known.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        self._learn(list(new - back))
         known = self.known.__getitem__
         return [np.frombuffer(b"".join(map(known, own)), "<u4") for own in split]
 

@@ -27,19 +27,24 @@ def check(docs, path, stride, records):
     assert sorted(r["slot"] for r in manifest) == list(range(found.total))
     assert sorted(r["sequence"] for r in manifest) == list(range(found.total))
     table = found.read(0, found.total)
-    got = []
-    for r in manifest:
+    stream, begins = [], []
+    for r in sorted(manifest, key=lambda r: r["sequence"]):
         record = table[r["slot"]]
         assert zlib.crc32(record.tobytes()) == r["record_crc32"]
         assert r["shard"] == r["slot"] // records
         assert r["byte_offset"] == r["slot"] % records * stride * 2
         assert (record[r["n_tokens"] :] == sh.PAD).all()
-        got.append((r["doc_id"], r["piece"], record[: r["n_tokens"]].tolist()))
-    expected = []
+        begins.append((len(stream), r["doc_id"], r["start"]))
+        stream += record[: r["n_tokens"]].tolist()
+    expected, at = [], {}
     for r, own in zip(rows, encoder().ids([r["text"] or "" for r in rows])):
-        for start in range(0, max(len(own), 1), stride):
-            expected.append((r["doc_id"], start // stride, own[start : start + stride].tolist()))
-    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+        for i in range(len(own) + 1):
+            at[len(expected) + i] = (r["doc_id"], i)
+        expected += [*own.tolist(), sh.END_ID]
+    assert stream == expected
+    assert all(at[place] == (doc, start) for place, doc, start in begins)
+    short = sum(r["n_tokens"] < stride for r in manifest)
+    assert short <= docs.rdd.getNumPartitions()
     middle = found.total // 2
     assert (found.read(middle, 5) == table[middle : middle + 5]).all()
 
