@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from roadevents.llm.common import mix64
 
 # Bits of a map: what is collected and sent never exceeds 2 ** BITS of them.
-BITS = 27
+BITS = 26
 
 
 def slots(keys: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ UNKNOWN = "und"
 DIMENSIONS = 1024
 SEED = 20_240
 # Vectors of trigrams that a worker keeps before it starts afresh.
-KEPT_VECTORS = 1 << 15
+KEPT_VECTORS = 1 << 14
 TEXT = "__text"
 # Texts that become vectors in one product.
 TEXTS_AT_ONCE = 256

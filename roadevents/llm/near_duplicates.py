@@ -113,9 +113,39 @@ class _Order:
         return own[np.lexsort((own, levels))[:count]]
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], order: _Order):
-    for _, sets in _sets(batches):
-        found = [order.prefix(own) for own in sets if len(own)]
+class _Firsts:
+    """Tells a class's document of smallest id from the others.
+
+    By chance it lets another one through, which only costs work.
+    """
+
+    def __init__(self, info: DataFrame):
+        def numbers(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                ids, classes = batch.column("doc_id"), batch.column("cls").to_pylist()
+                yield pa.record_batch([pa.array(self.number(ids, classes))], names=["key"])
+
+        each = info.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+        self.map = BitMap(each.mapInArrow(numbers, "key bigint"))
+
+    @staticmethod
+    def number(ids: pa.Array, classes: list[bytes]) -> np.ndarray:
+        known = ids.fill_null(-(2**63)).to_numpy().view(np.uint64)
+        return (mix64(known) ^ _numbers(classes).view(np.uint64)).view(np.int64)
+
+    def of(self, batch: pa.RecordBatch, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, bytes]]:
+        """The sets, with their classes, of the batch's first documents."""
+        rows = [i for i, own in enumerate(sets) if len(own)]
+        classes = [_digest(sets[i]) for i in rows]
+        first = self.map.has(self.number(batch.column("doc_id").take(pa.array(rows, pa.int64())), classes))
+        for i, cls, kept in zip(rows, classes, first, strict=True):
+            if kept:
+                yield sets[i], cls
+
+
+def _tokens(batches: Iterator[pa.RecordBatch], order: _Order, firsts: _Firsts):
+    for batch, sets in _sets(batches):
+        found = [order.prefix(own) for own, _ in firsts.of(batch, sets)]
         if found:
             yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
 
@@ -131,18 +161,18 @@ def signature(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _members(batches: Iterator[pa.RecordBatch], order: _Order, shared: BitMap):
-    for _, sets in _sets(batches):
+def _members(
+    batches: Iterator[pa.RecordBatch], order: _Order, firsts: _Firsts, shared: BitMap
+):
+    for batch, sets in _sets(batches):
         tokens, rows, digests, sizes, signatures = [], [], [], [], []
-        for own in sets:
-            if not len(own):
-                continue
+        for own, cls in firsts.of(batch, sets):
             prefix = order.prefix(own).view(np.int64)
             prefix = prefix[shared.has(prefix)]
             if len(prefix):
                 tokens.append(prefix)
                 rows += [len(digests)] * len(prefix)
-                digests.append(_digest(own))
+                digests.append(cls)
                 sizes.append(len(own))
                 signatures.append(signature(own))
         if tokens:
@@ -251,35 +281,66 @@ def tree_pairs(
                 yield int(a.rows[i]), int(b.rows[j])
 
 
-def _search(rows: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs of one group, or of two blocks of a large one."""
-    rows = rows.drop_duplicates(["side", "cls"])
-    bits = rows[BITS].to_numpy(np.int64).view(np.uint64)
-    sizes, comps = rows["n"].to_numpy(), pd.factorize(rows["comp"])[0]
-    side = rows["side"].to_numpy()
-    left = np.flatnonzero(side == 0)
-    right = np.flatnonzero(side == 1) if (side == 1).any() else left
-    names = rows["cls"].to_numpy()
-    if not len(left) or rows["across"].iloc[0] and right is left:
-        return pd.DataFrame({"a": [], "b": []})
-    found = [sorted((names[i], names[j])) for i, j in tree_pairs(bits, sizes, comps, left, right)]
-    return pd.DataFrame(found, columns=["a", "b"])
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of sorted groups, one group, or two blocks of a large one, at a time."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        ends = _ends(held)
+        # The last group may go on in the next batch.
+        if len(ends) > 1:
+            yield _pairs(held.slice(0, ends[-2]), ends[:-1])
+            held = held.slice(ends[-2]).combine_chunks()
+    if held is not None and len(held):
+        yield _pairs(held, _ends(held))
+
+
+def _ends(rows: pa.Table) -> np.ndarray:
+    keys = np.stack([rows.column(c).to_numpy() for c in ("token", "i", "j")])
+    return np.append(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, len(rows))
+
+
+def _pairs(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
+    bits = np.stack([rows.column(s).to_numpy() for s in BITS], axis=1).view(np.uint64)
+    sizes, side = rows.column("n").to_numpy(), rows.column("side").to_numpy()
+    across = rows.column("across").to_numpy()
+    names = rows.column("cls").to_pylist()
+    comps = pd.factorize(np.array(rows.column("comp").to_pylist(), object))[0]
+    classes = pd.factorize(np.array(names, object))[0]
+    one, other, at = [], [], 0
+    for end in ends.tolist():
+        own, at = np.arange(at, end), end
+        if (comps[own] == comps[own[0]]).all():
+            continue
+        # Copies of a class that came by chance stand for it once.
+        own = own[np.unique(classes[own] * 2 + side[own], return_index=True)[1]]
+        left, right = own[side[own] == 0], own[side[own] == 1]
+        if not across[own[0]]:
+            right = left
+        if not len(left) or not len(right):
+            continue
+        for i, j in tree_pairs(bits, sizes, comps, left, right):
+            one.append(min(names[i], names[j]))
+            other.append(max(names[i], names[j]))
+    return pa.record_batch({"a": pa.array(one, pa.binary()), "b": pa.array(other, pa.binary())})
 
 
-def _searched(members: DataFrame, comps: DataFrame) -> DataFrame:
+def _searched(members: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFrame:
     """Candidate pairs between components, from every group that has several.
 
     A group of many classes is dealt in blocks; each pair of blocks is one task's work.
     Groups of two were settled by their star.
     """
-    own = members.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    several = own.groupBy("token").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")
+    comp = F.coalesce("comp", "cls")
+    several = members.select("token", "cls").join(comps, "cls", "left").groupBy("token").agg(
+        F.min(comp).alias("low"), F.max(comp).alias("high"), F.count("*").alias("size")
     )
-    several = several.where("low != high AND size > 2")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = own.join(several.select("token", blocks.alias("blocks")), "token")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    several = several.where("low != high AND size > 2").select("token", blocks)
+    several = scratch.write(several, "several")
+    own = members.join(several, "token").join(comps, "cls", "left").withColumn("comp", comp)
+    dealt = own.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     # A class goes to each pair of blocks that its own is in.
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = dealt.withColumn("other", F.explode(every)).select(
@@ -293,13 +354,14 @@ def _searched(members: DataFrame, comps: DataFrame) -> DataFrame:
         "n",
         *BITS,
     )
-    found = dealt.groupBy("token", "i", "j").applyInPandas(_search, "a binary, b binary")
-    return found.distinct()
+    groups = ("token", "i", "j")
+    dealt = dealt.repartition(*groups).sortWithinPartitions(*groups)
+    return dealt.mapInArrow(_search, "a binary, b binary").distinct()
 
 
-def _wanted(batches: Iterator[pa.RecordBatch], wanted: BitMap):
-    for _, sets in _sets(batches):
-        some = [(_digest(own), own) for own in sets if len(own)]
+def _wanted(batches: Iterator[pa.RecordBatch], wanted: BitMap, firsts: _Firsts):
+    for batch, sets in _sets(batches):
+        some = [(cls, own) for own, cls in firsts.of(batch, sets)]
         if some:
             kept = wanted.has(_numbers([d for d, _ in some]))
             some = [s for s, k in zip(some, kept, strict=True) if k]
@@ -326,7 +388,7 @@ def _verified(batches: Iterator[pa.RecordBatch]):
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def _links(rows: DataFrame, pairs: DataFrame, scratch: Scratch, step: str) -> DataFrame:
+def _links(rows: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: str) -> DataFrame:
     """The pairs whose full sets meet the threshold."""
 
     def numbers(batches: Iterator[pa.RecordBatch]):
@@ -336,8 +398,11 @@ def _links(rows: DataFrame, pairs: DataFrame, scratch: Scratch, step: str) -> Da
     names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     wanted = BitMap(names.mapInArrow(numbers, "key bigint"))
     sent = rows.sparkSession.sparkContext.broadcast(wanted)
-    sets = rows.mapInArrow(lambda b: _wanted(b, sent.value), "cls binary, own binary")
-    sets = scratch.write(sets.groupBy("cls").agg(F.first("own").alias("own")), f"sets-{step}")
+    # A class that has two documents here, by chance, only has its pairs verified twice.
+    sets = rows.mapInArrow(
+        lambda b: _wanted(b, sent.value, firsts.value), "cls binary, own binary"
+    )
+    sets = scratch.write(sets, f"sets-{step}")
     one = sets.select(F.col("cls").alias("a"), F.col("own").alias("one"))
     other = sets.select(F.col("cls").alias("b"), F.col("own").alias("other"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other")
@@ -359,17 +424,20 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     info = scratch.write(rows.mapInArrow(_info, INFO), "info")
     order = send(_Order(info))
-    tokens = rows.mapInArrow(lambda b: _tokens(b, order.value), "key bigint")
+    firsts = send(_Firsts(info))
+    tokens = rows.mapInArrow(lambda b: _tokens(b, order.value, firsts.value), "key bigint")
     tokens = tokens.groupBy("key").count().where("count > 1")
     shared = send(BitMap(tokens.select("key")))
-    members = rows.mapInArrow(lambda b: _members(b, order.value, shared.value), MEMBERS)
+    members = rows.mapInArrow(
+        lambda b: _members(b, order.value, firsts.value, shared.value), MEMBERS
+    )
     members = scratch.write(members, "members")
 
     stars = scratch.write(_stars(members), "stars")
-    links = _links(rows, stars, scratch, "stars")
+    links = _links(rows, firsts, stars, scratch, "stars")
     comps = scratch.write(components(links, scratch, "first"), "components")
-    found = scratch.write(_searched(members, comps).join(stars, ["a", "b"], "left_anti"), "found")
-    more = _links(rows, found, scratch, "found")
+    found = scratch.write(_searched(members, comps, scratch).join(stars, ["a", "b"], "left_anti"), "found")
+    more = _links(rows, firsts, found, scratch, "found")
     scratch.drop("members", "stars", "found")
     comps = scratch.write(components(links.unionByName(more), scratch, "second"), "result")
 

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words whose numbers a worker keeps before it starts afresh.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 
 
 class _Numbers(dict):
