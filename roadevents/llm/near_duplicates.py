@@ -34,6 +34,7 @@ WORDS = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 SIGNATURE = 8
+WIDE_BITS = 1 << 14
 # Counters of the sketch that tells common shingles from rare ones.
 SKETCH_BITS = 20
 # Classes of a group that one task compares with as many others.
@@ -368,6 +369,8 @@ def _wanted(batches: Iterator[pa.RecordBatch], wanted: BitMap, firsts: _Firsts):
         yield pa.record_batch(
             {
                 "cls": pa.array([d for d, _ in some], pa.binary()),
+                "n": pa.array([len(own) for _, own in some], pa.int64()),
+                "wide": pa.array([wide(own) for _, own in some], pa.binary()),
                 "own": pa.array([own.tobytes() for _, own in some], pa.binary()),
             }
         )
@@ -377,6 +380,26 @@ def _numbers(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(d[:8] for d in digests), np.int64)
 
 
+def wide(own: np.ndarray) -> bytes:
+    """A bitmap of the set that stays sparse for sets of some thousand shingles."""
+    bits = np.zeros(WIDE_BITS, bool)
+    bits[(own >> np.uint64(20) & np.uint64(WIDE_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _possible(batches: Iterator[pa.RecordBatch]):
+    """The pairs whose wide bitmaps do not rule them out."""
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("one", "other", "n", "m")]
+        kept = []
+        for one, other, n, m in zip(*columns, strict=True):
+            x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+            over = int(np.bitwise_count(x & ~y).sum())
+            under = int(np.bitwise_count(y & ~x).sum())
+            kept.append(bool(linked(min(n - over, m - under), n, m)))
+        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+
 def _verified(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("one", "other")]
@@ -400,9 +423,15 @@ def _links(rows: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: st
     sent = rows.sparkSession.sparkContext.broadcast(wanted)
     # A class that has two documents here, by chance, only has its pairs verified twice.
     sets = rows.mapInArrow(
-        lambda b: _wanted(b, sent.value, firsts.value), "cls binary, own binary"
+        lambda b: _wanted(b, sent.value, firsts.value),
+        "cls binary, n bigint, wide binary, own binary",
     )
     sets = scratch.write(sets, f"sets-{step}")
+    # Wide bitmaps are smaller than the sets and leave few pairs whose sets must meet.
+    one = sets.select(F.col("cls").alias("a"), "n", F.col("wide").alias("one"))
+    other = sets.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("wide").alias("other"))
+    pairs = pairs.join(one, "a").join(other, "b").select("a", "b", "n", "m", "one", "other")
+    pairs = scratch.write(pairs.mapInArrow(_possible, "a binary, b binary"), f"possible-{step}")
     one = sets.select(F.col("cls").alias("a"), F.col("own").alias("one"))
     other = sets.select(F.col("cls").alias("b"), F.col("own").alias("other"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other")
