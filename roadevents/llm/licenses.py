@@ -1,6 +1,7 @@
 """License scan: an exact containment join of text blocks with license notices.
 
-A block is a line, its tokens the distinct words. It matches a template when it has at
+A block is a line, or, for a notice wrapped over lines, the words on both sides of a
+line's end; its tokens are the distinct words. It matches a template when it has at
 least ``threshold`` of the template's tokens. Tokens have one global order, the rarest
 in the corpus first. A block that misses all of a template's rarest tokens (its prefix)
 cannot match, one with too few tokens cannot, and one whose shared token stands so late
@@ -97,43 +98,109 @@ def matches(
     that the line has. Null and empty texts match nothing; equal rows match alike. What
     the driver learns is a count per template token.
     """
-    spark = docs.sparkSession
+    rows = docs.select(*keep, lower_ascii(F.col(text)).alias("text"))
+    lines = rows.select(*keep, F.posexplode(F.split("text", "\n")).alias("block", "line"))
+    blocks = lines.select(*keep, "block", words(F.col("line")).alias("before"), _no_words().alias("after"))
+    return _joined(blocks, *_index(rows, templates, threshold), keep)
+
+
+def block_matches(
+    docs: DataFrame,
+    templates=TEMPLATES,
+    threshold: float = THRESHOLD,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """``matches``, and a row per line end and template that match across it.
+
+    Of a template of n words, the last n - 1 words before a line's end and the first
+    n - 1 after it are judged together, over as many lines as they fill; so every n
+    words in a row are judged, wherever they are wrapped. Lines without words are passed
+    over; ``block`` counts the lines with words, then the ends of all but the last.
+    """
+    rows = docs.select(*keep, lower_ascii(F.col(text)).alias("text"))
+    longest = max((len(t.split()) for _, t in templates), default=1)
+    reach = max(longest - 1, 1)
+    lines = F.transform(F.split("text", "\n"), words)
+    own = rows.select(*keep, F.filter(lines, lambda w: F.size(w) > 0).alias("lines"))
+    own = own.withColumn("heads", F.transform("lines", lambda w: F.slice(w, 1, reach)))
+    last = F.size("lines") - 1
+
+    def end(i: Column) -> Column:
+        before = F.get("lines", i)
+        left = F.least(F.size(before), F.lit(reach))
+        after = F.flatten(F.slice("heads", i + 2, F.lit(reach)))
+        return F.struct(
+            F.slice(before, F.size(before) - left + 1, left).alias("before"),
+            F.slice(after, 1, reach).alias("after"),
+        )
+
+    none = F.lit([]).cast("array<struct<before:array<string>,after:array<string>>>")
+    ends = F.when(last > 0, F.transform(F.sequence(F.lit(0), last - 1), end)).otherwise(none)
+    whole = F.transform("lines", lambda w: F.struct(w.alias("before"), _no_words().alias("after")))
+    blocks = own.select(*keep, F.posexplode(F.concat(whole, ends)).alias("block", "words"))
+    blocks = blocks.select(*keep, "block", "words.before", "words.after")
+    return _joined(blocks, *_index(rows, templates, threshold), keep)
+
+
+def _no_words() -> Column:
+    return F.lit([]).cast("array<string>")
+
+
+def _index(rows: DataFrame, templates, threshold: float) -> tuple[DataFrame, list[str], int]:
+    """The templates by the tokens of their prefixes, the order of tokens, the least need."""
+    spark = rows.sparkSession
     known = _templates(templates, threshold)
+    sizes = [len(text.split()) for _, text in templates if text.split()]
     vocabulary = sorted({t for _, tokens, _ in known for t in tokens})
-    rows = docs.select(*keep, lower_ascii(F.col(text)).alias("text"))
     counts = _frequencies(rows, vocabulary)
     order = sorted(vocabulary, key=lambda t: (counts.get(t, 0), t))
     rank = {t: i for i, t in enumerate(order)}
     postings = [
-        (token, i, number, label, ordered, need)
-        for number, (label, tokens, need) in enumerate(known)
+        (token, i, number, label, ordered, need, size)
+        for number, ((label, tokens, need), size) in enumerate(zip(known, sizes, strict=True))
         for ordered in [sorted(tokens, key=rank.__getitem__)]
         for i, token in enumerate(ordered[: len(ordered) - need + 1])
     ]
     index = spark.createDataFrame(
         postings,
-        "token string, at int, template int, label string, tokens array<string>, need int",
+        "token string, at int, template int, label string, tokens array<string>, need int, n int",
     )
-    least = min((need for *_, need in known), default=1)
-    lines = rows.select(*keep, F.posexplode(F.split("text", "\n")).alias("block", "line"))
+    return index, order, min((need for *_, need in known), default=1)
+
+
+def _joined(
+    blocks: DataFrame, index: DataFrame, order: list[str], least: int, keep: tuple[str, ...]
+) -> DataFrame:
+    """The blocks' words ``before`` and ``after`` a line's end, joined with the templates."""
     # Only tokens of templates can be shared; array_intersect keeps the global order.
     known_order = F.lit(order).cast("array<string>")
-    own = F.array_intersect(known_order, words(F.col("line")))
+    own = F.array_intersect(known_order, F.concat("before", "after"))
     length = F.greatest(F.size("own") - least + 1, F.lit(0))
-    prefix = lines.select(*keep, "block", own.alias("own")).select(
+    prefix = blocks.select(*keep, "block", "before", "after", own.alias("own")).select(
         *keep,
         "block",
+        "before",
+        "after",
         "own",
         F.posexplode(F.slice("own", F.lit(1), length)).alias("place", "token"),
     )
-    joined = prefix.join(index, "token")
+    # The templates come from the driver and are few; the blocks stay where they are.
+    joined = prefix.join(F.broadcast(index), "token")
     left = F.least(F.size("own") - F.col("place"), F.size("tokens") - F.col("at"))
     both = F.array_intersect("own", "tokens")
     # The first shared token alone stands for the pair, so none is counted twice.
-    return (
-        joined.where(left >= F.col("need"))
-        .where((F.get(both, F.lit(0)) == F.col("token")) & (F.size(both) >= F.col("need")))
-        .select(*keep, "block", "template", "label", (F.size(both) / F.size("tokens")).alias("share"))
+    found = joined.where(left >= F.col("need")).where(
+        (F.get(both, F.lit(0)) == F.col("token")) & (F.size(both) >= F.col("need"))
+    )
+    # Across a line's end only words within the template's size of it count.
+    near = F.least(F.col("n") - 1, F.size("before"))
+    ahead = F.slice("after", F.lit(1), F.col("n") - 1)
+    across = F.concat(F.slice("before", F.size("before") - near + 1, near), ahead)
+    within = F.when(F.size("after") > 0, F.array_intersect("tokens", across)).otherwise(both)
+    hit = F.size(within)
+    return found.where(hit >= F.col("need")).select(
+        *keep, "block", "template", "label", (hit / F.size("tokens")).alias("share")
     )
 
 
@@ -149,6 +216,7 @@ def scan(
 ) -> DataFrame:
     """License labels of every document, from its phrases and from matching templates.
 
+    Templates are looked for in lines and, for wrapped notices, across their ends.
     ``score`` is the largest share of a template among the matches, 1 with a phrase and
     0 without either. Null text is empty: no words, null places, empty labels. A null
     doc_id is kept; repeated rows are each reported; other columns are left out.
@@ -157,7 +225,7 @@ def scan(
     # Rows of one doc_id are told apart by their text.
     rows = rows.withColumn("text_id", F.md5(F.col("text").cast("binary")))
     hits = (
-        matches(rows, templates, threshold, keep=("doc_id", "text_id"))
+        block_matches(rows, templates, threshold, keep=("doc_id", "text_id"))
         .groupBy("doc_id", "text_id")
         .agg(
             F.collect_set("label").alias("found"),

@@ -83,3 +83,58 @@ def test_every_match_is_found(spark, threshold):
         (doc, *match) for doc, t in enumerate(texts) for match in slow_matches(t, templates, threshold)
     ]
     assert sorted(tuple(r) for r in got) == sorted(expected)
+
+
+BSD = (
+    "Copyright 2020 The Authors. All rights reserved.\n\n"
+    "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions\nare met:"
+)
+GPL = (
+    "/*\n * This program is free software: you can redistribute it and/or modify\n"
+    " * it under the terms of the GNU General Public License as published by\n"
+    " * the Free Software Foundation."
+)
+NARROW = "redistribution and\n\nuse in\nsource\n--\nand binary\nforms with\nor without modification\nare permitted"
+FAR = "redistribution and use in source and binary forms" + " x" * 30 + "\nwith or without modification"
+
+
+def test_wrapped_notices(spark):
+    texts = [BSD, GPL, NARROW, FAR, BSD.replace("\n", " "), "a\nb", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in li.scan(docs).collect()}
+    assert got == {
+        0: ("bsd", 1.0), 1: ("gpl", 1.0), 2: ("bsd", 1.0), 3: ("", 0.0), 4: ("bsd", 1.0),
+        5: ("", 0.0), 6: ("", 0.0),
+    }
+    found = li.block_matches(docs.where("doc_id = 1")).collect()
+    assert ("gpl", 1.0) in {(r["label"], r["share"]) for r in found}
+
+
+@pytest.mark.parametrize("threshold", [0.6, 1.0])
+def test_every_match_across_lines_is_found(spark, threshold):
+    dice = random.Random(int(threshold * 10))
+    words = "a b c d e f g h".split()
+    templates = [
+        (f"t{i}", " ".join(dice.choices(words, k=dice.randint(1, 7)))) for i in range(8)
+    ]
+    texts = [
+        "\n".join(" ".join(dice.choices(words + ["x"], k=dice.randint(0, 4))) for _ in range(6))
+        for _ in range(60)
+    ]
+
+    def slow(doc, text):
+        for _, number, label, share in slow_matches(text, templates, threshold):
+            yield doc, number, label, share
+        lines = [w for line in text.split("\n") if (w := WORD.findall(line))]
+        for i in range(1, len(lines)):
+            for number, (label, t) in enumerate(templates):
+                n, tokens = len(t.split()) - 1, set(t.split())
+                own = set(lines[i - 1][max(len(lines[i - 1]) - n, 0) :] + sum(lines[i:], [])[:n])
+                if len(own & tokens) >= math.ceil(threshold * len(tokens) - 1e-9):
+                    yield doc, number, label, len(own & tokens) / len(tokens)
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = li.block_matches(docs, templates, threshold).drop("block").collect()
+    expected = [row for doc, t in enumerate(texts) for row in slow(doc, t)]
+    assert sorted(tuple(r) for r in got) == sorted(expected)
