@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 
 from roadevents.llm.common import table, written
 from roadevents.llm.decontaminate import uncontaminated
-from roadevents.llm.language_id import UNKNOWN, identify, is_held_out, train
-from roadevents.llm.near_duplicates import near_duplicates
+from roadevents.llm.language_id import DIMENSIONS, UNKNOWN, identify, is_held_out, train
+from roadevents.llm.near_duplicates import representatives
 from roadevents.llm.packing import pack_documents
 from roadevents.llm.suffixes import deduplicated
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents in no language: those without text, or without a letter in it."""
+    """Without documents in no language: those without text, or without a letter in it.
+
+    Where no labelled text exists to learn from, every text with a letter stays too.
+    """
     labelled = table(spark, sf_dir, "documents")
     profiles = train(labelled.where(~is_held_out(F.col("doc_id"))))
+    # Any profile tells texts with a letter from those without.
+    profiles = profiles or {"any": [1] * DIMENSIONS}
     columns = [F.col(f"`{c}`") for c in docs.columns]
     found = identify(docs, profiles, keep=tuple(docs.columns), pred="__lang", score="__score")
     return found.where(F.col("__lang") != UNKNOWN).select(*columns)
@@ -25,13 +30,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group that links connect: that of the smallest doc_id.
 
-    Of equal rows one stays. Documents without words are linked with nothing and stay.
+    Rows are told apart by doc_id and text: of a group's rows of one doc_id, or of none,
+    the smallest digest of the text stays. A null doc_id stays only where no row of its
+    group has another. Of equal rows one stays. Documents without words are linked with
+    nothing and stay.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = found.select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    keyed = docs.withColumn("__text_id", F.unhex(F.md5(F.col("text").cast("binary"))))
+    found = representatives(keyed, text_id="__text_id")
+    found = found.select(F.col("doc_id").alias("__id"), F.col("text_id").alias("__own"))
+    row = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__text_id").eqNullSafe(F.col("__own"))
+    kept = keyed.join(found, row, "left_semi")
+    same = Window.partitionBy("doc_id", "__text_id").orderBy("doc_id")
     numbered = kept.withColumn("__copy", F.row_number().over(same))
     return numbered.where(F.col("__copy") == 1).select(*columns)
 

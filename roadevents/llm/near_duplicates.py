@@ -68,7 +68,7 @@ def _digest(own: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
 
 
-INFO = "doc_id bigint, n_shingles bigint, cls binary, cell bigint, n bigint"
+INFO = "doc_id bigint, text_id binary, n_shingles bigint, cls binary, cell bigint, n bigint"
 
 
 def _info(batches: Iterator[pa.RecordBatch]):
@@ -81,6 +81,7 @@ def _info(batches: Iterator[pa.RecordBatch]):
         yield pa.record_batch(
             [
                 batch.column("doc_id"),
+                batch.column("text_id"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) for s in sets], pa.binary()),
                 pa.nulls(n, pa.int64()),
@@ -89,7 +90,9 @@ def _info(batches: Iterator[pa.RecordBatch]):
             names=[c.split()[0] for c in INFO.split(", ")],
         )
     high = np.flatnonzero(sketch > 2 * sketch.mean() + 8)
-    nulls = (pa.nulls(len(high), t) for t in (pa.int64(), pa.int64(), pa.binary()))
+    nulls = (
+        pa.nulls(len(high), t) for t in (pa.int64(), pa.binary(), pa.int64(), pa.binary())
+    )
     yield pa.record_batch(
         [*nulls, pa.array(high), pa.array(sketch[high])],
         names=[c.split()[0] for c in INFO.split(", ")],
@@ -440,18 +443,13 @@ def _links(rows: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: st
     return links
 
 
-def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``.
-
-    ``component_id`` is the smallest doc_id that links lead to. Rows of equal sets are
-    linked. A text without words, or null, has no set, no links and its own doc_id.
-    Null doc_ids are in components but never name one that has another id. Repeated rows
-    each have a row; other columns are left out.
-    """
+def _grouped(docs: DataFrame, text: str, text_id: Column) -> DataFrame:
+    """doc_id, ``text_id``, n_shingles and component of every row; null without words."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-duplicates")
     send = spark.sparkContext.broadcast
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    info = scratch.write(rows.mapInArrow(_info, INFO), "info")
+    named = docs.select("doc_id", text_id.alias("text_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    info = scratch.write(named.mapInArrow(_info, INFO), "info")
     order = send(_Order(info))
     firsts = send(_Firsts(info))
     tokens = rows.mapInArrow(lambda b: _tokens(b, order.value, firsts.value), "key bigint")
@@ -471,9 +469,33 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     comps = scratch.write(components(links.unionByName(more), scratch, "second"), "result")
 
     # The sketch's rows have no size.
-    each = info.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "cls")
-    each = each.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    each = info.where("n_shingles IS NOT NULL").select("doc_id", "text_id", "n_shingles", "cls")
+    return each.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``.
+
+    ``component_id`` is the smallest doc_id that links lead to. Rows of equal sets are
+    linked. A text without words, or null, has no set, no links and its own doc_id.
+    Null doc_ids are in components but never name one that has another id. Repeated rows
+    each have a row; other columns are left out.
+    """
+    each = _grouped(docs, text, F.lit(None).cast("binary"))
     names = each.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return each.join(names, "comp", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, text: str = "text", text_id: str = "text_id") -> DataFrame:
+    """The distinct keys (doc_id, ``text_id``) of the rows that stay, one of each component.
+
+    It is the smallest doc_id, a null one last, then the smallest ``text_id``, which is a
+    digest of the row's text. A text without words has no component, so its key stays.
+    """
+    each = _grouped(docs, text, F.col(f"`{text_id}`"))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")
+    least = each.where("comp IS NOT NULL").groupBy("comp").agg(F.min(key).alias("key"))
+    alone = each.where("comp IS NULL").select("doc_id", "text_id")
+    return least.select("key.doc_id", "key.text_id").unionByName(alone).distinct()

@@ -92,3 +92,37 @@ def test_odd_rows_in_every_stage(spark):
         assert got.count() == left[name], name
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
     assert cp.STAGES[-1][1](spark, docs, FOLDER).count() >= 7
+
+
+def test_near_copies_without_an_id_or_with_one_id(spark):
+    dice = np.random.default_rng(3)
+
+    def texts():
+        words = [f"w{n}" for n in dice.integers(0, 10**9, 200)]
+        return " ".join(words), " ".join(words[:-1]), " ".join(words[1:])
+
+    a, b, c, d = (texts() for _ in range(4))
+    rows = [
+        # Two null ids linked with each other; one linked with 3; another id-less text.
+        (None, a[0]), (None, a[1]), (3, b[0]), (None, b[1]), (None, "a text of its own"),
+        # One id on two texts: one a near copy of a smaller id, the other unlinked.
+        (4, c[0]), (5, c[1]), (5, "nothing like it"),
+        # One id on two near copies.
+        (6, d[0]), (6, d[2]),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "s", 5, 1) for r in rows], SCHEMA)
+    got = [tuple(r) for r in cp.near_duplicate(spark, docs, FOLDER).select("doc_id", "text").collect()]
+    assert len(got) == len(set(got)) == 6
+    assert len({(None, a[0]), (None, a[1])} & set(got)) == 1
+    assert len({(6, d[0]), (6, d[2])} & set(got)) == 1
+    assert {(3, b[0]), (None, "a text of its own"), (4, c[0]), (5, "nothing like it")} < set(got)
+
+
+def test_without_labelled_rows_only_texts_without_a_letter_go(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, "some words", None, "s", 5, 1), (2, "1 2 !", None, "s", 5, 1), (3, None, None, "s", 5, 1)],
+        SCHEMA,
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = cp.language(spark, docs, str(tmp_path)).collect()
+    assert [r["doc_id"] for r in got] == [1]
