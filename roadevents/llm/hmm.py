@@ -101,16 +101,70 @@ def _segments(sequences: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.nda
     return table.T.copy(), first, sizes
 
 
-def expected_counts(sequences: list[np.ndarray], chances: Chances) -> list[np.ndarray]:
-    """Expected starts, moves and emissions of the sequences under ``chances``."""
+def _matrices(
+    symbols: np.ndarray, first: np.ndarray, chances: Chances
+) -> tuple[np.ndarray, np.ndarray]:
+    """Each segment's chances from the state before it to its last, scaled, and the scale's log10."""
     pad = chances.emits.shape[1]
-    symbols, first, _ = _segments(sequences, pad)
+    emits, moves, states = _padded(chances.emits).T.copy(), chances.moves, len(chances.moves)
+    # A sequence starts without a move, and padding changes nothing.
+    found = np.where(first[:, None, None], np.eye(states), moves)
+    logs = np.zeros(symbols.shape[1])
+    for t in range(SEGMENT):
+        if t:
+            moved = (found.reshape(-1, states) @ moves).reshape(found.shape)
+            real = symbols[t] != pad
+            found = np.where(real[:, None, None], moved, found)
+        found = found * emits[symbols[t]][:, None, :]
+        scale = found.sum(axis=(1, 2))
+        logs += np.log10(scale)
+        found /= scale[:, None, None]
+    return found, logs
+
+
+def _borders(symbols: np.ndarray, first: np.ndarray, sizes: np.ndarray, chances: Chances):
+    """For each segment the states' chances just before it, given what comes earlier in its
+    sequence, and the backward vector at its end; of a column each."""
+    states, width = len(chances.moves), symbols.shape[1]
+    before, after = np.zeros((width, states)), np.ones((width, states))
+    long = np.repeat(sizes > 1, sizes)
+    found = np.zeros((width, states, states))
+    found[long], _ = _matrices(symbols[:, long], first[long], chances)
+    begin = np.cumsum(sizes) - sizes
+    most = int(sizes.max(initial=0))
+    before[begin[sizes > 0]] = chances.start
+    for r in range(1, most):
+        at = begin[sizes > r] + r
+        ahead = np.einsum("dk,dkj->dj", before[at - 1], found[at - 1])
+        before[at] = ahead / ahead.sum(axis=1)[:, None]
+    for r in range(most - 1, 0, -1):
+        at = begin[sizes > r] + r
+        back = np.einsum("dkj,dj->dk", found[at], after[at])
+        after[at - 1] = back / back.sum(axis=1)[:, None]
+    return before.T, after.T
+
+
+def expected_counts(
+    sequences: list[np.ndarray], chances: Chances, whole: bool = False
+) -> list[np.ndarray]:
+    """Expected starts, moves and emissions of the sequences under ``chances``.
+
+    With ``whole`` a sequence's segments go on from one another, and moves between them
+    count; otherwise each but the first starts from the stationary distribution.
+    """
+    pad = chances.emits.shape[1]
+    symbols, first, sizes = _segments(sequences, pad)
     emits, moves = _padded(chances.emits), chances.moves
+    later = ~first
     length, width = symbols.shape
     states = len(moves)
     forward = np.empty((length, states, width))
     scales = np.empty((length, width))
-    now = np.where(first, chances.start[:, None], _stationary(moves)[:, None])
+    if whole:
+        before, after = _borders(symbols, first, sizes, chances)
+        now = np.where(first, chances.start[:, None], moves.T @ before)
+    else:
+        now = np.where(first, chances.start[:, None], _stationary(moves)[:, None])
     for t in range(length):
         now = (moves.T @ now if t else now) * emits[:, symbols[t]]
         scales[t] = now.sum(axis=0)
@@ -119,6 +173,8 @@ def expected_counts(sequences: list[np.ndarray], chances: Chances) -> list[np.nd
     starts, used = np.zeros(states), np.zeros((states, states))
     emitted = np.zeros((states, pad + 1))
     backward = np.ones((states, width))
+    if whole:
+        backward = after / (now * after).sum(axis=0)
     for t in range(length - 1, -1, -1):
         both = forward[t] * backward
         for k in range(states):
@@ -130,6 +186,9 @@ def expected_counts(sequences: list[np.ndarray], chances: Chances) -> list[np.nd
             backward = moves @ ahead
         else:
             starts += both[:, first].sum(axis=1)
+            if whole:
+                ahead = emits[:, symbols[t]] * backward / scales[t]
+                used += before[:, later] @ ahead[:, later].T
     return [starts, used * moves, emitted[:, :-1]]
 
 
@@ -138,21 +197,7 @@ def log10_likelihood(sequences: list[np.ndarray], chances: Chances) -> np.ndarra
     then of the segments' matrices along each sequence."""
     pad = chances.emits.shape[1]
     symbols, first, sizes = _segments(sequences, pad)
-    emits, moves, states = _padded(chances.emits).T.copy(), chances.moves, len(chances.moves)
-    width = symbols.shape[1]
-    identity = np.eye(states)
-    # A sequence starts without a move, and padding changes nothing.
-    found = np.where(first[:, None, None], identity, moves)
-    logs = np.zeros(width)
-    for t in range(SEGMENT):
-        if t:
-            moved = (found.reshape(-1, states) @ moves).reshape(found.shape)
-            real = symbols[t] != pad
-            found = np.where(real[:, None, None], moved, found)
-        found = found * emits[symbols[t]][:, None, :]
-        scale = found.sum(axis=(1, 2))
-        logs += np.log10(scale)
-        found /= scale[:, None, None]
+    found, logs = _matrices(symbols, first, chances)
     begin = np.cumsum(sizes) - sizes
     total = np.zeros(len(sequences))
     state = np.tile(chances.start, (len(sequences), 1))
@@ -226,7 +271,7 @@ def _cells(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, chances: Chances
     total: list[np.ndarray] | None = None
     for batch in steps(batches):
         sequences = [lexicon.read(t)[1] for t in batch.column("text").to_pylist()]
-        found = expected_counts(sequences, chances)
+        found = expected_counts(sequences, chances, whole=True)
         total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
     if total is not None:
         flat = np.rint(np.concatenate([x.reshape(-1) for x in total]) / UNIT).astype(np.int64)
@@ -251,7 +296,7 @@ def _first(occurs: np.ndarray, states: int) -> Chances:
 def train(
     texts: DataFrame, lexicon: Lexicon, occurs: np.ndarray, states: int, iterations: int
 ) -> Chances:
-    """Baum-Welch over all texts. The driver receives a number per parameter."""
+    """Baum-Welch over all texts, each as a whole. The driver receives a number per parameter."""
     chances = _first(occurs, states)
     context = texts.sparkSession.sparkContext
     sent = context.broadcast(lexicon)

@@ -144,3 +144,49 @@ def test_better_than_counts_on_held_out_text(spark):
     docs = docs.withColumn("held_out", is_held_out(docs["doc_id"], 5, 1))
     row = hmm.score(docs).where("held_out").selectExpr("sum(base_score) b", "sum(score) s").first()
     assert row["s"] > row["b"]
+
+
+def scaled_counts(sequence, c):
+    """Expected counts of one whole sequence, by forward and backward vectors."""
+    n, k = len(sequence), len(c.start)
+    forward, backward, scales = np.zeros((n, k)), np.ones((n, k)), np.zeros(n)
+    for t in range(n):
+        now = (forward[t - 1] @ c.moves if t else c.start) * c.emits[:, sequence[t]]
+        scales[t] = now.sum()
+        forward[t] = now / scales[t]
+    for t in range(n - 2, -1, -1):
+        ahead = c.emits[:, sequence[t + 1]] * backward[t + 1]
+        backward[t] = c.moves @ ahead / scales[t + 1]
+    moves, emits = np.zeros((k, k)), np.zeros_like(c.emits)
+    for t in range(n):
+        emits[:, sequence[t]] += forward[t] * backward[t]
+        if t:
+            ahead = c.emits[:, sequence[t]] * backward[t] / scales[t]
+            moves += forward[t - 1][:, None] * c.moves * ahead
+    return forward[0] * backward[0], moves, emits
+
+
+def test_counts_of_whole_sequences():
+    dice, c = np.random.default_rng(5), chances(3, 5)
+    lengths = [1, 63, 64, 65, 128, 129, 500, 7]
+    sequences = [dice.integers(0, 5, n) for n in lengths]
+    got = hmm.expected_counts(sequences, c, whole=True)
+    for own, expected in zip(got, zip(*[scaled_counts(s, c) for s in sequences])):
+        assert own == pytest.approx(sum(expected))
+    assert got[1].sum() == pytest.approx(sum(n - 1 for n in lengths))
+    short = scaled_counts(sequences[7], c)
+    assert [x.sum() for x in short] == pytest.approx([1, 6, 7])
+    assert short[1] == pytest.approx(slow_counts(sequences[7], c, c.start)[1])
+
+
+def test_training_counts_whole_texts(monkeypatch):
+    asked = []
+
+    def counts(sequences, c, whole=False):
+        asked.append(whole)
+        return [np.zeros(3), np.zeros((3, 3)), np.zeros((3, 5))]
+
+    monkeypatch.setattr(hmm, "expected_counts", counts)
+    lexicon = hmm.Lexicon({hmm.END: 0}, np.ones(1, int), np.zeros(1, int), 5, np.zeros(5))
+    list(hmm._cells([hmm.pa.record_batch({"text": ["a b"]})], lexicon, chances(3, 5)))
+    assert asked == [True]
