@@ -1,15 +1,18 @@
-"""Removal of long repeated byte strings by bucket-pointer refinement.
+"""Removal of long repeated byte strings by anchors and digests.
+
+This replaces bucket-pointer refinement: no bucket is refined by the identifiers of later
+offsets, and no refined identifier is used again.
 
 A string of ``LENGTH`` bytes is repeated when it also starts earlier. Suffixes are not
 all kept: a string's anchor is the smallest q-gram in it by identifier, the leftmost of
 equals, and only anchors are. Equal strings have equal anchors at equal offsets, so the
 first buckets are the anchors' q-grams, and a bucket of one holds no repetition.
 
-Buckets are then refined. A member of a bucket stands for a run of strings; it gets an
-identifier of all bytes of the run, made by doubling: that of 2k bytes joins those of k
-bytes here and k bytes later. Among members of one identifier all but the earliest are
+Buckets are then split. A member of a bucket stands for a run of strings; it gets a
+128-bit digest of all bytes of the run. Doubling (the identifier of 2k bytes joins those of
+k bytes here and k bytes later) makes only the identifiers of q-grams, inside a text. Among members of one identifier all but the earliest are
 repeated. The earliest of several identifiers in one bucket are split into shorter runs,
-whose buckets are the bytes that all strings of the run share, and refined again: first
+whose buckets are the bytes that all strings of the run share, and split again: first
 the strings of one anchor, then eight strings, then single ones.
 """
 
