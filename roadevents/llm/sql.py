@@ -144,3 +144,71 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 LEFT JOIN sizes USING (doc_id)
 """
+
+# The fences' slack and sides are those of quality.RULES.
+QUALITY_RULES = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM rows),
+runs AS (
+  SELECT r, i, w[i:i + 2] AS run FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+twins AS (SELECT r, i FROM runs QUALIFY count(*) OVER (PARTITION BY r, run) > 1),
+spans AS (
+  SELECT r, least(coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 3), 3) AS width FROM twins),
+repeated AS (SELECT r, sum(width)::BIGINT AS n FROM spans GROUP BY r),
+measured AS (
+  SELECT r, doc_id, lang, source, len(w) AS n_words,
+         length(array_to_string(w, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words
+  FROM words LEFT JOIN repeated USING (r)),
+based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
+shares AS (
+  SELECT r, lang, source, base_failed, unnest([
+    {'rule': 'symbols', 'v': CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END},
+    {'rule': 'word_length', 'v': CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END},
+    {'rule': 'dup_lines', 'v': CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END},
+    {'rule': 'repeats', 'v': CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END}
+  ], recursive := true)
+  FROM based),
+bucketed AS (
+  SELECT lang, source, rule, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS bucket
+  FROM shares WHERE NOT base_failed),
+levels AS (
+  SELECT 1 AS level, lang, source, rule, bucket FROM bucketed
+  UNION ALL SELECT 2, lang, NULL, rule, bucket FROM bucketed
+  UNION ALL SELECT 3, NULL, NULL, rule, bucket FROM bucketed),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY level, lang, source, rule ORDER BY bucket) AS k,
+         count(*) OVER (PARTITION BY level, lang, source, rule) AS texts
+  FROM levels),
+quartiles AS (
+  SELECT level, lang, source, rule, max(texts) AS texts,
+         min(bucket) FILTER (4 * k >= texts) AS q1, min(bucket) FILTER (4 * k >= 3 * texts) AS q3
+  FROM ordered GROUP BY ALL),
+slack(rule, low, high) AS (
+  VALUES ('symbols', NULL, 100), ('word_length', 2000, 2000), ('dup_lines', NULL, 500), ('repeats', NULL, 300)),
+fences AS (
+  SELECT level, lang, source, rule, texts, q1 - greatest(3 * (q3 - q1), low) AS least,
+         q3 + greatest(3 * (q3 - q1), high) AS most, low, high
+  FROM quartiles JOIN slack USING (rule)),
+judged AS (
+  SELECT s.r, s.rule, f.level,
+         (f.low IS NOT NULL AND s.v < f.least) OR (f.high IS NOT NULL AND s.v > f.most) AS broken
+  FROM shares s JOIN fences f ON s.rule = f.rule AND (
+    f.level = 3 OR (f.texts >= 200 AND f.lang IS NOT DISTINCT FROM s.lang
+                    AND (f.level = 2 OR f.source IS NOT DISTINCT FROM s.source)))
+  QUALIFY f.level = min(f.level) OVER (PARTITION BY s.r, s.rule)),
+verdicts AS (
+  SELECT r, string_agg(rule, ',' ORDER BY CASE rule WHEN 'symbols' THEN 1 WHEN 'word_length' THEN 2
+                       WHEN 'dup_lines' THEN 3 ELSE 4 END) FILTER (broken) AS broken
+  FROM judged GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND broken IS NULL AS kept, coalesce(broken, '') AS broken
+FROM based LEFT JOIN verdicts USING (r)
+"""

@@ -1,0 +1,123 @@
+"""Quality rules against plain loops, and the cases of odd rows."""
+
+import random
+import re
+
+import pytest
+
+from roadevents.llm import quality
+from roadevents.llm.common import written
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup, n_lines = set(), 0, 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            n_lines += 1
+            dup += line in seen
+            seen.add(line)
+    runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, run in enumerate(runs) if runs.count(run) > 1 for k in range(3)}
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(words), sum(map(len, words)), symbols, n_lines, dup, len(covered)
+
+
+def test_measures(spark):
+    rng = random.Random(4)
+    letters = ["a", "b", "ß", "#", "\x00", "日本"]
+    gaps = [" ", "\t", "\n", "\r\n", "\x0b ", "  "]
+    texts = [None, "", " \n\t", "a", "a b c", "a b c a b c", "x\nx\nx", "a a a a a", "é\n\né", "a\r\na"]
+    for size in (3, 8, 40, 200):
+        for _ in range(15):
+            texts.append("".join(rng.choice(letters) + rng.choice(gaps) for _ in range(size)))
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], SCHEMA)
+    rows = quality.measured(docs, keep=("doc_id",)).orderBy("doc_id").collect()
+    assert [tuple(r[m] for m in quality.MEASURES) for r in rows] == [plain(t) for t in texts]
+
+
+def test_a_very_long_text(spark):
+    text = "one two three four " * 100_000
+    docs = spark.createDataFrame([(1, text, "en", "s")], SCHEMA)
+    row = quality.measured(docs).first()
+    assert (row.n_words, row.n_repeat_words) == (400_000, 400_000)
+
+
+def test_buckets_are_exact_and_then_a_thirty_second_wide(spark):
+    values = [0, 1, 63, 64, 65, 100, 127, 128, 1000, 10**12 + 7]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    for v, b in df.select("v", quality.bucket(df.v)).collect():
+        assert b == v if v < 64 else v - v / 32 < b <= v
+
+
+def prose(rng, symbols=0):
+    words = [rng.choice(("alpha", "beta", "gamma", "delta", "x")) + str(rng.randrange(999)) for _ in range(80)]
+    return " ".join(w + "#" * (i < symbols) for i, w in enumerate(words))
+
+
+def corpus(rng):
+    rows = [(i, prose(rng), "en", "web") for i in range(300)]
+    # In this source every text has symbols, so they are no fault there.
+    rows += [(1000 + i, prose(rng, 60 + i % 5), "en", "code") for i in range(300)]
+    rows += [(2000, prose(rng, 64), "en", "web"), (2001, prose(rng, 64), "en", "code")]
+    rows += [(2002, prose(rng, 64), None, None), (2003, prose(rng), None, None)]
+    rows += [(2004, "too short", "en", "web"), (2005, None, "en", None), (2006, "", None, "web")]
+    return rows
+
+
+def test_fences_follow_the_source(spark):
+    docs = spark.createDataFrame(corpus(random.Random(1)), SCHEMA)
+    got = {r.doc_id: r for r in quality.report(docs).collect()}
+    assert len(got) == docs.count()
+    assert not got[2000].kept and got[2000].broken == "symbols" and not got[2000].base_failed
+    assert got[2001].kept and got[0].kept and got[1000].kept and got[2003].kept
+    assert [got[i].base_failed for i in (2004, 2005, 2006)] == [True] * 3
+    assert not any(got[i].kept for i in (2004, 2005, 2006))
+
+
+def test_small_groups_take_coarser_fences(spark):
+    rows = quality.measured(spark.createDataFrame(corpus(random.Random(1)), SCHEMA), keep=quality.GROUP)
+    rows = written(rows, "test-quality")
+    ends = {(r.lang, r.source): r for r in quality.cutoffs(rows).collect()}
+    assert ends["en", "web"].texts == 301 and ends["en", "code"].texts == 301
+    assert ends["en", None].texts == 602  # of the language
+    assert ends[None, None].texts == ends[None, "web"].texts == 604  # of all
+
+
+def test_sketches_merge(spark):
+    docs = spark.createDataFrame(corpus(random.Random(2)), SCHEMA)
+    rows = quality.measured(docs, keep=quality.GROUP)
+    found = quality.sketches(rows)
+    halves = quality.sketches(rows.where("n_words % 2 = 0")).union(quality.sketches(rows.where("n_words % 2 = 1")))
+    for by in (list(quality.GROUP), ["lang"], []):
+        whole, parts = quality.merged(found, by), quality.merged(halves, by)
+        assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+        direct = quality.sketches(rows, by)
+        assert sorted(map(str, direct.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_filtered_keeps_columns_as_they_are(spark):
+    docs = spark.createDataFrame(corpus(random.Random(1)), SCHEMA)
+    docs = docs.selectExpr("*", "1 AS n_words", "'x' AS kept", "2 AS `odd.name`")
+    out = quality.filtered(docs)
+    assert out.columns == docs.columns
+    verdict = {r.doc_id for r in quality.report(docs.drop("n_words", "kept")).where("kept").collect()}
+    assert {r.doc_id for r in out.collect()} == verdict
+    with pytest.raises(ValueError, match="n_words"):
+        quality.measured(docs, keep=("n_words",))
+
+
+def test_repeated_rows_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "s")] * 3, SCHEMA)
+    assert quality.report(docs).count() == 3
+    empty = docs.limit(0)
+    assert quality.report(empty).collect() == [] and quality.filtered(empty).collect() == []
+
+
+def test_no_python_worker(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "s")], SCHEMA)
+    plan = quality.report(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
