@@ -215,7 +215,7 @@ def cutoffs(
     def level(name: str, *by: str) -> DataFrame:
         ends = fences(merged(found, by), by, rules)
         ends = ends.select(*by, F.struct(*[c for c in ends.columns if c not in by]).alias(name))
-        return ends.select(*[F.col(c).alias(f"{name}_{c}") for c in by], name, F.lit(0).alias(f"{name}_all"))
+        return ends.select(*[F.col(c).alias(f"{name}_{c}") for c in by], name)
 
     def alike(name: str, *by: str) -> Column:
         return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{name}_{c}")) for c in by])
@@ -223,11 +223,13 @@ def cutoffs(
     def enough(name: str) -> Column:
         return F.when(F.col(f"{name}.texts") >= min_texts, F.col(name))
 
-    groups = rows.select(*GROUP, F.lit(0).alias("all")).distinct()
+    groups = rows.select(*GROUP).distinct()
     joined = groups.join(level("own", lang, source), alike("own", lang, source), "left")
     joined = joined.join(level("wide", lang), alike("wide", lang), "left")
-    joined = joined.join(level("every"), alike("every", "all"), "left")
-    fit = F.coalesce(enough("own"), enough("wide"), F.col("every")).alias("fit")
+    # The fences of all texts are a few numbers.
+    overall = fences(merged(found, ()), (), rules).first()
+    every = F.struct(*[F.lit(v).cast("long").alias(c) for c, v in overall.asDict().items()])
+    fit = F.coalesce(enough("own"), enough("wide"), every).alias("fit")
     return joined.select(*GROUP, fit).select(*GROUP, "fit.*")
 
 

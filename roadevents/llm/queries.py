@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadevents.llm import chat, hmm, licenses, quality, sql
+from roadevents.llm import chat, collocations, hmm, licenses, manifest, quality, sql
 from roadevents.llm.common import table
 from roadevents.llm.near_duplicates import near_duplicates
 from roadevents.llm.suffixes import dedup_report
@@ -64,10 +64,18 @@ def op10_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return materialise_documents(table(spark, folder, "documents")).manifest
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(table(spark, folder, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.audit_lowered(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -79,7 +87,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_shards": op10_token_shards,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_quality_rules": op12_quality_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -87,5 +97,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_suffix_dedup": sql.SUFFIX_DEDUP,
     "op6_near_duplicates": sql.NEAR_DUPLICATES,
     "op7_chat_formatting": sql.CHAT_FORMATTING,
+    "op11_phrase_collocations": sql.PHRASE_COLLOCATIONS,
     "op12_quality_rules": sql.QUALITY_RULES,
+    "op13_merkle_manifest": sql.MERKLE_MANIFEST,
 }

@@ -212,3 +212,108 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
        NOT base_failed AND broken IS NULL AS kept, coalesce(broken, '') AS broken
 FROM based LEFT JOIN verdicts USING (r)
 """
+
+
+def _sized(*values: str) -> str:
+    """The hash of values one after another: ``-`` for null, else size, colon, value."""
+    parts = [f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+_ROW = ("doc_id", "source", "lang", "n_chars")
+_LOWER = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+# CRC-32 is worked out bit by bit: SQL has no function for it.
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(strlen(doc_id::VARCHAR)),
+                 lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+                             lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS g,
+         {_sized(*_ROW, 'text')} AS leaf,
+         CASE WHEN crc % 3 = 0 THEN {_sized(*_ROW, _LOWER)} ELSE {_sized(*_ROW, 'text')} END AS found
+  FROM documents LEFT JOIN crc USING (doc_id)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS p,
+         count(*) OVER (PARTITION BY g) AS n
+  FROM leaves),
+tree(g, level, n, p, h) AS (
+  SELECT g, 0, n, p, leaf FROM placed
+  UNION ALL
+  SELECT g, level + 1, (n + 7) // 8, p // 8, sha256(string_agg(h, '' ORDER BY p))
+  FROM tree WHERE n > 1 GROUP BY g, level, n, p // 8),
+subroots AS (
+  SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS p, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+top(level, n, p, h) AS (
+  SELECT 0, n, p, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, (n + 7) // 8, p // 8, sha256(string_agg(h, '' ORDER BY p))
+  FROM top WHERE n > 1 GROUP BY level, n, p // 8),
+runs AS (
+  SELECT g, level, p // 8 AS run, list(h ORDER BY p) AS hs
+  FROM tree WHERE n > 1 GROUP BY g, level, p // 8),
+top_runs AS (
+  SELECT level, p // 8 AS run, list(h ORDER BY p) AS hs FROM top WHERE n > 1 GROUP BY level, p // 8),
+steps AS (
+  SELECT r, level AS step, hs, (placed.p >> (3 * level)) & 7 AS slot
+  FROM placed JOIN runs ON placed.g = runs.g AND run = placed.p >> (3 * level + 3)
+  UNION ALL
+  SELECT r, 100 + level, hs, (s.p >> (3 * level)) & 7
+  FROM placed JOIN subroots s ON placed.g = s.g JOIN top_runs ON run = s.p >> (3 * level + 3)),
+path AS (
+  SELECT r, row_number() OVER (PARTITION BY r ORDER BY step) AS k,
+         array_to_string(hs[1:slot], '') AS before, array_to_string(hs[slot + 2:], '') AS after
+  FROM steps),
+fold(r, k, h) AS (
+  SELECT r, 0, found FROM placed
+  UNION ALL
+  SELECT fold.r, fold.k + 1, sha256(before || h || after)
+  FROM fold JOIN path ON path.r = fold.r AND path.k = fold.k + 1),
+folded AS (SELECT r, arg_max(h, k) AS folded_root FROM fold GROUP BY r),
+proofs AS (SELECT r, sha256(string_agg(before || after, '' ORDER BY k)) AS proof FROM path GROUP BY r)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM placed JOIN subroots USING (g) JOIN folded USING (r) LEFT JOIN proofs USING (r)
+     JOIN (SELECT h AS root FROM top WHERE n = 1) ON true
+"""
+
+
+PHRASE_COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({LOW}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (
+  SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM words CROSS JOIN range(1, 6) s(size) WHERE len(w) >= size)),
+counts AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.size, c.phrase, c.a, k, l.a AS l, r.a AS r, n,
+         1000 * c.a::HUGEINT * n // (l.a::HUGEINT * r.a) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+        FROM counts WHERE size > 1) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT DISTINCT c.lang, array_to_string(string_split(c.phrase, ' ')[i:i + m - 1], ' ') AS phrase, c.a
+  FROM counts c, range(2, 5) m(m), range(1, 5) i(i) WHERE m < c.size AND i + m - 1 <= c.size),
+held AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN held h ON h.lang = w.lang AND h.phrase = w.phrase
+  WHERE h.longer IS NULL OR 100 * h.longer < 100 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""

@@ -1,0 +1,147 @@
+"""Merkle manifests against a plain tree, and bitmap ranks against a sort."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadevents.llm import manifest
+from roadevents.llm.common import Scratch
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row):
+    return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def tree(level):
+    levels = [level]
+    while len(level) > 1:
+        level = [h("".join(level[i : i + 8])) for i in range(0, len(level), 8)]
+        levels.append(level)
+    return levels
+
+
+def steps(levels, i):
+    for level in levels[:-1]:
+        run = level[i // 8 * 8 : i // 8 * 8 + 8]
+        yield run[: i % 8], run[i % 8 + 1 :]
+        i //= 8
+
+
+def lowered(row):
+    if row[0] is None or zlib.crc32(str(row[0]).encode()) % 3 or row[4] is None:
+        return row
+    return (*row[:4], "".join(c.lower() if c.isascii() else c for c in row[4]))
+
+
+def plain(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault("" if row[2] is None else "=" + row[2], []).append(row)
+    trees, names = {}, sorted(groups, key=lambda g: g.encode())
+    for g, members in groups.items():
+        members.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[g] = tree([leaf(r) for r in members])
+    top = tree([trees[g][-1][0] for g in names])
+    out = []
+    for at, g in enumerate(names):
+        for i, row in enumerate(groups[g]):
+            path = [*steps(trees[g], i), *steps(top, at)]
+            digest = leaf(lowered(row))
+            for before, after in path:
+                digest = h("".join(before) + digest + "".join(after))
+            proof = h("".join("".join(b) + "".join(a) for b, a in path))
+            root = top[-1][0]
+            out.append((row[0], leaf(row), trees[g][-1][0], root, proof, digest, digest == root))
+    return sorted(out, key=str)
+
+
+def audited(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    return sorted((tuple(r) for r in manifest.audit_lowered(docs).collect()), key=str)
+
+
+def corpus(rng, n, langs=(None, "en", "de", "é", "EN", ""), step=1):
+    rows = []
+    for i in range(n):
+        text = rng.choice([None, "", "Some Text", "ÄÖ Aa", "x" * rng.randrange(40)])
+        rows.append((i * step - 5, rng.choice([None, "a"]), rng.choice(langs), rng.choice([None, i]), text))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 65, 700])
+def test_equals_a_plain_tree(spark, n):
+    rows = corpus(random.Random(n), n)
+    assert audited(spark, rows) == plain(rows)
+
+
+def test_several_rounds_of_blocks(spark):
+    rows = corpus(random.Random(3), 1500, langs=("en",))
+    assert audited(spark, rows) == plain(rows)
+
+
+def test_more_groups_than_a_block(spark):
+    rows = corpus(random.Random(3), 700, langs=[f"l{i}" for i in range(600)])
+    assert audited(spark, rows) == plain(rows)
+
+
+def test_ids_far_apart_equal_and_null(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(-(2**63), 2**63), "s", "en", 1, "T") for _ in range(200)]
+    rows += [(None, "s", "en", i, f"Text {i}") for i in range(150)]  # a hot null
+    rows += [(7, "s", "en", i % 9, f"Again {i % 9}") for i in range(100)]  # equal rows among them
+    rows += [(6, None, "en", 0, "Z"), (8, None, "en", 0, "Z")]
+    assert audited(spark, rows) == plain(rows)
+
+
+def test_a_very_long_text_and_an_empty_table(spark):
+    rows = [(1, "s", "en", 3 * 10**6, "aB c" * 10**6), (2, "s", "en", 0, "")]
+    assert audited(spark, rows) == plain(rows)
+    empty = manifest.build(spark.createDataFrame([], SCHEMA))
+    assert empty.root is None and empty.audit().count() == 0 and empty.subroots.count() == 0
+
+
+def test_rank_equals_a_sort(spark):
+    rng = random.Random(2)
+    near = [rng.randrange(300) for _ in range(400)]
+    far = [rng.choice([-1, 1]) * rng.randrange(2**62) for _ in range(300)]
+    rows = [(rng.choice("ab"), i) for i in near + far]
+    df = spark.createDataFrame(rows, "g string, id long")
+    found, repeated = manifest.ranked(df, ["g"], "id", Scratch(spark, "test"), "rank")
+    assert repeated
+    for g, i, place, twins in found.collect():
+        assert place == sum(h == g and j < i for h, j in rows)
+        assert twins == (rows.count((g, i)) > 1)
+
+
+def test_proofs_and_subroots(spark):
+    rows = corpus(random.Random(5), 60)
+    built = manifest.build(spark.createDataFrame(rows, SCHEMA), keep=("doc_id", "text"))
+    for r in built.audit(full=True).collect():
+        assert r.verified and r.root == built.root
+        assert manifest._fold(r.leaf, r.slots, r.siblings) == built.root
+        assert h("".join(r.siblings)) == r.proof_sha256
+    sizes = {}
+    for row in rows:
+        sizes[row[2]] = sizes.get(row[2], 0) + 1
+    assert {r.lang: r.rows for r in built.subroots.collect()} == sizes
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame(corpus(random.Random(1), 20), SCHEMA)
+    other = docs.withColumns({"root": F.lit(1), "place": F.lit(2), "g": F.lit("x"), "digest": F.lit(3)})
+    assert manifest.audit_lowered(other).count() == 20
+    kept = manifest.build(other, keep=("doc_id", "place", "g", "digest")).audit()
+    assert kept.columns[:4] == ["doc_id", "place", "g", "digest"]
+    assert {(r.place, r.g, r.digest) for r in kept.collect()} == {(2, "x", 3)}
+    with pytest.raises(ValueError, match="root"):
+        manifest.build(other, keep=("doc_id", "root"))
