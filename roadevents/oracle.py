@@ -243,6 +243,15 @@ def _reports() -> str:
     return _sql(" UNION ALL ".join(parts), timed)
 
 
+_BAD_ROWS = _sql(
+    """SELECT startDate,
+      CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN linkId END AS linkId,
+      CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN ''
+        ELSE 'column_count' END AS reason
+    FROM sec""",
+    _SEC,
+)
+
 ORACLE_SQL: dict[str, str] = {
     "src_events": _sql("SELECT * FROM ev"),
     "stg_event_info": _sql(
@@ -402,14 +411,9 @@ ORACLE_SQL: dict[str, str] = {
     "load_archives": _sql(
         f"SELECT {_FIELDS}, date '2024-02-01' AS ingestion_date FROM sec", _SEC
     ),
-    "load_snapshot_bad_rows": _sql(
-        """SELECT startDate,
-          CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN linkId END AS linkId,
-          CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN ''
-            ELSE 'column_count' END AS reason
-        FROM sec""",
-        _SEC,
-    ),
+    "load_snapshot_bad_rows": _BAD_ROWS,
+    "load_archives_bad_rows": _BAD_ROWS,
+    "stream_csv_rejects": _BAD_ROWS,
     "hourly_event_heatmap_text": _clean(
         """SELECT ['일', '월', '화', '수', '목', '금', '토'][weekday_order] AS weekday,
           hour, count(*) AS event_count, weekday_order

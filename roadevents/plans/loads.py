@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadevents.operators.dedup import dedup_first
-from roadevents.operators.normalize import normalize, rejects
+from roadevents.operators.normalize import CORRUPT, REASON, normalize, rejects
 from roadevents.operators.quality import require_rows
 from roadevents.schema import FIELDS, MERGE_KEYS, NULL_MARKERS, TEXT_DATE_SCHEMA
 from roadevents.sinks import files, upsert
@@ -45,7 +45,7 @@ def refresh_raw(spark: SparkSession, prefix: str, table: str) -> None:
 
     A record with a wrong number of values fails the load; the table then stays.
     """
-    raw = require_whole_records(csv_by_position(spark, prefix, keep_corrupt=True))
+    raw = require_whole_records(csv_by_position(spark, prefix))
     files.full_refresh(_record_fields(raw), table)
 
 
@@ -57,7 +57,7 @@ def load_snapshot(
     A record that does not convert, or has a wrong number of values, fails the load
     before the table changes.
     """
-    batch = normalize(csv_by_position(spark, csv_path, keep_corrupt=True), on_error="abort")
+    batch = normalize(csv_by_position(spark, csv_path), on_error="abort")
     upsert.rewrite_latest(_record_fields(batch), table, stamp=stamp)
 
 
@@ -123,7 +123,26 @@ def load_merge(
         files.append_load(rejects(landed, dates="text"), rejects_table)
 
 
-def land_archives(spark: SparkSession, archives: str, raw_zone: str, day: Day) -> None:
-    """Lands the CSV entries of zip archives as the day's CSV."""
-    entries = require_rows(zip_csv(spark, archives))
-    files.land_csv(_record_fields(entries), raw_zone, day)
+def land_archives(
+    spark: SparkSession,
+    archives: str,
+    raw_zone: str,
+    day: Day,
+    *,
+    rejects_table: str | None = None,
+    **zip_options,
+) -> None:
+    """Lands the CSV entries of zip archives as the day's CSV.
+
+    A record with a wrong number of values fails the load, and the day stays as it was.
+    With ``rejects_table`` such records are added there, as their text with archive, entry
+    and reason, and the others land.
+    """
+    entries = require_rows(zip_csv(spark, archives, **zip_options))
+    if rejects_table is None:
+        files.land_csv(_record_fields(require_whole_records(entries)), raw_zone, day)
+        return
+    files.land_csv(_record_fields(entries.where(F.col(CORRUPT).isNull())), raw_zone, day)
+    bad = entries.where(F.col(CORRUPT).isNotNull())
+    reason = F.lit("column_count").alias(REASON)
+    files.append_load(bad.select("archive", "entry", F.col(CORRUPT).alias("record"), reason), rejects_table)

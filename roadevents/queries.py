@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -27,7 +27,7 @@ from roadevents.operators.normalize import apply_null_markers, normalize, reject
 from roadevents.plans import loads, marts, models
 from roadevents.plans.rollup import reports_in_one_pass
 from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS
-from roadevents.session import shared_folder
+from roadevents.session import qualified, shared_folder
 from roadevents.sinks import files, upsert
 from roadevents.sinks.tables import create_view, drop, empty_like, materialize
 from roadevents.sources import archives, csv_files, envelope, parquet_files, tables
@@ -219,19 +219,26 @@ def parquet_by_name(spark: SparkSession, folder: str) -> DataFrame:
     return normalize(read)
 
 
-def _write_zips(raw: DataFrame, path: str) -> None:
-    """The records as zip archives of a CSV file each, written by the tasks."""
-    uri = path if ":" in path.split("/")[0] else f"file://{path}"
+def _write_zips(raw: DataFrame, path: str, header: Sequence[str] | None = None) -> None:
+    """The records as zip archives of two CSV files each, written by the tasks.
+
+    ``header`` are the names that the files begin with, if not those of the columns.
+    """
+    uri = qualified(raw.sparkSession, path)
+    first = ",".join(f'"{name}"' for name in header or raw.columns).encode() + b"\n"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(uri)
         store.create_dir(folder)
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            text, packed = io.BytesIO(), io.BytesIO()
-            pacsv.write_csv(batch, text)
+            packed, half = io.BytesIO(), batch.num_rows // 2
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("events.csv", text.getvalue())
+                for entry, part in (("a/events.csv", batch[:half]), ("events.csv", batch[half:])):
+                    text = io.BytesIO(first)
+                    text.seek(0, io.SEEK_END)
+                    pacsv.write_csv(part, text, pacsv.WriteOptions(include_header=False))
+                    archive.writestr(entry, text.getvalue())
                 archive.writestr("readme.txt", "not an entry to load")
             name = f"{folder}/{task}-{number}.zip"
             with store.open_output_stream(name) as file:
@@ -245,36 +252,57 @@ def zip_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "zips")
     _write_zips(fields_with(as_text(incident_events(spark, folder))), path)
     records = archives.zip_csv(spark, path)
-    named = F.substring_index("archive", ".", -1)
-    return normalize(records).withColumn("archive", named)
+    named = {"archive": F.substring_index("archive", ".", -1), "entry": F.substring_index("entry", "/", -1)}
+    return normalize(records).withColumns(named)
 
 
 def load_archives(spark: SparkSession, folder: str) -> DataFrame:
     path, zone = shared_folder(spark, "zips"), shared_folder(spark, "zone")
     _write_zips(fields_with(as_text(incident_events(spark, folder))), path)
     loads.land_archives(spark, path, zone, "2024-02-01")
-    return normalize(csv_files.csv_by_position(spark, zone, keep_corrupt=True))
+    return normalize(csv_files.csv_by_position(spark, zone))
 
 
-def load_snapshot_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of 14 values, and of 15 and 6, which are set aside with their reason."""
-    path = shared_folder(spark, "csv")
-    raw = fields_with(as_text(incident_events(spark, folder)), "event_id")
+def _broken(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records of 14 values, of 15, and of 6."""
     more, less = _id() % 11 == 0, _id() % 13 == 0
-    good = raw.where(~more & ~less).drop("event_id")
-    files.land_csv(good, path, "2024-02-01")
-    surplus = raw.where(more).withColumn("surplus", F.lit("x")).drop("event_id")
-    files.land_csv(surplus, path, "2024-02-01", mode="append")
-    short = raw.where(~more & less).select(*FIELDS[:6])
-    files.land_csv(short, path, "2024-02-01", mode="append")
-    records = csv_files.csv_by_position(spark, path, keep_corrupt=True)
-    loaded = normalize(records).select("startDate", "linkId", F.lit("").alias("reason"))
-    failed = rejects(records).select(
+    whole = fields_with(raw.where(~more & ~less))
+    surplus = fields_with(raw.where(more)).withColumn("surplus", F.lit("x"))
+    return whole, surplus, raw.where(~more & less).select(*FIELDS[:6])
+
+
+def _loaded_and_refused(loaded: DataFrame, refused: DataFrame) -> DataFrame:
+    """startDate, linkId and reason of typed rows and of rejects."""
+    good = loaded.select("startDate", "linkId", F.lit("").alias("reason"))
+    failed = refused.select(
         text.to_timestamp14(F.col("startDate")).alias("startDate"),
         F.lit(None).cast("bigint").alias("linkId"),
         F.col("reject_reason").alias("reason"),
     )
-    return loaded.unionByName(failed)
+    return good.unionByName(failed)
+
+
+def load_archives_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives whose records have 14, 15 or 6 values: what lands, and the rejects."""
+    path, zone = shared_folder(spark, "zips"), shared_folder(spark, "zone")
+    refused = shared_folder(spark, "refused")
+    for part in _broken(as_text(incident_events(spark, folder))):
+        _write_zips(part, f"{path}/{len(part.columns)}", FIELDS)
+    loads.land_archives(spark, path, zone, "2024-02-01", rejects_table=refused)
+    landed = normalize(csv_files.csv_by_position(spark, zone))
+    # The fourth value of a record's text is its start; none before it holds a comma.
+    start = F.get(F.split("record", ","), 3)
+    failed = tables.table(spark, refused).withColumn("startDate", F.replace(start, F.lit('"'), F.lit("")))
+    return _loaded_and_refused(landed, failed)
+
+
+def load_snapshot_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of 14 values, and of 15 and 6, which are set aside with their reason."""
+    path = shared_folder(spark, "csv")
+    for part in _broken(as_text(incident_events(spark, folder))):
+        files.land_csv(part, path, "2024-02-01", mode="append")
+    records = csv_files.csv_by_position(spark, path)
+    return _loaded_and_refused(normalize(records), rejects(records))
 
 
 def hourly_event_heatmap_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,39 +359,63 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return fields_with(normalize(tables.table(spark, path)), "ingestion_date")
 
 
-def _land_two_polls(spark: SparkSession, raw: DataFrame, backfill: bool = False) -> str:
-    """Open incidents first, then two of three again, revised and ended."""
+def _two_polls(
+    spark: SparkSession, raw: DataFrame, take: Callable[[str, str], None], backfill: bool = False
+) -> None:
+    """Open incidents first, then two of three again, revised and ended.
+
+    Each poll is landed by all tasks; then ``take`` gets the landing area and the day.
+    """
     landing = shared_folder(spark, "polls")
     still_open = raw.where(_id() % 3 != 0).withColumn("endDate", F.lit(""))
     # The older day lands last: a backfill, which must not undo the later poll.
     polls = [("2024-02-01", _revised(raw)), ("2024-01-31", still_open)]
     for day, poll in polls if backfill else reversed(polls):
         poll = poll.withColumn("ingestion_date", F.lit(day).cast("date"))
-        polls = _responses(poll, "ingestion_date").coalesce(1)
-        polls.write.mode("append").partitionBy("ingestion_date").text(landing)
-    return landing
+        responses = _responses(poll, "ingestion_date")
+        responses.write.mode("append").partitionBy("ingestion_date").text(landing)
+        take(landing, day)
 
 
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     raw = as_text(incident_events(spark, folder)).withColumn(
         "linkId", (_id() + 2000000000).cast("string")
     )
-    landing = _land_two_polls(spark, raw, backfill=True)
-    path = shared_folder(spark, "upserted")
-    stream = ingest.landed_stream(spark, landing, one_per_line=True, max_files=1)
-    stream_merge(stream, path, shared_folder(spark, "progress")).awaitTermination()
+    path, progress = shared_folder(spark, "upserted"), shared_folder(spark, "progress")
+
+    def take(landing: str, day: str) -> None:
+        stream = ingest.landed_stream(spark, landing, one_per_line=True)
+        stream_merge(stream, path, progress).awaitTermination()
+
+    _two_polls(spark, raw, take, backfill=True)
     return upsert.read_table(spark, path).drop("ingestion_timestamp")
 
 
 def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
     raw = as_text(incident_events(spark, folder)).withColumn("coordX", _id().cast("string"))
-    landing = _land_two_polls(spark, raw, backfill=True)
-    path = shared_folder(spark, "latest")
-    stream = ingest.landed_stream(spark, landing, one_per_line=True, max_files=1)
-    stream_rewrite_latest(stream, path, shared_folder(spark, "progress")).awaitTermination()
+    path, progress = shared_folder(spark, "latest"), shared_folder(spark, "progress")
+
+    def take(landing: str, day: str) -> None:
+        stream = ingest.landed_stream(spark, landing, one_per_line=True)
+        stream_rewrite_latest(stream, path, progress).awaitTermination()
+
+    _two_polls(spark, raw, take, backfill=True)
     return upsert.read_table(spark, path, upsert.CENTRAL_SCHEMA).drop("createdAt")
 
 
+def stream_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of 14, 15 and 6 values in streamed CSV, a micro-batch for each day."""
+    landing, checkpoint = shared_folder(spark, "csv"), shared_folder(spark, "progress")
+    path, refused = shared_folder(spark, "typed"), shared_folder(spark, "refused")
+    raw = as_text(incident_events(spark, folder))
+    for day, rest in (("2024-01-31", 0), ("2024-02-01", 1)):
+        for part in _broken(raw.where(_id() % 2 == rest)):
+            files.land_csv(part, landing, day, mode="append")
+        stream = ingest.landed_stream(spark, landing, "csv")
+        ingest.start_typed_append(stream, path, refused, checkpoint).awaitTermination()
+    return _loaded_and_refused(tables.table(spark, path), tables.table(spark, refused))
+
+
 def load_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     raw = as_text(incident_events(spark, folder)).withColumn("coordX", _id().cast("string"))
     landing, path = shared_folder(spark, "csv"), shared_folder(spark, "central")
@@ -388,11 +440,13 @@ def load_merge(spark: SparkSession, folder: str) -> DataFrame:
     raw = as_text(incident_events(spark, folder)).withColumn(
         "linkId", (_id() + 2000000000).cast("string")
     )
-    landing = _land_two_polls(spark, raw)
     zone, path = shared_folder(spark, "zone"), shared_folder(spark, "merged")
-    for day in ("2024-01-31", "2024-02-01"):
+
+    def take(landing: str, day: str) -> None:
         responses = loads.day_folder(landing, day)
         loads.load_merge(spark, responses, zone, path, day, one_per_line=True)
+
+    _two_polls(spark, raw, take)
     return upsert.read_table(spark, path).drop("ingestion_timestamp")
 
 
@@ -481,12 +535,14 @@ QUERIES: dict[str, Query] = {
     "parquet_by_name": parquet_by_name,
     "zip_csv": zip_csv,
     "load_archives": load_archives,
+    "load_archives_bad_rows": load_archives_bad_rows,
     "partition_scan": partition_scan,
     "append_load": append_load,
     "full_refresh": full_refresh,
     "stream_ingest": stream_ingest,
     "stream_upsert": stream_upsert,
     "stream_latest": stream_latest,
+    "stream_csv_rejects": stream_csv_rejects,
     "load_snapshot": load_snapshot,
     "load_snapshot_bad_rows": load_snapshot_bad_rows,
     "load_append": load_append,

@@ -47,6 +47,13 @@ def _located(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI with the scheme of the cluster's file system, as Arrow reads it."""
+    hadoop_path, fs = _located(spark, path)
+    uri = fs.makeQualified(hadoop_path).toString()
+    return uri.replace("file:/", "file:///", 1) if not uri.startswith("file:///") else uri
+
+
 def move(spark: SparkSession, source: str, target: str) -> bool:
     """Renames a folder; False if there is none. The target must not exist."""
     (old, fs), (new, _) = _located(spark, source), _located(spark, target)

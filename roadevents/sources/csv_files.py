@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadevents.operators.normalize import CORRUPT
 from roadevents.schema import FIELDS
+from roadevents.sources.records import (
+    VALUE_OPTIONS,
+    bound_by_header,
+    header_names,
+    header_of,
+    listing,
+    text_schema,
+)
 
-# An absent value is null and a quoted empty one is empty text. Spark only keeps the
-# two apart if the null marker is text that does not occur.
-VALUE_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": ""}
 READ_OPTIONS = {"header": True, **VALUE_OPTIONS}
 ONLY_CSV = {"pathGlobFilter": "*.csv"}
 
 
-def text_schema(names: Sequence[str]) -> T.StructType:
-    """Text columns, and one for records with a wrong number of values."""
-    return T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
-
-
 def _reader(spark: SparkSession, multiline: bool):
     reader = spark.read.options(**READ_OPTIONS, multiLine=multiline, **ONLY_CSV)
     return reader.option("columnNameOfCorruptRecord", CORRUPT)
@@ -33,24 +29,21 @@ def _reader(spark: SparkSession, multiline: bool):
 
 def csv_by_position(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fields: Sequence[str] = FIELDS,
     *,
     multiline: bool = True,
-    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Columns take their names from ``fields`` in order; the header line is skipped.
 
-    Short rows are filled with nulls and surplus values dropped. ``keep_corrupt`` adds
-    the text of such rows as ``_corrupt_record``, which ``normalize`` then rejects.
-    ``multiline=False`` lets Spark split large files, for data known to have no
+    Short rows are filled with nulls and surplus values cut, and the text of such rows is
+    in ``_corrupt_record``: ``normalize`` rejects them or aborts, and
+    ``require_whole_records`` fails at the first. ``path`` is a folder, a file or a list of
+    them. ``multiline=False`` lets Spark split large files, for data known to have no
     newline inside a field.
     """
-    schema = text_schema(fields)
-    if not keep_corrupt:
-        schema = T.StructType(schema.fields[:-1])
     reader = _reader(spark, multiline).option("enforceSchema", True)
-    return reader.schema(schema).csv(path)
+    return reader.schema(text_schema(fields)).csv(path if isinstance(path, str) else list(path))
 
 
 def require_whole_records(raw: DataFrame) -> DataFrame:
@@ -87,10 +80,10 @@ def csv_by_name(
     """Columns bound by the header's names, without regard to case.
 
     ``headers="uniform"`` expects one header for all files and fails if a file's
-    header differs, rather than shifting its columns. ``headers="per_file"`` groups the
-    files by header and reads each group by its own. Rows with a wrong number of values
-    are filled or cut to fit and have their text in ``_corrupt_record``. ``encoding`` is
-    one that writes ASCII as it is, line ends above all.
+    header differs, rather than shifting its columns. ``headers="per_file"`` reads every
+    file by its own. Rows with a wrong number of values are filled or cut to fit and have
+    their text in ``_corrupt_record``. ``encoding`` is one that writes ASCII as it is, line
+    ends above all.
     """
     reader = _reader(spark, multiline).option("encoding", encoding)
     if headers == "uniform":
@@ -99,46 +92,29 @@ def csv_by_name(
         return select_by_name(whole, fields, CORRUPT, *partition_columns)
     if headers != "per_file":
         raise ValueError(f"headers must be 'uniform' or 'per_file', not {headers!r}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, names in _headers(spark, path, encoding):
-        groups.setdefault(names, []).append(file)
-    parts = [
-        select_by_name(
-            reader.option("basePath", path).schema(text_schema(names)).csv(files),
-            fields,
-            CORRUPT,
-            *partition_columns,
-        )
-        for names, files in groups.items()
-    ]
-    if not parts:
-        files = spark.read.format("binaryFile").options(**ONLY_CSV).load(path)
-        kept = [F.lit(None).cast("string").alias(f) for f in (*fields, CORRUPT)]
-        return files.select(*kept, *partition_columns).limit(0)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _headers(spark: SparkSession, path: str, encoding: str):
-    """Every file's name and header. Only the first block of a file is looked at."""
-    # Latin-1 keeps every byte, whatever the file's encoding is.
-    lines = (
-        spark.read.options(**ONLY_CSV, multiLine=False, encoding="iso-8859-1")
-        .options(quote="", sep="\u0001")
-        .schema("value string")
-        .csv(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-        .where("block = 0")
+    # Tasks read the first block of every file; the driver learns the distinct headers.
+    first = listing(spark, path, "*.csv").select(header_of(F.col("path"), encoding).alias("header"))
+    layouts = [r["header"] for r in first.distinct().collect()]
+    found = _whole_records(reader, path, max([1, *[len(header_names(h)) for h in layouts]]))
+    return bound_by_header(
+        found.withColumn("header", header_of(F.col("_file"), encoding, escaped=True)),
+        layouts,
+        fields,
+        *partition_columns,
     )
-    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    for row in first.orderBy("file").toLocalIterator():
-        header = row["header"].encode("iso-8859-1").decode(encoding).lstrip("﻿")
-        yield unquote(row["file"]), header_names(header)
 
 
-def header_names(line: str) -> tuple[str, ...]:
-    return tuple(h.strip() for h in next(csv.reader([line.rstrip("\r\n")]), []))
+def _whole_records(reader, path: str, widest: int) -> DataFrame:
+    """Every record's own text as ``record``, its file, and the partition columns.
+
+    The reader gives the text of records that do not fit its columns, so it is asked for
+    one column more than any header has. A record of just that size is put together again
+    from its values; it has one too many for every header.
+    """
+    places = [f"_place_{i}" for i in range(widest + 1)]
+    read = reader.option("enforceSchema", True).schema(text_schema(places)).csv(path)
+    values = [F.concat(F.lit('"'), F.replace(F.col(p), F.lit('"'), F.lit('""')), F.lit('"')) for p in places]
+    rebuilt = F.concat_ws(",", *[F.coalesce(v, F.lit("")) for v in values])
+    record = F.coalesce(F.col(CORRUPT), rebuilt).alias("record")
+    others = [c for c in read.columns if c not in (*places, CORRUPT)]
+    return read.select(record, F.col("_metadata.file_path").alias("_file"), *others)

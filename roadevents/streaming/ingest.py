@@ -6,16 +6,19 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roadevents.operators.dedup import dedup_latest
-from roadevents.schema import ENVELOPE_SCHEMA, MERGE_KEYS, RAW_SCHEMA
+from roadevents.operators.normalize import CORRUPT, normalize, rejects
+from roadevents.schema import ENVELOPE_SCHEMA, FIELDS, MERGE_KEYS
 from roadevents.sinks.files import PARTITION
 from roadevents.sources.csv_files import READ_OPTIONS
 from roadevents.sources.envelope import POSITION, flatten
+from roadevents.sources.records import text_schema
 
 BLOCK = "block"
 
@@ -31,7 +34,8 @@ def landed_stream(
     """Raw records of files under ``landing/ingestion_date=day/``, each file once.
 
     Adds ``polled_at`` and ``file``, the file's time and name. JSON files are poll
-    responses (``seq`` is the position in the response); CSV files bind by position.
+    responses (``seq`` is the position in the response); CSV files bind by position, and
+    the text of a record with a wrong number of values is in ``_corrupt_record``.
     A file replaced under the same name is not seen again: land one file per poll.
     """
     reader = spark.readStream
@@ -51,14 +55,37 @@ def landed_stream(
         return flatten(responses.withColumns(origin))
     if kind == "csv":
         return (
-            reader.schema(T.StructType([*RAW_SCHEMA.fields, day]))
+            reader.schema(T.StructType([*text_schema(FIELDS).fields, day]))
             .options(**READ_OPTIONS, multiLine=not one_per_line)
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .csv(landing)
             .withColumns({**origin, BLOCK: F.col("_metadata.file_block_start")})
         )
     raise ValueError(f"kind must be 'json' or 'csv', not {kind!r}")
 
 
+def _append(rows: DataFrame, out: str, number: int) -> None:
+    """The rows of a micro-batch under its number below their days, in place of those that
+    an earlier attempt at the same batch has left."""
+    (
+        rows.withColumn("batch", F.lit(number))
+        .hint("rebalance", PARTITION)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(PARTITION, "batch")
+        .parquet(out)
+    )
+
+
+def _started(stream: DataFrame, checkpoint: str, apply, query_name: str | None) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(apply)
+    if query_name:
+        writer = writer.queryName(query_name)
+    return (
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def start_append(
     stream: DataFrame, out: str, checkpoint: str, *, query_name: str | None = None
 ) -> StreamingQuery:
@@ -67,23 +94,35 @@ def start_append(
     Rows are rebalanced by day, so a day gets few files. Each micro-batch has a folder of
     its own below its day, which a replay of the batch replaces.
     """
+    return _started(stream, checkpoint, lambda batch, n: _append(batch, out, n), query_name)
 
-    def append(batch: DataFrame, number: int) -> None:
-        (
-            batch.withColumn("batch", F.lit(number))
-            .hint("rebalance", PARTITION)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION, "batch")
-            .parquet(out)
-        )
 
-    writer = stream.writeStream.foreachBatch(append)
-    if query_name:
-        writer = writer.queryName(query_name)
-    return (
-        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def start_typed_append(
+    stream: DataFrame,
+    out: str,
+    rejected: str,
+    checkpoint: str,
+    *,
+    query_name: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Appends the typed events landed so far to ``out`` and the records that do not
+    convert, or have a wrong number of values, to ``rejected``; then stops.
+
+    Both come from the same micro-batch, which is read once, and carry its number, so a
+    replay replaces both: no record is in neither table, or in one twice. ``options`` are
+    those of ``normalize``; the rejects have the raw text and the reason.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _append(rejects(batch, **options), rejected, number)
+            _append(normalize(batch, **options), out, number)
+        finally:
+            batch.unpersist()
+
+    return _started(stream, checkpoint, apply, query_name)
 
 
 def latest_poll(
