@@ -1,10 +1,11 @@
 """Phrase collocations from sorted count streams.
 
 Every word starts one window: itself and up to four words after it in its piece. Tasks
-combine equal windows of a stretch of text and write them with their counts. Dealt out by
-ranges and sorted, the windows are one stream in prefix order: all occurrences of a phrase
-stand next to each other, so one pass counts the phrases of every length by the lengths of
-their runs, and a run that goes on in the next range is added up from its parts.
+combine equal windows of a stretch of text and send each with its count to the task of its
+range. Sorted there, the windows are one stream in prefix order: all occurrences of a
+phrase stand next to each other, so one pass counts the phrases of every length by the
+lengths of their runs, and a run that goes on in the next range is added up from its parts.
+The ranges' bounds are chosen from a sample and only even out the tasks.
 
 The frequent phrases, at most five in a hundred words, are then kept in two orders. Merged
 with the phrases a word shorter, the stream in order of all words but the last gives the
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import partial, reduce
 
@@ -36,9 +38,12 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
-# Bytes of text whose windows are combined at once: far fewer than 2^21 words.
-STRETCH = 3 << 20
-WORD_BITS = 21
+# Bytes of text whose windows are combined at once.
+STRETCH = 8 << 20
+# Texts and windows that the bounds of the ranges are chosen from, and the bytes of a bound.
+SAMPLED_TEXTS = 2000
+SAMPLED_WINDOWS = 20_000
+BOUND_BYTES = 64
 # Rows of the sorted stream that are looked at together.
 ROWS = 1 << 16
 # Parts in which each language's best phrases are found before they are ranked.
@@ -51,7 +56,8 @@ _CLEAN = bytes.maketrans(
 )
 _SEPARATOR = re.compile(rb"[ \n]")
 
-WINDOWS = "lang string, words string, n long"
+WINDOWS = "lang string, words string, n long, part int"
+Bounds = list[tuple[bytes, bytes]]
 RUNS = "lang string, size int, phrase string, n long"
 
 
@@ -69,8 +75,9 @@ def _stretches(data: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
         start = end
 
 
-def _combined(data: bytes, own: int, longest: int) -> tuple[pa.Array, pa.Array] | None:
-    """The distinct windows of a stretch, every word with a space behind it, and counts."""
+def _combined(data: bytes, own: int, longest: int) -> tuple[pa.Array, np.ndarray] | None:
+    """The distinct windows of a stretch in byte order, every word with a space behind it,
+    and their counts."""
     chars = np.frombuffer(data, np.uint8)
     inside = (chars != _BREAK) & (chars != _GAP)
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
@@ -82,7 +89,9 @@ def _combined(data: bytes, own: int, longest: int) -> tuple[pa.Array, pa.Array]
     np.cumsum(ends - starts, out=offsets[1:])
     body = [None, pa.py_buffer(offsets), pa.py_buffer(chars[inside])]
     words = pa.Array.from_buffers(pa.binary(), len(starts), body).dictionary_encode()
-    order = pc.sort_indices(words.dictionary).to_numpy()
+    # With the space, no word begins another, so windows have the order of their words.
+    spaced = pc.binary_join_element_wise(words.dictionary, b"", b" ")
+    order = pc.sort_indices(spaced).to_numpy()
     rank = np.empty(len(order), np.uint64)
     rank[order] = np.arange(1, len(order) + 1)
     ids = rank[words.indices.to_numpy()]
@@ -92,11 +101,12 @@ def _combined(data: bytes, own: int, longest: int) -> tuple[pa.Array, pa.Array]
         column = np.zeros(len(ids), np.uint64)
         column[:-j] = np.where(piece[j:] == piece[:-j], ids[j:], 0)
         columns.append(column[:first])
+    bits = len(order).bit_length()
     keys = []
-    for at in range(0, longest, 3):
+    for at in range(0, longest, 64 // bits):
         key = np.zeros(first, np.uint64)
-        for column in columns[at : at + 3]:
-            key = (key << np.uint64(WORD_BITS)) | column
+        for column in columns[at : at + 64 // bits]:
+            key = (key << np.uint64(bits)) | column
         keys.append(key)
     places = np.lexsort(keys[::-1])
     new = np.zeros(first, bool)
@@ -105,14 +115,23 @@ def _combined(data: bytes, own: int, longest: int) -> tuple[pa.Array, pa.Array]
         key = key[places]
         new[1:] |= key[1:] != key[:-1]
     at = np.flatnonzero(new)
-    spaced = pc.binary_join_element_wise(words.dictionary.take(order), b"", b" ")
-    spaced = pa.concat_arrays([pa.array([b""], pa.binary()), spaced])
+    spaced = pa.concat_arrays([pa.array([b""], pa.binary()), spaced.take(order)])
     parts = [spaced.take(pa.array(column[places[at]])) for column in columns]
-    joined = pc.binary_join_element_wise(*parts, b"").cast(pa.string())
-    return joined, pa.array(np.diff(at, append=first), pa.int64())
+    return pc.binary_join_element_wise(*parts, b""), np.diff(at, append=first)
 
 
-def _windows(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+def _range_of(bounds: Bounds, lang: bytes, windows: pa.Array) -> np.ndarray:
+    """How many bounds each of the sorted windows has reached."""
+    first = bisect_left(bounds, (lang, b""))
+    last = bisect_left(bounds, (lang + b"\0", b""))
+    size = len(windows)
+    at = [bisect_left(range(size), words, key=lambda i: windows[i].as_py()) for _, words in bounds[first:last]]
+    return first + np.searchsorted(at, np.arange(size), side="right")
+
+
+def _windows(
+    batches: Iterable[pa.RecordBatch], longest: int, bounds: Bounds
+) -> Iterator[pa.RecordBatch]:
     held: dict[str, list[bytes]] = {}
     size = 0
 
@@ -121,8 +140,14 @@ def _windows(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[pa.Rec
             for data, own in _stretches(b"\n".join(texts), longest):
                 found = _combined(data, own, longest)
                 if found:
-                    langs = pa.array([lang] * len(found[0]), pa.string())
-                    yield pa.record_batch([langs, *found], names=["lang", "words", "n"])
+                    words, n = found
+                    columns = [
+                        pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int32))),
+                        words.cast(pa.string()),
+                        pa.array(n, pa.int64()),
+                        pa.array(_range_of(bounds, lang.encode(), words), pa.int32()),
+                    ]
+                    yield pa.record_batch(columns, names=["lang", "words", "n", "part"])
         held.clear()
 
     for batch in batches:
@@ -137,14 +162,43 @@ def _windows(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[pa.Rec
     yield from flush()
 
 
-def windows(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST) -> DataFrame:
-    """lang, words and n: counts of windows, which may come in several rows."""
+def windows(
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    longest: int = LONGEST,
+    bounds: Bounds | None = None,
+) -> DataFrame:
+    """lang, words, n and the range by ``bounds``: windows, which may come in several rows."""
     if not 1 < longest <= 6:
         raise ValueError("phrases have 2 to 6 words at most")
     named = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text")
     )
-    return named.mapInArrow(partial(_windows, longest=longest), WINDOWS)
+    return named.mapInArrow(partial(_windows, longest=longest, bounds=bounds or []), WINDOWS)
+
+
+def _bounds(docs: DataFrame, text: str, lang: str, longest: int, parts: int) -> Bounds:
+    """Bounds of about equal ranges, from the windows of some texts."""
+    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    share = min(1.0, SAMPLED_TEXTS / max(1, rows.count()))
+    found = windows(rows.sample(share, seed=1), longest=longest)
+    key = F.substring(F.col("words").cast("binary"), 1, BOUND_BYTES).alias("words")
+    some = found.orderBy(F.xxhash64("lang", "words")).limit(SAMPLED_WINDOWS)
+    keys = [(r["lang"].encode(), bytes(r["words"])) for r in some.select("lang", key).collect()]
+    keys.sort()
+    picked = [keys[len(keys) * i // parts] for i in range(1, parts)] if keys else []
+    return sorted(set(picked))
+
+
+def stream(
+    docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST
+) -> DataFrame:
+    """lang, words and n of all windows in prefix order, by ranges over the partitions."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = windows(docs, text, lang, longest, _bounds(docs, text, lang, longest, parts))
+    dealt = found.repartitionById(parts, "part").drop("part")
+    return dealt.sortWithinPartitions("lang", "words")
 
 
 def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -234,10 +288,9 @@ def _runs(batches: Iterable[pa.RecordBatch], longest: int, least: int) -> Iterat
         yield batch([(last[0], k + 1, _first(last[1], k + 1), s) for k, s in enumerate(sums) if s])
 
 
-def counts(found: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+def counts(ordered: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, size, phrase and n of all phrases with ``n >= least``; size 0: all words."""
-    stream = found.repartitionByRange("lang", "words").sortWithinPartitions("lang", "words")
-    runs = stream.mapInArrow(partial(_runs, longest=longest, least=least), RUNS)
+    runs = ordered.mapInArrow(partial(_runs, longest=longest, least=least), RUNS)
     whole = runs.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return whole.where((F.col("size") == 0) | (F.col("n") >= least))
 
@@ -309,9 +362,7 @@ def collocations(
     count holds are left out. Best first by score, then count, then phrase in byte order.
     """
     scratch = Scratch(docs.sparkSession, "collocations")
-    found = scratch.write(windows(docs, text, lang, longest), "windows", "zstd")
-    counted = scratch.write(counts(found, longest, least), "counts")
-    scratch.drop("windows")
+    counted = scratch.write(counts(stream(docs, text, lang, longest), longest, least), "counts")
     words = counted.where("size = 0").select("lang", F.col("n").alias("n"))
     phrases = parts(counted, longest)
     phrases = phrases.where("extended IS NULL OR extended < n").withColumnRenamed("n", "a")

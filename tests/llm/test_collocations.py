@@ -95,8 +95,9 @@ def test_stretches_and_ranges_do_not_matter(spark, monkeypatch):
         found = Counter()
         for part, own in collocations._stretches(data, 5):
             words, counts = collocations._combined(part, own, 5) or ([], [])
+            assert [w.as_py() for w in words] == sorted(w.as_py() for w in words)
             for w, c in zip(words, counts):
-                found[w.as_py()] += c.as_py()
+                found[w.as_py().decode()] += int(c)
         split = data.decode().split()
         assert found == Counter("".join(w + " " for w in split[i : i + 5]) for i in range(len(split)))
 
@@ -108,8 +109,6 @@ def test_runs_over_batches_and_parts(monkeypatch):
     docs = corpus(rng, 60, ["a", "b", "c"])
     windows = Counter()
     counts, totals = phrases(docs)
-    for (lang, w), _ in list(counts.items()):
-        pass
     for _, text, lang in docs:
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
             words = re.findall(r"[^\x20\x09]+", piece)
@@ -133,6 +132,18 @@ def test_runs_over_batches_and_parts(monkeypatch):
         assert {k[0]: n for k, n in found.items() if k[1] == 0} == dict(totals)
 
 
+def test_ranges_keep_the_order():
+    import pyarrow as pa
+
+    words = sorted(["a ", "a\x01 ", "a b ", "b ", "c c ", "ß "], key=lambda w: w.encode())
+    array = pa.array([w.encode() for w in words])
+    rows = [(lang, w.encode()) for lang in (b"de", b"en", b"en\x00", b"fr") for w in words]
+    for bounds in ([], [(b"en", b"b")], sorted([rows[3], rows[9], rows[10], (b"en", b"a\x01"), (b"x", b"")])):
+        for lang in (b"de", b"en", b"en\x00", b"fr"):
+            parts = collocations._range_of(bounds, lang, array)
+            assert parts.tolist() == [sum(b <= (lang, w.encode()) for b in bounds) for w in words]
+
+
 def test_exact_beyond_64_bits(spark):
     rows = [("en", 1, "x", 3 * 10**9), ("en", 1, "y", 3 * 10**9 + 1), ("en", 2, "x y", 3 * 10**9 - 1)]
     counted = spark.createDataFrame(rows, "lang string, size int, phrase string, n long")
