@@ -368,6 +368,18 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "csv_by_name": _text_dates("NULL::bigint"),
     "load_append": _text_dates("typed.roadNo"),
+    "load_append_rerun": _text_dates("typed.roadNo"),
+    "table_switch": _sql(
+        """SELECT seen, eventType, count(*) AS event_count,
+          round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY seen), 2)::double AS percentage
+        FROM ev JOIN (VALUES ('first'), ('after_failure'), ('begun_before'), ('next')) s(seen)
+          ON seen = 'next' OR event_id % 3 <> 0
+        GROUP BY seen, eventType"""
+    ),
+    "insert_with_default": _sql(
+        """SELECT *, CASE WHEN event_id % 3 <> 0 THEN timestamp '2024-02-01 00:00:00'
+          ELSE timestamp '2024-01-31 00:00:00' END AS ingestion_timestamp FROM ev"""
+    ),
     "csv_by_name_per_file": _sql(
         f"""SELECT {_FIELDS}, ingestion_date FROM (
           SELECT txt.* REPLACE (coordX::double AS coordX, coordY::double AS coordY,

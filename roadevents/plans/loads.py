@@ -19,7 +19,7 @@ from roadevents.operators.dedup import dedup_first
 from roadevents.operators.normalize import CORRUPT, REASON, normalize, rejects
 from roadevents.operators.quality import require_rows
 from roadevents.schema import FIELDS, MERGE_KEYS, NULL_MARKERS, TEXT_DATE_SCHEMA
-from roadevents.sinks import files, upsert
+from roadevents.sinks import files, ledger, upsert
 from roadevents.sources.archives import zip_csv
 from roadevents.sources.csv_files import (
     csv_by_name,
@@ -86,6 +86,34 @@ def load_append(
         files.append_load(rejects(landed, **options), rejects_table)
 
 
+def load_new_files(
+    spark: SparkSession,
+    raw_zone: str,
+    table: str,
+    *,
+    rejects_table: str | None = None,
+    null_markers: Sequence[str] = NULL_MARKERS,
+    **csv_options,
+) -> int:
+    """Appends the CSV files under ``raw_zone``, or a day of it, that no load has taken yet;
+    how many these are. Running it again adds nothing.
+
+    Files bind by their own headers. Records that do not convert are left out;
+    ``rejects_table`` collects them under the same load. Both tables are read through
+    ``sinks.ledger.loaded``.
+    """
+    options = {"dates": "text", "null_markers": null_markers}
+
+    def build(paths: list[str]) -> dict[str, DataFrame]:
+        raw = csv_by_name(spark, paths, headers="per_file", **csv_options)
+        found = {table: normalize(raw, **options)}
+        if rejects_table:
+            found[rejects_table] = rejects(raw, **options)
+        return found
+
+    return ledger.load_once(spark, raw_zone, table, build)
+
+
 def load_merge(
     spark: SparkSession,
     responses: str,

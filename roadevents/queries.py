@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.csv as pacsv
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +27,18 @@ from roadevents.operators import dedup, merge
 from roadevents.operators.normalize import apply_null_markers, normalize, rejects
 from roadevents.plans import loads, marts, models
 from roadevents.plans.rollup import reports_in_one_pass
-from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS
+from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS, TEXT_DATE_SCHEMA
 from roadevents.session import qualified, shared_folder
-from roadevents.sinks import files, upsert
-from roadevents.sinks.tables import create_view, drop, empty_like, materialize
+from roadevents.sinks import files, ledger, upsert
+from roadevents.sinks.tables import (
+    create_table_if_absent,
+    create_view,
+    drop,
+    empty_like,
+    insert_by_name,
+    materialize,
+    publish,
+)
 from roadevents.sources import archives, csv_files, envelope, parquet_files, tables
 from roadevents.streaming import ingest
 from roadevents.streaming.upsert import stream_merge, stream_rewrite_latest
@@ -436,6 +445,18 @@ def load_append(spark: SparkSession, folder: str) -> DataFrame:
     return tables.table(spark, path)
 
 
+def load_append_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """A day loaded twice and, after more files have come, twice again."""
+    raw = dirty_text(incident_events(spark, folder))
+    zone, path = shared_folder(spark, "zone"), shared_folder(spark, "append")
+    for rest in (0, 1):
+        polled = fields_with(raw.where(_id() % 2 == rest))
+        files.land_csv(polled, zone, "2024-02-01", mode="append")
+        for _ in range(2):
+            loads.load_new_files(spark, loads.day_folder(zone, "2024-02-01"), path)
+    return ledger.loaded(spark, path, TEXT_DATE_SCHEMA)
+
+
 def load_merge(spark: SparkSession, folder: str) -> DataFrame:
     raw = as_text(incident_events(spark, folder)).withColumn(
         "linkId", (_id() + 2000000000).cast("string")
@@ -487,6 +508,39 @@ def one_pass_reports(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def table_switch(spark: SparkSession, folder: str) -> DataFrame:
+    """What readers of a table see: of its first version, after a build that fails, from a
+    reading begun before the next version and ended after it, and of that version."""
+    name = f"summary_{shared_folder(spark, 'switch').rsplit('-', 1)[1]}"
+    events = incident_events(spark, folder)
+    first = publish(marts.event_type_summary(events.where(_id() % 3 != 0)), name)
+    seen = {"first": first}
+    count = F.when(F.col("event_count") >= 0, F.raise_error("fails").cast("bigint"))
+    try:
+        publish(first.withColumn("event_count", count), name)
+    except PySparkException:
+        seen["after_failure"] = spark.table(name)
+    seen["begun_before"] = spark.table(name)
+    publish(marts.event_type_summary(events), name)
+    seen["next"] = spark.table(name)
+    parts = [df.select(F.lit(when).alias("seen"), "*") for when, df in seen.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def insert_with_default(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows inserted without the column that has a declared default, and one with it."""
+    name = f"events_{shared_folder(spark, 'default').rsplit('-', 1)[1]}"
+    events = incident_events(spark, folder).select("event_id", *FIELDS)
+    stamp = T.StructField("ingestion_timestamp", T.TimestampNTZType())
+    schema = T.StructType([*events.schema.fields, stamp])
+    default = f"timestamp_ntz'{AS_OF}'"
+    create_table_if_absent(spark, name, schema, defaults={stamp.name: default})
+    insert_by_name(events.where(_id() % 3 != 0), name)
+    stamped = events.where(_id() % 3 == 0).withColumn(stamp.name, _ntz("2024-01-31 00:00:00"))
+    insert_by_name(stamped, name)
+    return spark.table(name)
+
+
 def temporary_like(spark: SparkSession, folder: str) -> DataFrame:
     """An empty table of the events' shape, filled, read and dropped."""
     events, path = incident_events(spark, folder), shared_folder(spark, "like")
@@ -546,11 +600,14 @@ QUERIES: dict[str, Query] = {
     "load_snapshot": load_snapshot,
     "load_snapshot_bad_rows": load_snapshot_bad_rows,
     "load_append": load_append,
+    "load_append_rerun": load_append_rerun,
     "load_merge": load_merge,
     "dq_report": dq_report,
     "run_models": run_models,
     "one_pass_reports": one_pass_reports,
     "materialized_table": materialized_table,
+    "table_switch": table_switch,
+    "insert_with_default": insert_with_default,
     "temporary_like": temporary_like,
     "persistent_view": persistent_view,
     "hourly_event_heatmap_text": hourly_event_heatmap_text,

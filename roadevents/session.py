@@ -59,6 +59,7 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     (old, fs), (new, _) = _located(spark, source), _located(spark, target)
     if not fs.exists(old):
         return False
+    fs.mkdirs(new.getParent())
     if not fs.rename(old, new):
         raise OSError(f"{source} could not be moved to {target}")
     return True
@@ -74,3 +75,11 @@ def path_has_files(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system and holds anything."""
     hadoop_path, fs = _located(spark, path)
     return fs.exists(hadoop_path) and len(fs.listStatus(hadoop_path)) > 0
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder in order; none if there is no folder."""
+    hadoop_path, fs = _located(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))

@@ -69,7 +69,7 @@ def select_by_name(df: DataFrame, fields: Sequence[str], *extra: str | Column) -
 
 def csv_by_name(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fields: Sequence[str] = FIELDS,
     *,
     headers: str = "uniform",
@@ -79,12 +79,14 @@ def csv_by_name(
 ) -> DataFrame:
     """Columns bound by the header's names, without regard to case.
 
+    ``path`` is a folder, a file or a list of them.
     ``headers="uniform"`` expects one header for all files and fails if a file's
     header differs, rather than shifting its columns. ``headers="per_file"`` reads every
     file by its own. Rows with a wrong number of values are filled or cut to fit and have
     their text in ``_corrupt_record``. ``encoding`` is one that writes ASCII as it is, line
     ends above all.
     """
+    path = path if isinstance(path, str) else list(path)
     reader = _reader(spark, multiline).option("encoding", encoding)
     if headers == "uniform":
         header = [c for c in reader.csv(path).columns if c not in partition_columns]
@@ -104,7 +106,7 @@ def csv_by_name(
     )
 
 
-def _whole_records(reader, path: str, widest: int) -> DataFrame:
+def _whole_records(reader, path: str | list[str], widest: int) -> DataFrame:
     """Every record's own text as ``record``, its file, and the partition columns.
 
     The reader gives the text of records that do not fit its columns, so it is asked for

@@ -25,7 +25,7 @@ BLOCK_BYTES = 1 << 18
 _KEPT_HEADERS = 4096
 
 
-def listing(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def listing(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
     """path, modificationTime and length of the files under ``path``; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     return files.option("recursiveFileLookup", True).load(path).drop("content")

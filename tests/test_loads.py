@@ -116,3 +116,19 @@ def test_loads_fail_on_a_wrong_number_of_values(spark, tmp_path, path):
         with pytest.raises(Exception, match="column_count"):
             loads.load_snapshot(spark, str(tmp_path / bad), path + "-central")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_archives_with_wrong_numbers_of_values(spark, tmp_path):
+    header, zone, refused = ",".join(FIELDS), str(tmp_path / "zone"), str(tmp_path / "refused")
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("one.csv", f"{header}\nwhole{',' * 13}\nmore{',' * 14}\n")
+        archive.writestr("two.csv", f"{header}\nless{',' * 5}\n")
+    with pytest.raises(Exception, match="wrong number of values"):
+        loads.land_archives(spark, str(tmp_path), zone, DAY)
+    assert not (tmp_path / "zone" / f"ingestion_date={DAY}").exists()
+    loads.land_archives(spark, str(tmp_path), zone, DAY, rejects_table=refused)
+    assert values(csv_by_position(spark, zone), "type") == [("whole",)]
+    assert values(spark.read.parquet(refused), "entry", "record", "reject_reason") == [
+        ("one.csv", f"more{',' * 14}", "column_count"),
+        ("two.csv", f"less{',' * 5}", "column_count"),
+    ]

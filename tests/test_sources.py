@@ -1,7 +1,9 @@
+import io
 import json
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from roadevents.operators.normalize import normalize, rejects
 from roadevents.schema import FIELDS
@@ -169,3 +171,62 @@ def test_partition_scan_reads_one_folder(spark, path):
     assert "PartitionFilters: [isnotnull(ingestion_date" in plan
     day.createOrReplaceTempView("one_day")
     assert tables.table(spark, "one_day").count() == 1
+
+
+def test_archive_entries_are_dealt_to_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for i in range(40):
+            archive.writestr(f"{i}.csv", f"type\n{i}\n")
+    opens = spark.sparkContext.accumulator(0)
+
+    def counted(path):
+        opens.add(1)
+        return open(path.removeprefix("file:"), "rb")
+
+    found = archives.entries(spark, str(tmp_path), counted)
+    assert sorted(r.entry for r in found.collect()) == sorted(f"{i}.csv" for i in range(40))
+    assert opens.value == 1
+    df = archives.zip_csv(spark, str(tmp_path), ["type"], open_file=counted)
+    per_task = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 4 and sum(r["count"] for r in per_task) == 40
+
+
+def test_archives_are_not_read_whole(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("first.csv", "type\nx\n")
+        archive.writestr("large.bin", bytes(50_000_000))
+    fetched = spark.sparkContext.accumulator(0)
+
+    class Counted(io.FileIO):
+        def readinto(self, buffer):
+            n = super().readinto(buffer)
+            fetched.add(n)
+            return n
+
+    open_file = lambda path: io.BufferedReader(Counted(path.removeprefix("file:")), 1 << 16)
+    assert archives.zip_csv(spark, str(tmp_path), open_file=open_file).first().type == "x"
+    assert 0 < fetched.value < 5_000_000
+
+
+def test_differing_headers_in_one_scan(spark, tmp_path):
+    for i in range(6):
+        write(tmp_path, f"{i}.csv", ("type,coordX\nA,1\n", 'coordX,type\n2,"B,\nb"\n', "message\nC\n")[i % 3])
+    df = csv_files.csv_by_name(spark, str(tmp_path), headers="per_file")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Union" not in plan
+    found = sorted((r.type, r.coordX, r.message) for r in df.collect() if r.type)
+    assert found == [("A", "1", None)] * 2 + [("B,\nb", "2", None)] * 2
+    assert df.where("message = 'C'").count() == 2
+
+
+def test_one_value_too_many_for_every_header(spark, tmp_path):
+    folder = write(tmp_path, "a.csv", 'type,coordX\nA,1\n"x ""q"" y",,"z,z"\n')
+    rows = csv_files.csv_by_name(spark, folder, headers="per_file").collect()
+    assert [(r.type, r._corrupt_record is None) for r in rows] == [("A", True), ('x "q" y', False)]
+
+
+def test_paths_with_odd_characters(spark, tmp_path):
+    folder = write(tmp_path, "day 1/50%+ü.csv", "type\nA\n")
+    assert csv_files.csv_by_name(spark, folder + "/*", headers="per_file").first().type == "A"
+    file = str(tmp_path / "day 1" / "50%+ü.csv")
+    assert csv_files.csv_by_position(spark, file, ["type"]).first().type == "A"

@@ -1,11 +1,12 @@
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from roadevents.operators.normalize import normalize
-from roadevents.schema import CENTRAL_SCHEMA
+from roadevents.schema import CENTRAL_SCHEMA, FIELDS
 from roadevents.sinks import upsert
 from roadevents.sources.envelope import json_envelope
 from roadevents.streaming import ingest
@@ -161,3 +162,38 @@ def test_late_polls_lose_however_batches_are_cut(spark, landing, path, max_files
     assert rows(upsert.read_table(spark, merged), "linkId", "message") == sorted(expected, key=repr)
     table = upsert.read_table(spark, latest, CENTRAL_SCHEMA)
     assert rows(table, "linkId", "message") == sorted(expected, key=repr)
+
+
+def test_streamed_csv_sets_wrong_numbers_of_values_apart(spark, landing, path):
+    header, whole = ",".join(FIELDS), ",".join(["t", "", "", START, "1", "2", "7", *[""] * 7])
+    refused, progress, folder = path + "-refused", path + "-progress", str(landing.folder)
+
+    def take():
+        run(ingest.start_typed_append(ingest.landed_stream(spark, folder, "csv"), path, refused, progress))
+
+    landing.csv("a.csv", f"{header}\n{whole}\n{whole},surplus\n")
+    take()
+    landing.csv("b.csv", f"{header}\nshort,x\n{whole.replace('7', 'L')}\n")
+    take()
+    assert rows(spark.read.parquet(path), "type", "linkId", "batch") == [("t", 7, 0)]
+    found = rows(spark.read.parquet(refused), "reject_reason", "batch")
+    assert found == [("column_count", 0), ("column_count,startDate", 1), ("linkId", 1)] or found == [
+        ("column_count", 0),
+        ("column_count", 1),
+        ("linkId", 1),
+    ]
+    # The merge leaves them out as well.
+    run(stream_merge(ingest.landed_stream(spark, folder, "csv"), path + "-m", path + "-mp"))
+    assert upsert.read_table(spark, path + "-m").count() == 1
+
+
+def test_a_replayed_batch_replaces_both_outputs(spark, landing, path):
+    header, whole = ",".join(FIELDS), ",".join(["t", "", "", START, "1", "2", "7", *[""] * 7])
+    refused, progress, folder = path + "-refused", path + "-progress", str(landing.folder)
+    landing.csv("a.csv", f"{header}\n{whole}\n{whole},surplus\n")
+    for _ in range(2):
+        run(ingest.start_typed_append(ingest.landed_stream(spark, folder, "csv"), path, refused, progress))
+        # As after a crash before the batch was entered as done.
+        for done in Path(progress, "commits").glob("*"):
+            done.unlink()
+    assert spark.read.parquet(path).count() == spark.read.parquet(refused).count() == 1
