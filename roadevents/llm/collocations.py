@@ -39,9 +39,11 @@ LEAST = 100
 TOP = 2000
 UNKNOWN = "und"
 # Bytes of text whose windows are combined at once.
-STRETCH = 8 << 20
-# Texts and windows that the bounds of the ranges are chosen from, and the bytes of a bound.
+STRETCH = 4 << 20
+# Texts that the bounds of the ranges are chosen from, the share of their windows, how many
+# at most, and the bytes of a bound.
 SAMPLED_TEXTS = 2000
+SAMPLED_SHARE = 1 / 64
 SAMPLED_WINDOWS = 20_000
 BOUND_BYTES = 64
 # Rows of the sorted stream that are looked at together.
@@ -182,7 +184,7 @@ def _bounds(docs: DataFrame, text: str, lang: str, longest: int, parts: int) ->
     """Bounds of about equal ranges, from the windows of some texts."""
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     share = min(1.0, SAMPLED_TEXTS / max(1, rows.count()))
-    found = windows(rows.sample(share, seed=1), longest=longest)
+    found = windows(rows.sample(share, seed=1), longest=longest).sample(SAMPLED_SHARE, seed=2)
     key = F.substring(F.col("words").cast("binary"), 1, BOUND_BYTES).alias("words")
     some = found.orderBy(F.xxhash64("lang", "words")).limit(SAMPLED_WINDOWS)
     keys = [(r["lang"].encode(), bytes(r["words"])) for r in some.select("lang", key).collect()]
@@ -312,7 +314,7 @@ def _merged(stream: DataFrame, key: str, shorter: DataFrame, name: str, counted:
     return stream.hint("merge").join(found.hint("merge"), ["lang", key])
 
 
-def parts(counted: DataFrame, longest: int = LONGEST) -> DataFrame:
+def parts(counted: DataFrame, scratch: Scratch, longest: int = LONGEST) -> DataFrame:
     """lang, size, phrase, n, the counts of its first 1, 2, ... words as ``left``, of what
     follows these as ``right``, and ``extended``: the largest count of a phrase of one word
     more that holds it, if there is one."""
@@ -324,6 +326,7 @@ def parts(counted: DataFrame, longest: int = LONGEST) -> DataFrame:
         stream = stream.withColumns({"head": _head(), "tail": _tail()})
         stream = _merged(stream, "head", shorter, "left", F.concat("left", F.array("n")))
         stream = _merged(stream, "tail", shorter, "right", F.concat(F.array("n"), "right"))
+        stream = scratch.write(stream, f"words-{size}")
         orders.append(stream)
         shorter = stream.select("lang", "phrase", "n", "left", "right")
     found = []
@@ -364,7 +367,7 @@ def collocations(
     scratch = Scratch(docs.sparkSession, "collocations")
     counted = scratch.write(counts(stream(docs, text, lang, longest), longest, least), "counts")
     words = counted.where("size = 0").select("lang", F.col("n").alias("n"))
-    phrases = parts(counted, longest)
+    phrases = parts(counted, scratch, longest)
     phrases = phrases.where("extended IS NULL OR extended < n").withColumnRenamed("n", "a")
     cut = phrases.join(words, "lang").withColumn("cut", _weakest())
     scored = cut.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")

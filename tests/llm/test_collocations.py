@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from roadevents.llm import collocations
+from roadevents.llm.common import Scratch
 
 SCHEMA = "doc_id long, text string, lang string"
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -147,7 +148,7 @@ def test_ranges_keep_the_order():
 def test_exact_beyond_64_bits(spark):
     rows = [("en", 1, "x", 3 * 10**9), ("en", 1, "y", 3 * 10**9 + 1), ("en", 2, "x y", 3 * 10**9 - 1)]
     counted = spark.createDataFrame(rows, "lang string, size int, phrase string, n long")
-    found = collocations.parts(counted, 2).withColumnRenamed("n", "a")
+    found = collocations.parts(counted, Scratch(spark, "test"), 2).withColumnRenamed("n", "a")
     n = 10**13 + 7
     cut = found.selectExpr("*", f"{n}L AS n").select(collocations._weakest().alias("cut")).first().cut
     assert cut.score == 1000 * (3 * 10**9 - 1) * n // (3 * 10**9 * (3 * 10**9 + 1))
