@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -47,7 +48,7 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
 def check_model(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     """One summary row per test, all counted in one pass over the model."""
     counted = df.agg(
-        *[F.count_if(c.failure()).alias(f"_failures_{i}") for i, c in enumerate(checks)]
+        *[F.count_if(c.failure()).alias(_failures(i)) for i, c in enumerate(checks)]
     )
     rows = F.array(
         *[
@@ -55,7 +56,7 @@ def check_model(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
                 F.lit(model).alias("model"),
                 F.lit(c.column).alias("column"),
                 F.lit(c.name).alias("test"),
-                F.col(f"_failures_{i}").alias("failures"),
+                F.col(_failures(i)).alias("failures"),
             )
             for i, c in enumerate(checks)
         ]
@@ -63,6 +64,26 @@ def check_model(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
+def observed(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, Observation]:
+    """The frame, and what its tests find while it is read or written for another purpose.
+
+    The observation is complete after the first action on the returned frame.
+    """
+    seen = Observation()
+    counts = [F.count_if(c.failure()).alias(_failures(i)) for i, c in enumerate(checks)]
+    return df.observe(seen, *counts), seen
+
+
+def outcome(seen: Observation, checks: list[Check]) -> list[tuple[str, str, int]]:
+    """column, test and number of failures of every observed test."""
+    found = seen.get
+    return [(c.column, c.name, found[_failures(i)]) for i, c in enumerate(checks)]
+
+
+def _failures(i: int) -> str:
+    return f"_failures_{i}"
+
+
 def dq_report(
     models: dict[str, DataFrame], checks: dict[str, list[Check]]
 ) -> DataFrame:
@@ -80,8 +101,12 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 def require_passing(report: DataFrame) -> DataFrame:
     """The report itself, or an error naming the tests that failed."""
-    failed = report.where("failures > 0").collect()
-    if failed:
-        names = ", ".join(f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed)
-        raise ValueError(f"data tests failed: {names}")
+    fail_if_any(tuple(r) for r in report.select(*SUMMARY).collect())
     return report
+
+
+def fail_if_any(found: Iterable[tuple[str, str, str, int]]) -> None:
+    """An error naming the tests of a summary that failed, if there are any."""
+    failed = [f"{model}.{column} {test}: {n}" for model, column, test, n in found if n]
+    if failed:
+        raise ValueError(f"data tests failed: {', '.join(failed)}")

@@ -360,6 +360,9 @@ ORACLE_SQL: dict[str, str] = {
     "merge_table": _without(
         "event_id", _merge("SELECT * FROM base WHERE event_id % 3 <> 0")
     ),
+    "merge_bucketed": _without(
+        "event_id", _merge("SELECT * FROM base WHERE event_id % 3 <> 0")
+    ),
     "json_envelope": _sql(
         f"SELECT (event_id % 500)::int AS seq, {_FIELDS} FROM sec", _SEC
     ),
@@ -410,12 +413,36 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "stream_upsert": _MERGED_POLLS,
     "load_merge": _MERGED_POLLS,
+    "stream_unchanged": _sql(
+        f"""SELECT date '2024-01-30' AS ingestion_date, {_FIELDS} FROM linked WHERE event_id % 3 <> 0
+        UNION ALL
+        SELECT date '2024-02-01', {_FIELDS} FROM (
+          SELECT * REPLACE ({_REVISED}) FROM linked) WHERE {_AGAIN}""",
+        _TXT,
+        "linked AS (SELECT * REPLACE ((event_id + 2000000000)::varchar AS linkId) FROM txt)",
+    ),
     "stream_latest": _LATEST_POLLS,
     "load_snapshot": _LATEST_POLLS,
     "dq_report": _DQ,
     "run_models": _DQ,
+    "dq_observed": _DQ,
     "materialized_table": _SUMMARY,
     "one_pass_reports": _reports(),
+    "rollup_incremental": _reports(),
+    "compacted_days": _sql(
+        f"""SELECT kind, date '2024-01-30' + (event_id % 2)::int AS ingestion_date,
+          true AS fewer, {_FIELDS}
+        FROM sec CROSS JOIN (VALUES ('csv'), ('parquet')) k(kind)""",
+        _SEC,
+    ),
+    "events_by_road_type_sketch": _sql(
+        """SELECT type AS road_type, count(*) AS total_events,
+          count(DISTINCT roadName) AS total_roads,
+          count(DISTINCT startDate::date) AS active_days,
+          count(DISTINCT linkId) AS unique_locations, true AS near_total_events,
+          true AS near_total_roads, true AS near_active_days, true AS near_unique_locations
+        FROM ev WHERE type IS NOT NULL GROUP BY type"""
+    ),
     "temporary_like": _sql("SELECT * FROM ev"),
     "persistent_view": _sql(
         "SELECT eventType, eventDetailType, startDate, endDate, coordX, coordY FROM ev"

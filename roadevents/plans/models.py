@@ -13,11 +13,14 @@ from roadevents.operators.quality import (
     Check,
     NotNull,
     dq_report,
+    fail_if_any,
+    observed,
+    outcome,
     require_passing,
 )
 from roadevents.plans import marts
 from roadevents.plans.rollup import reports_in_one_pass
-from roadevents.sinks.tables import materialize
+from roadevents.sinks.tables import materialize, publish
 
 
 @dataclass(frozen=True)
@@ -83,6 +86,47 @@ def report(models: dict[str, DataFrame]) -> DataFrame:
     return dq_report(models, {n: m.checks for n, m in MODELS.items() if n in models})
 
 
+def publish_tested(
+    df: DataFrame, name: str, checks: list[Check], *, strict: bool = True, keep: int = 2
+) -> list[tuple[str, str, str, int]]:
+    """Publishes a model as a table and tests it while it is written, in one pass.
+
+    ``strict`` raises if a test fails, before the table is switched: readers keep the
+    version that passed. The summary has model, column, test and failures.
+    """
+    found: list[tuple[str, str, str, int]] = []
+
+    def write(rows: DataFrame, path: str) -> None:
+        rows.write.parquet(path)
+        found.extend((name, *result) for result in outcome(seen, checks))
+        if strict:
+            fail_if_any(found)
+
+    rows, seen = observed(df, checks)
+    publish(rows, name, keep=keep, write=write)
+    return found
+
+
+def publish_models(
+    events: DataFrame,
+    *,
+    as_of: AsOf = None,
+    prefix: str = "",
+    strict: bool = True,
+    rollup: str | None = None,
+) -> DataFrame:
+    """Publishes every model that has tests as a table ``prefix`` + name, each tested during
+    its one write; the summary of all tests. ``rollup`` is that of ``build_models``."""
+    spark = events.sparkSession
+    found = []
+    for name, df in build_models(events, as_of=as_of, rollup=rollup).items():
+        checks = MODELS[name].checks
+        if checks:
+            tested = publish_tested(df, prefix + name, checks, strict=strict)
+            found += [(name, *result[1:]) for result in tested]
+    return spark.createDataFrame(found, "model string, column string, test string, failures long")
+
+
 def run_models(
     events: DataFrame,
     *,
@@ -104,5 +148,5 @@ def run_models(
         name: materialize(df, name, kinds.get(name, MODELS[name].kind))
         for name, df in build_models(events, as_of=as_of, rollup=rollup).items()
     }
-    outcome = report(published)
-    return require_passing(outcome) if strict else outcome
+    summary = report(published)
+    return require_passing(summary) if strict else summary

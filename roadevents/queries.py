@@ -25,11 +25,11 @@ from roadevents.functions import text
 from roadevents.functions.text import stringify
 from roadevents.operators import dedup, merge
 from roadevents.operators.normalize import apply_null_markers, normalize, rejects
-from roadevents.plans import loads, marts, models
+from roadevents.plans import incremental, loads, marts, models
 from roadevents.plans.rollup import reports_in_one_pass
 from roadevents.schema import EVENT_SCHEMA, FIELDS, NULL_MARKERS, TEXT_DATE_SCHEMA
 from roadevents.session import qualified, shared_folder
-from roadevents.sinks import files, ledger, upsert
+from roadevents.sinks import bucketed, compact, files, ledger, upsert
 from roadevents.sinks.tables import (
     create_table_if_absent,
     create_view,
@@ -41,6 +41,7 @@ from roadevents.sinks.tables import (
 )
 from roadevents.sources import archives, csv_files, envelope, parquet_files, tables
 from roadevents.streaming import ingest
+from roadevents.streaming.changes import changed_records
 from roadevents.streaming.upsert import stream_merge, stream_rewrite_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +166,17 @@ def merge_table(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.read_table(spark, path, schema)
 
 
+def merge_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    target, batch = _merge_inputs(spark, folder)
+    name = f"merged_{shared_folder(spark, 'bucketed').rsplit('-', 1)[1]}"
+    stamp = T.StructField("ingestion_timestamp", T.TimestampNTZType())
+    schema = T.StructType([*EVENT_SCHEMA.fields, stamp])
+    bucketed.create_bucketed(spark, name, schema, buckets=8)
+    bucketed.merge_bucketed(target, name, stamp=_ntz("2024-01-31 00:00:00"), checked=True)
+    bucketed.merge_bucketed(batch, name, stamp=_ntz(AS_OF))
+    return spark.table(name).drop(upsert.DAY)
+
+
 def _responses(text: DataFrame, *extra: str) -> DataFrame:
     """Poll responses as JSON text, each of at most ``POLL_SIZE`` consecutive events."""
     record = F.struct("event_id", F.struct(*FIELDS).alias("record"))
@@ -425,6 +437,27 @@ def stream_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return _loaded_and_refused(tables.table(spark, path), tables.table(spark, refused))
 
 
+def stream_unchanged(spark: SparkSession, folder: str) -> DataFrame:
+    """The changes that three polls bring: open incidents, the same ones again, and those
+    and the rest, of which some are revised."""
+    raw = as_text(incident_events(spark, folder)).withColumn(
+        "linkId", (_id() + 2000000000).cast("string")
+    )
+    landing, path = shared_folder(spark, "polls"), shared_folder(spark, "changes")
+    progress = shared_folder(spark, "progress")
+    again = (_id() % 2 == 0) | (_id() % 3 == 0)
+    revised = F.when(again, F.concat_ws("/", "eventType", F.lit("변경"))).otherwise(F.col("eventType"))
+    first = raw.where(_id() % 3 != 0)
+    polls = {"2024-01-30": first, "2024-01-31": first, "2024-02-01": raw.withColumn("eventType", revised)}
+    for day, poll in polls.items():
+        poll = poll.withColumn("ingestion_date", F.lit(day).cast("date"))
+        responses = _responses(poll, "ingestion_date")
+        responses.write.mode("append").partitionBy("ingestion_date").text(landing)
+        stream = changed_records(ingest.landed_stream(spark, landing, one_per_line=True))
+        ingest.start_append(stream, path, progress).awaitTermination()
+    return fields_with(tables.table(spark, path), "ingestion_date")
+
+
 def load_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     raw = as_text(incident_events(spark, folder)).withColumn("coordX", _id().cast("string"))
     landing, path = shared_folder(spark, "csv"), shared_folder(spark, "central")
@@ -475,6 +508,13 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     return models.report(models.build_models(incident_events(spark, folder), as_of=AS_OF))
 
 
+def dq_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The tests' outcome, counted while the tested models are written as tables."""
+    prefix = f"t{shared_folder(spark, 'tested').rsplit('-', 1)[1]}_"
+    events = incident_events(spark, folder)
+    return models.publish_models(events, as_of=AS_OF, prefix=prefix, strict=False)
+
+
 def run_models(spark: SparkSession, folder: str) -> DataFrame:
     views = dict.fromkeys(models.MODELS, "view")
     events = incident_events(spark, folder)
@@ -484,7 +524,10 @@ def run_models(spark: SparkSession, folder: str) -> DataFrame:
 def one_pass_reports(spark: SparkSession, folder: str) -> DataFrame:
     """All values of the nine reports of the shared pass, one row per report row."""
     events, path = incident_events(spark, folder), shared_folder(spark, "rollup")
-    reports = reports_in_one_pass(events, path, as_of=AS_OF)
+    return _report_values(reports_in_one_pass(events, path, as_of=AS_OF))
+
+
+def _report_values(reports: dict[str, DataFrame]) -> DataFrame:
     measures = {
         "events": ("event_count", "total_cnt"),
         "mean": ("avg_duration_min", "average_duration_hours"),
@@ -508,6 +551,65 @@ def one_pass_reports(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _three_batches(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Rollup and sketches after three batches of events, refreshed with each."""
+    kept = {kind: shared_folder(spark, kind) for kind in ("events", "rollup", "sketches")}
+    events = incident_events(spark, folder).select("event_id", *FIELDS)
+    # The first two batches have days of their own, the third has all.
+    early = F.col("startDate") < F.lit("2024-01-15").cast("timestamp_ntz")
+    third = F.col("event_id") % 5 == 0
+    for part in (early & ~third, ~early & ~third, third):
+        batch = fields_with(events.where(F.coalesce(part, F.lit(True))))
+        incremental.append_events(batch, kept["events"])
+        incremental.refresh_rollup(
+            batch, kept["events"], kept["rollup"], as_of=AS_OF, sketches=kept["sketches"]
+        )
+    return kept["rollup"], kept["sketches"]
+
+
+def rollup_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The values of the nine reports, from a rollup kept current over three batches."""
+    rollup, _ = _three_batches(spark, folder)
+    return _report_values(incremental.current_reports(spark, rollup))
+
+
+def events_by_road_type_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """The exact counts, and whether the estimates from day sketches lie within four
+    standard errors of them."""
+    _, sketches = _three_batches(spark, folder)
+    estimated = incremental.events_by_road_type_estimated(tables.table(spark, sketches))
+    exact = marts.events_by_road_type(incident_events(spark, folder))
+    names = ["total_events", "total_roads", "active_days", "unique_locations"]
+    joined = exact.join(estimated.withColumnsRenamed({n: f"_{n}" for n in names}), "road_type")
+    near = [F.abs(F.col(f"_{n}") - F.col(n)) <= 4 * incremental.STANDARD_ERROR * F.col(n) for n in names]
+    return joined.select("road_type", *names, *[c.alias(f"near_{n}") for n, c in zip(names, near)])
+
+
+def compacted_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Polls appended to their days in many files, as CSV and Parquet, then compacted: the
+    rows, and whether their day has fewer files than before."""
+    csv, parquet = shared_folder(spark, "csv"), shared_folder(spark, "parquet")
+    raw = as_text(incident_events(spark, folder))
+    for poll in range(10):
+        polled = fields_with(raw.where(_id() % 10 == poll))
+        day = f"2024-01-{30 + poll % 2}"
+        files.land_csv(polled, csv, day, mode="append")
+        files.land_parquet(normalize(polled), parquet, day, mode="append")
+    parts = []
+    for kind, path in (("csv", csv), ("parquet", parquet)):
+        before = spark.createDataFrame(compact.day_files(spark, path, kind).collect(), compact.FILES)
+        compact.compact_days(spark, path, kind, max_files=4)
+        rows = csv_files.csv_by_position(spark, path) if kind == "csv" else tables.table(spark, path)
+        rows = normalize(rows) if kind == "csv" else rows
+        after = compact.day_files(spark, path, kind).withColumnRenamed("files", "left")
+        fewer = before.join(after, "day").select(
+            F.to_date("day").alias("ingestion_date"), (F.col("left") < F.col("files")).alias("fewer")
+        )
+        kept = rows.join(fewer, "ingestion_date", "left")
+        parts.append(kept.select(F.lit(kind).alias("kind"), "ingestion_date", "fewer", *FIELDS))
+    return parts[0].unionByName(parts[1])
+
+
 def table_switch(spark: SparkSession, folder: str) -> DataFrame:
     """What readers of a table see: of its first version, after a build that fails, from a
     reading begun before the next version and ended after it, and of that version."""
@@ -582,6 +684,7 @@ QUERIES: dict[str, Query] = {
     "distinct_rows": distinct_rows,
     "merge_upsert": merge_upsert,
     "merge_table": merge_table,
+    "merge_bucketed": merge_bucketed,
     "json_envelope": json_envelope,
     "csv_by_position": csv_by_position,
     "csv_by_name": csv_by_name,
@@ -597,14 +700,19 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": stream_upsert,
     "stream_latest": stream_latest,
     "stream_csv_rejects": stream_csv_rejects,
+    "stream_unchanged": stream_unchanged,
     "load_snapshot": load_snapshot,
     "load_snapshot_bad_rows": load_snapshot_bad_rows,
     "load_append": load_append,
     "load_append_rerun": load_append_rerun,
     "load_merge": load_merge,
     "dq_report": dq_report,
+    "dq_observed": dq_observed,
     "run_models": run_models,
     "one_pass_reports": one_pass_reports,
+    "rollup_incremental": rollup_incremental,
+    "events_by_road_type_sketch": events_by_road_type_sketch,
+    "compacted_days": compacted_days,
     "materialized_table": materialized_table,
     "table_switch": table_switch,
     "insert_with_default": insert_with_default,

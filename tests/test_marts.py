@@ -12,7 +12,7 @@ from roadevents.operators.quality import (
     require_passing,
     require_rows,
 )
-from roadevents.sinks import files
+from roadevents.sinks import files, tables
 from roadevents.plans import marts, models
 from roadevents.plans.rollup import hourly_rollup, reports
 
@@ -147,3 +147,20 @@ def test_views_follow_their_events(spark, events, path):
     assert spark.table("daily_event_count").first().event_count == 2
     one_clock = spark.table("event_durations").select("duration_minutes")
     assert one_clock.collect() == one_clock.collect()
+
+
+def test_a_failed_test_stops_the_publication(spark):
+    good = spark.sql("SELECT date'2024-01-01' AS event_date, 5L AS event_count")
+    checks = models.MODELS["daily_event_count"].checks
+    assert models.publish_tested(good, "tested", checks) == [
+        ("tested", "event_date", "not_null", 0),
+        ("tested", "event_count", "not_null", 0),
+        ("tested", "event_count", "accepted_range", 0),
+    ]
+    bad = good.union(spark.sql("SELECT date(NULL), 2000L")).union(good)
+    with pytest.raises(ValueError, match="tested.event_date not_null: 1, tested.event_count accepted_range: 1"):
+        models.publish_tested(bad, "tested", checks)
+    assert spark.table("tested").count() == 1
+    found = models.publish_tested(bad, "tested", checks, strict=False)
+    assert [n for *_, n in found] == [1, 0, 1] and spark.table("tested").count() == 3
+    tables.drop(spark, "tested")

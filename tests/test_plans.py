@@ -2,9 +2,11 @@
 
 import pytest
 
+from roadevents.operators.quality import NotNull, observed
 from roadevents.plans import marts, models
 from roadevents.plans.rollup import hourly_rollup
-from roadevents.schema import EVENT_SCHEMA
+from roadevents.schema import EVENT_SCHEMA, MERGE_SCHEMA
+from roadevents.sinks import bucketed, tables
 
 
 @pytest.fixture(scope="module")
@@ -59,3 +61,29 @@ def test_distinct_counts_spread_a_large_road_type(stored):
     exchanges = plan(marts.events_by_road_type(stored)).split("hashpartitioning(")[1:]
     keys = [part.split(", ENSURE")[0] for part in exchanges]
     assert any(all(k in key for k in ("linkId", "roadName", "gid")) for key in keys)
+
+
+def test_a_bucketed_merge_shuffles_the_batch_alone(spark, events):
+    spark.sql("DROP TABLE IF EXISTS bucketed_plan")
+    bucketed.create_bucketed(spark, "bucketed_plan", buckets=6)
+    rows = [{"startDate": "20240101080000", "linkId": i, "message": "a"} for i in range(50)]
+    batch = events(*rows, schema=MERGE_SCHEMA)
+    bucketed.merge_bucketed(batch, "bucketed_plan")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(bucketed.merge_plan(batch, "bucketed_plan"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        tables.drop(spark, "bucketed_plan")
+    assert text.count("Exchange") == 1 and "SortMergeJoin" in text
+    stored = next(line for line in text.splitlines() if "FileScan" in line)
+    assert "Bucketed: true" in stored and "PartitionFilters: []" not in stored
+    # The one exchange stands over the batch, which is not read from files.
+    assert "FileScan" not in text[text.index("Exchange") :]
+
+
+def test_observed_tests_need_no_second_pass(spark, stored):
+    checks = [NotNull("type")]
+    rows, seen = observed(stored, checks)
+    assert plan(rows).count("FileScan") == 1 and "CollectMetrics" in plan(rows)

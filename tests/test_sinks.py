@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from roadevents.operators.normalize import CORRUPT
 from roadevents.schema import CENTRAL_SCHEMA, EVENT_SCHEMA, MERGE_SCHEMA
-from roadevents.sinks import files, tables, upsert
+from roadevents.sinks import bucketed, files, tables, upsert
 from roadevents.sources import csv_files
 
 T0, T1 = dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 2, 8)
@@ -281,3 +281,25 @@ def test_inserts_by_name(spark):
     tables.insert_by_name(spark.sql("select 2L AS c, 3L AS a"), "by_name")
     assert {tuple(r) for r in spark.table("by_name").collect()} == {(1, "x", 7), (3, None, 2)}
     tables.drop(spark, "by_name")
+
+
+def test_bucketed_merge_equals_the_plain_one(spark, events, path):
+    first = [{"startDate": f"2024010{d}080000", "linkId": i, "message": "a"} for d in (1, 2, 3) for i in range(9)]
+    first += [{"startDate": None, "linkId": 1, "message": "n"}, {"startDate": "20240101080000", "message": "k"}]
+    again = [{"startDate": f"2024010{d}080000", "linkId": i, "message": "b"} for d in (2, 4) for i in (3, 30)]
+    again += [{"startDate": None, "linkId": 1, "message": "n"}]
+    bucketed.create_bucketed(spark, "bucketed_merge", buckets=4)
+    bucketed.create_bucketed(spark, "bucketed_merge")
+    for batch in (first, again):
+        df = events(*batch, schema=MERGE_SCHEMA).drop("ingestion_timestamp")
+        upsert.merge_into(df, path, stamp=stamp("2024-01-01 00:00:00"))
+        bucketed.merge_bucketed(df, "bucketed_merge", stamp=stamp("2024-01-01 00:00:00"))
+    plain = upsert.read_table(spark, path)
+    got = spark.table("bucketed_merge").select(*plain.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() == 33
+    doubled = events(*[again[0]] * 2, schema=MERGE_SCHEMA)
+    with pytest.raises(ValueError, match="several rows"):
+        bucketed.merge_bucketed(doubled, "bucketed_merge")
+    with pytest.raises(ValueError, match="startDate"):
+        bucketed.merge_bucketed(doubled, "bucketed_merge", ["linkId"])
+    tables.drop(spark, "bucketed_merge")

@@ -1,7 +1,9 @@
 import json
 import os
+import random
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from roadevents.operators.normalize import normalize
 from roadevents.schema import CENTRAL_SCHEMA, FIELDS
 from roadevents.sinks import upsert
 from roadevents.sources.envelope import json_envelope
-from roadevents.streaming import ingest
+from roadevents.streaming import changes, ingest
+from roadevents.streaming.changes import changed_records
 from roadevents.streaming.upsert import stream_merge, stream_rewrite_latest
 
 START = "20240101080000"
@@ -197,3 +200,81 @@ def test_a_replayed_batch_replaces_both_outputs(spark, landing, path):
         for done in Path(progress, "commits").glob("*"):
             done.unlink()
     assert spark.read.parquet(path).count() == spark.read.parquet(refused).count() == 1
+
+
+def test_only_changes_go_on(spark, landing, path):
+    folder, progress = str(landing.folder), path + "-progress"
+
+    def take():
+        stream = changed_records(ingest.landed_stream(spark, folder), shares=3)
+        run(ingest.start_append(stream, path, progress))
+
+    landing.poll(item(1, message="a"), item(2, message="b"), item(2, message="second"), item(None, message="n"))
+    take()
+    landing.poll(item(1, message="a"), item(2, message="c"), item(None, message="n"), item(None, message="m"))
+    landing.poll(item(1, message="a"), item(2, message="b"))
+    take()
+    # Back to what an earlier poll said is a change, too; a late poll is none.
+    landing.poll(item(1, message="late"), item(3, message="new"), day="2023-12-31")
+    take()
+    found = rows(spark.read.parquet(path), "linkId", "message")
+    assert found == [("1", "a"), ("2", "b"), ("2", "b"), ("2", "c"), ("3", "new"), (None, "m"), (None, "n")]
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_changes_merge_to_the_same_table(spark, landing, path, max_files):
+    rng = random.Random(5)
+    for number in range(12):
+        links = rng.sample(range(20), 12)
+        polled = [item(link, message=rng.choice("ab")) for link in links]
+        landing.poll(*polled, day=rng.choice(["2024-01-01", "2024-01-02", "2024-01-03"]))
+    stream = ingest.landed_stream(spark, str(landing.folder), max_files=max_files)
+    run(stream_merge(stream, path, path + "-progress"))
+    run(stream_merge(changed_records(stream, shares=4), path + "-c", path + "-c-progress"))
+    whole, changed = (upsert.read_table(spark, p) for p in (path, path + "-c"))
+    assert rows(changed, "linkId", "message") == rows(whole, "linkId", "message")
+
+
+def test_forgotten_incidents_come_back(spark, landing, path):
+    folder, progress = str(landing.folder), path + "-progress"
+
+    def take(seconds):
+        landing.poll(item(1, message="a"))
+        file = landing.folder / "ingestion_date=2024-01-01" / f"{landing.polls}.json"
+        os.utime(file, (1_700_000_000 + seconds,) * 2)
+        stream = changed_records(ingest.landed_stream(spark, folder), forget="1 hour", shares=1)
+        run(ingest.start_append(stream, path, progress))
+        return spark.read.parquet(path).count()
+
+    assert take(0) == 1
+    assert take(3000) == 1
+    assert take(6000) == 1  # seen less than an hour ago
+    assert take(60_000) == 2
+    assert take(61_000) == 2
+    assert take(200_000) == 3
+
+
+def test_compared_against_a_loop():
+    rng = random.Random(3)
+    names = changes._KNOWN
+    for _ in range(40):
+        polls = [(rng.randrange(3), rng.randrange(4), f"f{rng.randrange(3)}") for _ in range(12)]
+        seen = sorted({(rng.randrange(4), 0, *p) for p in polls})
+        records = [(*r, rng.randrange(2), 7) for r in seen]
+        cut = rng.randrange(len(records) + 1)
+        rng.shuffle(records)
+        known, last = pd.DataFrame(columns=names), {}
+        for part in (records[:cut], records[cut:]):
+            fresh = pd.DataFrame(part, columns=names)
+            kept, known = changes._compared(known, fresh, 2)
+            expected = []
+            for record in sorted(part):
+                key, poll, said = record[:2], record[2:5], record[5:]
+                if key in last and poll <= last[key][0]:
+                    continue
+                gone = key in last and poll[1] - last[key][0][1] > 2
+                if key not in last or last[key][1] != said or gone:
+                    expected.append(record)
+                last[key] = (poll, said)
+            assert sorted(tuple(fresh.loc[i]) for i in kept) == sorted(expected)
+        assert {tuple(r[:2]): (tuple(r[2:5]), tuple(r[5:])) for r in known.itertuples(index=False)} == last
