@@ -366,6 +366,12 @@ ORACLE_SQL: dict[str, str] = {
     "json_envelope": _sql(
         f"SELECT (event_id % 500)::int AS seq, {_FIELDS} FROM sec", _SEC
     ),
+    "json_envelope_files": _sql(
+        f"SELECT (event_id % 500)::int AS seq, {_FIELDS} FROM sec", _SEC
+    ),
+    "json_one_file": _sql(
+        f"SELECT (event_id % 500)::int AS seq, {_FIELDS} FROM sec WHERE event_id < 500", _SEC
+    ),
     "csv_by_position": _sql(
         f"SELECT {_FIELDS}, date '2024-02-01' AS ingestion_date FROM sec", _SEC
     ),

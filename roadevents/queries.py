@@ -196,6 +196,27 @@ def json_envelope(spark: SparkSession, folder: str) -> DataFrame:
     return fields_with(normalize(records), "seq")
 
 
+def _response_files(spark: SparkSession, folder: str) -> str:
+    """Poll responses, each in a file of its own."""
+    path = shared_folder(spark, "json")
+    responses = _responses(as_text(incident_events(spark, folder)))
+    responses.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def json_envelope_files(spark: SparkSession, folder: str) -> DataFrame:
+    records = envelope.json_envelope(spark, _response_files(spark, folder))
+    return fields_with(normalize(records), "seq")
+
+
+def json_one_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of one response file among many: that of the first events."""
+    records = envelope.json_envelope(spark, _response_files(spark, folder))
+    number = F.regexp_extract("message", r'"(\d+)"', 1).cast("bigint")
+    first = records.agg(F.min_by("file", number).alias("file")).first()["file"]
+    return fields_with(normalize(envelope.json_envelope(spark, first)), "seq")
+
+
 def csv_by_position(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "csv")
     raw = fields_with(as_text(incident_events(spark, folder)))
@@ -686,6 +707,8 @@ QUERIES: dict[str, Query] = {
     "merge_table": merge_table,
     "merge_bucketed": merge_bucketed,
     "json_envelope": json_envelope,
+    "json_envelope_files": json_envelope_files,
+    "json_one_file": json_one_file,
     "csv_by_position": csv_by_position,
     "csv_by_name": csv_by_name,
     "csv_by_name_per_file": csv_by_name_per_file,
