@@ -34,3 +34,4 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = scratch.write(small, f"{name}-{number}")
+        scratch.drop(f"{name}-{number - 1}", f"{name}-{number}-large")

@@ -1,10 +1,12 @@
 """Near duplicates: an exact n-gram Jaccard join with signature trees.
 
 A document is its set of word shingles; documents of one set are one class. Two sets
-that meet the threshold share a shingle among the few rarest of each (their prefixes), so
-classes are grouped by the shingles of their prefixes. First every class of a group is
-compared with one class of it, chosen by chance, and what is linked is joined to
-components. Then each group with several components is searched by a signature tree:
+that meet the threshold share a shingle among the few first of each (their prefixes) in any
+order common to all. Here three eighths of all shingles, told by their hash, come first,
+the rarest by exact count before the others; that is more than a prefix has, so only these
+are counted, and a set whose own shingles fill its prefix is compared with none. Classes
+are grouped by the shingles of their prefixes. First every class of a group is compared
+with the one of it that a hash puts first, and what is linked is joined to components. Then each group with several components is searched by a signature tree:
 leaves are classes with a bitmap of their shingles, nodes hold the bits of any and of all
 leaves below and the range of sizes. Two nodes are left aside when no pair below them can
 overlap enough, or when all below them is one component. What remains is compared by the
@@ -33,10 +35,10 @@ from roadevents.llm.wordhash import word_ids
 WORDS = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-SIGNATURE = 8
+SIGNATURE = 16
 WIDE_BITS = 1 << 14
-# Counters of the sketch that tells common shingles from rare ones.
-SKETCH_BITS = 20
+# Shingles below this come first in the common order: three eighths of them.
+FIRST = 3 << 61
 # Classes of a group that one task compares with as many others.
 BLOCK = 1000
 LEAF = 16
@@ -68,53 +70,26 @@ def _digest(own: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
 
 
-INFO = "doc_id bigint, text_id binary, n_shingles bigint, cls binary, cell bigint, n bigint"
+INFO = "doc_id bigint, text_id binary, n_shingles bigint, cls binary"
 
 
 def _info(batches: Iterator[pa.RecordBatch]):
-    """A row per document, and the counters that stand out in this task."""
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    """A row per document."""
     for batch, sets in _sets(batches):
-        for own in sets:
-            np.add.at(sketch, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        n = batch.num_rows
         yield pa.record_batch(
             [
                 batch.column("doc_id"),
                 batch.column("text_id"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) for s in sets], pa.binary()),
-                pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.int64()),
             ],
             names=[c.split()[0] for c in INFO.split(", ")],
         )
-    high = np.flatnonzero(sketch > 2 * sketch.mean() + 8)
-    nulls = (
-        pa.nulls(len(high), t) for t in (pa.int64(), pa.binary(), pa.int64(), pa.binary())
-    )
-    yield pa.record_batch(
-        [*nulls, pa.array(high), pa.array(sketch[high])],
-        names=[c.split()[0] for c in INFO.split(", ")],
-    )
 
 
-class _Order:
-    """The global order of shingles: common ones last, by the counters they share."""
-
-    def __init__(self, info: DataFrame):
-        total = info.agg(F.sum("n_shingles")).first()[0] or 0
-        mean = max(1.0, total / (1 << SKETCH_BITS))
-        self.levels = np.zeros(1 << SKETCH_BITS, np.uint8)
-        cells = info.where("cell IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n"))
-        for row in cells.toLocalIterator():
-            self.levels[row["cell"]] = max(0, int(np.log2(row["n"] / mean)))
-
-    def prefix(self, own: np.ndarray) -> np.ndarray:
-        """The rarest shingles, one of which any linked set has among its own."""
-        count = len(own) - -(-PERCENT * len(own) // 100) + 1
-        levels = self.levels[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-        return own[np.lexsort((own, levels))[:count]]
+def prefix_size(n):
+    """Of so many shingles of a set, in the common order, any linked set has one."""
+    return n + PERCENT * -n // 100 + 1
 
 
 class _Firsts:
@@ -129,12 +104,11 @@ class _Firsts:
                 ids, classes = batch.column("doc_id"), batch.column("cls").to_pylist()
                 yield pa.record_batch([pa.array(self.number(ids, classes))], names=["key"])
 
-        each = info.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-        self.map = BitMap(each.mapInArrow(numbers, "key bigint"))
+        self.map = BitMap(_first_ids(info).select("doc_id", "cls").mapInArrow(numbers, "key bigint"))
 
     @staticmethod
     def number(ids: pa.Array, classes: list[bytes]) -> np.ndarray:
-        known = ids.fill_null(-(2**63)).to_numpy().view(np.uint64)
+        known = _known(ids).view(np.uint64)
         return (mix64(known) ^ _numbers(classes).view(np.uint64)).view(np.int64)
 
     def of(self, batch: pa.RecordBatch, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, bytes]]:
@@ -147,14 +121,6 @@ class _Firsts:
                 yield sets[i], cls
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], order: _Order, firsts: _Firsts):
-    for batch, sets in _sets(batches):
-        found = [order.prefix(own) for own, _ in firsts.of(batch, sets)]
-        if found:
-            yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64))], names=["key"])
-
-
-MEMBERS = "token bigint, cls binary, n bigint, " + ", ".join(f"s{i} bigint" for i in range(SIGNATURE))
 BITS = [f"s{i}" for i in range(SIGNATURE)]
 
 
@@ -165,32 +131,53 @@ def signature(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _members(
-    batches: Iterator[pa.RecordBatch], order: _Order, firsts: _Firsts, shared: BitMap
-):
+OWN = "cls binary, n bigint, early bigint, tokens array<bigint>, " + ", ".join(f"{s} bigint" for s in BITS)
+
+
+def _own(batches: Iterator[pa.RecordBatch], firsts: _Firsts):
+    """Of each class the shingles that its prefix may have: those that come first, and if
+    they are too few, the least of the others."""
     for batch, sets in _sets(batches):
-        tokens, rows, digests, sizes, signatures = [], [], [], [], []
-        for own, cls in firsts.of(batch, sets):
-            prefix = order.prefix(own).view(np.int64)
-            prefix = prefix[shared.has(prefix)]
-            if len(prefix):
-                tokens.append(prefix)
-                rows += [len(digests)] * len(prefix)
-                digests.append(cls)
-                sizes.append(len(own))
-                signatures.append(signature(own))
-        if tokens:
-            take = pa.array(rows)
-            signs = np.stack(signatures)[rows]
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate(tokens)),
-                    pa.array(digests, pa.binary()).take(take),
-                    pa.array(sizes, pa.int64()).take(take),
-                    *[pa.array(np.ascontiguousarray(signs[:, i])) for i in range(SIGNATURE)],
-                ],
-                names=[c.split()[0] for c in MEMBERS.split(", ")],
-            )
+        found = list(firsts.of(batch, sets))
+        if not found:
+            continue
+        early = [int(np.searchsorted(own, np.uint64(FIRST))) for own, _ in found]
+        tokens = [own[: max(k, prefix_size(len(own)))] for (own, _), k in zip(found, early)]
+        signs = np.stack([signature(own) for own, _ in found])
+        ends = np.cumsum([0, *map(len, tokens)])
+        yield pa.record_batch(
+            [
+                pa.array([cls for _, cls in found], pa.binary()),
+                pa.array([len(own) for own, _ in found], pa.int64()),
+                pa.array(early, pa.int64()),
+                pa.ListArray.from_arrays(ends.astype(np.int32), np.concatenate(tokens).view(np.int64)),
+                *[pa.array(np.ascontiguousarray(signs[:, i])) for i in range(SIGNATURE)],
+            ],
+            names=["cls", "n", "early", "tokens", *BITS],
+        )
+
+
+def _members(own: DataFrame) -> DataFrame:
+    """token, cls, n, the bits of each class in the groups of its prefix, and ``odd``, the
+    share of its shingles that no other class has.
+
+    Such a shingle fills a place of the prefix and makes no group.
+    """
+    tokens = own.select("id", F.explode("tokens").alias("token"))
+    counted = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    late = ~F.col("token").between(0, FIRST - 1)
+    entry = F.struct(late.alias("late"), "df", "token")
+    shared = tokens.join(counted, "token").groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("shared"))
+    # Early shingles stand before late ones, so the first places are theirs.
+    many = F.size("shared") - F.size(F.filter("shared", lambda x: x.late))
+    size = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    alone = F.col("early") - many
+    free = F.greatest(size - alone, F.lit(0)).cast("int")
+    early = F.slice("shared", F.lit(1), F.least(free, many))
+    kept = F.concat(early, F.filter("shared", lambda x: x.late))
+    each = own.drop("tokens").join(shared, "id")
+    each = each.withColumns({"kept": kept, "odd": alone / F.col("n")})
+    return each.select(F.explode("kept.token").alias("token"), "cls", "n", "odd", *BITS)
 
 
 def _may_link(one: str, other: str) -> Column:
@@ -207,9 +194,10 @@ def _may_link(one: str, other: str) -> Column:
 
 
 def _stars(members: DataFrame) -> DataFrame:
-    """Each class of a group with one class of it; which one differs by group."""
-    chance = F.xxhash64("token", "cls")
-    lead = F.min(F.struct(chance.alias("chance"), "cls", "n", *BITS)).alias("lead")
+    """Each class of a group with that which has the least of its own, so it is likely to be
+    what the others were made from; groups of the same classes give the same pairs."""
+    chance = F.xxhash64("cls")
+    lead = F.min(F.struct("odd", chance.alias("chance"), "cls", "n", *BITS)).alias("lead")
     leads = members.groupBy("token").agg(lead).select("token", "lead.*")
     both = members.alias("m").join(leads.alias("l"), "token")
     pairs = both.where((F.col("m.cls") != F.col("l.cls")) & _may_link("m", "l"))
@@ -363,8 +351,16 @@ def _searched(members: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFra
     return dealt.mapInArrow(_search, "a binary, b binary").distinct()
 
 
-def _wanted(batches: Iterator[pa.RecordBatch], wanted: BitMap, firsts: _Firsts):
-    for batch, sets in _sets(batches):
+def _known(ids: pa.Array) -> np.ndarray:
+    return ids.fill_null(-(2**63)).to_numpy()
+
+
+def _wanted(
+    batches: Iterator[pa.RecordBatch], documents: BitMap, wanted: BitMap, firsts: _Firsts
+):
+    # By their ids most texts are left aside before they are read.
+    some = (b.filter(pa.array(documents.has(_known(b.column("doc_id"))))) for b in batches)
+    for batch, sets in _sets(some):
         some = [(cls, own) for own, cls in firsts.of(batch, sets)]
         if some:
             kept = wanted.has(_numbers([d for d, _ in some]))
@@ -414,7 +410,9 @@ def _verified(batches: Iterator[pa.RecordBatch]):
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
-def _links(rows: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: str) -> DataFrame:
+def _links(
+    rows: DataFrame, info: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: str
+) -> DataFrame:
     """The pairs whose full sets meet the threshold."""
 
     def numbers(batches: Iterator[pa.RecordBatch]):
@@ -422,11 +420,13 @@ def _links(rows: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: st
             yield pa.record_batch([pa.array(_numbers(batch.column(0).to_pylist()))], names=["key"])
 
     names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = BitMap(names.mapInArrow(numbers, "key bigint"))
-    sent = rows.sparkSession.sparkContext.broadcast(wanted)
+    names = scratch.write(names.join(_first_ids(info), "cls"), f"names-{step}")
+    wanted = BitMap(names.select("cls").mapInArrow(numbers, "key bigint"))
+    documents = BitMap(names.select(F.coalesce("doc_id", F.lit(-(2**63)))))
+    sent = rows.sparkSession.sparkContext.broadcast((documents, wanted))
     # A class that has two documents here, by chance, only has its pairs verified twice.
     sets = rows.mapInArrow(
-        lambda b: _wanted(b, sent.value, firsts.value),
+        lambda b: _wanted(b, *sent.value, firsts.value),
         "cls binary, n bigint, wide binary, own binary",
     )
     sets = scratch.write(sets, f"sets-{step}")
@@ -439,10 +439,16 @@ def _links(rows: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: st
     other = sets.select(F.col("cls").alias("b"), F.col("own").alias("other"))
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "one", "other")
     links = scratch.write(both.mapInArrow(_verified, "a binary, b binary"), f"links-{step}")
-    scratch.drop(f"sets-{step}")
+    sent.unpersist()
+    scratch.drop(f"sets-{step}", f"possible-{step}", f"names-{step}")
     return links
 
 
+def _first_ids(info: DataFrame) -> DataFrame:
+    """Of every class the smallest doc_id; null only where it has no other."""
+    return info.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+
+
 def _grouped(docs: DataFrame, text: str, text_id: Column) -> DataFrame:
     """doc_id, ``text_id``, n_shingles and component of every row; null without words."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-duplicates")
@@ -450,26 +456,22 @@ def _grouped(docs: DataFrame, text: str, text_id: Column) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     named = docs.select("doc_id", text_id.alias("text_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     info = scratch.write(named.mapInArrow(_info, INFO), "info")
-    order = send(_Order(info))
     firsts = send(_Firsts(info))
-    tokens = rows.mapInArrow(lambda b: _tokens(b, order.value, firsts.value), "key bigint")
-    tokens = tokens.groupBy("key").count().where("count > 1")
-    shared = send(BitMap(tokens.select("key")))
-    members = rows.mapInArrow(
-        lambda b: _members(b, order.value, firsts.value, shared.value), MEMBERS
-    )
-    members = scratch.write(members, "members")
+    own = rows.mapInArrow(lambda b: _own(b, firsts.value), OWN)
+    own = scratch.write(own.withColumn("id", F.monotonically_increasing_id()), "own")
+    members = scratch.write(_members(own), "members")
+    scratch.drop("own")
 
     stars = scratch.write(_stars(members), "stars")
-    links = _links(rows, firsts, stars, scratch, "stars")
+    links = _links(rows, info, firsts, stars, scratch, "stars")
     comps = scratch.write(components(links, scratch, "first"), "components")
     found = scratch.write(_searched(members, comps, scratch).join(stars, ["a", "b"], "left_anti"), "found")
-    more = _links(rows, firsts, found, scratch, "found")
-    scratch.drop("members", "stars", "found")
+    scratch.drop("members", "stars", "several")
+    more = _links(rows, info, firsts, found, scratch, "found")
+    scratch.drop("found")
     comps = scratch.write(components(links.unionByName(more), scratch, "second"), "result")
 
-    # The sketch's rows have no size.
-    each = info.where("n_shingles IS NOT NULL").select("doc_id", "text_id", "n_shingles", "cls")
+    each = info.select("doc_id", "text_id", "n_shingles", "cls")
     return each.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
 
@@ -479,7 +481,8 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     ``component_id`` is the smallest doc_id that links lead to. Rows of equal sets are
     linked. A text without words, or null, has no set, no links and its own doc_id.
     Null doc_ids are in components but never name one that has another id. Repeated rows
-    each have a row; other columns are left out.
+    each have a row; other columns are left out. A text of any length is read whole, one at
+    least at a time. An empty table gives no rows.
     """
     each = _grouped(docs, text, F.lit(None).cast("binary"))
     names = each.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"))
