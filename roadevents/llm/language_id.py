@@ -184,7 +184,8 @@ def identify(
 
     Null text, and text without a letter, is ``und`` with 0. With no profile at all
     every row is. Equal cosines go to the first language by name. Repeated rows stay,
-    other columns of any name are left out.
+    other columns of any name are left out. A text of any length is read whole, one at
+    least at a time. An empty table gives no rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 

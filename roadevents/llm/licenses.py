@@ -6,6 +6,9 @@ least ``threshold`` of the template's tokens. Tokens have one global order, the
 in the corpus first. A block that misses all of a template's rarest tokens (its prefix)
 cannot match, one with too few tokens cannot, and one whose shared token stands so late
 that too few can follow cannot either; what is left is counted in full.
+
+A text of any length is read whole, as one row of its task; its lines are rows of their
+own. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ from roadevents.llm.common import lower_ascii
 THRESHOLD = 0.8
 NOT_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+OWN_NAMES = {
+    "text", "line", "lines", "heads", "words", "before", "after", "block", "own", "place",
+    "token", "tokens", "at", "n", "need", "template", "label", "share",
+}
+
 # The phrases of the base labels.
 PHRASES = {
     "mit": "mit license",
@@ -85,6 +93,14 @@ def _frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {r["token"]: r["count"] for r in found.groupBy("token").count().collect()}
 
 
+def _kept(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
+    """The kept columns and the lower-cased text. Some names are the scan's own."""
+    taken = {c.lower() for c in keep} & OWN_NAMES
+    if taken:
+        raise ValueError(f"kept columns {sorted(taken)} clash with the scan's; rename them first")
+    return docs.select(*keep, lower_ascii(F.col(text)).alias("text"))
+
+
 def matches(
     docs: DataFrame,
     templates=TEMPLATES,
@@ -98,7 +114,7 @@ def matches(
     that the line has. Null and empty texts match nothing; equal rows match alike. What
     the driver learns is a count per template token.
     """
-    rows = docs.select(*keep, lower_ascii(F.col(text)).alias("text"))
+    rows = _kept(docs, text, keep)
     lines = rows.select(*keep, F.posexplode(F.split("text", "\n")).alias("block", "line"))
     blocks = lines.select(*keep, "block", words(F.col("line")).alias("before"), _no_words().alias("after"))
     return _joined(blocks, *_index(rows, templates, threshold), keep)
@@ -118,7 +134,7 @@ def block_matches(
     words in a row are judged, wherever they are wrapped. Lines without words are passed
     over; ``block`` counts the lines with words, then the ends of all but the last.
     """
-    rows = docs.select(*keep, lower_ascii(F.col(text)).alias("text"))
+    rows = _kept(docs, text, keep)
     longest = max((len(t.split()) for _, t in templates), default=1)
     reach = max(longest - 1, 1)
     lines = F.transform(F.split("text", "\n"), words)

@@ -138,3 +138,11 @@ def test_every_match_across_lines_is_found(spark, threshold):
     got = li.block_matches(docs, templates, threshold).drop("block").collect()
     expected = [row for doc, t in enumerate(texts) for row in slow(doc, t)]
     assert sorted(tuple(r) for r in got) == sorted(expected)
+
+
+def test_kept_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, "mit license", 2, 3)], "doc_id long, text string, lines int, other int")
+    for scan in (li.matches, li.block_matches):
+        assert scan(docs, keep=("doc_id", "other")).columns[:2] == ["doc_id", "other"]
+        with pytest.raises(ValueError, match="lines"):
+            scan(docs, keep=("doc_id", "lines"))

@@ -78,7 +78,7 @@ def corpus(rng, n, langs=(None, "en", "de", "é", "EN", ""), step=1):
     return rows
 
 
-@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 65, 700])
+@pytest.mark.parametrize("n", [1, 8, 9, 700])
 def test_equals_a_plain_tree(spark, n):
     rows = corpus(random.Random(n), n)
     assert audited(spark, rows) == plain(rows)
