@@ -126,3 +126,34 @@ def test_without_labelled_rows_only_texts_without_a_letter_go(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     got = cp.language(spark, docs, str(tmp_path)).collect()
     assert [r["doc_id"] for r in got] == [1]
+
+
+def test_columns_with_the_stages_own_names(spark):
+    names = ["text_id", "_text_id", "copy", "missing", "kept", "kept_text", "spans", "lang_pred", "score"]
+    docs = spark.createDataFrame([(1, "some words here", "en", "s", 5), (2, "other words", "fr", "s", 5)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", *[f"{i} AS {n}" for i, n in enumerate(names)])
+    for name, stage in cp.STAGES[:-1]:
+        got = stage(spark, docs, FOLDER)
+        assert got.columns == docs.columns, name
+        assert {tuple(r[n] for n in names) for r in got.collect()} == {tuple(range(len(names)))}, name
+        assert got.count() == 2
+
+
+def test_a_missing_language_is_filled_in(spark):
+    known = spark.read.parquet(f"{FOLDER}/documents.parquet").where("n_chars > 500").limit(30)
+    blank = known.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "source", "n_chars")
+    wanted = {r.doc_id: r.lang for r in known.collect()}
+    got = {r.doc_id: r.lang for r in cp.language(spark, blank, FOLDER).collect()}
+    assert sum(got[d] == wanted[d] for d in wanted) >= len(wanted) - 1
+    kept = {r.doc_id: r.lang for r in cp.language(spark, known, FOLDER).collect()}
+    assert kept == wanted
+
+
+def test_which_of_two_equal_documents_stays_does_not_depend_on_order(spark):
+    rows = [(1, "some words that are equal here", "en", f"s{i}", i, i) for i in range(8)]
+    stays = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, SCHEMA).repartition(3)
+        stays.add(tuple(cp.near_duplicate(spark, docs, FOLDER).first()))
+    assert len(stays) == 1
