@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +96,20 @@ def steps(
             first = last
 
 
+_held: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """What an operator keeps in a worker process from task to task.
+
+    A worker holds one such thing at a time: another operator's makes room for it.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = x ^ (x >> np.uint64(30))

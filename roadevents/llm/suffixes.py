@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadevents.llm.bitmaps import BitMap
-from roadevents.llm.common import Scratch, mix64, steps
+from roadevents.llm.common import Scratch, mix64, steps, worker_cache
 
 LENGTH = 100
 Q = 32
@@ -81,13 +81,18 @@ def anchors(
     return tuple(np.concatenate(x) for x in (keys, places, first, last))
 
 
-def _spots(doc_id: int, doc_hash: int, places: np.ndarray) -> np.ndarray:
-    """A number for each place of a document."""
-    seed = mix64(np.array([doc_id, doc_hash], np.int64).view(np.uint64))
-    return mix64(seed[0] ^ (seed[1] * np.uint64(3)) ^ places.astype(np.uint64)).view(np.int64)
+# As a place: the document as a whole.
+WHOLE = np.array([-1], np.int64)
+
+
+def _spots(doc_id: np.ndarray, doc_hash: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A number for each place of a document, or of documents."""
+    seeds = [mix64(np.atleast_1d(x).astype(np.int64).view(np.uint64)) for x in (doc_id, doc_hash)]
+    return mix64(seeds[0] ^ (seeds[1] * np.uint64(3)) ^ places.view(np.uint64)).view(np.int64)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]):
+    worker_cache("suffixes", object)  # nothing is kept here, nor what others have
     for batch in steps(batches):
         columns = (batch.column(c).to_pylist() for c in ("doc_id", "doc_hash", "text"))
         for doc_id, doc_hash, text in zip(*columns, strict=True):
@@ -141,21 +146,31 @@ def _signed(value: np.uint64 | int) -> int:
 
 def _members(batches: Iterator[pa.RecordBatch], repeated: BitMap, schema: pa.Schema):
     """The anchors in buckets of several, each with the run of its strings."""
-    rows, digest = _Rows(schema), xxhash.xxh3_128_digest
+    digest = xxhash.xxh3_128_digest
+    held: list[tuple[np.ndarray, ...]] = []
+    own: list[bytes] = []
+
+    def gathered() -> pa.RecordBatch:
+        key, *rest = (np.concatenate(c) for c in zip(*held))
+        columns = [pa.array(key), pa.array(own, pa.binary()), *map(pa.array, rest)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
     for doc_id, doc_hash, data, (keys, places, first, last) in _documents(batches):
         kept = np.flatnonzero(repeated.has(keys))
-        for key, place, a, z in zip(
-            keys[kept].view(np.int64).tolist(),
-            places[kept].tolist(),
-            first[kept].tolist(),
-            last[kept].tolist(),
-            strict=True,
-        ):
-            own = digest(data[a : z + LENGTH], seed=place - a)
-            rows.add(key, own, doc_id, doc_hash, a, z - a + 1, place)
-            if rows.full():
-                yield rows.batch()
-    yield rows.batch()
+        if not len(kept):
+            continue
+        place, a, z = places[kept], first[kept], last[kept]
+        ends, seeds = (z + LENGTH).tolist(), (place - a).tolist()
+        own += [digest(data[i:j], seed=k) for i, j, k in zip(a.tolist(), ends, seeds)]
+        size = len(kept)
+        held.append(
+            (keys[kept].view(np.int64), np.full(size, doc_id), np.full(size, doc_hash), a, z - a + 1, place)
+        )
+        if len(own) >= 20_000:
+            yield gathered()
+            held, own = [], []
+    if held:
+        yield gathered()
 
 
 CONTEXT = (
@@ -167,7 +182,14 @@ CONTEXT = (
 def _contexts(batches: Iterator[pa.RecordBatch], wanted: BitMap, schema: pa.Schema):
     """The bytes around the anchors whose runs must be split."""
     rows = _Rows(schema)
-    for doc_id, doc_hash, data, (keys, places, first, last) in _documents(batches):
+
+    def some() -> Iterator[pa.RecordBatch]:
+        # Most documents have none, and are left aside before they are read.
+        for batch in batches:
+            ids = [batch.column(c).to_numpy() for c in DOC]
+            yield batch.filter(pa.array(wanted.has(_spots(*ids, WHOLE))))
+
+    for doc_id, doc_hash, data, (keys, places, first, last) in _documents(some()):
         for i in np.flatnonzero(wanted.has(_spots(doc_id, doc_hash, places))).tolist():
             place = int(places[i])
             base = max(0, place - LENGTH)
@@ -260,12 +282,9 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def spots(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            ids = np.stack([batch.column(c).to_numpy() for c in DOC]).view(np.uint64)
-            seed = mix64(ids)
-            own = mix64(
-                seed[0] ^ (seed[1] * np.uint64(3)) ^ batch.column("place").to_numpy().view(np.uint64)
-            )
-            yield pa.record_batch([pa.array(own.view(np.int64))], names=["spot"])
+            ids = [batch.column(c).to_numpy() for c in DOC]
+            for places in (batch.column("place").to_numpy(), WHOLE):
+                yield pa.record_batch([pa.array(_spots(*ids, places))], names=["spot"])
 
     wanted = broadcast(BitMap(open_.select(*DOC, "place").mapInArrow(spots, "spot bigint")))
     ddl = CONTEXT.removeprefix("rep bigint, ")
@@ -328,7 +347,9 @@ def deduplicated(
     Every byte in a string of LENGTH bytes that also starts earlier goes: in a document of
     smaller doc_id, or earlier in the same. Rows of one doc_id rank by a hash of their
     text; equal rows count as one document, so neither removes the other, and each is
-    reported. A null doc_id ranks first. Null text is empty.
+    reported. A null doc_id ranks first. Null text is empty. A text of any length is read
+    whole, its anchors in parts of it; a task holds one text at least. An empty table gives
+    no rows.
     """
     if set(names) & set(keep):
         raise ValueError("kept columns clash with the result's")

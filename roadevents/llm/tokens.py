@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 import struct
 
@@ -10,6 +9,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from roadevents.llm.common import worker_cache
+
 WORD_BPE = "word_bpe_49k.json"
 # Words after which a worker's cache is renewed; the one before is kept beside it.
 KEPT_WORDS = 400_000
@@ -92,7 +93,7 @@ class Encoder:
         return [np.frombuffer(b"".join(map(known, own)), "<u4") for own in split]
 
 
-@functools.cache
 def encoder(tokenizer: str | None = None) -> Encoder:
     """This process's encoder; ``tokenizer`` is a file, by default the word-wise BPE."""
-    return Encoder(tokenizer or public_tokenizers.path(WORD_BPE))
+    path = str(tokenizer or public_tokenizers.path(WORD_BPE))
+    return worker_cache(f"tokens {path}", lambda: Encoder(path))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from roadevents.llm.common import worker_cache
+
 # Words whose numbers a worker keeps before it starts afresh.
 KEPT_WORDS = 100_000
 
@@ -15,14 +17,12 @@ class _Numbers(dict):
         return found
 
 
-_numbers = _Numbers()
-
-
 def word_ids(texts: list[str | None]) -> list[np.ndarray]:
     """The words of each text, A-Z in lower case, cut at ASCII white space."""
-    if len(_numbers) > KEPT_WORDS:
-        _numbers.clear()
-    of = _numbers.__getitem__
+    numbers = worker_cache("words", _Numbers)
+    if len(numbers) > KEPT_WORDS:
+        numbers.clear()
+    of = numbers.__getitem__
     return [
         np.fromiter(map(of, (t or "").encode().lower().split()), np.uint64) for t in texts
     ]

@@ -81,3 +81,11 @@ def test_whole_table(spark, folder):
     rows = [(r["doc_id"], r["text"], 0) for r in docs.collect()]
     got = sorted(repr(tuple(r)) for r in sx.dedup_report(docs).collect())
     assert got == slow(rows)
+
+
+def test_a_megabyte_of_one_byte(spark):
+    rows = [(1, "a" * 1_000_000), (2, "ab" * 20_000), (3, "x" + "a" * 5000), (4, "b" * 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = [r["doc_hash"] for r in sx.keyed(docs).collect()]
+    got = sorted(repr(tuple(r)) for r in sx.dedup_report(docs).collect())
+    assert got == slow([(*r, h) for r, h in zip(rows, hashes)])
