@@ -12,13 +12,14 @@ from __future__ import annotations
 import base64
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadevents.llm.common import steps
@@ -100,6 +101,8 @@ def fingerprints(
     docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """The columns ``keep`` and the fingerprint of every row; null text counts as empty."""
+    if {"fingerprint", "__text"} & set(keep):
+        raise ValueError("kept columns clash with the result's")
     schema = docs.select(*keep, F.lit("").alias("fingerprint")).schema
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
@@ -112,45 +115,65 @@ def fingerprints(
     return rows.mapInArrow(run, schema)
 
 
-def _ranges(ids: DataFrame, parts: int) -> list[int]:
-    """Up to ``parts - 1`` dividing lines with about as many ids between them."""
+def _ranges(ids: DataFrame, parts: int) -> dict[int, int]:
+    """Up to ``parts - 1`` dividing lines with about as many rows between them, and how many
+    lines fell on each id: several on an id that has many rows."""
     shares = [i / parts for i in range(1, parts)]
     lines = ids.approxQuantile("id", shares, 0.2 / parts) if shares else []
-    return sorted({int(x) for x in lines})
+    return dict(Counter(sorted(int(x) for x in lines)))
+
+
+def _part(lines: dict[int, int]) -> Column:
+    """The range of a row, from the highest ids down.
+
+    An id with lines is spread over the ranges on both sides of each, by equal stretches of
+    its texts' hashes.
+    """
+    if not lines:
+        return F.lit(0)
+    pairs = F.lit([[x, n] for x, n in lines.items()]).cast("array<array<bigint>>")
+    above = F.filter(pairs, lambda p: p[0] > F.col("id"))
+    base = F.aggregate(above, F.lit(0).cast("long"), lambda n, p: n + p[1])
+    own = F.get(F.get(F.filter(pairs, lambda p: p[0] == F.col("id")), 0), 1)
+    # The hash's rank among all, as a share of one: its highest 31 bits.
+    share = (F.shiftright("hash", 33) + F.lit(1 << 30)) * (own + 1)
+    return (base + F.coalesce(F.shiftright(share, 31), F.lit(0))).cast("int")
 
 
 def with_next(docs: DataFrame, text: str = "text", parts: int | None = None) -> DataFrame:
     """Every row's text, packed, sorted so that the next document follows.
 
-    Documents are dealt to ``parts`` ranges of doc_id in descending order, and a range
-    also gets a copy (``extra``) of the first document after it. The driver learns two
-    numbers per range. Each text is shuffled once, compressed.
+    Documents are dealt to ``parts`` ranges of doc_id in descending order, and of the text's
+    hash where one id has many rows; a range is one task, and also gets a copy (``extra``)
+    of the first document after it. The driver learns some numbers per range. Each text is
+    shuffled once, compressed.
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(-(2**63))).alias("id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.xxhash64(value).alias("hash"),
+        value.alias("text"),
     )
-    lines = _ranges(rows.select("id"), parts)
-    # Ranges are numbered downwards: those above the last line come first.
-    below = F.lit(0)
-    if lines:
-        below = F.size(F.filter(F.lit(lines), lambda x: x > F.col("id")))
-    rows = rows.withColumn("part", below)
-    firsts = rows.groupBy("part").agg(F.max("id").alias("id")).orderBy("part").collect()
+    rows = rows.withColumn("part", _part(_ranges(rows.select("id"), parts)))
+    # Turned around, the highest id is the least.
+    place = F.struct(F.bitwise_not("id").alias("turned"), "hash")
+    firsts = rows.groupBy("part").agg(F.min(place).alias("first")).orderBy("part").collect()
     target = F.lit(None).cast("int")
     if firsts:
-        ids = F.lit([r["id"] for r in firsts]).cast("array<bigint>")
+        names = F.lit([f"{r['first']['turned']},{r['first']['hash']}" for r in firsts])
         before = F.lit([firsts[i - 1]["part"] for i in range(len(firsts))])
-        target = F.map_from_arrays(ids, before)[F.col("id")]
+        own = F.concat_ws(",", F.bitwise_not("id"), F.col("hash"))
+        target = F.map_from_arrays(names, before)[own]
     copies = F.array(
         F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")),
         F.struct(target.alias("part"), F.lit(True).alias("extra")),
     )
     copies = F.filter(copies, lambda c: c["part"].isNotNull())
-    dealt = rows.select("doc_id", "id", "text", F.explode(copies).alias("to"))
-    dealt = dealt.select("doc_id", "id", "to.part", "to.extra", "text")
+    columns = ("doc_id", "id", "hash", "text")
+    dealt = rows.select(*columns, F.explode(copies).alias("to"))
+    dealt = dealt.select("doc_id", "id", "hash", "to.part", "to.extra", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]):
         squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -160,10 +183,10 @@ def with_next(docs: DataFrame, text: str = "text", parts: int | None = None) ->
             yield pa.record_batch(columns, names=[*batch.schema.names[:-1], "packed"])
 
     packed = dealt.mapInArrow(
-        pack, "doc_id bigint, id bigint, part int, extra boolean, packed binary"
+        pack, "doc_id bigint, id bigint, hash bigint, part int, extra boolean, packed binary"
     )
-    return packed.repartition(parts, "part").sortWithinPartitions(
-        "part", "extra", F.desc("id"), "packed"
+    return packed.repartitionById(parts, "part").sortWithinPartitions(
+        "part", "extra", F.desc("id"), "hash", "packed"
     )
 
 
@@ -210,8 +233,9 @@ def near_after_edit(docs: DataFrame, text: str = "text", parts: int | None = Non
     The edit replaces the last third of the characters, rounded down, by the first as
     many of the next document (all, if it has fewer). Next is by descending doc_id, and
     the first follows the last; a single document follows itself. Rows of one doc_id
-    follow each other in the order of their packed text; a null doc_id comes last. Null
-    text is empty and contained in empty text only. ``near_next`` is the part of the
+    follow each other in the order of their texts' hashes; a null doc_id comes last. Null
+    text is empty and contained in empty text only. A text of any length is read whole, two
+    at least at a time. An empty table gives no rows. ``near_next`` is the part of the
     document's fingerprint that the next document's has. Columns of other names are
     left out.
     """

@@ -3,7 +3,10 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from roadevents.llm import fingerprints as fp
 
@@ -48,10 +51,10 @@ def test_insertion_keeps_most_chunks():
 
 
 def expected(rows):
-    pack = fp.zstandard.ZstdCompressor(level=3).compress
+    digest = lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), seed=42)).view(np.int64)
     ordered = sorted(
         [(i, t or "") for i, t in rows],
-        key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), pack(r[1].encode())),
+        key=lambda r: (-(r[0] if r[0] is not None else -(2**63)), digest(r[1])),
     )
     out = []
     for (doc, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
@@ -85,3 +88,22 @@ def test_one_and_no_document(spark):
     (row,) = fp.near_after_edit(docs).collect()
     assert row["near_next"] == 1.0 and row["n_chars"] == 7
     assert fp.near_after_edit(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("parts", [2, 8, 30])
+def test_many_rows_of_one_id_are_spread(spark, parts):
+    rows = [(None, text_of(i, 3)) for i in range(120)] + [(7, text_of(i, 2)) for i in range(90)]
+    rows += [(i, text_of(i, 4)) for i in range(60)] + [(None, "same")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = fp.with_next(docs, parts=parts).where("NOT extra")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 0.7 * parts
+    assert max(sizes) < 3 * len(rows) / parts + 10
+    got = fp.near_after_edit(docs, parts=parts).collect()
+    assert sorted(repr(tuple(r)) for r in got) == expected(rows)
+
+
+def test_kept_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, fingerprint string")
+    with pytest.raises(ValueError, match="clash"):
+        fp.fingerprints(docs, keep=("doc_id", "fingerprint"))
