@@ -84,6 +84,7 @@ class _Items:
         ids = [i for i, _ in rows]
         sequences = word_ids([t for _, t in rows])
         self.rows = [(i, w.tolist()) for i, w in zip(ids, sequences, strict=True)]
+        self.sizes = np.array([len(w) for w in sequences], np.int64)
         found = [seeds(w, shortest) for w in sequences]
         value = np.concatenate(found) if found else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
@@ -93,30 +94,50 @@ class _Items:
 
 
 def _covering(words: np.ndarray, items: _Items, shortest: int, threshold: float):
-    """Each item that the document covers: its number and tiles."""
+    """Each item that the document covers: its number and tiles.
+
+    First only the places of items that the document shares are looked at, each once
+    however often the document has their seeds. Items whose shared seeds reach far enough
+    are tiled, one at a time.
+    """
     own = seeds(words, shortest)
     low = np.searchsorted(items.values, own, "left")
-    hits = np.flatnonzero(items.values[np.minimum(low, len(items.values) - 1)] == own)
-    if not len(hits):
+    hits = items.values[np.minimum(low, len(items.values) - 1)] == own
+    if not hits.any():
         return
-    shared: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    high = np.searchsorted(items.values, own[hits], "right")
-    for j, a, b in zip(hits.tolist(), low[hits].tolist(), high.tolist(), strict=True):
-        for k in range(a, b):
-            shared[int(items.owner[k])].append((int(items.start[k]), j))
-    doc = words.tolist()
-    for owner, pairs in shared.items():
-        item = items.rows[owner][1]
-        # No tiling covers more of the item than its shared seeds do.
-        reach = np.zeros(len(item) + 1, np.int64)
-        for i in {i for i, _ in pairs}:
-            reach[i] += 1
-            reach[i + shortest] -= 1
-        if (np.cumsum(reach)[:-1] > 0).sum() < threshold * len(item):
-            continue
+    distinct, first = np.unique(own[hits], return_index=True)
+    low = low[hits][first]
+    sizes = np.searchsorted(items.values, distinct, "right") - low
+    # The shared places: the stretches of the sorted seeds, one after another.
+    ends = np.cumsum(sizes)
+    shared = np.arange(ends[-1]) + np.repeat(low - (ends - sizes), sizes)
+    shared = shared[np.lexsort((items.start[shared], items.owner[shared]))]
+    owner, start = items.owner[shared], items.start[shared]
+    follows = np.append(owner[1:] == owner[:-1], False)
+    reach = np.where(follows, np.minimum(np.append(np.diff(start), 0), shortest), shortest)
+    begin = np.flatnonzero(np.append(True, ~follows[:-1]))
+    # No tiling covers more of an item than its shared seeds do.
+    covered = np.add.reduceat(reach, begin)
+    enough = covered >= threshold * items.sizes[owner[begin]]
+    if not enough.any():
+        return
+    doc, order = words.tolist(), np.argsort(own, kind="stable")
+    ordered = own[order]
+    for i in np.flatnonzero(enough).tolist():
+        places = shared[begin[i] : begin[i + 1] if i + 1 < len(begin) else len(shared)]
+        values = items.values[places]
+        first = np.searchsorted(ordered, values, "left").tolist()
+        last = np.searchsorted(ordered, values, "right").tolist()
+        pairs = [
+            (place, at)
+            for place, a, z in zip(items.start[places].tolist(), first, last, strict=True)
+            for at in order[a:z].tolist()
+        ]
+        number = int(owner[begin[i]])
+        item = items.rows[number][1]
         tiles = tile(item, doc, pairs, shortest)
         if sum(n for _, _, n in tiles) >= threshold * len(item):
-            yield owner, tiles
+            yield number, tiles
 
 
 def _found(
@@ -169,7 +190,9 @@ def contaminated(
 
     Words are what stands between white space, A-Z in lower case. Items with fewer than
     ``shortest`` words, null and empty texts match nothing; equal documents and equal
-    items each have their rows. The benchmark is read in blocks of ``block_words`` words,
+    items each have their rows. A text of any length is read whole, one at least at a
+    time, and holds no more than the places of a block that it shares. An empty table gives
+    no rows. The benchmark is read in blocks of ``block_words`` words,
     each of which meets all documents in one pass, so that no broadcast is larger.
     """
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -109,3 +109,14 @@ def test_planted_and_clean(spark):
     got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in dc.contaminated(docs, items).collect()}
     assert whole and whole <= set(got)
     assert all(got[p] == 1.0 for p in whole)
+
+
+def test_a_sentence_that_all_items_share_makes_no_pairs(monkeypatch):
+    common = "answer the question below in one word please".split()
+    items = dc._Items([(i, " ".join([*common, *(f"i{i}w{k}" for k in range(12))])) for i in range(4000)], 4)
+    asked = []
+    monkeypatch.setattr(dc, "tile", lambda item, doc, pairs, shortest: asked.append(len(pairs)) or [])
+    words = dc.word_ids([" ".join([*common * 60, *(f"i7w{k}" for k in range(12))])])[0]
+    assert list(dc._covering(words, items, 4, 0.5)) == []
+    # Only the item whose other words are there, too, is tiled.
+    assert len(asked) == 1 and asked[0] < 1000
