@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from roadevents.llm.common import Scratch, mix64, shared_path, steps
 from roadevents.llm.tokens import encoder
+from roadevents.session import qualified
 
 STRIDE = 512
 RECORDS = 2048
@@ -216,7 +217,9 @@ def materialise(
     shards, parts = max(1, -(-total // records)), []
     for wave in range(WAVES):
         own = placed.where(F.col("shard") % WAVES == wave)
-        ordered = own.repartition(-(-shards // WAVES), "shard").sortWithinPartitions("slot")
+        # A task writes one shard.
+        place = F.expr(f"CAST(shard div {WAVES} AS int)")
+        ordered = own.repartitionById(-(-shards // WAVES), place).sortWithinPartitions("slot")
         done = ordered.mapInArrow(lambda b: _write(b, path, stride, records, pad), MANIFEST)
         parts.append(scratch.write(done, f"manifest-{wave}"))
     scratch.drop("stored")
@@ -226,10 +229,12 @@ def materialise(
 def materialise_documents(docs: DataFrame, path: str | None = None, **options) -> Shards:
     """``materialise`` for the token ids of all documents' texts.
 
-    Columns of other names are left out; null ids and repeated rows have their slots.
+    Columns of other names are left out; null ids and repeated rows have their slots. A
+    text of any length is tokenised whole, one at least at a time. An empty table has no
+    shards.
     """
     if path is None:
         path = shared_path(docs.sparkSession, "shards")
-        path = path if "://" in path or path.startswith("file:") else f"file://{path}"
+        path = qualified(docs.sparkSession, path)
     stride = options.get("stride", STRIDE)
     return materialise(sequences(docs, stride=stride), path, **options)
