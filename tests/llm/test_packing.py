@@ -10,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from conftest import DATA
+from roadevents.llm import common
 from roadevents.llm import packing as pk
 from roadevents.llm.tokens import encoder
 
@@ -108,3 +109,13 @@ def test_loose_bounds_still_end(spark):
     for r in got:
         sums[r["sequence_id"]] = sums.get(r["sequence_id"], 0) + 1
     assert max(sums.values()) == 2
+
+
+def test_a_worker_holds_one_cache_at_a_time():
+    made = []
+    make = lambda: made.append(1) or {}
+    first = common.worker_cache("a", make)
+    first["word"] = 1
+    assert common.worker_cache("a", make) is first
+    assert common.worker_cache("b", make) == {} and common.worker_cache("a", make) == {}
+    assert len(made) == 3
