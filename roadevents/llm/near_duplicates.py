@@ -35,7 +35,7 @@ from roadevents.llm.wordhash import word_ids
 WORDS = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-SIGNATURE = 16
+SIGNATURE = 10
 WIDE_BITS = 1 << 14
 # Shingles below this come first in the common order: three eighths of them.
 FIRST = 3 << 61
@@ -127,7 +127,7 @@ BITS = [f"s{i}" for i in range(SIGNATURE)]
 def signature(own: np.ndarray) -> np.ndarray:
     """The bits of the set's shingles, as 64-bit words."""
     bits = np.zeros(64 * SIGNATURE, bool)
-    bits[(own & np.uint64(64 * SIGNATURE - 1)).astype(np.int64)] = True
+    bits[(own % np.uint64(64 * SIGNATURE)).astype(np.int64)] = True
     return np.packbits(bits).view(np.int64)
 
 
