@@ -11,6 +11,7 @@ likelihood is exact for any length.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadevents.llm.common import steps, written
+from roadevents.llm.common import STEP_BYTES, steps, written
 
 STATES = 6
 ITERATIONS = 5
@@ -32,8 +33,10 @@ SUFFIX_CLASSES = 1024
 # Words with at least this share of the training tokens: at most as many as 1 / share.
 OWN_CLASS = 2.0**-12
 SHIPPED = 2.0**-20
-# Longer words are never sent to the tasks, which bounds what is sent.
+# Longer words are sent as their digests, which bounds what is sent.
 SHIPPED_BYTES = 64
+# Matrix products are scaled after so many tokens; chances stay far above the least double.
+SCALED = 16
 END = b""
 SEED = 9
 # Expected counts are summed as whole multiples of this.
@@ -44,6 +47,11 @@ def suffix_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % SUFFIX_CLASSES
 
 
+def word_key(word: bytes) -> bytes:
+    """The word, or for a long one a byte that no word has and a digest."""
+    return word if len(word) <= SHIPPED_BYTES else b"\xff" + hashlib.md5(word).digest()
+
+
 @dataclass
 class Lexicon:
     """The frequent words, their counts and classes. The last class is the end's."""
@@ -64,6 +72,10 @@ class Lexicon:
         place = np.array([get(w, -1) for w in words], np.int64)
         missing = np.flatnonzero(place < 0)
         rare = [words[i] for i in missing.tolist()]
+        if rare and max(map(len, rare)) > SHIPPED_BYTES:
+            place[missing] = [get(word_key(w), -1) for w in rare]
+            missing = np.flatnonzero(place < 0)
+            rare = [words[i] for i in missing.tolist()]
         classes = self.classes[place]
         classes[missing] = [suffix_class(w) for w in rare]
         return place, classes, rare
@@ -112,13 +124,15 @@ def _matrices(
     logs = np.zeros(symbols.shape[1])
     for t in range(SEGMENT):
         if t:
-            moved = (found.reshape(-1, states) @ moves).reshape(found.shape)
-            real = symbols[t] != pad
-            found = np.where(real[:, None, None], moved, found)
-        found = found * emits[symbols[t]][:, None, :]
-        scale = found.sum(axis=(1, 2))
-        logs += np.log10(scale)
-        found /= scale[:, None, None]
+            ended = np.flatnonzero(symbols[t] == pad)
+            kept = found[ended]
+            found = (found.reshape(-1, states) @ moves).reshape(found.shape)
+            found[ended] = kept
+        found *= emits[symbols[t]][:, None, :]
+        if t % SCALED == SCALED - 1 or t == SEGMENT - 1:
+            scale = found.sum(axis=(1, 2))
+            logs += np.log10(scale)
+            found /= scale[:, None, None]
     return found, logs
 
 
@@ -171,25 +185,29 @@ def expected_counts(
         now = now / scales[t]
         forward[t] = now
     starts, used = np.zeros(states), np.zeros((states, states))
-    emitted = np.zeros((states, pad + 1))
     backward = np.ones((states, width))
     if whole:
         backward = after / (now * after).sum(axis=0)
     for t in range(length - 1, -1, -1):
         both = forward[t] * backward
-        for k in range(states):
-            emitted[k] += np.bincount(symbols[t], weights=both[k], minlength=pad + 1)
         if t:
             ahead = emits[:, symbols[t]] * backward / scales[t]
-            real = symbols[t] != pad
-            used += forward[t - 1][:, real] @ ahead[:, real].T
+            used += forward[t - 1] @ (ahead * (symbols[t] != pad)).T
             backward = moves @ ahead
+            forward[t] = both
         else:
+            forward[t] = both
             starts += both[:, first].sum(axis=1)
             if whole:
                 ahead = emits[:, symbols[t]] * backward / scales[t]
                 used += before[:, later] @ ahead[:, later].T
-    return [starts, used * moves, emitted[:, :-1]]
+    # What was forward is by now the chance of each state given the whole sequence.
+    flat = symbols.reshape(-1)
+    emitted = [
+        np.bincount(flat, weights=forward[:, k].reshape(-1), minlength=pad + 1)[:pad]
+        for k in range(states)
+    ]
+    return [starts, used * moves, np.stack(emitted)]
 
 
 def log10_likelihood(sequences: list[np.ndarray], chances: Chances) -> np.ndarray:
@@ -241,36 +259,47 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 def _lexicon(words: DataFrame, total: int) -> tuple[Lexicon, np.ndarray]:
     """The words to send, and how often each class occurs.
 
-    The driver receives at most 1 / SHIPPED words of at most SHIPPED_BYTES bytes, and
-    two numbers per suffix class.
+    The driver receives at most 1 / SHIPPED words of at most SHIPPED_BYTES bytes, or
+    digests of longer ones, and two numbers per suffix class.
     """
-    short = F.octet_length("word") <= SHIPPED_BYTES
-    own = short & (F.col("c") >= F.greatest(F.lit(1), F.ceil(F.lit(total * OWN_CLASS))))
-    own = own | (F.col("word") == "")
-    sent = words.where((short & (F.col("c") >= total * SHIPPED)) | (F.col("word") == ""))
-    sent = sent.select("word", "c", own.alias("own")).toArrow().sort_by("word")
-    spelled = [w.encode() for w in sent.column("word").to_pylist()]
+    end = F.col("word") == ""
+    own = (F.col("c") >= F.greatest(F.lit(1), F.ceil(F.lit(total * OWN_CLASS)))) | end
+    spelling = F.col("word").cast("binary")
+    digest = F.concat(F.unhex(F.lit("FF")), F.unhex(F.md5(spelling)))
+    key = F.when(F.octet_length("word") <= SHIPPED_BYTES, spelling).otherwise(digest)
+    ending = F.crc32(F.substring(spelling, -3, 3)) % SUFFIX_CLASSES
+    sent = words.where((F.col("c") >= total * SHIPPED) | end)
+    sent = sent.select(key.alias("key"), "c", own.alias("own"), ending.alias("class"))
+    sent = sent.toArrow().sort_by("key")
+    keys = sent.column("key").to_pylist()
     counts, alone = sent.column("c").to_numpy(), np.array(sent.column("own").to_pylist(), bool)
-    if END not in spelled:
-        spelled, counts, alone = [*spelled, END], np.append(counts, 0), np.append(alone, True)
-    classes = np.array([suffix_class(w) for w in spelled], np.int64)
+    classes = sent.column("class").to_numpy().astype(np.int64)
+    if END not in keys:
+        keys, counts, alone = [*keys, END], np.append(counts, 0), np.append(alone, True)
+        classes = np.append(classes, 0)
     classes[alone] = SUFFIX_CLASSES + np.arange(alone.sum())
     n_classes = SUFFIX_CLASSES + int(alone.sum())
-    ending = F.crc32(F.substring(F.col("word").cast("binary"), -3, 3)) % SUFFIX_CLASSES
     rest = words.where(~own).groupBy(ending.alias("class"))
     occurs, kinds = np.zeros(n_classes), np.zeros(SUFFIX_CLASSES)
     for row in rest.agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
         occurs[row["class"]], kinds[row["class"]] = row["c"], row["v"]
     occurs[classes[alone]] = counts[alone]
     log_totals = np.log10(occurs[:SUFFIX_CLASSES] + 0.5 * (kinds + 1))
-    index = {w: i for i, w in enumerate(spelled)}
+    index = {w: i for i, w in enumerate(keys)}
     return Lexicon(index, counts, classes, n_classes, log_totals), occurs
 
 
-def _cells(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, chances: Chances):
-    total: list[np.ndarray] | None = None
+def _classes(batches: Iterator[pa.RecordBatch], lexicon: Lexicon):
     for batch in steps(batches):
-        sequences = [lexicon.read(t)[1] for t in batch.column("text").to_pylist()]
+        read = [lexicon.read(t)[1].astype("<i2").tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.record_batch([pa.array(read, pa.binary())], names=["classes"])
+
+
+def _cells(batches: Iterator[pa.RecordBatch], chances: Chances):
+    total: list[np.ndarray] | None = None
+    # Two bytes a token, where a text has some six.
+    for batch in steps(batches, "classes", STEP_BYTES // 3):
+        sequences = [np.frombuffer(c, "<i2").astype(np.int64) for c in batch.column("classes").to_pylist()]
         found = expected_counts(sequences, chances, whole=True)
         total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
     if total is not None:
@@ -296,15 +325,17 @@ def _first(occurs: np.ndarray, states: int) -> Chances:
 def train(
     texts: DataFrame, lexicon: Lexicon, occurs: np.ndarray, states: int, iterations: int
 ) -> Chances:
-    """Baum-Welch over all texts, each as a whole. The driver receives a number per parameter."""
+    """Baum-Welch over all texts, each as a whole. The driver receives a number per parameter.
+
+    The texts' classes are written once; the rounds read these.
+    """
     chances = _first(occurs, states)
-    context = texts.sparkSession.sparkContext
-    sent = context.broadcast(lexicon)
+    sent = texts.sparkSession.sparkContext.broadcast(lexicon)
+    read = texts.select("text").mapInArrow(lambda b: _classes(b, sent.value), "classes binary")
+    read = written(read, "classes")
     shares = (occurs + 1.0) / (occurs + 1.0).sum()
     for _ in range(iterations):
-        parts = texts.select("text").mapInArrow(
-            lambda b, c=chances: _cells(b, sent.value, c), "cell bigint, units bigint"
-        )
+        parts = read.mapInArrow(lambda b, c=chances: _cells(b, c), "cell bigint, units bigint")
         size = states + states * states + states * lexicon.n_classes
         flat = np.zeros(size)
         for row in parts.groupBy("cell").agg(F.sum("units").alias("units")).collect():
@@ -326,6 +357,7 @@ def _scores(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, chances: Chance
         read = [lexicon.read(t) for t in batch.column("text").to_pylist()]
         likely = log10_likelihood([r[1] for r in read], chances)
         out: dict[str, list] = {n: [] for n in arrow.names}
+        words, times, ends = [], [], [0]
         for (place, classes, rare), hidden in zip(read, likely.tolist(), strict=True):
             known = place[place >= 0]
             suffixed = classes[classes < SUFFIX_CLASSES]
@@ -336,9 +368,16 @@ def _scores(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, chances: Chance
             inside = logs[known[by_suffix[known]]].sum() - lexicon.log_totals[suffixed].sum()
             out["model_part"].append(hidden + float(inside))
             found = Counter(rare)
-            out["rare"].append([{"word": w.decode(), "n": n} for w, n in found.items()])
+            words += found
+            times += found.values()
+            ends.append(len(words))
         out["doc_id"], out["held_out"] = batch.column("doc_id"), batch.column("held_out")
-        yield pa.RecordBatch.from_pydict(out, arrow)
+        pairs = [pa.array(words, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())]
+        kind = arrow.field("rare").type.value_type
+        pairs = pa.StructArray.from_arrays(pairs, fields=list(kind))
+        out["rare"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        columns = [pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(out.values(), arrow)]
+        yield pa.record_batch(columns, schema=arrow)
 
 
 SCORED = (
