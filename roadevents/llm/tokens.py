@@ -95,5 +95,5 @@ class Encoder:
 
 def encoder(tokenizer: str | None = None) -> Encoder:
     """This process's encoder; ``tokenizer`` is a file, by default the word-wise BPE."""
-    path = str(tokenizer or public_tokenizers.path(WORD_BPE))
-    return worker_cache(f"tokens {path}", lambda: Encoder(path))
+    found = f"tokens {tokenizer or WORD_BPE}"
+    return worker_cache(found, lambda: Encoder(tokenizer or public_tokenizers.path(WORD_BPE)))
