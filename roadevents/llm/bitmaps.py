@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +20,18 @@ def slots(keys: np.ndarray) -> np.ndarray:
 
 
 class BitMap:
-    """The slots of all keys in a table (one bigint column, no nulls).
+    """The slots of all keys in a table: by default its one bigint column, without nulls,
+    else the numbers that ``of`` makes of each batch, so one worker does both.
 
     It has every key of the table, and others by chance: it only spares work, and whoever
     uses it must be right with more keys than it had.
     """
 
-    def __init__(self, keys: DataFrame):
+    def __init__(self, keys: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray] | None = None):
         def numbered(batches: Iterator[pa.RecordBatch]):
             for batch in batches:
                 # Spark's bitmaps number the values from 1 on.
-                slot = slots(batch.column(0).to_numpy()) + 1
+                slot = slots(of(batch) if of else batch.column(0).to_numpy()) + 1
                 yield pa.record_batch([pa.array(slot)], names=["slot"])
 
         found = keys.mapInArrow(numbered, "slot bigint")

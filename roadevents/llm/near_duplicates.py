@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import batched
 from operator import add
 
 import numpy as np
@@ -99,12 +100,8 @@ class _Firsts:
     """
 
     def __init__(self, info: DataFrame):
-        def numbers(batches: Iterator[pa.RecordBatch]):
-            for batch in batches:
-                ids, classes = batch.column("doc_id"), batch.column("cls").to_pylist()
-                yield pa.record_batch([pa.array(self.number(ids, classes))], names=["key"])
-
-        self.map = BitMap(_first_ids(info).select("doc_id", "cls").mapInArrow(numbers, "key bigint"))
+        firsts = _first_ids(info).select("doc_id", "cls")
+        self.map = BitMap(firsts, lambda b: _Firsts.number(b.column("doc_id"), b.column("cls").to_pylist()))
 
     @staticmethod
     def number(ids: pa.Array, classes: list[bytes]) -> np.ndarray:
@@ -122,6 +119,9 @@ class _Firsts:
 
 
 BITS = [f"s{i}" for i in range(SIGNATURE)]
+# The least tokens of a class's groups, and what stands where it has fewer.
+LEAST = [f"m{i}" for i in range(8)]
+LAST = 2**63 - 1
 
 
 def signature(own: np.ndarray) -> np.ndarray:
@@ -157,9 +157,9 @@ def _own(batches: Iterator[pa.RecordBatch], firsts: _Firsts):
         )
 
 
-def _members(own: DataFrame) -> DataFrame:
-    """token, cls, n, the bits of each class in the groups of its prefix, and ``odd``, the
-    share of its shingles that no other class has.
+def _members(own: DataFrame, scratch: Scratch) -> DataFrame:
+    """token, cls, n, the bits of each class in the groups of its prefix, ``odd``, the
+    share of its shingles that no other class has, and the least tokens of its groups.
 
     Such a shingle fills a place of the prefix and makes no group.
     """
@@ -177,7 +177,25 @@ def _members(own: DataFrame) -> DataFrame:
     kept = F.concat(early, F.filter("shared", lambda x: x.late))
     each = own.drop("tokens").join(shared, "id")
     each = each.withColumns({"kept": kept, "odd": alone / F.col("n")})
-    return each.select(F.explode("kept.token").alias("token"), "cls", "n", "odd", *BITS)
+    each = each.select(F.col("kept.token").alias("kept"), "id", "cls", "n", "odd", *BITS)
+    each = scratch.write(each.where(F.size("kept") > 0), "prefixes")
+    groups = scratch.write(_distinct_groups(each.select("id", F.explode("kept").alias("token"))), "groups")
+    own_groups = F.sort_array(F.collect_list("token"))
+    least = groups.groupBy("id").agg(own_groups.alias("own"))
+    least = least.select("id", *[F.coalesce(F.get("own", F.lit(i)), F.lit(LAST)).alias(m) for i, m in enumerate(LEAST)])
+    return groups.join(each.drop("kept"), "id").join(least, "id").drop("id")
+
+
+def _distinct_groups(rows: DataFrame) -> DataFrame:
+    """The rows (id, token) of the groups of several ids, one token for every set of ids.
+
+    Copies of a long text share all they have: so many groups of the same classes give
+    the same pairs. Sets are told apart by their sizes and 128 bits of their ids' hashes.
+    """
+    hashes = [F.bit_xor(F.xxhash64(F.lit(seed), "id")).alias(f"h{seed}") for seed in (1, 2)]
+    groups = rows.groupBy("token").agg(F.count("*").alias("size"), *hashes).where("size > 1")
+    tokens = groups.groupBy("size", "h1", "h2").agg(F.min("token").alias("token")).select("token")
+    return rows.join(tokens, "token").select("id", "token")
 
 
 def _may_link(one: str, other: str) -> Column:
@@ -296,7 +314,8 @@ def _ends(rows: pa.Table) -> np.ndarray:
 def _pairs(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
     bits = np.stack([rows.column(s).to_numpy() for s in BITS], axis=1).view(np.uint64)
     sizes, side = rows.column("n").to_numpy(), rows.column("side").to_numpy()
-    across = rows.column("across").to_numpy()
+    across, tokens = rows.column("across").to_numpy(), rows.column("token").to_numpy()
+    least = np.stack([rows.column(m).to_numpy() for m in LEAST], axis=1)
     names = rows.column("cls").to_pylist()
     comps = pd.factorize(np.array(rows.column("comp").to_pylist(), object))[0]
     classes = pd.factorize(np.array(names, object))[0]
@@ -312,17 +331,29 @@ def _pairs(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
             right = left
         if not len(left) or not len(right):
             continue
-        for i, j in tree_pairs(bits, sizes, comps, left, right):
-            one.append(min(names[i], names[j]))
-            other.append(max(names[i], names[j]))
+        for pairs in batched(tree_pairs(bits, sizes, comps, left, right), 10_000):
+            x, y = np.array(pairs).T
+            new = ~_met(least[x], least[y], tokens[own[0]])
+            for i, j in zip(x[new].tolist(), y[new].tolist(), strict=True):
+                one.append(min(names[i], names[j]))
+                other.append(max(names[i], names[j]))
     return pa.record_batch({"a": pa.array(one, pa.binary()), "b": pa.array(other, pa.binary())})
 
 
+def _met(one: np.ndarray, other: np.ndarray, token: int) -> np.ndarray:
+    """Which pairs have a token below this one in common, of the least of each."""
+    found = np.zeros(len(one), bool)
+    for k in range(len(LEAST)):
+        found |= (one[:, k] < token) & (one[:, k, None] == other).any(axis=1)
+    return found
+
+
 def _searched(members: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFrame:
     """Candidate pairs between components, from every group that has several.
 
     A group of many classes is dealt in blocks; each pair of blocks is one task's work.
-    Groups of two were settled by their star.
+    Groups of two were settled by their star. A pair that is seen to share another group of
+    a smaller token is left to that one, which is searched or settled too.
     """
     comp = F.coalesce("comp", "cls")
     several = members.select("token", "cls").join(comps, "cls", "left").groupBy("token").agg(
@@ -345,6 +376,7 @@ def _searched(members: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFra
         "comp",
         "n",
         *BITS,
+        *LEAST,
     )
     groups = ("token", "i", "j")
     dealt = dealt.repartition(*groups).sortWithinPartitions(*groups)
@@ -414,14 +446,9 @@ def _links(
     rows: DataFrame, info: DataFrame, firsts, pairs: DataFrame, scratch: Scratch, step: str
 ) -> DataFrame:
     """The pairs whose full sets meet the threshold."""
-
-    def numbers(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            yield pa.record_batch([pa.array(_numbers(batch.column(0).to_pylist()))], names=["key"])
-
     names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     names = scratch.write(names.join(_first_ids(info), "cls"), f"names-{step}")
-    wanted = BitMap(names.select("cls").mapInArrow(numbers, "key bigint"))
+    wanted = BitMap(names.select("cls"), lambda b: _numbers(b.column(0).to_pylist()))
     documents = BitMap(names.select(F.coalesce("doc_id", F.lit(-(2**63)))))
     sent = rows.sparkSession.sparkContext.broadcast((documents, wanted))
     # A class that has two documents here, by chance, only has its pairs verified twice.
@@ -459,8 +486,8 @@ def _grouped(docs: DataFrame, text: str, text_id: Column) -> DataFrame:
     firsts = send(_Firsts(info))
     own = rows.mapInArrow(lambda b: _own(b, firsts.value), OWN)
     own = scratch.write(own.withColumn("id", F.monotonically_increasing_id()), "own")
-    members = scratch.write(_members(own), "members")
-    scratch.drop("own")
+    members = scratch.write(_members(own, scratch), "members")
+    scratch.drop("own", "prefixes", "groups")
 
     stars = scratch.write(_stars(members), "stars")
     links = _links(rows, info, firsts, stars, scratch, "stars")

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from roadevents.llm import near_duplicates as nd
@@ -82,6 +83,33 @@ def test_all_pairs(spark, monkeypatch, seed, common, block):
     assert sorted(repr(tuple(r)) for r in got.collect()) == slow(rows)
 
 
+def test_a_pair_of_many_groups_is_made_once(spark, monkeypatch):
+    rows, made, search = cases(2, common=90), spark.sparkContext.accumulator(0), nd._search
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark, "t")
+    info = scratch.write(docs.withColumn("text_id", F.lit(b"x")).mapInArrow(nd._info, nd.INFO), "info")
+    firsts = nd._Firsts(info)
+    own = docs.mapInArrow(lambda b: nd._own(b, firsts), nd.OWN)
+    own = scratch.write(own.withColumn("id", F.monotonically_increasing_id()), "own")
+
+    def counted(batches):
+        for batch in search(batches):
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(nd, "_search", counted)
+    none = spark.createDataFrame([], "cls binary, comp binary")
+    found = scratch.write(nd._searched(nd._members(own, scratch), none, scratch), "found").count()
+    assert 0 < made.value < 2 * found
+
+
+def test_groups_of_the_same_classes_are_one(spark):
+    groups = {5: [1, 2, 3], 3: [1, 2, 3], 9: [1, 2], 7: [4]}
+    rows = [(i, token) for token, ids in groups.items() for i in ids]
+    got = nd._distinct_groups(spark.createDataFrame(rows, "id long, token long"))
+    assert sorted(map(tuple, got.collect())) == [(1, 3), (1, 9), (2, 3), (2, 9), (3, 3)]
+
+
 def test_no_rows(spark):
     assert nd.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
