@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import string
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -102,14 +104,24 @@ _held: dict[str, object] = {}
 def worker_cache(name: str, make: Callable[[], object]):
     """What an operator keeps in a worker process from task to task.
 
-    A worker holds one such thing at a time: another operator's makes room for it.
+    A worker holds one such thing at a time: another operator's makes room for it, and
+    its memory goes back to the system.
     """
     if name not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            gc.collect()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
         _held[name] = make()
     return _held[name]
 
 
+def no_worker_cache() -> None:
+    """For operators that keep nothing: what others have kept goes."""
+    worker_cache("nothing", object)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = x ^ (x >> np.uint64(30))

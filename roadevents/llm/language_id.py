@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadevents.llm.common import steps
+from roadevents.llm.common import no_worker_cache, steps
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -89,6 +89,7 @@ class _Vectors:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch], dimensions: int):
+    no_worker_cache()
     vectors, sums = _Vectors(dimensions), {}
     for batch in steps(batches):
         langs = np.array(batch.column("lang").to_pylist(), object)
@@ -135,6 +136,7 @@ def train(
 
 
 def _predictions(batches: Iterator[pa.RecordBatch], profiles, schema: pa.Schema):
+    no_worker_cache()
     names = sorted(profiles)
     dimensions = len(profiles[names[0]]) if names else 1
     lines = np.array([profiles[n] for n in names], np.float64).reshape(-1, dimensions)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadevents.llm.bitmaps import BitMap
-from roadevents.llm.common import Scratch, mix64, steps, worker_cache
+from roadevents.llm.common import Scratch, mix64, no_worker_cache, steps
 
 LENGTH = 100
 Q = 32
@@ -92,7 +92,7 @@ def _spots(doc_id: np.ndarray, doc_hash: np.ndarray, places: np.ndarray) -> np.n
 
 
 def _documents(batches: Iterator[pa.RecordBatch]):
-    worker_cache("suffixes", object)  # nothing is kept here, nor what others have
+    no_worker_cache()
     for batch in steps(batches):
         columns = (batch.column(c).to_pylist() for c in ("doc_id", "doc_hash", "text"))
         for doc_id, doc_hash, text in zip(*columns, strict=True):

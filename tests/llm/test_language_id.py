@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from conftest import DATA
+from roadevents.llm import common
 from roadevents.llm import language_id as li
 
 
@@ -86,3 +87,9 @@ def test_held_out_accuracy(spark):
     assert len(joined) > 150
     right = sum(r["lang"] == r["lang_pred"] for r in joined)
     assert right >= 0.97 * len(joined)
+
+
+def test_what_other_operators_kept_goes():
+    common.worker_cache("words of another operator", list)
+    assert list(li._predictions(iter([]), {}, None)) == []
+    assert "words of another operator" not in common._held
