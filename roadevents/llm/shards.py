@@ -196,27 +196,29 @@ def materialise(
     before = np.cumsum([0, *[r["count"] for r in counts]])
     total = int(before[-1])
 
-    def slots(batches: Iterator[pa.RecordBatch]):
+    def slots(batches: Iterator[pa.RecordBatch], wave: int):
         for batch in batches:
             own = np.searchsorted(tasks, batch.column("task").to_numpy())
             number = before[own] + batch.column("place").to_numpy()
             slot = permuted(number, total, key)
+            # Rows of other passes do not leave the worker.
+            mine = slot // records % WAVES == wave
+            batch, number, slot = batch.filter(pa.array(mine)), number[mine], slot[mine]
             columns = [batch.column(n) for n in ("doc_id", "start", "n_tokens", "tokens")]
             columns += [pa.array(x, pa.int64()) for x in (number, slot, slot // records)]
             yield pa.record_batch(columns, names=names)
 
     names = ["doc_id", "start", "n_tokens", "tokens", "sequence", "slot", "shard"]
     placed = stored.select("doc_id", "start", "n_tokens", "tokens", task.alias("task"), place.alias("place"))
-    placed = placed.mapInArrow(
-        slots,
+    ddl = (
         "doc_id bigint, start bigint, n_tokens int, tokens binary, "
-        "sequence bigint, slot bigint, shard bigint",
+        "sequence bigint, slot bigint, shard bigint"
     )
     store, folder = fs.FileSystem.from_uri(path)
     store.create_dir(folder)
     shards, parts = max(1, -(-total // records)), []
     for wave in range(WAVES):
-        own = placed.where(F.col("shard") % WAVES == wave)
+        own = placed.mapInArrow(lambda b, wave=wave: slots(b, wave), ddl)
         # A task writes one shard.
         place = F.expr(f"CAST(shard div {WAVES} AS int)")
         ordered = own.repartitionById(-(-shards // WAVES), place).sortWithinPartitions("slot")

@@ -43,44 +43,48 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
         self.marks = {"": b""}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # By the words' UTF-8 bytes, which are cut without being decoded again.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _whole(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(own.ids, "<u4").tobytes() for own in found]
 
     def _spelled(self, letters: str) -> bytes:
-        letters = letters.lower()
+        # ASCII letters of plain words are small ones already.
         if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(self.letters)
+            letters = letters.lower().encode().decode("latin-1").translate(self.letters)
         ids = [piece.id for piece in self.tokenizer.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         odd = []
         for word in new:
-            plain = _PLAIN.fullmatch(word)
+            plain = _PLAIN.fullmatch(word.decode())
             if not plain:
                 odd.append(word)
                 continue
             letters, marks = plain.groups()
             if marks not in self.marks:
                 self.marks[marks] = self._whole([marks])[0]
-            own = self.known.get(letters) or self.older.get(letters)
+            key = letters.encode()
+            own = self.known.get(key) or self.older.get(key)
             self.known[word] = (own or self._spelled(letters)) + self.marks[marks]
         for at in range(0, len(odd), 10_000):
             part = odd[at : at + 10_000]
-            self.known.update(zip(part, self._whole(part), strict=True))
+            whole = self._whole([word.decode() for word in part])
+            self.known.update(zip(part, whole, strict=True))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         split = []
         for text in texts:
+            data = text.encode()
             # Where a special token's spelling may stand, case matters.
-            if "<|" not in text:
-                text = text.encode().lower().decode()
-            split.append(text.replace("\n", " ").split(" "))
+            if b"<|" not in data:
+                data = data.lower()
+            split.append(data.replace(b"\n", b" ").split(b" "))
         if len(self.known) > KEPT_WORDS:
             # What is met again comes back from here; the rest goes with the next turn.
             self.known, self.older = {}, self.known

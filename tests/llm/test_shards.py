@@ -3,11 +3,12 @@
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from conftest import DATA
 from roadevents.llm import shards as sh
-from roadevents.llm.tokens import encoder
+from roadevents.llm.tokens import WORD_BPE, Encoder, encoder
 
 
 @pytest.mark.parametrize("total", [1, 2, 3, 5, 16, 17, 1000, 4097])
@@ -66,3 +67,11 @@ def test_odd_rows(spark, tmp_path):
 def test_ids_that_do_not_fit():
     with pytest.raises(ValueError, match="does not fit"):
         sh.narrowed(np.array([70_000]))
+
+
+def test_words_are_cut_as_bytes():
+    own = Encoder(public_tokenizers.path(WORD_BPE))
+    texts = ["A b\nÀÉ, é", "A <|endoftext|> B", "", " x  Y", "long " + "ab" * 300 + " \u0130 \u6f22"]
+    for text, found in zip(texts, own.ids(texts), strict=True):
+        assert found.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert all(isinstance(word, bytes) for word in own.known)
