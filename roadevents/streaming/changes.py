@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,7 +57,7 @@ def changed_records(
     marks = dict(zip(_SAID, said))
     marks |= {n: F.when(complete, i).otherwise(s) for n, i, s in zip(_INCIDENT, incident, said)}
     marks[_SEEN] = F.col("polled_at").cast("timestamp")
-    marks |= {"_day": F.unix_date(PARTITION), "_polled": F.unix_micros(marks[_SEEN]), "_file": F.col("file")}
+    marks |= {"_day": F.unix_date(PARTITION), "_polled": F.unix_micros(marks[_SEEN])}
     marked = stream.withColumns(marks).withColumn(_SHARE, F.pmod(_INCIDENT[0], F.lit(shares)))
     kept_us = _microseconds(stream, forget)
 
@@ -65,10 +66,9 @@ def changed_records(
             state.remove()
             return
         rows = pd.concat(list(frames), ignore_index=True)
+        rows["_file"] = rows["file"]
         known = _unpacked(state.get[0]) if state.exists else pd.DataFrame(columns=_KNOWN)
-        fresh = rows[[*_KNOWN, place]].sort_values([*_INCIDENT, *_POLL, place], kind="stable")
-        fresh = fresh.drop_duplicates([*_INCIDENT, *_POLL]).drop(columns=place)
-        kept, known = _compared(known, fresh, kept_us)
+        kept, known = _compared(known, _first(rows, place), kept_us)
         known = known[known["_polled"] >= state.getCurrentWatermarkMs() * 1000 - kept_us]
         state.update((_packed(known),))
         newest = max(int(rows["_polled"].max()) // 1000, state.getCurrentWatermarkMs())
@@ -81,6 +81,45 @@ def changed_records(
     )
 
 
+def _sorted(*columns: np.ndarray) -> np.ndarray:
+    """Places in the order of the columns, rows that are equal in all as they come.
+
+    Columns of one value cost no sorting: a micro-batch mostly has one poll.
+    """
+    varying = [c for c in columns if len(c) and (c != c[0]).any()]
+    size = len(columns[0])
+    return np.lexsort(varying[::-1]) if varying else np.arange(size)
+
+
+def _turns(*columns: np.ndarray) -> np.ndarray:
+    """Which rows differ from the one before in any column; the first does."""
+    turns = np.ones(len(columns[0]), bool)
+    turns[1:] = False
+    for c in columns:
+        turns[1:] |= c[1:] != c[:-1]
+    return turns
+
+
+def _numbers(df: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The columns of ``_KNOWN`` as whole numbers: of a file its rank by name, of what is
+    null a number above all others."""
+    found = {n: df[n].to_numpy() for n in (*_INCIDENT, *_SAID, "_polled")}
+    found = {n: v.astype(np.int64) for n, v in found.items()}
+    above = np.iinfo(np.int64).max
+    found["_day"] = df["_day"].astype("Int64").fillna(above).to_numpy(np.int64)
+    codes, names = pd.factorize(df["_file"], sort=True)
+    found["_file"] = np.where(codes < 0, len(names), codes)
+    return found
+
+
+def _first(rows: pd.DataFrame, place: str) -> pd.DataFrame:
+    """Per incident and poll the first record, with what ``_KNOWN`` has of it."""
+    v = _numbers(rows)
+    poll = [*(v[n] for n in _INCIDENT), *(v[n] for n in _POLL)]
+    order = _sorted(*poll, rows[place].to_numpy())
+    return rows[_KNOWN].take(order[_turns(*(c[order] for c in poll))])
+
+
 def _compared(
     known: pd.DataFrame, fresh: pd.DataFrame, forget_us: int
 ) -> tuple[list[int], pd.DataFrame]:
@@ -88,20 +127,25 @@ def _compared(
 
     ``known`` has one row an incident, ``fresh`` one an incident and poll.
     """
-    both = pd.concat([known.assign(_row=-1), fresh.assign(_row=fresh.index)], ignore_index=True)
+    both = pd.concat([known, fresh], ignore_index=True) if len(known) else fresh.reset_index(drop=True)
+    old = np.arange(len(both)) < len(known)
+    row = np.concatenate((np.full(len(known), -1), fresh.index.to_numpy()))
+    v = _numbers(both)
     # A poll that is known stands before its own repetition is looked at, which is late.
-    both["_old"] = both["_row"] < 0
-    both = both.sort_values([*_INCIDENT, *_POLL, "_old"], kind="stable", ignore_index=True)
-    incident = both.groupby(_INCIDENT, sort=False).ngroup()
-    at = pd.Series(both.index, index=both.index)
-    latest = at.where(both["_old"]).groupby(incident).transform("max")
-    both = both[~(at < latest)]
-    incident = incident[both.index]
-    same = (incident == incident.shift()) & (both[_SAID] == both[_SAID].shift()).all(axis=1)
-    same &= (both["_polled"] - both["_polled"].shift()).astype(float) <= forget_us
-    kept = both["_row"][~same & ~both["_old"]]
-    last = incident != incident.shift(-1)
-    return kept.tolist(), both.loc[last, _KNOWN]
+    order = _sorted(*(v[n] for n in (*_INCIDENT, *_POLL)), old)
+    old = old[order]
+    incident = np.cumsum(_turns(*(v[n][order] for n in _INCIDENT))) - 1
+    at = np.arange(len(order))
+    latest = np.full(len(order), -1)
+    latest[incident[old]] = at[old]
+    current = at >= latest[incident]
+    order, old, incident = order[current], old[current], incident[current]
+    new_incident = _turns(incident)
+    polled = v["_polled"][order]
+    same = ~(new_incident | _turns(*(v[n][order] for n in _SAID)))
+    same[1:] &= polled[1:] - polled[:-1] <= forget_us
+    last = np.append(new_incident[1:], True)[: len(order)]
+    return row[order[~same & ~old]].tolist(), both[_KNOWN].take(order[last])
 
 
 def _packed(known: pd.DataFrame) -> bytes:

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from roadevents import queries
 from roadevents.operators.normalize import normalize
 from roadevents.schema import CENTRAL_SCHEMA, FIELDS
 from roadevents.sinks import upsert
@@ -278,3 +279,31 @@ def test_compared_against_a_loop():
                 last[key] = (poll, said)
             assert sorted(tuple(fresh.loc[i]) for i in kept) == sorted(expected)
         assert {tuple(r[:2]): (tuple(r[2:5]), tuple(r[5:])) for r in known.itertuples(index=False)} == last
+
+
+def test_first_record_of_a_poll():
+    rng = random.Random(4)
+    days = [1, 2, None]
+    made = [(rng.randrange(3), 0, rng.choice(days), rng.randrange(2), f"f{rng.randrange(2)}") for _ in range(300)]
+    found = pd.DataFrame([(*m, i, -i, rng.randrange(9)) for i, m in enumerate(made)], columns=[*changes._KNOWN, "seq"])
+    first = changes._first(found, "seq")
+    best = {}
+    for place, i, poll in zip(found["seq"], found.index, made):
+        best[poll] = min(best.get(poll, (place, i)), (place, i))
+    assert sorted(first.index) == sorted(i for _, i in best.values())
+    assert list(first.columns) == changes._KNOWN
+
+
+def test_what_polls_say_is_made_in_one_pass(spark, monkeypatch, tmp_path):
+    names = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame([], names).write.parquet(str(tmp_path / "events.parquet"))
+    made = []
+
+    def responses(text, *extra):
+        made.append(extra)
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "_responses", responses)
+    with pytest.raises(InterruptedError):
+        queries.stream_unchanged(spark, str(tmp_path))
+    assert made == [("told",)]
