@@ -19,12 +19,14 @@ the strings of one anchor, then eight strings, then single ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadevents.llm.bitmaps import BitMap
@@ -36,9 +38,19 @@ BLOCK = 8
 # Window starts that one step looks at; place numbers take PLACE_BITS of an identifier.
 STARTS = 1 << 20
 PLACE_BITS = 24
+# Bytes of short texts that one step looks at together; members that a task compares, and
+# those of them that go to Spark at once.
+GROUP = 1 << 16
+CHUNK = 1 << 17
+PART = 20_000
+# A run has fewer strings; a run in one number takes these bits for them.
+RUN_BITS = 7
 
 BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
-MEMBER = "key bigint, id binary, doc_id bigint, doc_hash bigint, start bigint, n bigint"
+MEMBER = (
+    "key bigint, id_1 bigint, id_2 bigint, lot bigint, doc_id bigint, doc_hash bigint, "
+    "start bigint, n bigint"
+)
 
 
 def identifiers(data: np.ndarray, length: int) -> np.ndarray:
@@ -54,10 +66,17 @@ def identifiers(data: np.ndarray, length: int) -> np.ndarray:
 
 
 def anchors(
-    data: np.ndarray, length: int = LENGTH, q: int = Q
+    data: np.ndarray, length: int = LENGTH, q: int = Q, ends: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Identifier and place of each anchor, and the first and last of its strings."""
+    """Identifier and place of each anchor, and the first and last of its strings.
+
+    ``ends`` are those of the texts that ``data`` holds one behind the other (default: it
+    is one text). Strings lie within a text.
+    """
     keys, places, first, last = [], [], [], []
+    ends = np.array([len(data)]) if ends is None else ends
+    # A text's first string, and the place after its last.
+    bounds = np.concatenate(([0], ends[:-1], ends - length + 1))
     for at in range(0, len(data) - length + 1, STARTS):
         part = data[at : at + STARTS + length - 1]
         ids = identifiers(part, q)
@@ -70,11 +89,15 @@ def anchors(
             least = np.minimum(least[: k - span], least[span - k :])
         place = (least & mask).astype(np.int64)
         turns = np.flatnonzero(np.diff(place)) + 1
-        begin = np.concatenate(([0], turns))
+        cuts = bounds[(bounds > at) & (bounds < at + len(place))] - at
+        begin = np.unique(np.concatenate(([0], turns, cuts)))
+        end = np.append(begin[1:], len(place)) - 1
+        whole = begin + at + length <= ends[np.searchsorted(ends, begin + at, side="right")]
+        begin, end = begin[whole], end[whole]
         keys.append(ids[place[begin]])
         places.append(place[begin] + at)
         first.append(begin + at)
-        last.append(np.append(turns, len(place)) - 1 + at)
+        last.append(end + at)
     if not keys:
         none = np.zeros(0, np.int64)
         return none.view(np.uint64), none, none, none
@@ -91,45 +114,108 @@ def _spots(doc_id: np.ndarray, doc_hash: np.ndarray, places: np.ndarray) -> np.n
     return mix64(seeds[0] ^ (seeds[1] * np.uint64(3)) ^ places.view(np.uint64)).view(np.int64)
 
 
-def _documents(batches: Iterator[pa.RecordBatch]):
+class _Texts(NamedTuple):
+    """Texts one behind the other, and their anchors by place in ``data``."""
+
+    doc_id: np.ndarray
+    doc_hash: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    data: bytes
+    keys: np.ndarray
+    places: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    text: np.ndarray  # the number of each anchor's text
+
+
+def _held_bytes(column: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of a column without nulls, and the bounds of its values in them."""
+    column = column.cast(pa.large_binary())
+    _, bounds, data = column.buffers()
+    return data, np.frombuffer(bounds, np.int64, len(column) + 1, column.offset * 8)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[_Texts]:
+    """Short texts in groups, others alone. What is found in a text does not depend on the
+    group it is in."""
     no_worker_cache()
+    most = min(GROUP, STARTS)
     for batch in steps(batches):
-        columns = (batch.column(c).to_pylist() for c in ("doc_id", "doc_hash", "text"))
-        for doc_id, doc_hash, text in zip(*columns, strict=True):
-            data = text.encode()
-            if len(data) >= LENGTH:
-                yield doc_id, doc_hash, data, anchors(np.frombuffer(data, np.uint8))
+        if not batch.num_rows:
+            continue
+        ids = [batch.column(c).to_numpy() for c in DOC]
+        held, bounds = _held_bytes(batch.column("text"))
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + most, side="right")) - 1)
+            low, high = int(bounds[i]), int(bounds[j])
+            if high - low >= LENGTH:
+                data, ends = held[low:high].to_pybytes(), bounds[i + 1 : j + 1] - low
+                found = anchors(np.frombuffer(data, np.uint8), ends=ends)
+                text = np.searchsorted(ends, found[2], side="right")
+                begins = bounds[i:j] - low
+                yield _Texts(ids[0][i:j], ids[1][i:j], begins, ends, data, *found, text)
+            i = j
 
 
 def _keys(batches: Iterator[pa.RecordBatch]):
     held: list[np.ndarray] = []
-    for _, _, _, (keys, *_) in _documents(batches):
-        held.append(keys)
-        if len(held) >= 1000:
+    for texts in _texts(batches):
+        held.append(texts.keys)
+        if len(held) >= 32:
             yield pa.record_batch([pa.array(np.concatenate(held).view(np.int64))], names=["key"])
             held = []
     if held:
         yield pa.record_batch([pa.array(np.concatenate(held).view(np.int64))], names=["key"])
 
 
-class _Rows:
-    """Rows gathered by column and given out in batches."""
-
-    def __init__(self, schema: pa.Schema, size: int = 20_000):
-        self.schema, self.size = schema, size
-        self.columns: list[list] = [[] for _ in schema]
-
-    def add(self, *values) -> None:
-        for column, value in zip(self.columns, values, strict=True):
-            column.append(value)
+def _lots(ids: list[np.ndarray], at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of members with identifiers ``ids`` at ``at``: which to keep, and their lots.
 
-    def full(self) -> bool:
-        return len(self.columns[0]) >= self.size
-
-    def batch(self) -> pa.RecordBatch:
-        arrays = [pa.array(c, f.type) for c, f in zip(self.columns, self.schema, strict=True)]
-        self.columns = [[] for _ in self.schema]
-        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+    The earliest of an identifier has lot 0, and all others a number that spreads them;
+    they are repeated. Of members at one place, in equal rows, one is kept.
+    """
+    keep, lots = np.ones(len(ids[0]), bool), np.zeros(len(ids[0]), np.int64)
+    order = np.argsort(ids[0])
+    equal = np.diff(ids[0][order]) == 0
+    shared = np.zeros(len(order), bool)
+    shared[1:] |= equal
+    shared[:-1] |= equal
+    some = order[shared]
+    some = some[np.lexsort([*(x[some] for x in reversed(at)), ids[1][some], ids[0][some]])]
+    columns = [x[some] for x in (*ids, *at)]
+    turns = [np.append(True, np.diff(c) != 0)[: len(some)] for c in columns]
+    keep[some] = np.logical_or.reduce(turns)
+    later = some[~(turns[0] | turns[1])]
+    lots[later] = _spots(*(x[later] for x in at)) | 1
+    return keep, lots
+
+
+class _Chunks:
+    """Members gathered by column, compared among themselves and given out in batches."""
+
+    def __init__(self, schema: pa.Schema):
+        self.schema, self.held, self.rows = schema, [], 0
+
+    def add(self, key, digests: list[bytes], *columns: np.ndarray) -> None:
+        """``columns``: doc_id, doc_hash, start, n and the further ones of the schema."""
+        if digests:
+            ids = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            self.held.append((key, ids[:, 0], ids[:, 1], *columns))
+            self.rows += len(digests)
+
+    def batches(self, least: int = CHUNK) -> Iterator[pa.RecordBatch]:
+        """A batch, if there are ``least`` members."""
+        if self.held and self.rows >= least:
+            key, *rest = (np.concatenate(c) for c in zip(*self.held, strict=True))
+            self.held, self.rows = [], 0
+            keep, lots = _lots(rest[:2], rest[2:5])
+            columns = (key, *rest[:2], lots, *rest[2:])
+            arrays = [pa.array(c[keep]) for c in columns]
+            whole = pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+            for at in range(0, whole.num_rows, PART):
+                yield whole.slice(at, PART)
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -139,49 +225,30 @@ def _arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def _signed(value: np.uint64 | int) -> int:
-    value = int(value)
-    return value - (1 << 64) if value >= 1 << 63 else value
-
-
 def _members(batches: Iterator[pa.RecordBatch], repeated: BitMap, schema: pa.Schema):
     """The anchors in buckets of several, each with the run of its strings."""
-    digest = xxhash.xxh3_128_digest
-    held: list[tuple[np.ndarray, ...]] = []
-    own: list[bytes] = []
-
-    def gathered() -> pa.RecordBatch:
-        key, *rest = (np.concatenate(c) for c in zip(*held))
-        columns = [pa.array(key), pa.array(own, pa.binary()), *map(pa.array, rest)]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    for doc_id, doc_hash, data, (keys, places, first, last) in _documents(batches):
-        kept = np.flatnonzero(repeated.has(keys))
-        if not len(kept):
-            continue
-        place, a, z = places[kept], first[kept], last[kept]
-        ends, seeds = (z + LENGTH).tolist(), (place - a).tolist()
-        own += [digest(data[i:j], seed=k) for i, j, k in zip(a.tolist(), ends, seeds)]
-        size = len(kept)
-        held.append(
-            (keys[kept].view(np.int64), np.full(size, doc_id), np.full(size, doc_hash), a, z - a + 1, place)
-        )
-        if len(own) >= 20_000:
-            yield gathered()
-            held, own = [], []
-    if held:
-        yield gathered()
+    digest, found = xxhash.xxh3_128_digest, _Chunks(schema)
+    for texts in _texts(batches):
+        kept = np.flatnonzero(repeated.has(texts.keys))
+        place, a, z, own = (x[kept] for x in (texts.places, texts.first, texts.last, texts.text))
+        runs = zip(a.tolist(), (z + LENGTH).tolist(), (place - a).tolist(), strict=True)
+        data, begin = texts.data, texts.begins[own]
+        digests = [digest(data[i:j], seed=k) for i, j, k in runs]
+        at = texts.doc_id[own], texts.doc_hash[own], a - begin
+        found.add(texts.keys[kept].view(np.int64), digests, *at, z - a + 1, place - begin)
+        yield from found.batches()
+    yield from found.batches(1)
 
 
 CONTEXT = (
     "rep bigint, key bigint, doc_id bigint, doc_hash bigint, place bigint, first bigint, "
     "last bigint, base bigint, context binary"
 )
+CONTEXT_NUMBERS = ["rep", "key", "doc_id", "doc_hash", "place", "first", "last", "base"]
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], wanted: BitMap, schema: pa.Schema):
     """The bytes around the anchors whose runs must be split."""
-    rows = _Rows(schema)
 
     def some() -> Iterator[pa.RecordBatch]:
         # Most documents have none, and are left aside before they are read.
@@ -189,57 +256,86 @@ def _contexts(batches: Iterator[pa.RecordBatch], wanted: BitMap, schema: pa.Sche
             ids = [batch.column(c).to_numpy() for c in DOC]
             yield batch.filter(pa.array(wanted.has(_spots(*ids, WHOLE))))
 
-    for doc_id, doc_hash, data, (keys, places, first, last) in _documents(some()):
-        for i in np.flatnonzero(wanted.has(_spots(doc_id, doc_hash, places))).tolist():
-            place = int(places[i])
-            base = max(0, place - LENGTH)
-            context = data[base : place + LENGTH + BLOCK]
-            rows.add(_signed(keys[i]), doc_id, doc_hash, place, int(first[i]), int(last[i]), base, context)
-            if rows.full():
-                yield rows.batch()
-    yield rows.batch()
+    for t in _texts(some()):
+        begin = t.begins[t.text]
+        spots = _spots(t.doc_id[t.text], t.doc_hash[t.text], t.places - begin)
+        kept = np.flatnonzero(wanted.has(spots))
+        if not len(kept):
+            continue
+        own, begin, place = t.text[kept], begin[kept], t.places[kept]
+        base = np.maximum(begin, place - LENGTH)
+        end = np.minimum(t.ends[own], place + LENGTH + BLOCK)
+        around = [t.data[i:j] for i, j in zip(base.tolist(), end.tolist(), strict=True)]
+        columns = (t.keys[kept].view(np.int64), t.doc_id[own], t.doc_hash[own], place - begin)
+        columns += (t.first[kept] - begin, t.last[kept] - begin, base - begin)
+        arrays = [*map(pa.array, columns), pa.array(around, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _blocks(place: int, first: int, last: int):
-    """Blocks of strings by their distance before the anchor that meet the run."""
-    for block in range((place - last) // BLOCK, (place - first) // BLOCK + 1):
-        far = place - block * BLOCK - BLOCK + 1
-        yield block, far, far + BLOCK - 1
+def _each(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ``count`` things of each row: their rows, and their numbers within them."""
+    row = np.repeat(np.arange(len(count)), count)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
 
 
 def _split(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     """Runs of up to BLOCK strings around each anchor, and the bytes they share as key."""
-    rows, digest, number = _Rows(schema), xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
+    digest, number = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
+    found = _Chunks(schema)
     for batch in batches:
-        for r in batch.to_pylist():
-            text, base = r["context"], r["base"]
-            end = base + len(text)
-            for block, far, near in _blocks(r["place"], r["first"], r["last"]):
-                a, z = max(far, base, 0), min(near, end - LENGTH)
-                if a > z:
-                    continue
-                shared = text[max(near - base, 0) : far + LENGTH - base]
-                key = _signed(number(shared, seed=(r["key"] + block) % (1 << 64)))
-                own = digest(text[a - base : z + LENGTH - base], seed=a - far)
-                rows.add(key, own, r["doc_id"], r["doc_hash"], a, z - a + 1, r["rep"], block)
-                if rows.full():
-                    yield rows.batch()
-    yield rows.batch()
+        if not batch.num_rows:
+            continue
+        c = {f: batch.column(f).to_numpy() for f in CONTEXT_NUMBERS}
+        held, bounds = _held_bytes(batch.column("context"))
+        low = int(bounds[0])
+        text = held[low : int(bounds[-1])].to_pybytes()
+        # Blocks of strings by their distance before the anchor that meet the run.
+        least, most = ((c["place"] - c[x]) // BLOCK for x in ("last", "first"))
+        row, block = _each(most - least + 1)
+        block = block + least[row]
+        far = c["place"][row] - block * BLOCK - BLOCK + 1
+        near = far + BLOCK - 1
+        # A place in the document is one in the text of all contexts.
+        base, shift = c["base"][row], (bounds[:-1] - low - c["base"])[row]
+        end = base + np.diff(bounds)[row]
+        a, z = np.maximum(far, base), np.minimum(near, end - LENGTH)
+        kept = np.flatnonzero(a <= z)
+        row, block, far, near, base, shift, end, a, z = (
+            x[kept] for x in (row, block, far, near, base, shift, end, a, z)
+        )
+        seeds = c["key"][row].view(np.uint64) + block.astype(np.uint64)
+        begin = np.maximum(near, base)
+        stop = np.maximum(np.minimum(far + LENGTH, end), begin)
+        shared = zip((begin + shift).tolist(), (stop + shift).tolist(), seeds.tolist(), strict=True)
+        keys = np.array([number(text[i:j], seed=k) for i, j, k in shared], np.uint64)
+        # The same bytes in two buckets are two identifiers, so each bucket has its earliest.
+        seeds = keys + (a - far).astype(np.uint64)
+        runs = zip((a + shift).tolist(), (z + LENGTH + shift).tolist(), seeds.tolist(), strict=True)
+        digests = [digest(text[i:j], seed=k) for i, j, k in runs]
+        at = c["doc_id"][row], c["doc_hash"][row], a
+        found.add(keys.view(np.int64), digests, *at, z - a + 1, c["rep"][row])
+        yield from found.batches()
+    yield from found.batches(1)
 
 
 def _singles(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
     """Single strings of the blocks that must be split."""
-    rows, digest = _Rows(schema), xxhash.xxh3_128_digest
+    digest, found = xxhash.xxh3_128_digest, _Chunks(schema)
     for batch in batches:
-        for r in batch.to_pylist():
-            text, base = r["context"], r["base"]
-            for start, n in r["runs"]:
-                for at in range(start, start + n):
-                    own = digest(text[at - base : at - base + LENGTH])
-                    rows.add(0, own, r["doc_id"], r["doc_hash"], at, 1)
-                    if rows.full():
-                        yield rows.batch()
-    yield rows.batch()
+        if not batch.num_rows:
+            continue
+        c = {f: batch.column(f).to_numpy() for f in (*DOC, "base", "start", "n")}
+        held, bounds = _held_bytes(batch.column("context"))
+        low = int(bounds[0])
+        text = held[low : int(bounds[-1])].to_pybytes()
+        row, at = _each(c["n"])
+        at = at + c["start"][row]
+        places = (at + (bounds[:-1] - low - c["base"])[row]).tolist()
+        digests = [digest(text[i : i + LENGTH]) for i in places]
+        one = np.ones(len(row), np.int64)
+        found.add(one, digests, c["doc_id"][row], c["doc_hash"][row], at, one)
+        yield from found.batches()
+    yield from found.batches(1)
 
 
 DOC = ("doc_id", "doc_hash")
@@ -247,20 +343,23 @@ DOC = ("doc_id", "doc_hash")
 
 def _resolve(members: DataFrame, scratch: Scratch, level: str, *extra: str):
     """Repeated runs (doc, start, n), and the earliest members of every bucket's
-    identifiers where a bucket has several."""
-    members = scratch.write(members, f"members-{level}")
-    order = F.struct(*DOC, "start")
-    one = F.min(F.struct(order.alias("at"), F.struct("n", *extra).alias("with"))).alias("first")
-    firsts = members.groupBy("key", "id").agg(one)
-    firsts = scratch.write(firsts.select("key", "id", "first.at", "first.with.*"), f"firsts-{level}")
-    earliest = firsts.select("key", "id", "at")
-    later = members.join(earliest, ["key", "id"]).where(order != F.col("at"))
-    marks = scratch.write(later.select(*DOC, "start", "n"), f"marks-{level}")
+    identifiers where a bucket has several (on the last level, without ``extra``: none).
+
+    Members come with a lot: what a task has seen repeated has one of its own, so an
+    identifier meets here with at most one member of each chunk of a task.
+    """
+    same = Window.partitionBy("id_1", "id_2", "lot").orderBy(*DOC, "start")
+    ranked = members.withColumns({"_rank": F.rank().over(same), "_row": F.row_number().over(same)})
+    repeated = (F.col("lot") != 0) | (F.col("_rank") > 1)
+    if not extra:
+        return scratch.write(ranked.where(repeated).select(*DOC, "start", "n"), f"marks-{level}"), None
+    # Members of equal rows share a rank: neither is repeated, and one is the earliest.
+    told = ranked.withColumn("repeated", repeated).where("repeated or _row = 1")
+    told = scratch.write(told.select("key", *DOC, "start", "n", *extra, "repeated"), f"members-{level}")
+    marks, firsts = told.where("repeated").select(*DOC, "start", "n"), told.where("not repeated")
     several = firsts.groupBy("key").count().where("count > 1").select("key")
-    open_ = firsts.join(several, "key", "left_semi").select("key", "at.*", "n", *extra)
-    open_ = scratch.write(open_, f"open-{level}")
-    scratch.drop(f"members-{level}", f"firsts-{level}")
-    return marks, open_
+    open_ = firsts.join(several, "key", "left_semi").select("key", *DOC, "start", "n", *extra)
+    return marks, scratch.write(open_, f"open-{level}")
 
 
 def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -293,17 +392,14 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     contexts = contexts.withColumn("rep", F.monotonically_increasing_id())
     contexts = scratch.write(contexts, "contexts")
 
-    ddl = f"{MEMBER}, rep bigint, block bigint"
+    ddl = f"{MEMBER}, rep bigint"
     arrow_split = _arrow(ddl)
     split = contexts.mapInArrow(lambda b: _split(b, arrow_split), ddl)
     more, open_ = _resolve(split, scratch, "block", "rep")
     marks = marks.unionByName(more)
 
-    # A rep has at most as many blocks as LENGTH / BLOCK and a few.
-    runs = open_.groupBy("rep").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    again = contexts.join(runs, "rep").select(*DOC, "base", "context", "runs")
-    runs_as_pairs = F.transform("runs", lambda r: F.array(r["start"], r["n"]))
-    again = again.withColumn("runs", runs_as_pairs)
+    # A context meets at most as many blocks as LENGTH / BLOCK and a few.
+    again = contexts.select("rep", *DOC, "base", "context").join(open_.select("rep", "start", "n"), "rep")
     arrow_single = _arrow(MEMBER)
     singles = again.mapInArrow(lambda b: _singles(b, arrow_single), MEMBER)
     more, _ = _resolve(singles, scratch, "single")
@@ -320,16 +416,25 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def removed(n_bytes: int, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The maximal removed stretches: start and end."""
-    spans: list[list[int]] = []
-    for start, n in sorted(runs):
-        end = min(start + n - 1 + LENGTH, n_bytes)
-        if spans and start <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], end)
-        else:
-            spans.append([start, end])
-    return [(a, z) for a, z in spans]
+def removed(sizes: np.ndarray, runs: pa.Array) -> list[list[tuple[int, int]]]:
+    """The maximal removed stretches, start and end, of texts of ``sizes`` bytes with
+    ``runs`` (a list each, or null) as numbers."""
+    counts = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+    row, own = np.repeat(np.arange(len(sizes)), counts), pc.list_flatten(runs).to_numpy()
+    start, n = own >> RUN_BITS, own & ((1 << RUN_BITS) - 1)
+    # Places in all texts, of which no two touch.
+    base = np.cumsum(sizes + 1) - sizes - 1
+    first, end = start + base[row], np.minimum(start + n - 1 + LENGTH, sizes[row]) + base[row]
+    order = np.argsort(first)
+    first, reach, row = first[order], np.maximum.accumulate(end[order]), row[order]
+    opens = np.flatnonzero(np.append(True, first[1:] > reach[:-1])[: len(first)])
+    closes = np.append(opens[1:], len(first))[: len(opens)] - 1
+    row = row[opens]
+    found = (row, first[opens] - base[row], reach[closes] - base[row])
+    spans: list[list[tuple[int, int]]] = [[] for _ in sizes]
+    for i, a, z in zip(*(x.tolist() for x in found), strict=True):
+        spans[i].append((a, z))
+    return spans
 
 
 def deduplicated(
@@ -354,7 +459,8 @@ def deduplicated(
     if set(names) & set(keep):
         raise ValueError("kept columns clash with the result's")
     runs = repeated_strings(docs, text)
-    gathered = runs.groupBy(*DOC).agg(F.collect_list(F.array("start", "n")).alias("runs"))
+    run = F.shiftleft("start", RUN_BITS) + F.col("n")
+    gathered = runs.groupBy(*DOC).agg(F.collect_list(run).alias("runs"))
     kept = [F.col(f"`{c}`") for c in keep]
     rows = docs.select(
         F.struct(*[c.alias(f"c{i}") for i, c in enumerate(kept)]).alias("kept"),
@@ -393,11 +499,10 @@ def deduplicated(
     def cut(batches: Iterator[pa.RecordBatch]):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in steps(batches, "packed"):
+            whole = [unpack(packed) for packed in batch.column("packed").to_pylist()]
             texts, spans = [], []
-            columns = batch.column("packed").to_pylist(), batch.column("runs").to_pylist()
-            for packed, own in zip(*columns, strict=True):
-                data = unpack(packed)
-                found = removed(len(data), own or [])
+            sizes = np.array([len(data) for data in whole], np.int64)
+            for data, found in zip(whole, removed(sizes, batch.column("runs")), strict=True):
                 at, parts = 0, []
                 for a, z in found:
                     parts.append(data[at:a])

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import DATA
@@ -89,3 +90,34 @@ def test_a_megabyte_of_one_byte(spark):
     hashes = [r["doc_hash"] for r in sx.keyed(docs).collect()]
     got = sorted(repr(tuple(r)) for r in sx.dedup_report(docs).collect())
     assert got == slow([(*r, h) for r, h in zip(rows, hashes)])
+
+
+def test_short_texts_are_looked_at_together(monkeypatch):
+    texts = [(t or "").encode() for _, t in cases()]
+    docs = [pa.array(range(len(texts))), pa.array([7] * len(texts)), pa.array(texts).cast(pa.string())]
+    batch = pa.RecordBatch.from_arrays(docs, names=["doc_id", "doc_hash", "text"])
+    looked, identifiers = [], sx.identifiers
+    monkeypatch.setattr(sx, "identifiers", lambda *a: looked.append(1) or identifiers(*a))
+    alone = [sx.anchors(np.frombuffer(t, np.uint8)) for t in texts]
+    expected = np.concatenate([keys.view(np.int64) for keys, *_ in alone])
+    looked.clear()
+    got = np.concatenate([b.column(0).to_numpy() for b in sx._keys(iter([batch.slice(0, 9), batch.slice(9)]))])
+    assert (got == expected).all()
+    assert len(looked) <= 2 + sum(map(len, texts)) // sx.GROUP
+    # Places count from the start of all texts.
+    ends = np.cumsum([len(t) for t in texts])
+    _, places, first, last = sx.anchors(np.frombuffer(b"".join(texts), np.uint8), ends=ends)
+    shift = np.repeat(ends - [len(t) for t in texts], [len(a[0]) for a in alone])
+    for together, n in ((places, 1), (first, 2), (last, 3)):
+        assert (together == np.concatenate([a[n] for a in alone]) + shift).all()
+
+
+def test_a_repeated_run_reaches_one_task_once_a_chunk():
+    ids = [np.array([5, 5, 5, 6, 5, 5]), np.array([1, 1, 1, 1, 2, 1])]
+    at = [np.array([3, 2, 2, 2, 2, 9]), np.zeros(6, np.int64), np.array([0, 8, 8, 0, 4, 1])]
+    keep, lots = sx._lots(ids, at)
+    # The earliest of (5, 1) is at document 2, place 8, in two equal rows.
+    assert keep.tolist() in ([True, True, False, True, True, True], [True, False, True, True, True, True])
+    assert (lots != 0)[keep].tolist() == [True, False, False, False, True]
+    assert len(set(lots[[0, 5]])) == 2
+    assert [x.tolist() for x in sx._lots([np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 3)] == [[], []]
