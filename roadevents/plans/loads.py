@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from roadevents.operators.dedup import dedup_first
 from roadevents.operators.normalize import CORRUPT, REASON, normalize, rejects
 from roadevents.operators.quality import require_rows
-from roadevents.schema import FIELDS, MERGE_KEYS, NULL_MARKERS, TEXT_DATE_SCHEMA
+from roadevents.schema import FIELDS, MERGE_KEYS, NULL_MARKERS, NUMBER_BLANKS, TEXT_DATE_SCHEMA
 from roadevents.sinks import files, ledger, upsert
 from roadevents.sources.archives import zip_csv
 from roadevents.sources.csv_files import (
@@ -114,6 +114,13 @@ def load_new_files(
     return ledger.load_once(spark, raw_zone, table, build)
 
 
+def _oddly_spelled(landed: DataFrame) -> DataFrame:
+    """Records whose link has a value that another text could have too, such as ``110.0``."""
+    link = F.col("linkId")
+    plain = link.rlike(r"\A(0|-?[1-9][0-9]*)\z")
+    return landed.where(~link.isin(*NUMBER_BLANKS) & ~plain).select(link)
+
+
 def load_merge(
     spark: SparkSession,
     responses: str,
@@ -142,10 +149,13 @@ def load_merge(
     finally:
         records.unpersist()
     landed = parquet_by_name(spark, day_folder(raw_zone, day))
-    typed = normalize(landed.withColumn("_spelled", F.col("linkId")), dates="text")
-    incomplete = reduce(or_, [F.col(k).isNull() for k in MERGE_KEYS])
-    first = dedup_first(typed.where(~incomplete), MERGE_KEYS, ("_spelled",))
-    batch = first.unionByName(typed.where(incomplete))
+    batch = normalize(landed, dates="text")
+    # Landed keys differ as text. Where every link is spelled plainly, so do their values.
+    if not _oddly_spelled(landed).isEmpty():
+        typed = normalize(landed.withColumn("_spelled", F.col("linkId")), dates="text")
+        incomplete = reduce(or_, [F.col(k).isNull() for k in MERGE_KEYS])
+        first = dedup_first(typed.where(~incomplete), MERGE_KEYS, ("_spelled",))
+        batch = first.unionByName(typed.where(incomplete))
     upsert.merge_into(batch, table, stamp=stamp, unique_target=True, checked=True)
     if rejects_table:
         files.append_load(rejects(landed, dates="text"), rejects_table)

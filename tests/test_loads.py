@@ -104,6 +104,29 @@ def test_spellings_of_one_key_are_one_key(spark, respond, tmp_path, path):
     assert values(upsert.read_table(spark, path), "linkId", "message") == [(110, "d"), (7, "c")]
 
 
+def test_plainly_spelled_keys_are_not_ranked_again(spark, respond, tmp_path, path, monkeypatch):
+    ranked, dedup_first = [], loads.dedup_first
+    monkeypatch.setattr(loads, "dedup_first", lambda *a: ranked.append(1) or dedup_first(*a))
+    zone, links = str(tmp_path / "zone"), ("7", "0", "-3", None, "", "-", "nan", "L", "70", "7")
+    rows = [item(x, message=str(n)) for n, x in enumerate(links)]
+    loads.load_merge(spark, respond("a", *rows[:7], *rows[8:]), zone, path, DAY)
+    assert not ranked
+    expected = [(-3, "2"), (0, "1"), (7, "0"), (70, "8"), *[(None, str(n)) for n in (3, 4, 5, 6)]]
+    assert values(upsert.read_table(spark, path), "linkId", "message") == expected
+    for n, odd in enumerate(("7\n", " 7", "07", "+7", "7.", "7e0", "6.9")):
+        loads.load_merge(spark, respond(f"b{n}", item(odd, message="x"), item("7", message="y")), zone, path, DAY)
+        assert len(ranked) == n + 1
+        said = values(upsert.read_table(spark, path).where("linkId = 7"), "message")
+        assert said == [("x" if odd < "7" else "y",)]
+
+
+def test_a_table_that_is_not_there_runs_no_task(spark, path):
+    empty = upsert.read_table(spark, path)
+    plan = empty._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "RDD" not in plan
+    assert empty.columns == upsert.MERGE_SCHEMA.names and empty.count() == 0
+
+
 def test_loads_fail_on_a_wrong_number_of_values(spark, tmp_path, path):
     header = ",".join(FIELDS)
     (tmp_path / "good.csv").write_text(f"{header}\n{',' * 13}\n")
