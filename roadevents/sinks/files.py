@@ -14,6 +14,8 @@ from roadevents.operators.dedup import dedup_first, with_unique_id
 from roadevents.session import move, path_has_files, remove
 
 PARTITION = "ingestion_date"
+# A landed file is read by several tasks: each reads whole row groups.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def _by_day(df: DataFrame, day: dt.date | str | None, mode: str):
@@ -57,7 +59,7 @@ def land_parquet(
     df: DataFrame, path: str, day: dt.date | str | None = None, *, mode: str = "overwrite"
 ) -> None:
     """Parquet under ``path/ingestion_date=day``."""
-    _by_day(df, day, mode).parquet(path)
+    _by_day(df, day, mode).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 def land_deduplicated(

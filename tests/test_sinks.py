@@ -1,6 +1,7 @@
 import datetime as dt
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -303,3 +304,11 @@ def test_bucketed_merge_equals_the_plain_one(spark, events, path):
     with pytest.raises(ValueError, match="startDate"):
         bucketed.merge_bucketed(doubled, "bucketed_merge", ["linkId"])
     tables.drop(spark, "bucketed_merge")
+
+
+def test_a_landed_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ROW_GROUP_BYTES", 4096)
+    rows = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("message"))
+    files.land_parquet(rows, str(tmp_path / "zone"), "2024-01-01")
+    landed = list((tmp_path / "zone").rglob("*.parquet"))
+    assert len(landed) == 1 and pq.ParquetFile(landed[0]).num_row_groups > 3
