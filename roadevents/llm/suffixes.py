@@ -372,7 +372,10 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     broadcast = docs.sparkSession.sparkContext.broadcast
     rows = keyed(docs, text)
     keys = rows.mapInArrow(_keys, "key bigint").groupBy("key").count()
-    repeated = broadcast(BitMap(keys.where("count > 1").select("key")))
+    # Written, so the exchange of all keys goes.
+    keys = scratch.write(keys.where("count > 1").select("key"), "keys")
+    repeated = broadcast(BitMap.sized(keys, keys.count(), scratch))
+    scratch.drop("keys")
 
     ddl = f"{MEMBER}, place bigint"
     arrow = _arrow(ddl)
@@ -381,11 +384,12 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def spots(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            ids = [batch.column(c).to_numpy() for c in DOC]
-            for places in (batch.column("place").to_numpy(), WHOLE):
-                yield pa.record_batch([pa.array(_spots(*ids, places))], names=["spot"])
+            found = _spots(*(batch.column(c).to_numpy() for c in (*DOC, "place")))
+            yield pa.record_batch([pa.array(found)], names=["spot"])
 
-    wanted = broadcast(BitMap(open_.select(*DOC, "place").mapInArrow(spots, "spot bigint")))
+    whole = open_.select(*DOC).distinct().withColumn("place", F.lit(int(WHOLE[0])).cast("long"))
+    places = open_.select(*DOC, "place").unionByName(whole).mapInArrow(spots, "spot bigint")
+    wanted = broadcast(BitMap.sized(places, open_.count(), scratch))
     ddl = CONTEXT.removeprefix("rep bigint, ")
     arrow_contexts = _arrow(ddl)
     contexts = rows.mapInArrow(lambda b: _contexts(b, wanted.value, arrow_contexts), ddl)
@@ -403,6 +407,7 @@ def repeated_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     arrow_single = _arrow(MEMBER)
     singles = again.mapInArrow(lambda b: _singles(b, arrow_single), MEMBER)
     more, _ = _resolve(singles, scratch, "single")
+    scratch.drop("contexts", "open-anchor", "open-block")
     return marks.unionByName(more)
 
 

@@ -8,7 +8,9 @@ import pyarrow as pa
 import pytest
 
 from conftest import DATA
+from roadevents.llm import bitmaps
 from roadevents.llm import suffixes as sx
+from roadevents.llm.common import Scratch
 
 
 def slow(rows):
@@ -121,3 +123,41 @@ def test_a_repeated_run_reaches_one_task_once_a_chunk():
     assert (lots != 0)[keep].tolist() == [True, False, False, False, True]
     assert len(set(lots[[0, 5]])) == 2
     assert [x.tolist() for x in sx._lots([np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 3)] == [[], []]
+
+
+def test_maps_grow_with_their_keys(spark, monkeypatch):
+    monkeypatch.setattr(bitmaps, "BITS", 16)
+    own, others = np.arange(60_000), np.arange(60_000, 300_000)
+    scratch = Scratch(spark, "maps")
+    found = bitmaps.BitMap.sized(spark.range(60_000), 60_000, scratch)
+    assert found.has(own).all()
+    assert found.has(others).mean() < 0.01
+    monkeypatch.setattr(bitmaps, "MOST_BITS", 12)
+    found = bitmaps.BitMap.sized(spark.range(60_000), 60_000, scratch)
+    assert len(found.held) == 512 and found.has(own).all()
+
+
+@pytest.mark.parametrize("most", [30, 6])
+def test_contexts_are_those_of_open_anchors(spark, monkeypatch, most):
+    monkeypatch.setattr(bitmaps, "BITS", 6)
+    monkeypatch.setattr(bitmaps, "MOST_BITS", most)
+    dice = random.Random(9)
+    noise = lambda n: "".join(dice.choices("abcdefgh ", k=n))
+    shared = [noise(130) for _ in range(6)]
+    rows = [(d, noise(1500) + (shared[d % 6] if d % 2 else "") + noise(1500)) for d in range(60)]
+    counts, write = {}, Scratch.write
+
+    def counted(self, df, name, *rest):
+        found = write(self, df, name, *rest)
+        counts[name] = found.count()
+        return found
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = [r["doc_hash"] for r in sx.keyed(docs).collect()]
+    got = sorted(repr(tuple(r)) for r in sx.dedup_report(docs).collect())
+    # Full maps cost work, not results.
+    assert got == slow([(*r, h) for r, h in zip(rows, hashes)])
+    assert counts["open-anchor"] > 0
+    if most == 30:
+        assert counts["contexts"] <= counts["open-anchor"] * 1.2
